@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bernoulli numbers B2, B4, ... B14 of the Stirling series.
@@ -19,38 +19,48 @@ SHIFT = 8
 HALF_LOG_TWO_PI = 0.5 * math.log(2.0 * math.pi)
 
 
-def _horner(coefficients: list[float], x: Column) -> Column:
-    total = F.lit(coefficients[-1])
+def _series(coefficients: list[float], x: str) -> str:
+    text = f"{coefficients[-1]!r}D"
     for c in reversed(coefficients[:-1]):
-        total = total * x + F.lit(c)
-    return total
-
-
-def lgamma(z: Column) -> Column:
-    """ln Gamma(z) for z > 0: shift the argument past 8, then Stirling."""
-    product = z
-    for k in range(1, SHIFT):
-        product = product * (z + F.lit(float(k)))
-    y = z + F.lit(float(SHIFT))
-    series = [b / (2 * k * (2 * k - 1)) for k, b in enumerate(BERNOULLI, start=1)]
-    return (
-        (y - F.lit(0.5)) * F.ln(y)
-        - y
-        + F.lit(HALF_LOG_TWO_PI)
-        + _horner(series, F.lit(1.0) / (y * y)) / y
-        - F.ln(product)
-    )
+        text = f"({text} * {x} + {c!r}D)"
+    return text
+
 
+def with_log_gamma(df: DataFrame, arguments: dict[str, Column]) -> DataFrame:
+    """Add ``lg_<name>`` = ln Gamma and ``dg_<name>`` = its derivative per argument.
 
-def digamma(z: Column) -> Column:
-    """Derivative of :func:`lgamma` for z > 0, by the same shift."""
-    steps = F.lit(1.0) / z
-    for k in range(1, SHIFT):
-        steps = steps + F.lit(1.0) / (z + F.lit(float(k)))
-    y = z + F.lit(float(SHIFT))
-    squared = F.lit(1.0) / (y * y)
-    series = [b / (2 * k) for k, b in enumerate(BERNOULLI, start=1)]
-    return F.ln(y) - F.lit(0.5) / y - _horner(series, squared) * squared - steps
+    Arguments must be positive. Each is shifted past 8, where the Stirling series
+    is exact to double precision. The shared parts are columns of their own, so
+    every one of them is computed once per row.
+    """
+    names = list(arguments)
+    df = df.withColumns({f"z_{n}": z for n, z in arguments.items()})
+    df = df.withColumns({f"y_{n}": F.expr(f"z_{n} + {SHIFT}D") for n in names})
+    df = df.withColumns({f"i_{n}": F.expr(f"1D / (y_{n} * y_{n})") for n in names})
+    df = df.withColumns({f"l_{n}": F.expr(f"ln(y_{n})") for n in names})
+    gamma = [b / (2 * k * (2 * k - 1)) for k, b in enumerate(BERNOULLI, start=1)]
+    slope = [b / (2 * k) for k, b in enumerate(BERNOULLI, start=1)]
+    added = {}
+    for n in names:
+        steps = [f"(z_{n} + {k}D)" for k in range(SHIFT)]
+        added[f"lg_{n}"] = F.expr(
+            f"(y_{n} - 0.5D) * l_{n} - y_{n} + {HALF_LOG_TWO_PI!r}D"
+            f" + {_series(gamma, f'i_{n}')} / y_{n} - ln({' * '.join(steps)})"
+        )
+        added[f"dg_{n}"] = F.expr(
+            f"l_{n} - 0.5D / y_{n} - {_series(slope, f'i_{n}')} * i_{n}"
+            f" - ({' + '.join(f'1D / {step}' for step in steps)})"
+        )
+    helpers = [f"{part}_{n}" for n in names for part in "zyil"]
+    return df.withColumns(added).drop(*helpers)
+
+
+def log_gamma(z: float) -> tuple[float, float]:
+    """ln Gamma and its derivative of one number, for terms that no row changes."""
+    y = z + SHIFT
+    inverse = 1.0 / (y * y)
+    slope = sum(b / (2 * k) * inverse**k for k, b in enumerate(BERNOULLI, start=1))
+    return math.lgamma(z), math.log(y) - 0.5 / y - slope - sum(1.0 / (z + k) for k in range(SHIFT))
 
 
 def hyp2f1(a: Column, b: Column, c: Column, z: Column, max_terms: int = 4_000) -> Column:

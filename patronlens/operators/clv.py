@@ -8,6 +8,7 @@ the likelihood and its gradient is one Spark aggregate.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from patronlens.config import RunConfig
-from patronlens.functions.special import digamma, hyp2f1, lgamma
+from patronlens.functions.special import hyp2f1, log_gamma, with_log_gamma
 from patronlens.operators.ranking import RankSpec, rank_cuts
 from patronlens.schemas import CLV_COLUMNS
 from patronlens.sources.staging import stage
@@ -49,70 +50,93 @@ def _value(x: float) -> Column:
     return F.lit(float(x))
 
 
-def purchase_terms(params: dict[str, float], x: Column, seen: Column, age: Column) -> list[Column]:
-    """Log-likelihood of one customer, and its derivatives by r, alpha, a, b."""
+def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
+    """Log-likelihood of every history ``t0`` and its slopes ``t1`` to ``t4``
+    by r, alpha, a and b."""
+    (lg_r, dg_r), (lg_b, dg_b), (lg_ab, dg_ab) = (
+        log_gamma(z) for z in (params["r"], params["b"], params["a"] + params["b"])
+    )
     r, alpha, a, b = (_value(params[n]) for n in PURCHASE_PARAMETERS)
-    repeat = x > 0
-    at_least_one = F.greatest(x, F.lit(1.0))
-    alive = -(r + x) * F.ln(alpha + age)
-    gone = F.when(
-        repeat, F.ln(a) - F.ln(b + at_least_one - F.lit(1.0)) - (r + x) * F.ln(alpha + seen)
+    x = F.col("x")
+    log_alpha = math.log(params["alpha"])
+    df = with_log_gamma(rows, {"r": r + x, "b": b + x, "ab": a + b + x})
+    df = df.withColumns(
+        {
+            "log_age": F.ln(alpha + F.col("age")),
+            "log_seen": F.ln(alpha + F.col("seen")),
+            "past": b + F.greatest(x, F.lit(1.0)) - F.lit(1.0),
+        }
     )
-    top = F.greatest(alive, gone)
-    mixed = top + F.ln(F.exp(alive - top) + F.coalesce(F.exp(gone - top), F.lit(0.0)))
-    likelihood = (
-        lgamma(r + x) - lgamma(r) + r * F.ln(alpha)
-        + lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)
-        + mixed
+    df = df.withColumns(
+        {
+            "alive": -(r + x) * F.col("log_age"),
+            "gone": F.when(x > 0, F.ln(a) - F.ln("past") - (r + x) * F.col("log_seen")),
+        }
     )
-    gone_share = F.coalesce(F.exp(gone - mixed), F.lit(0.0))
-    alive_share = F.lit(1.0) - gone_share
-    by_r = (
-        digamma(r + x) - digamma(r) + F.ln(alpha)
-        - alive_share * F.ln(alpha + age) - gone_share * F.ln(alpha + seen)
+    top = F.greatest("alive", "gone")
+    df = df.withColumn(
+        "mixed", top + F.ln(F.exp(F.col("alive") - top) + F.coalesce(F.exp(F.col("gone") - top), F.lit(0.0)))
     )
-    by_alpha = r / alpha - (r + x) * (alive_share / (alpha + age) + gone_share / (alpha + seen))
-    by_a = digamma(a + b) - digamma(a + b + x) + gone_share / a
-    by_b = (
-        digamma(a + b) + digamma(b + x) - digamma(b) - digamma(a + b + x)
-        - gone_share / (b + at_least_one - F.lit(1.0))
+    df = df.withColumn("gone_share", F.coalesce(F.exp(F.col("gone") - F.col("mixed")), F.lit(0.0)))
+    gone, alive = F.col("gone_share"), F.lit(1.0) - F.col("gone_share")
+    return df.select(
+        "weight",
+        (
+            F.col("lg_r") + F.col("lg_b") - F.col("lg_ab") + F.col("mixed")
+            + _value(params["r"] * log_alpha - lg_r + lg_ab - lg_b)
+        ).alias("t0"),
+        (
+            F.col("dg_r") - alive * F.col("log_age") - gone * F.col("log_seen") + _value(log_alpha - dg_r)
+        ).alias("t1"),
+        (
+            r / alpha - (r + x) * (alive / (alpha + F.col("age")) + gone / (alpha + F.col("seen")))
+        ).alias("t2"),
+        (_value(dg_ab) - F.col("dg_ab") + gone / a).alias("t3"),
+        (F.col("dg_b") - F.col("dg_ab") - gone / F.col("past") + _value(dg_ab - dg_b)).alias("t4"),
     )
-    return [likelihood, by_r, by_alpha, by_a, by_b]
 
 
-def value_terms(params: dict[str, float], x: Column, mean: Column) -> list[Column]:
-    """Log-likelihood of one repeat customer, and its derivatives by p, q, v."""
+def value_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
+    """Log-likelihood of every repeat customer ``t0`` and its slopes ``t1`` to
+    ``t3`` by p, q and v."""
+    lg_q, dg_q = log_gamma(params["q"])
     p, q, v = (_value(params[n]) for n in VALUE_PARAMETERS)
-    px = p * x
-    spread = F.ln(x * mean + v)
-    likelihood = (
-        lgamma(px + q) - lgamma(px) - lgamma(q)
-        + q * F.ln(v) + (px - F.lit(1.0)) * F.ln(mean) + px * F.ln(x) - (px + q) * spread
+    log_v = math.log(params["v"])
+    x, mean = F.col("x"), F.col("mean")
+    df = with_log_gamma(rows, {"pxq": p * x + q, "px": p * x})
+    df = df.withColumns(
+        {"px": p * x, "log_mean": F.ln(mean), "log_x": F.ln(x), "total": x * mean + v}
+    ).withColumn("spread", F.ln("total"))
+    px, spread = F.col("px"), F.col("spread")
+    return df.select(
+        "weight",
+        (
+            F.col("lg_pxq") - F.col("lg_px") + (px - F.lit(1.0)) * F.col("log_mean") + px * F.col("log_x")
+            - (px + q) * spread + _value(params["q"] * log_v - lg_q)
+        ).alias("t0"),
+        (x * (F.col("dg_pxq") - F.col("dg_px") + F.col("log_mean") + F.col("log_x") - spread)).alias("t1"),
+        (F.col("dg_pxq") - spread + _value(log_v - dg_q)).alias("t2"),
+        (q / v - (px + q) / F.col("total")).alias("t3"),
     )
-    joint = digamma(px + q)
-    by_p = x * (joint - digamma(px) + F.ln(mean) + F.ln(x) - spread)
-    by_q = joint - digamma(q) + F.ln(v) - spread
-    by_v = q / v - (px + q) / (x * mean + v)
-    return [likelihood, by_p, by_q, by_v]
 
 
 def penalised_objective(
-    rows: DataFrame, names: list[str], terms: Callable[[dict[str, float]], list[Column]], penalizer: float
+    rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
 ) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
     """Objective and gradient in log-parameters; ``rows`` carries a ``weight``.
 
     The objective is minus the mean log-likelihood plus the penalizer times the
-    sum of squared parameters.
+    sum of squared parameters. Each call is one aggregate over ``rows``.
     """
-    weight = F.col("weight")
+    count = len(names) + 1
+    sums = [F.sum("weight").alias("total")]
+    sums += [F.sum(F.col("weight") * F.col(f"t{i}")).alias(f"t{i}") for i in range(count)]
 
     def evaluate(log_params: np.ndarray) -> tuple[float, np.ndarray]:
         values = np.exp(log_params)
-        columns = terms(dict(zip(names, values.tolist())))
-        sums = [F.sum(weight * c).alias(f"t{i}") for i, c in enumerate(columns)]
-        row = rows.agg(F.sum(weight).alias("total"), *sums).first()
-        means = np.array([row[f"t{i}"] for i in range(len(columns))], dtype=float) / row["total"]
-        objective = -means[0] + penalizer * float(np.sum(values**2))
+        row = terms(rows, dict(zip(names, values.tolist()))).agg(*sums).first()
+        means = np.array([row[f"t{i}"] for i in range(count)], dtype=float) / row["total"]
+        objective = float(-means[0] + penalizer * np.sum(values**2))
         gradient = (-means[1:] + 2.0 * penalizer * values) * values
         return objective, gradient
 
@@ -186,10 +210,10 @@ def fit_purchase_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
     Time is scaled so that the oldest customer has age 10; alpha is scaled back.
     """
     histories = stage(purchase_histories(rfm_table), "purchase_histories")
-    x, seen, age = F.col("x"), F.col("seen"), F.col("age")
+    seen, age = F.col("seen"), F.col("age")
     check = histories.agg(
         F.max("age").alias("oldest"),
-        F.count_if((seen > age) | (x < 0) | ((x == 0) & (seen != 0))).alias("invalid"),
+        F.count_if((seen > age) | ((F.col("x") == 0) & (seen != 0))).alias("invalid"),
     ).first()
     if check["oldest"] is None:
         raise ValueError("no customers to fit")
@@ -197,9 +221,7 @@ def fit_purchase_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
         raise ValueError(f"{check['invalid']} histories contradict themselves, e.g. a later purchase with no repeat")
     scale = 10.0 / check["oldest"] if check["oldest"] > 0 else 1.0
     scaled = histories.select("x", (seen * _value(scale)).alias("seen"), (age * _value(scale)).alias("age"), "weight")
-    params, objective, used = _fit(
-        scaled, PURCHASE_PARAMETERS, lambda p: purchase_terms(p, x, seen, age), cfg.penalizer
-    )
+    params, objective, used = _fit(scaled, PURCHASE_PARAMETERS, purchase_terms, cfg.penalizer)
     params["alpha"] /= scale
     return Fit(params, objective, used)
 
@@ -219,9 +241,7 @@ def fit_value_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
         raise ValueError("no repeat customers to fit")
     if check["invalid"]:
         raise ValueError(f"{check['invalid']} repeat customers have a mean order value of zero or less")
-    params, objective, used = _fit(
-        rows, VALUE_PARAMETERS, lambda p: value_terms(p, F.col("x"), F.col("mean")), cfg.penalizer
-    )
+    params, objective, used = _fit(rows, VALUE_PARAMETERS, value_terms, cfg.penalizer)
     return Fit(params, objective, used)
 
 
