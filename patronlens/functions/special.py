@@ -34,10 +34,10 @@ def with_log_gamma(df: DataFrame, arguments: dict[str, Column]) -> DataFrame:
     every one of them is computed once per row.
     """
     names = list(arguments)
-    df = df.withColumns({f"z_{n}": z for n, z in arguments.items()})
-    df = df.withColumns({f"y_{n}": F.expr(f"z_{n} + {SHIFT}D") for n in names})
-    df = df.withColumns({f"i_{n}": F.expr(f"1D / (y_{n} * y_{n})") for n in names})
-    df = df.withColumns({f"l_{n}": F.expr(f"ln(y_{n})") for n in names})
+    shifted = {f"y_{n}": z + F.lit(float(SHIFT)) for n, z in arguments.items()}
+    df = df.withColumns({f"z_{n}": z for n, z in arguments.items()} | shifted)
+    inverses = {f"i_{n}": F.expr(f"1D / (y_{n} * y_{n})") for n in names}
+    df = df.withColumns(inverses | {f"l_{n}": F.expr(f"ln(y_{n})") for n in names})
     gamma = [b / (2 * k * (2 * k - 1)) for k, b in enumerate(BERNOULLI, start=1)]
     slope = [b / (2 * k) for k, b in enumerate(BERNOULLI, start=1)]
     added = {}
@@ -51,8 +51,7 @@ def with_log_gamma(df: DataFrame, arguments: dict[str, Column]) -> DataFrame:
             f"l_{n} - 0.5D / y_{n} - {_series(slope, f'i_{n}')} * i_{n}"
             f" - ({' + '.join(f'1D / {step}' for step in steps)})"
         )
-    helpers = [f"{part}_{n}" for n in names for part in "zyil"]
-    return df.withColumns(added).drop(*helpers)
+    return df.withColumns(added)
 
 
 def log_gamma(z: float) -> tuple[float, float]:
