@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Bernoulli numbers B2, B4, ... B14 of the Stirling series.
@@ -26,32 +26,28 @@ def _series(coefficients: list[float], x: str) -> str:
     return text
 
 
-def with_log_gamma(df: DataFrame, arguments: dict[str, Column]) -> DataFrame:
-    """Add ``lg_<name>`` = ln Gamma and ``dg_<name>`` = its derivative per argument.
+def log_gamma_columns(name: str, argument: str) -> list[str]:
+    """Select items ending in ``lg_<name>`` = ln Gamma and ``dg_<name>`` = its slope.
 
-    Arguments must be positive. Each is shifted past 8, where the Stirling series
-    is exact to double precision. The shared parts are columns of their own, so
-    every one of them is computed once per row.
+    The argument, as SQL text, must be positive. It is shifted past 8, where the
+    Stirling series is exact to double precision. The items before the last two
+    are shared parts that later items of the same select refer to, so each is
+    computed once per row.
     """
-    names = list(arguments)
-    shifted = {f"y_{n}": z + F.lit(float(SHIFT)) for n, z in arguments.items()}
-    df = df.withColumns({f"z_{n}": z for n, z in arguments.items()} | shifted)
-    inverses = {f"i_{n}": F.expr(f"1D / (y_{n} * y_{n})") for n in names}
-    df = df.withColumns(inverses | {f"l_{n}": F.expr(f"ln(y_{n})") for n in names})
     gamma = [b / (2 * k * (2 * k - 1)) for k, b in enumerate(BERNOULLI, start=1)]
     slope = [b / (2 * k) for k, b in enumerate(BERNOULLI, start=1)]
-    added = {}
-    for n in names:
-        steps = [f"(z_{n} + {k}D)" for k in range(SHIFT)]
-        added[f"lg_{n}"] = F.expr(
-            f"(y_{n} - 0.5D) * l_{n} - y_{n} + {HALF_LOG_TWO_PI!r}D"
-            f" + {_series(gamma, f'i_{n}')} / y_{n} - ln({' * '.join(steps)})"
-        )
-        added[f"dg_{n}"] = F.expr(
-            f"l_{n} - 0.5D / y_{n} - {_series(slope, f'i_{n}')} * i_{n}"
-            f" - ({' + '.join(f'1D / {step}' for step in steps)})"
-        )
-    return df.withColumns(added)
+    z, y, inverse, log = (f"{part}_{name}" for part in ("z", "y", "inverse", "log"))
+    steps = [f"({z} + {k}D)" for k in range(SHIFT)]
+    return [
+        f"{argument} AS {z}",
+        f"{z} + {SHIFT}D AS {y}",
+        f"1D / ({y} * {y}) AS {inverse}",
+        f"ln({y}) AS {log}",
+        f"({y} - 0.5D) * {log} - {y} + {HALF_LOG_TWO_PI!r}D + {_series(gamma, inverse)} / {y}"
+        f" - ln({' * '.join(steps)}) AS lg_{name}",
+        f"{log} - 0.5D / {y} - {_series(slope, inverse)} * {inverse}"
+        f" - ({' + '.join(f'1D / {step}' for step in steps)}) AS dg_{name}",
+    ]
 
 
 def log_gamma(z: float) -> tuple[float, float]:

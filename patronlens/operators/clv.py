@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from patronlens.config import RunConfig
-from patronlens.functions.special import hyp2f1, log_gamma, with_log_gamma
+from patronlens.functions.special import hyp2f1, log_gamma, log_gamma_columns
 from patronlens.operators.ranking import RankSpec, rank_cuts
 from patronlens.schemas import CLV_COLUMNS
 from patronlens.sources.staging import stage
@@ -50,73 +50,64 @@ def _value(x: float) -> Column:
     return F.lit(float(x))
 
 
+def _number(x: float) -> str:
+    return f"({float(x)!r}D)"
+
+
 def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
     """Log-likelihood of every history ``t0`` and its slopes ``t1`` to ``t4``
-    by r, alpha, a and b."""
+    by r, alpha, a and b.
+
+    Written as SQL text: the plan is built anew for every candidate, and text is
+    the quickest to build. What no row changes is computed beforehand.
+    """
+    r, alpha, a, b = (_number(params[n]) for n in PURCHASE_PARAMETERS)
     (lg_r, dg_r), (lg_b, dg_b), (lg_ab, dg_ab) = (
         log_gamma(z) for z in (params["r"], params["b"], params["a"] + params["b"])
     )
-    r, alpha, a, b = (_value(params[n]) for n in PURCHASE_PARAMETERS)
-    x = F.col("x")
     log_alpha = math.log(params["alpha"])
-    df = with_log_gamma(rows, {"r": r + x, "b": b + x, "ab": a + b + x})
-    df = df.withColumns(
-        {
-            "log_age": F.ln(alpha + F.col("age")),
-            "log_seen": F.ln(alpha + F.col("seen")),
-            "past": b + F.greatest(x, F.lit(1.0)) - F.lit(1.0),
-        }
-    )
-    df = df.withColumns(
-        {
-            "alive": -(r + x) * F.col("log_age"),
-            "gone": F.when(x > 0, F.ln(a) - F.ln("past") - (r + x) * F.col("log_seen")),
-        }
-    )
-    top = F.greatest("alive", "gone")
-    df = df.withColumn(
-        "mixed", top + F.ln(F.exp(F.col("alive") - top) + F.coalesce(F.exp(F.col("gone") - top), F.lit(0.0)))
-    )
-    df = df.withColumn("gone_share", F.coalesce(F.exp(F.col("gone") - F.col("mixed")), F.lit(0.0)))
-    gone, alive = F.col("gone_share"), F.lit(1.0) - F.col("gone_share")
-    return df.select(
+    return rows.selectExpr(
         "weight",
-        (
-            F.col("lg_r") + F.col("lg_b") - F.col("lg_ab") + F.col("mixed")
-            + _value(params["r"] * log_alpha - lg_r + lg_ab - lg_b)
-        ).alias("t0"),
-        (
-            F.col("dg_r") - alive * F.col("log_age") - gone * F.col("log_seen") + _value(log_alpha - dg_r)
-        ).alias("t1"),
-        (
-            r / alpha - (r + x) * (alive / (alpha + F.col("age")) + gone / (alpha + F.col("seen")))
-        ).alias("t2"),
-        (_value(dg_ab) - F.col("dg_ab") + gone / a).alias("t3"),
-        (F.col("dg_b") - F.col("dg_ab") - gone / F.col("past") + _value(dg_ab - dg_b)).alias("t4"),
+        *log_gamma_columns("r", f"{r} + x"),
+        *log_gamma_columns("b", f"{b} + x"),
+        *log_gamma_columns("ab", f"{a} + {b} + x"),
+        f"ln({alpha} + age) AS log_age",
+        f"ln({alpha} + seen) AS log_seen",
+        f"{b} + greatest(x, 1D) - 1D AS past",
+        f"-({r} + x) * log_age AS alive",
+        f"CASE WHEN x > 0 THEN ln({a}) - ln(past) - ({r} + x) * log_seen END AS gone",
+        "greatest(alive, gone) AS top",
+        "top + ln(exp(alive - top) + coalesce(exp(gone - top), 0D)) AS mixed",
+        "coalesce(exp(gone - mixed), 0D) AS gone_share",
+        "1D - gone_share AS alive_share",
+        f"lg_r + lg_b - lg_ab + mixed + {_number(params['r'] * log_alpha - lg_r + lg_ab - lg_b)} AS t0",
+        f"dg_r - alive_share * log_age - gone_share * log_seen + {_number(log_alpha - dg_r)} AS t1",
+        f"{r} / {alpha} - ({r} + x) * (alive_share / ({alpha} + age) + gone_share / ({alpha} + seen)) AS t2",
+        f"{_number(dg_ab)} - dg_ab + gone_share / {a} AS t3",
+        f"dg_b - dg_ab - gone_share / past + {_number(dg_ab - dg_b)} AS t4",
     )
 
 
 def value_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
     """Log-likelihood of every repeat customer ``t0`` and its slopes ``t1`` to
     ``t3`` by p, q and v."""
+    p, q, v = (_number(params[n]) for n in VALUE_PARAMETERS)
     lg_q, dg_q = log_gamma(params["q"])
-    p, q, v = (_value(params[n]) for n in VALUE_PARAMETERS)
     log_v = math.log(params["v"])
-    x, mean = F.col("x"), F.col("mean")
-    df = with_log_gamma(rows, {"pxq": p * x + q, "px": p * x})
-    df = df.withColumns(
-        {"px": p * x, "log_mean": F.ln(mean), "log_x": F.ln(x), "total": x * mean + v}
-    ).withColumn("spread", F.ln("total"))
-    px, spread = F.col("px"), F.col("spread")
-    return df.select(
+    return rows.selectExpr(
         "weight",
-        (
-            F.col("lg_pxq") - F.col("lg_px") + (px - F.lit(1.0)) * F.col("log_mean") + px * F.col("log_x")
-            - (px + q) * spread + _value(params["q"] * log_v - lg_q)
-        ).alias("t0"),
-        (x * (F.col("dg_pxq") - F.col("dg_px") + F.col("log_mean") + F.col("log_x") - spread)).alias("t1"),
-        (F.col("dg_pxq") - spread + _value(log_v - dg_q)).alias("t2"),
-        (q / v - (px + q) / F.col("total")).alias("t3"),
+        *log_gamma_columns("px", f"{p} * x"),
+        *log_gamma_columns("pxq", f"{p} * x + {q}"),
+        f"{p} * x AS px",
+        "ln(mean) AS log_mean",
+        "ln(x) AS log_x",
+        f"x * mean + {v} AS total",
+        "ln(total) AS spread",
+        f"lg_pxq - lg_px + (px - 1D) * log_mean + px * log_x - (px + {q}) * spread"
+        f" + {_number(params['q'] * log_v - lg_q)} AS t0",
+        "x * (dg_pxq - dg_px + log_mean + log_x - spread) AS t1",
+        f"dg_pxq - spread + {_number(log_v - dg_q)} AS t2",
+        f"{q} / {v} - (px + {q}) / total AS t3",
     )
 
 
