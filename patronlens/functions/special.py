@@ -62,11 +62,11 @@ def hyp2f1(a: Column, b: Column, c: Column, z: Column, max_terms: int = 4_000) -
     """Gauss series of 2F1(a, b; c; z) for 0 <= z < 1.
 
     The number of terms follows from z, row by row: the n-th term shrinks like
-    z**n, so 40 / -ln(z) terms reach double precision.
+    z**n, so 40 / -ln(z) terms, and some for the growth of the other factors,
+    reach double precision.
     """
-    terms = F.least(
-        F.lit(max_terms), F.ceil(F.lit(40.0) - F.lit(40.0) / F.ln(F.greatest(z, F.lit(1e-12)))).cast("int")
-    )
+    needed = F.ceil(F.lit(12.0) - F.lit(40.0) / F.ln(F.greatest(z, F.lit(1e-12))))
+    terms = F.least(F.lit(max_terms), needed.cast("int"))
 
     def step(state: Column, n: Column) -> Column:
         term = state["term"]

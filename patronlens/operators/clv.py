@@ -236,8 +236,8 @@ def fit_value_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
     return Fit(params, objective, used)
 
 
-def expected_purchases(params: dict[str, float], days: float, x: Column, seen: Column, age: Column) -> Column:
-    """Expected purchases in the next ``days``, given the purchase history.
+def purchases_while_active(params: dict[str, float], days: float, x: Column, age: Column) -> Column:
+    """Expected purchases in the next ``days``, before the odds of having left.
 
     The published form's hypergeometric term is rewritten with Euler's
     transformation, whose series converges fast for long histories.
@@ -249,16 +249,34 @@ def expected_purchases(params: dict[str, float], days: float, x: Column, seen: C
         b_value += 2e-9
     r, alpha, a, b = _value(params["r"]), _value(params["alpha"]), _value(a_value), _value(b_value)
     t = _value(days)
-    x, seen, age = x.cast("double"), seen.cast("double"), age.cast("double")
     z = t / (alpha + age + t)
     top = a + b + x - F.lit(1.0)
     series = hyp2f1(a + b - F.lit(1.0) - r, a - F.lit(1.0), top, z)
-    ahead = top / (a - F.lit(1.0)) * (F.lit(1.0) - F.pow(F.lit(1.0) - z, a - F.lit(1.0)) * series)
-    odds_gone = F.when(
-        x > 0,
-        a / (b + F.greatest(x, F.lit(1.0)) - F.lit(1.0)) * F.exp((r + x) * F.ln((alpha + age) / (alpha + seen))),
-    ).otherwise(F.lit(0.0))
-    return ahead / (F.lit(1.0) + odds_gone)
+    return top / (a - F.lit(1.0)) * (F.lit(1.0) - F.pow(F.lit(1.0) - z, a - F.lit(1.0)) * series)
+
+
+def odds_gone(params: dict[str, float], x: Column, seen: Column, age: Column) -> Column:
+    """Odds that a customer has left; zero without a repeat purchase."""
+    r, alpha, a, b = (_value(params[n]) for n in PURCHASE_PARAMETERS)
+    since = F.exp((r + x) * F.ln((alpha + age) / (alpha + seen)))
+    return F.when(x > 0, a / (b + F.greatest(x, F.lit(1.0)) - F.lit(1.0)) * since).otherwise(F.lit(0.0))
+
+
+def with_expected_purchases(inputs: DataFrame, params: dict[str, float], days: float) -> DataFrame:
+    """Add ``predicted_purchases`` to :func:`clv_inputs`.
+
+    The costly series depends on repeat purchases and age alone, both whole
+    numbers. It is evaluated once per distinct pair and joined back; the pairs
+    are stored first, so Spark knows their size and broadcasts them only below
+    its own threshold. Beyond it the join is an ordinary, skew-handled one.
+    """
+    pair = ["repeat_purchases", "T"]
+    x, seen, age = (F.col(c).cast("double") for c in ("repeat_purchases", "age_at_last_purchase", "T"))
+    pairs = inputs.select(*pair).distinct()
+    active = stage(pairs.withColumn("while_active", purchases_while_active(params, days, x, age)), "purchase_pairs")
+    joined = inputs.join(active, pair, "left")
+    predicted = F.col("while_active") / (F.lit(1.0) + odds_gone(params, x, seen, age))
+    return joined.withColumn("predicted_purchases", predicted).drop("while_active")
 
 
 def expected_order_value(params: dict[str, float], x: Column, mean: Column) -> Column:
@@ -274,23 +292,16 @@ def score_clv(
 ) -> DataFrame:
     """Add predicted purchases, expected order value and their product.
 
-    A pure projection. Customers without a repeat purchase keep their observed
-    mean order value.
+    Customers without a repeat purchase keep their observed mean order value.
+    ``rfm_table`` is read twice and should be stored.
     """
-    x, seen = F.col("repeat_purchases"), F.col("age_at_last_purchase")
-    return (
-        clv_inputs(rfm_table)
-        .withColumns(
-            {
-                "predicted_purchases": expected_purchases(purchase, cfg.horizon_days, x, seen, F.col("T")),
-                "expected_avg_revenue": F.when(x > 0, expected_order_value(value, x, F.col("avg_monetary"))).otherwise(
-                    F.col("avg_monetary")
-                ),
-            }
-        )
-        .withColumn("clv_12m", F.col("predicted_purchases") * F.col("expected_avg_revenue"))
-        .drop("repeat_purchases", "age_at_last_purchase")
-    )
+    x, mean = F.col("repeat_purchases"), F.col("avg_monetary")
+    scored = with_expected_purchases(clv_inputs(rfm_table), purchase, cfg.horizon_days)
+    return scored.select(
+        *rfm_table.columns,
+        "predicted_purchases",
+        F.when(x > 0, expected_order_value(value, x, mean)).otherwise(mean).alias("expected_avg_revenue"),
+    ).withColumn("clv_12m", F.col("predicted_purchases") * F.col("expected_avg_revenue"))
 
 
 def clv_summary(scored: DataFrame) -> DataFrame:

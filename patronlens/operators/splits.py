@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from patronlens.config import RunConfig
 from patronlens.operators.ranking import cuts_passed, first_rows_spec, rank_cuts
 from patronlens.schemas import FEATURES
+from patronlens.sources.staging import stage
 
 KEY = "customer_id"
 LABEL = "churn_label"
@@ -56,22 +57,23 @@ def stratified_split(rows: DataFrame, cfg: RunConfig, share: float | None = None
     """Flag an exact, class-balanced test part; ``rows`` should be stored.
 
     Within each class the rows with the lowest hash are taken. The last of them
-    is found exactly and the flag is a comparison with it, so neither the classes
-    nor the table are sorted.
+    is found exactly over a narrow stored table of hashes; the flag is then a
+    comparison with it, so neither the classes nor the table are sorted.
     """
     share = cfg.test_share if share is None else share
-    counts = {r[LABEL]: r["count"] for r in rows.groupBy(LABEL).count().collect()}
-    wanted = stratified_test_counts(counts, share)
-    value = split_hash(F.col(KEY), cfg.seed)
-    specs = {
-        label: first_rows_spec(f"class_{label}", value, lambda n, k=k: k, F.col(LABEL) == F.lit(label))
-        for label, k in wanted.items()
-        if k > 0
-    }
-    cuts = rank_cuts(rows, KEY, list(specs.values()))
+    hash_bits, label, key = split_hash(F.col(KEY), cfg.seed), F.col(LABEL), F.col(KEY)
+    hashes = stage(rows.select(KEY, LABEL, hash_bits.alias("hash")), "split_hashes")
+    counts = {r[LABEL]: r["count"] for r in hashes.groupBy(LABEL).count().collect()}
+    wanted = {c: k for c, k in stratified_test_counts(counts, share).items() if k > 0}
+    specs = [
+        first_rows_spec(f"class_{c}", F.col("hash"), lambda n, k=k: k, label == F.lit(c)) for c, k in wanted.items()
+    ]
+    cuts = rank_cuts(hashes, KEY, specs)
     chosen = F.lit(False)
-    for spec in specs.values():
-        chosen = chosen | F.coalesce(cuts_passed(spec, KEY, cuts[spec.name]) == 0, F.lit(False))
+    for c in wanted:
+        last_hash, last_key = cuts[f"class_{c}"].cuts[0]
+        within = (hash_bits < F.lit(last_hash)) | ((hash_bits == F.lit(last_hash)) & (key <= F.lit(last_key)))
+        chosen = F.when(label == F.lit(c), within).otherwise(chosen)
     return rows.withColumn(flag, chosen)
 
 

@@ -17,6 +17,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # One process does all the work here; a cluster sizes its executors itself.
+            builder = builder.config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

@@ -164,21 +164,23 @@ def long_series(x, seen, age, t, r, alpha, a, b, terms=60_000):
     return ahead / (1 + gone)
 
 
+def predicted(spark, rows, params):
+    schema = "id long, repeat_purchases long, age_at_last_purchase long, T long"
+    inputs = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], schema)
+    found = by_key(clv.with_expected_purchases(inputs, params, 360), "id")
+    return [found[i]["predicted_purchases"] for i in range(len(rows))]
+
+
 def test_expected_purchases_against_the_long_series(spark):
     rows = [(0, 0, 0), (0, 0, 900), (1, 10, 30), (7, 800, 1000), (24, 2000, 2100), (3, 0, 1)]
-    df = spark.createDataFrame(rows, "x long, seen long, age long")
-    found = df.select(clv.expected_purchases(PURCHASE, 360, F.col("x"), F.col("seen"), F.col("age"))).collect()
     expected = [long_series(x, s, g, 360.0, **PURCHASE) for x, s, g in rows]
-    assert [r[0] for r in found] == pytest.approx(expected, rel=1e-8)
+    assert predicted(spark, rows, PURCHASE) == pytest.approx(expected, rel=1e-8)
 
 
 def test_expected_purchases_near_the_poles(spark):
     """Parameters at a pole give the same as parameters next to it, and tiny a its limit."""
-    df = spark.createDataFrame([(0, 0, 400), (5, 300, 400)], "x long, seen long, age long")
-
     def score(**params):
-        column = clv.expected_purchases(PURCHASE | params, 360, F.col("x"), F.col("seen"), F.col("age"))
-        return [r[0] for r in df.select(column).collect()]
+        return predicted(spark, [(0, 0, 400), (5, 300, 400)], PURCHASE | params)
 
     assert score(a=1.0) == pytest.approx(score(a=1.0 + 1e-6), rel=1e-4)
     assert score(a=0.4, b=0.6) == pytest.approx(score(a=0.4, b=0.600001), rel=1e-4)

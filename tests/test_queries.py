@@ -54,5 +54,5 @@ def test_gap_plan_orders_days_not_rows(spark):
 def test_scoring_adds_no_shuffle(spark):
     table = features.rfm(catalog.star_orders(spark, SF_DIR), catalog.STAR)
     assert "Exchange" not in plan_of(table) and "Sort" not in plan_of(table)
-    scored = catalog.fixed_clv(table).where(F.col("clv_12m") > 0)
-    assert "Exchange" not in plan_of(scored) and "Python" not in plan_of(scored)
+    scored = plan_of(catalog.fixed_clv(table).where(F.col("clv_12m") > 0))
+    assert "BroadcastExchange" in scored and "hashpartitioning" not in scored and "Python" not in scored
