@@ -56,9 +56,12 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return column.isNull()
 
 
-def is_blank(column: Column) -> Column:
-    """Empty after stripping Unicode white space. Null is not blank."""
-    return F.coalesce(column.cast("string").rlike(r"(?U)^\s*$"), F.lit(False))
+def is_blank(df: DataFrame, name: str) -> Column:
+    """Empty after stripping Unicode white space. Null is not blank, and neither
+    is a value of any other type than text, whose rows need no test."""
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return F.lit(False)
+    return F.coalesce(F.col(name).rlike(r"(?U)^\s*$"), F.lit(False))
 
 
 def percent_text(share: Column) -> Column:

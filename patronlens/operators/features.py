@@ -64,8 +64,26 @@ def order_value_stats(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     return past_orders(orders, cfg).groupBy(KEY).agg(*_value_stats())
 
 
-def inter_purchase_time(orders: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Mean whole days between consecutive orders of each customer.
+def has_times_of_day(orders: DataFrame) -> bool:
+    """Whether any order is not at midnight; stops at the first one found."""
+    stamp = F.col("order_date")
+    return not orders.where(stamp != stamp.cast("date").cast("timestamp_ntz")).isEmpty()
+
+
+def _mean_gap(days: Column, orders: Column, cfg: RunConfig) -> Column:
+    gaps = orders - F.lit(1)
+    return F.when(gaps > 0, F.coalesce(days, F.lit(0)) / gaps).otherwise(F.lit(float(cfg.churn_window_days)))
+
+
+def _midnight_gap(cfg: RunConfig) -> Column:
+    """Mean gap where every order is at midnight: the gaps are whole days, so
+    their sum is the span from the first order to the last."""
+    span = whole_days(F.max("order_date"), F.min("order_date"))
+    return _mean_gap(span, F.count("*"), cfg).alias("inter_purchase_time_avg")
+
+
+def _gap_by_day(orders: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Mean gap for orders with times of day.
 
     Consecutive orders of one calendar day are less than 24 hours apart and add
     zero whole days, so only the first and last order of each day matter. Orders
@@ -73,25 +91,28 @@ def inter_purchase_time(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     below sees at most one row per calendar day, however many orders a customer
     has.
     """
-    days = (
-        past_orders(orders, cfg)
-        .groupBy(KEY, F.col("order_date").cast("date").alias("day"))
-        .agg(F.min("order_date").alias("first"), F.max("order_date").alias("last"), F.count("*").alias("orders"))
+    days = orders.groupBy(KEY, F.col("order_date").cast("date").alias("day")).agg(
+        F.min("order_date").alias("first"), F.max("order_date").alias("last"), F.count("*").alias("orders")
     )
-    by_day = Window.partitionBy(KEY).orderBy("day")
-    gap = whole_days(F.col("first"), F.lag("last").over(by_day))
-    gaps = F.sum("orders") - F.lit(1)
+    gap = whole_days(F.col("first"), F.lag("last").over(Window.partitionBy(KEY).orderBy("day")))
     return (
         days.withColumn("gap", gap)
         .groupBy(KEY)
-        .agg(
-            F.when(gaps > 0, F.coalesce(F.sum("gap"), F.lit(0)) / gaps)
-            .otherwise(F.lit(float(cfg.churn_window_days)))
-            .alias("inter_purchase_time_avg")
-        )
+        .agg(_mean_gap(F.sum("gap"), F.sum("orders"), cfg).alias("inter_purchase_time_avg"))
     )
 
 
+def inter_purchase_time(orders: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Mean whole days between consecutive orders of each customer.
+
+    Customers with a single order get the churn window.
+    """
+    past = past_orders(orders, cfg)
+    if has_times_of_day(past):
+        return _gap_by_day(past, cfg)
+    return past.groupBy(KEY).agg(_midnight_gap(cfg))
+
+
 def with_scores(base: DataFrame, cfg: RunConfig) -> DataFrame:
     """Add the three quantile scores and the segment to a stored base table.
 
@@ -141,13 +162,18 @@ def churn_features(orders: DataFrame, rfm_table: DataFrame, cfg: RunConfig) -> D
 def customer_features(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     """The churn feature table straight from orders.
 
-    Same rows as :func:`churn_features` over :func:`rfm`, with the purchase
-    totals and value statistics taken from one aggregate. Both sides of the join
-    arrive hashed by customer, so the join itself moves nothing.
+    Same rows as :func:`churn_features` over :func:`rfm`, from one aggregate where
+    all orders are at midnight. With times of day the gaps are joined to it; both
+    sides arrive hashed by customer, so the join itself moves nothing.
     """
-    totals = past_orders(orders, cfg).groupBy(KEY).agg(*_purchase_totals(), *_value_stats())
-    base = _with_ages(totals, cfg).join(inter_purchase_time(orders, cfg), KEY, "left")
-    return _with_label(with_scores(stage(base, "customer_features"), cfg), cfg)
+    past = past_orders(orders, cfg)
+    aggregates = [*_purchase_totals(), *_value_stats()]
+    if has_times_of_day(past):
+        totals = past.groupBy(KEY).agg(*aggregates).join(_gap_by_day(past, cfg), KEY, "left")
+    else:
+        totals = past.groupBy(KEY).agg(*aggregates, _midnight_gap(cfg))
+    base = stage(_with_ages(totals, cfg), "customer_features")
+    return _with_label(with_scores(base, cfg), cfg)
 
 
 def label_counts(features: DataFrame) -> DataFrame:

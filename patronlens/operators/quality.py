@@ -34,7 +34,7 @@ def validation_report(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     missing = sum((is_missing(orders, c).cast("long") for c in KEY_COLUMNS), F.lit(0))
     positive = F.coalesce(known(F.col("revenue")) > 0, F.lit(False))
     in_time = F.coalesce(on_or_before(orders, "order_date", cfg.snapshot), F.lit(False))
-    blank = is_blank(F.col("customer_id")) | is_blank(F.col("order_id"))
+    blank = is_blank(orders, "customer_id") | is_blank(orders, "order_id")
     zero = F.lit(0)
     counted = orders.agg(
         F.coalesce(F.sum(missing), zero).alias("v0"),

@@ -52,7 +52,7 @@ def test_empty_table_fails_only_the_customer_minimum(small_orders, cfg):
 
 def test_blank_ids(spark, small_orders, cfg):
     texts = spark.createDataFrame([(" ",), ("\t",), ("",), (" ",), ("a ",), (None,)], "c string")
-    assert [r[0] for r in texts.select(is_blank(F.col("c"))).collect()] == [True, True, True, True, False, False]
+    assert [r[0] for r in texts.select(is_blank(texts, "c")).collect()] == [True, True, True, True, False, False]
     blank = small_orders.withColumn("customer_id", F.lit(" "))
     assert report(blank, cfg)["no_empty_string_ids"] == (10, False)
 

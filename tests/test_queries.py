@@ -45,10 +45,15 @@ def test_base_plan_spreads_orders_before_customers(spark):
 
 
 def test_gap_plan_orders_days_not_rows(spark):
-    plan = plan_of(features.inter_purchase_time(catalog.star_orders(spark, SF_DIR), catalog.STAR))
+    plan = plan_of(features.inter_purchase_time(catalog.event_orders(spark, SF_DIR), catalog.EVENTS))
     window = plan.index("Window")
     assert "partial_min" in plan[window:] and "day" in plan[window:]
-    assert "SinglePartition" not in plan and "o_totalprice" not in plan
+    assert "SinglePartition" not in plan and "value" not in plan.split("ReadSchema")[1]
+
+
+def test_gap_plan_at_midnights_is_one_aggregate(spark):
+    plan = plan_of(features.inter_purchase_time(catalog.star_orders(spark, SF_DIR), catalog.STAR))
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "lineitem" not in plan
 
 
 def test_scoring_adds_no_shuffle(spark):
