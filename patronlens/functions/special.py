@@ -27,11 +27,12 @@ def _series(coefficients: list[float], x: str) -> str:
 
 
 def log_gamma_columns(name: str, argument: str) -> list[str]:
-    """Select items ending in ``lg_<name>`` = ln Gamma and ``dg_<name>`` = its slope.
+    """Select items ending in ``lg_<name>`` = ln Gamma, ``dg_<name>`` = its slope
+    and ``tg_<name>`` = its curvature.
 
     The argument, as SQL text, must be positive. It is shifted past 8, where the
-    Stirling series is exact to double precision. The items before the last two
-    are shared parts that later items of the same select refer to, so each is
+    Stirling series is exact to double precision. The items before the last
+    three are shared parts that later items of the same select refer to, so each is
     computed once per row.
     """
     gamma = [b / (2 * k * (2 * k - 1)) for k, b in enumerate(BERNOULLI, start=1)]
@@ -47,15 +48,19 @@ def log_gamma_columns(name: str, argument: str) -> list[str]:
         f" - ln({' * '.join(steps)}) AS lg_{name}",
         f"{log} - 0.5D / {y} - {_series(slope, inverse)} * {inverse}"
         f" - ({' + '.join(f'1D / {step}' for step in steps)}) AS dg_{name}",
+        f"1D / {y} + 0.5D * {inverse} + {_series(BERNOULLI, inverse)} * {inverse} / {y}"
+        f" + {' + '.join(f'1D / ({step} * {step})' for step in steps)} AS tg_{name}",
     ]
 
 
-def log_gamma(z: float) -> tuple[float, float]:
-    """ln Gamma and its derivative of one number, for terms that no row changes."""
+def log_gamma(z: float) -> tuple[float, float, float]:
+    """ln Gamma, slope and curvature of one number, for terms that no row changes."""
     y = z + SHIFT
-    inverse = 1.0 / (y * y)
-    slope = sum(b / (2 * k) * inverse**k for k, b in enumerate(BERNOULLI, start=1))
-    return math.lgamma(z), math.log(y) - 0.5 / y - slope - sum(1.0 / (z + k) for k in range(SHIFT))
+    powers = [(b, k, y ** (-2 * k)) for k, b in enumerate(BERNOULLI, start=1)]
+    slope = math.log(y) - 0.5 / y - sum(b / (2 * k) * p for b, k, p in powers)
+    curvature = 1.0 / y + 0.5 / (y * y) + sum(b * p for b, _, p in powers) / y
+    steps = [z + k for k in range(SHIFT)]
+    return math.lgamma(z), slope - sum(1.0 / s for s in steps), curvature + sum(1.0 / (s * s) for s in steps)
 
 
 def hyp2f1(a: Column, b: Column, c: Column, z: Column, max_terms: int = 4_000) -> Column:

@@ -55,14 +55,14 @@ def _number(x: float) -> str:
 
 
 def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
-    """Log-likelihood of every history ``t0`` and its slopes ``t1`` to ``t4``
-    by r, alpha, a and b.
+    """Log-likelihood ``t`` of every history, its slopes ``t0`` to ``t3`` by r,
+    alpha, a and b, and its curvatures ``t00`` to ``t33``.
 
     Written as SQL text: the plan is built anew for every candidate, and text is
     the quickest to build. What no row changes is computed beforehand.
     """
     r, alpha, a, b = (_number(params[n]) for n in PURCHASE_PARAMETERS)
-    (lg_r, dg_r), (lg_b, dg_b), (lg_ab, dg_ab) = (
+    (lg_r, dg_r, tg_r), (lg_b, dg_b, tg_b), (lg_ab, dg_ab, tg_ab) = (
         log_gamma(z) for z in (params["r"], params["b"], params["a"] + params["b"])
     )
     log_alpha = math.log(params["alpha"])
@@ -73,26 +73,45 @@ def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
         *log_gamma_columns("ab", f"{a} + {b} + x"),
         f"ln({alpha} + age) AS log_age",
         f"ln({alpha} + seen) AS log_seen",
-        f"{b} + greatest(x, 1D) - 1D AS past",
+        f"1D / ({alpha} + age) AS by_age",
+        f"1D / ({alpha} + seen) AS by_seen",
+        f"1D / ({b} + greatest(x, 1D) - 1D) AS by_past",
         f"-({r} + x) * log_age AS alive",
-        f"CASE WHEN x > 0 THEN ln({a}) - ln(past) - ({r} + x) * log_seen END AS gone",
+        f"CASE WHEN x > 0 THEN ln({a}) + ln(by_past) - ({r} + x) * log_seen END AS gone",
         "greatest(alive, gone) AS top",
         "top + ln(exp(alive - top) + coalesce(exp(gone - top), 0D)) AS mixed",
-        "coalesce(exp(gone - mixed), 0D) AS gone_share",
-        "1D - gone_share AS alive_share",
-        f"lg_r + lg_b - lg_ab + mixed + {_number(params['r'] * log_alpha - lg_r + lg_ab - lg_b)} AS t0",
-        f"dg_r - alive_share * log_age - gone_share * log_seen + {_number(log_alpha - dg_r)} AS t1",
-        f"{r} / {alpha} - ({r} + x) * (alive_share / ({alpha} + age) + gone_share / ({alpha} + seen)) AS t2",
-        f"{_number(dg_ab)} - dg_ab + gone_share / {a} AS t3",
-        f"dg_b - dg_ab - gone_share / past + {_number(dg_ab - dg_b)} AS t4",
+        "coalesce(exp(gone - mixed), 0D) AS u",
+        "1D - u AS w",
+        # Slopes of the gone branch minus those of the alive branch.
+        "log_age - log_seen AS e0",
+        f"({r} + x) * (by_age - by_seen) AS e1",
+        f"1D / {a} AS e2",
+        "-by_past AS e3",
+        "u * w AS uw",
+        f"lg_r + lg_b - lg_ab + mixed + {_number(params['r'] * log_alpha - lg_r + lg_ab - lg_b)} AS t",
+        f"dg_r - log_age + u * e0 + {_number(log_alpha - dg_r)} AS t0",
+        f"{r} / {alpha} - ({r} + x) * by_age + u * e1 AS t1",
+        f"{_number(dg_ab)} - dg_ab + u * e2 AS t2",
+        f"dg_b - dg_ab + u * e3 + {_number(dg_ab - dg_b)} AS t3",
+        f"tg_r - {_number(tg_r)} + uw * e0 * e0 AS t00",
+        f"1D / {alpha} - w * by_age - u * by_seen + uw * e0 * e1 AS t01",
+        "uw * e0 * e2 AS t02",
+        "uw * e0 * e3 AS t03",
+        f"-{r} / ({alpha} * {alpha}) + ({r} + x) * (w * by_age * by_age + u * by_seen * by_seen)"
+        " + uw * e1 * e1 AS t11",
+        "uw * e1 * e2 AS t12",
+        "uw * e1 * e3 AS t13",
+        f"{_number(tg_ab)} - tg_ab - u * e2 * e2 + uw * e2 * e2 AS t22",
+        f"{_number(tg_ab)} - tg_ab + uw * e2 * e3 AS t23",
+        f"tg_b - tg_ab + u * e3 * e3 + uw * e3 * e3 + {_number(tg_ab - tg_b)} AS t33",
     )
 
 
 def value_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
-    """Log-likelihood of every repeat customer ``t0`` and its slopes ``t1`` to
-    ``t3`` by p, q and v."""
+    """Log-likelihood ``t`` of every repeat customer, its slopes ``t0`` to ``t2``
+    by p, q and v, and its curvatures ``t00`` to ``t22``."""
     p, q, v = (_number(params[n]) for n in VALUE_PARAMETERS)
-    lg_q, dg_q = log_gamma(params["q"])
+    lg_q, dg_q, tg_q = log_gamma(params["q"])
     log_v = math.log(params["v"])
     return rows.selectExpr(
         "weight",
@@ -104,71 +123,91 @@ def value_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
         f"x * mean + {v} AS total",
         "ln(total) AS spread",
         f"lg_pxq - lg_px + (px - 1D) * log_mean + px * log_x - (px + {q}) * spread"
-        f" + {_number(params['q'] * log_v - lg_q)} AS t0",
-        "x * (dg_pxq - dg_px + log_mean + log_x - spread) AS t1",
-        f"dg_pxq - spread + {_number(log_v - dg_q)} AS t2",
-        f"{q} / {v} - (px + {q}) / total AS t3",
+        f" + {_number(params['q'] * log_v - lg_q)} AS t",
+        "x * (dg_pxq - dg_px + log_mean + log_x - spread) AS t0",
+        f"dg_pxq - spread + {_number(log_v - dg_q)} AS t1",
+        f"{q} / {v} - (px + {q}) / total AS t2",
+        "x * x * (tg_pxq - tg_px) AS t00",
+        "x * tg_pxq AS t01",
+        "-x / total AS t02",
+        f"tg_pxq - {_number(tg_q)} AS t11",
+        f"1D / {v} - 1D / total AS t12",
+        f"-{q} / ({v} * {v}) + (px + {q}) / (total * total) AS t22",
     )
 
 
+@dataclass(frozen=True)
+class Evaluation:
+    """Objective, gradient and Hessian at one point."""
+
+    value: float
+    gradient: np.ndarray
+    hessian: np.ndarray
+
+
 def penalised_objective(
     rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
-) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
-    """Objective and gradient in log-parameters; ``rows`` carries a ``weight``.
+) -> Callable[[np.ndarray], Evaluation]:
+    """Objective with its derivatives by the log-parameters; ``rows`` carries a
+    ``weight``.
 
     The objective is minus the mean log-likelihood plus the penalizer times the
     sum of squared parameters. Each call is one aggregate over ``rows``.
     """
-    count = len(names) + 1
-    sums = [F.sum("weight").alias("total")]
-    sums += [F.sum(F.col("weight") * F.col(f"t{i}")).alias(f"t{i}") for i in range(count)]
+    size = len(names)
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    columns = ["t", *[f"t{i}" for i in range(size)], *[f"t{i}{j}" for i, j in pairs]]
+    sums = [F.sum("weight").alias("total")] + [F.expr(f"sum(weight * {c})").alias(c) for c in columns]
 
-    def evaluate(log_params: np.ndarray) -> tuple[float, np.ndarray]:
+    def evaluate(log_params: np.ndarray) -> Evaluation:
         values = np.exp(log_params)
         row = terms(rows, dict(zip(names, values.tolist()))).agg(*sums).first()
-        means = np.array([row[f"t{i}"] for i in range(count)], dtype=float) / row["total"]
-        objective = float(-means[0] + penalizer * np.sum(values**2))
-        gradient = (-means[1:] + 2.0 * penalizer * values) * values
-        return objective, gradient
+        mean = {c: row[c] / row["total"] for c in columns}
+        slopes = np.array([-mean[f"t{i}"] for i in range(size)]) + 2.0 * penalizer * values
+        bends = 2.0 * penalizer * np.eye(size)
+        for i, j in pairs:
+            bends[i, j] -= mean[f"t{i}{j}"]
+            bends[j, i] = bends[i, j]
+        gradient = slopes * values
+        hessian = bends * np.outer(values, values) + np.diag(gradient)
+        return Evaluation(float(-mean["t"] + penalizer * np.sum(values**2)), gradient, hessian)
 
     return evaluate
 
 
 def minimise(
-    evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]],
+    evaluate: Callable[[np.ndarray], Evaluation],
     start: np.ndarray,
     tolerance: float = 1e-6,
     max_evaluations: int = 200,
 ) -> tuple[np.ndarray, float, int]:
-    """Quasi-Newton descent (BFGS) with a halving line search."""
-    point = start.astype(float)
-    value, gradient = evaluate(point)
-    inverse = np.eye(len(point))
-    used, fresh = 1, True
-    while np.max(np.abs(gradient)) > tolerance and used < max_evaluations:
-        direction = -inverse @ gradient
-        if direction @ gradient >= 0:
-            inverse, direction, fresh = np.eye(len(point)), -gradient, True
+    """Newton descent with a halving line search.
+
+    Directions of negative or no curvature are followed by their absolute
+    curvature. The search ends at a flat point, or where a further step promises
+    less than a billionth of the objective.
+    """
+    point, used = start.astype(float), 1
+    here = evaluate(point)
+    while np.max(np.abs(here.gradient)) > tolerance and used < max_evaluations:
+        bends, axes = np.linalg.eigh(here.hessian)
+        direction = -axes @ ((axes.T @ here.gradient) / np.maximum(np.abs(bends), 1e-10))
+        promised = -(direction @ here.gradient)
+        if promised < 1e-9 * (1.0 + abs(here.value)):
+            break
         step = min(1.0, 2.0 / np.max(np.abs(direction)))
-        while True:
-            new_point = point + step * direction
-            new_value, new_gradient = evaluate(new_point)
+        while used < max_evaluations:
+            there = evaluate(point + step * direction)
             used += 1
-            enough = value + 1e-4 * step * (direction @ gradient)
-            if np.isfinite(new_value) and new_value <= enough:
+            if np.isfinite(there.value) and there.value <= here.value - 1e-4 * step * promised:
                 break
             step /= 2.0
-            if step < 1e-10 or used >= max_evaluations:
-                return point, value, used
-        moved, turned = new_point - point, new_gradient - gradient
-        curvature = moved @ turned
-        if curvature > 1e-14:
-            if fresh:
-                inverse, fresh = inverse * (curvature / (turned @ turned)), False
-            left = np.eye(len(point)) - np.outer(moved, turned) / curvature
-            inverse = left @ inverse @ left.T + np.outer(moved, moved) / curvature
-        point, value, gradient = new_point, new_value, new_gradient
-    return point, value, used
+            if step < 1e-8:
+                return point, here.value, used
+        else:
+            break
+        point, here = point + step * direction, there
+    return point, here.value, used
 
 
 def _fit(rows: DataFrame, names, terms, penalizer: float) -> tuple[dict[str, float], float, int]:

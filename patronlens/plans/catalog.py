@@ -289,13 +289,13 @@ def q_bgnbd_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-likelihood and its slopes at the fixed parameters, summed."""
     histories = clv.purchase_histories(features.rfm(star_orders(spark, sf_dir), STAR))
     terms = clv.purchase_terms(histories, PURCHASE_PARAMS)
-    return plain(terms.agg(F.sum(F.col("weight") * F.col("t0")).alias("log_likelihood"), F.sum("weight").alias("rows")), 4)
+    return plain(terms.agg(F.sum(F.col("weight") * F.col("t")).alias("log_likelihood"), F.sum("weight").alias("rows")), 4)
 
 
 def q_gg_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = clv.repeat_values(features.rfm(star_orders(spark, sf_dir), STAR))
     terms = clv.value_terms(values, VALUE_PARAMS)
-    return plain(terms.agg(F.sum(F.col("weight") * F.col("t0")).alias("log_likelihood"), F.sum("weight").alias("rows")), 4)
+    return plain(terms.agg(F.sum(F.col("weight") * F.col("t")).alias("log_likelihood"), F.sum("weight").alias("rows")), 4)
 
 
 def q_bgnbd_params(spark: SparkSession, sf_dir: str) -> DataFrame:
