@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -210,14 +210,15 @@ def minimise(
     return point, here.value, used
 
 
-def _fit(rows: DataFrame, names, terms, penalizer: float) -> tuple[dict[str, float], float, int]:
+def _fit(
+    rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
+) -> Fit:
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        evaluate = penalised_objective(rows, names, terms, penalizer)
-        point, value, used = minimise(evaluate, np.full(len(names), 0.1))
+        point, value, used = minimise(penalised_objective(rows, names, terms, penalizer), np.full(len(names), 0.1))
     finally:
         rows.unpersist()
-    return dict(zip(names, np.exp(point).tolist())), value, used
+    return Fit(dict(zip(names, np.exp(point).tolist())), value, used)
 
 
 def purchase_histories(rfm_table: DataFrame) -> DataFrame:
@@ -251,9 +252,8 @@ def fit_purchase_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
         raise ValueError(f"{check['invalid']} histories contradict themselves, e.g. a later purchase with no repeat")
     scale = 10.0 / check["oldest"] if check["oldest"] > 0 else 1.0
     scaled = histories.select("x", (seen * _value(scale)).alias("seen"), (age * _value(scale)).alias("age"), "weight")
-    params, objective, used = _fit(scaled, PURCHASE_PARAMETERS, purchase_terms, cfg.penalizer)
-    params["alpha"] /= scale
-    return Fit(params, objective, used)
+    fit = _fit(scaled, PURCHASE_PARAMETERS, purchase_terms, cfg.penalizer)
+    return replace(fit, params=fit.params | {"alpha": fit.params["alpha"] / scale})
 
 
 def repeat_values(rfm_table: DataFrame) -> DataFrame:
@@ -271,8 +271,7 @@ def fit_value_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
         raise ValueError("no repeat customers to fit")
     if check["invalid"]:
         raise ValueError(f"{check['invalid']} repeat customers have a mean order value of zero or less")
-    params, objective, used = _fit(rows, VALUE_PARAMETERS, value_terms, cfg.penalizer)
-    return Fit(params, objective, used)
+    return _fit(rows, VALUE_PARAMETERS, value_terms, cfg.penalizer)
 
 
 def purchases_while_active(params: dict[str, float], days: float, x: Column, age: Column) -> Column:
