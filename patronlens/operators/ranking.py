@@ -24,7 +24,9 @@ from patronlens.sources.staging import stage
 
 # Up to this many rows, checked by a count, are ordered by one window.
 WINDOW_ROWS = 200_000
-SKETCH_ACCURACY = 10_000
+# A sketch keeps about this many points. All sketches of a column meet in one
+# task, so it trades their size against the share of rows left in the brackets.
+SKETCH_ACCURACY = 2_000
 
 
 @dataclass(frozen=True)

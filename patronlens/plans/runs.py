@@ -1,13 +1,16 @@
-"""Full run and retraining, as plain functions over stored tables.
+"""The stages of a run, the full run and retraining.
 
-Every stage writes its table before the next one reads it, so a failed run can
-be picked up from the last stored table, and any scheduler can call the stages.
+Every stage reads stored tables and stores its own, so a failed run can be picked
+up at any stage and an external scheduler may call the stages one by one. The
+order is that of ``STAGES``: the churn stage joins the value scores, so the value
+stage comes before it.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from patronlens.operators import clv, evaluation, features, quality
 from patronlens.operators.attribution import feature_attribution
 from patronlens.operators.classifier import churn_scores, fit_classifier, save_model
 from patronlens.operators.export import export_customers
-from patronlens.operators.splits import LABEL, model_rows, stratified_split, time_split
+from patronlens.operators.splits import KEY, LABEL, model_rows, stratified_split, time_split
 from patronlens.schemas import FEATURES
 from patronlens.sources import sinks
 from patronlens.sources.orders import read_orders
@@ -25,133 +28,134 @@ from patronlens.sources.staging import stage
 
 
 @dataclass(frozen=True)
-class Workspace:
-    """Paths of a run's tables below one root folder."""
+class Run:
+    """One run: where its tables are, what it reads, and its settings."""
 
+    spark: SparkSession
     root: str
+    source: JdbcSource | SyntheticSource | str | None = None
+    cfg: RunConfig = RunConfig()
+    budget: ClassifierConfig = ClassifierConfig()
+    inputs: list[str] = field(default_factory=lambda: list(FEATURES))
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Store a stage table and return it as read back."""
+        """Store a table and return it as read back."""
         sinks.write_parquet(df, self.path(name))
-        return self.read(df.sparkSession, name)
+        return self.read(name)
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(name))
+    def log(self, stage_name: str, kind: str, values: dict[str, float | None]) -> None:
+        """Append settings or metrics to the run table."""
+        rows = [(stage_name, kind, name, value) for name, value in values.items()]
+        sinks.append_metrics(sinks.metric_rows(self.spark, self.run_id, rows), self.path("run_metrics"))
 
 
 def score_table(features_table: DataFrame, clv_table: DataFrame) -> DataFrame:
     """Churn scores with the value columns; a customer without one keeps nulls."""
-    return features_table.join(clv.clv_columns(clv_table), "customer_id", "left")
+    return features_table.join(clv.clv_columns(clv_table), KEY, "left")
+
+
+def ingest(run: Run) -> DataFrame:
+    """Land the orders."""
+    return run.write(read_orders(run.spark, run.source, run.cfg), "orders")
+
+
+def validate(run: Run) -> None:
+    """Check the orders; raises if a check fails."""
+    quality.run_validation(run.read("orders"), run.cfg)
+
 
+def build_features(run: Run) -> DataFrame:
+    """The churn feature table and, as its first columns, the RFM table."""
+    table = run.write(features.customer_features(run.read("orders"), run.cfg), "churn_features")
+    run.write(table.select(*features.RFM_COLUMNS), "rfm")
+    return table
 
-def fit_values(spark: SparkSession, rfm_table: DataFrame, space: Workspace, cfg: RunConfig, run_id: str) -> DataFrame:
+
+def fit_values(run: Run) -> DataFrame:
     """Fit both value models, store parameters and metrics, score everybody."""
-    purchase = clv.fit_purchase_model(rfm_table, cfg)
-    value = clv.fit_value_model(rfm_table, cfg)
-    parameters = sinks.parameter_table(spark, "purchases", purchase.params).unionByName(
-        sinks.parameter_table(spark, "values", value.params)
+    rfm_table = run.read("rfm")
+    purchase = clv.fit_purchase_model(rfm_table, run.cfg)
+    value = clv.fit_value_model(rfm_table, run.cfg)
+    parameters = sinks.parameter_table(run.spark, "purchases", purchase.params).unionByName(
+        sinks.parameter_table(run.spark, "values", value.params)
     )
-    sinks.write_parquet(parameters.coalesce(1), space.path("clv_parameters"))
-    scored = space.write(clv.score_clv(rfm_table, purchase.params, value.params, cfg), "clv_scores")
-    summary = clv.clv_summary(scored).first()
-    entries = [
-        ("clv_model", "param", "penalizer_coef", cfg.penalizer),
-        ("clv_model", "param", "horizon_months", cfg.horizon_months),
-        *[("clv_model", "param", f"purchases_{n}", v) for n, v in purchase.params.items()],
-        *[("clv_model", "param", f"values_{n}", v) for n, v in value.params.items()],
-        ("clv_model", "metric", "mean_clv_12m", summary["mean_clv_12m"]),
-        ("clv_model", "metric", "median_clv_12m", summary["median_clv_12m"]),
-    ]
-    sinks.append_metrics(sinks.metric_rows(spark, run_id, entries), space.path("run_metrics"))
+    sinks.write_parquet(parameters.coalesce(1), run.path("clv_parameters"))
+    scored = run.write(clv.score_clv(rfm_table, purchase.params, value.params, run.cfg), "clv_scores")
+    settings = {"penalizer_coef": run.cfg.penalizer, "horizon_months": run.cfg.horizon_months}
+    fitted = {f"purchases_{n}": v for n, v in purchase.params.items()}
+    fitted |= {f"values_{n}": v for n, v in value.params.items()}
+    run.log("clv_model", "param", settings | fitted)
+    run.log("clv_model", "metric", clv.clv_summary(scored).first().asDict())
     return scored
 
 
-def evaluate_split(scored: DataFrame, flag: str) -> tuple[DataFrame, dict[str, float | None]]:
-    """The flagged rows, stored, and their ranking metrics."""
-    part = stage(scored.where(F.col(flag)).select("customer_id", LABEL, "churn_prob"), flag)
-    row = evaluation.ranking_metrics(part, LABEL, "churn_prob").first()
-    return part, row.asDict()
-
-
-def fit_churn(
-    spark: SparkSession,
-    features_table: DataFrame,
-    clv_table: DataFrame,
-    space: Workspace,
-    cfg: RunConfig,
-    budget: ClassifierConfig,
-    run_id: str,
-    inputs: list[str] = FEATURES,
-) -> DataFrame:
+def fit_churn(run: Run) -> DataFrame:
     """Train, evaluate on both test parts, explain, store the model and scores."""
-    rows = stage(time_split(stratified_split(stage(model_rows(features_table), "model_rows"), cfg), cfg), "split_rows")
-    model, weight = fit_classifier(rows.where(~F.col("is_test")), cfg, budget, inputs)
-    save_model(model, space.path("churn_model"))
-
-    scored = stage(churn_scores(rows, model), "scored_rows")
-    random_part, random_metrics = evaluate_split(scored, "is_test")
-    _, time_metrics = evaluate_split(scored, "is_time_test")
-    top = evaluation.precision_at_top(random_part, LABEL, "churn_prob", "customer_id", cfg.top_share).first()
-    sinks.write_parquet(
-        evaluation.classification_report(random_part, LABEL, "churn_prob"), space.path("classification_report")
-    )
-    sinks.write_parquet(
-        feature_attribution(rows.where(F.col("is_test")), model).coalesce(1), space.path("feature_attribution")
-    )
+    table = stage(model_rows(run.read("churn_features")), "model_rows")
+    rows = stage(time_split(stage(stratified_split(table, run.cfg), "split"), run.cfg), "both_splits")
+    model, weight = fit_classifier(rows.where(~F.col("is_test")), run.cfg, run.budget, run.inputs)
+    save_model(model, run.path("churn_model"))
+
+    scored = stage(churn_scores(rows, model), "churn_scores")
+    tested = {
+        flag: stage(scored.where(flag).select(KEY, LABEL, "churn_prob"), flag) for flag in ("is_test", "is_time_test")
+    }
+    by_random, by_time = (evaluation.ranking_metrics(t, LABEL, "churn_prob").first() for t in tested.values())
+    top = evaluation.precision_at_top(tested["is_test"], LABEL, "churn_prob", KEY, run.cfg.top_share).first()
+    run.write(evaluation.classification_report(tested["is_test"], LABEL, "churn_prob"), "classification_report")
+    run.write(feature_attribution(rows.where("is_test"), model), "feature_attribution")
     settings = {
-        "n_estimators": budget.trees,
-        "max_depth": budget.depth,
-        "learning_rate": budget.learning_rate,
-        "subsample": budget.row_share,
-        "colsample": budget.feature_share,
+        "n_estimators": run.budget.trees,
+        "max_depth": run.budget.depth,
+        "learning_rate": run.budget.learning_rate,
+        "subsample": run.budget.row_share,
+        "colsample": run.budget.feature_share,
         "scale_pos_weight": round(weight, 4),
     }
-    entries = [("churn_model", "param", n, v) for n, v in settings.items()]
-    entries += [
-        ("churn_model", "metric", "auroc_random_split", random_metrics["auroc"]),
-        ("churn_model", "metric", "auroc_time_split", time_metrics["auroc"]),
-        ("churn_model", "metric", "ks_statistic", random_metrics["ks"]),
-        ("churn_model", "metric", "precision_at_top_decile", top["precision"]),
-    ]
-    sinks.append_metrics(sinks.metric_rows(spark, run_id, entries), space.path("run_metrics"))
-    return space.write(score_table(scored.drop("is_test", "is_time_test"), clv_table), "scored_customers")
-
-
-def train(
-    spark: SparkSession,
-    root: str,
-    cfg: RunConfig = RunConfig(),
-    budget: ClassifierConfig = ClassifierConfig(),
-    inputs: list[str] = FEATURES,
-) -> DataFrame:
-    """Fit both models again from the stored feature tables.
-
-    The value scores come first, as the score table joins them.
-    """
-    space, run_id = Workspace(root), uuid.uuid4().hex
-    clv_table = fit_values(spark, space.read(spark, "rfm"), space, cfg, run_id)
-    features_table = space.read(spark, "churn_features")
-    return fit_churn(spark, features_table, clv_table, space, cfg, budget, run_id, inputs)
-
-
-def run(
-    spark: SparkSession,
-    root: str,
-    source: JdbcSource | SyntheticSource | str | None = None,
-    cfg: RunConfig = RunConfig(),
-    budget: ClassifierConfig = ClassifierConfig(),
-    inputs: list[str] = FEATURES,
-) -> DataFrame:
-    """Ingest, validate, build features, fit, score and export."""
-    space = Workspace(root)
-    orders = space.write(read_orders(spark, source, cfg), "orders")
-    quality.run_validation(orders, cfg)
-    features_table = space.write(features.customer_features(orders, cfg), "churn_features")
-    space.write(features_table.select(*features.RFM_COLUMNS), "rfm")
-    scored = train(spark, root, cfg, budget, inputs)
-    exported = space.write(export_customers(scored), "customers")
-    sinks.write_csv(exported, space.path("customers_csv"))
+    metrics = {
+        "auroc_random_split": by_random["auroc"],
+        "auroc_time_split": by_time["auroc"],
+        "ks_statistic": by_random["ks"],
+        "precision_at_top_decile": top["precision"],
+    }
+    run.log("churn_model", "param", settings)
+    run.log("churn_model", "metric", metrics)
+    scores = scored.drop("is_test", "is_time_test")
+    return run.write(score_table(scores, run.read("clv_scores")), "scored_customers")
+
+
+def export(run: Run) -> DataFrame:
+    """The business table, as Parquet and CSV."""
+    exported = run.write(export_customers(run.read("scored_customers")), "customers")
+    sinks.write_csv(exported, run.path("customers_csv"))
     return exported
+
+
+STAGES: dict[str, Callable[[Run], DataFrame | None]] = {
+    "ingest": ingest,
+    "validate": validate,
+    "features": build_features,
+    "values": fit_values,
+    "churn": fit_churn,
+    "export": export,
+}
+
+
+def train(run: Run) -> DataFrame:
+    """Fit both models again from the stored feature tables."""
+    fit_values(run)
+    return fit_churn(run)
+
+
+def run_all(run: Run) -> DataFrame:
+    """All stages in order; returns the business table."""
+    for stage_function in STAGES.values():
+        result = stage_function(run)
+    return result

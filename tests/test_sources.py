@@ -100,28 +100,56 @@ def test_staging_uses_the_named_folder(spark):
 
 
 def test_full_run_and_retraining(spark, cfg, tmp_path):
-    small = replace(cfg, min_customers=300)
     budget = ClassifierConfig(trees=4, depth=3)
-    exported = runs.run(spark, str(tmp_path), SyntheticSource(3_000, 400), small, budget)
-    space = runs.Workspace(str(tmp_path))
-    scored = space.read(spark, "scored_customers")
+    run = runs.Run(spark, str(tmp_path), SyntheticSource(3_000, 400), replace(cfg, min_customers=300), budget)
+    exported = runs.run_all(run)
+    scored = run.read("scored_customers")
     assert scored.columns == [*CHURN_COLUMNS, "churn_prob", *CLV_COLUMNS]
-    assert exported.count() == scored.count() == space.read(spark, "rfm").count()
+    assert exported.count() == scored.count() == run.read("rfm").count()
     assert scored.where("clv_12m IS NULL OR churn_prob IS NULL").count() == 0
-    csv = spark.read.option("header", True).csv(space.path("customers_csv"))
+    csv = spark.read.option("header", True).csv(run.path("customers_csv"))
     assert csv.columns == exported.columns and csv.count() == exported.count()
-    metrics = {r["name"]: r["value"] for r in space.read(spark, "run_metrics").where("kind = 'metric'").collect()}
+    metrics = {r["name"]: r["value"] for r in run.read("run_metrics").where("kind = 'metric'").collect()}
     assert metrics["auroc_random_split"] > 0.8 and metrics["ks_statistic"] > 0.35
     assert math.isfinite(metrics["mean_clv_12m"])
-    model = classifier.load_model(space.path("churn_model"))
+    model = classifier.load_model(run.path("churn_model"))
     again = by_key(classifier.churn_scores(scored.drop("churn_prob"), model))
     first = by_key(scored)
     assert all(again[k]["churn_prob"] == first[k]["churn_prob"] for k in first)
 
-    runs.train(spark, str(tmp_path), small, budget)
-    assert space.read(spark, "run_metrics").select("run_id").distinct().count() == 2
+    runs.train(replace(run, run_id="second"))
+    assert run.read("run_metrics").select("run_id").distinct().count() == 2
 
 
 def test_a_run_stops_at_failed_checks(spark, cfg, tmp_path):
     with pytest.raises(ValueError, match="at_least_1000"):
-        runs.run(spark, str(tmp_path), SyntheticSource(100, 50), cfg)
+        runs.run_all(runs.Run(spark, str(tmp_path), SyntheticSource(100, 50), cfg))
+
+
+class FakeReader:
+    """Stands in for Spark's reader: records the options, returns a given table."""
+
+    def __init__(self, table):
+        self.table, self.options_seen = table, {}
+
+    def format(self, name):
+        self.options_seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.options_seen |= options
+        return self
+
+    def load(self):
+        return self.table
+
+
+def test_jdbc_read_selects_and_filters(small_orders, orders_of, cfg):
+    from types import SimpleNamespace
+
+    late = orders_of([(1, 99, -3, 5.0, "email", 0)])
+    reader = FakeReader(small_orders.unionByName(late).withColumn("extra", F.lit(1)))
+    source = JdbcSource("jdbc:somewhere")
+    table = readers.read_orders(SimpleNamespace(read=reader), source, cfg)
+    assert table.columns == ORDERS.fieldNames() and table.count() == 10
+    assert reader.options_seen == {"format": "jdbc", **readers.jdbc_options(source)}
