@@ -9,7 +9,8 @@ the likelihood and its gradient is one Spark aggregate.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -54,9 +55,36 @@ def _number(x: float) -> str:
     return f"({float(x)!r}D)"
 
 
-def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
-    """Log-likelihood ``t`` of every history, its slopes ``t0`` to ``t3`` by r,
-    alpha, a and b, and its curvatures ``t00`` to ``t33``.
+@dataclass(frozen=True)
+class FitRows:
+    """What a likelihood is summed over: the rows, and their weights per number
+    of repeat purchases ``x``.
+
+    All gamma functions depend on ``x`` alone, so they are evaluated once per
+    distinct number and the pass over the rows stays short and cheap.
+    """
+
+    rows: DataFrame
+    counts: DataFrame
+
+    @classmethod
+    def of(cls, rows: DataFrame) -> FitRows:
+        return cls(rows, rows.groupBy("x").agg(F.sum("weight").alias("weight")))
+
+    @contextmanager
+    def kept(self) -> Iterator[FitRows]:
+        """The same rows, kept in memory or on disk while a fit passes over them."""
+        tables = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (self.rows, self.counts)]
+        try:
+            yield FitRows(*tables)
+        finally:
+            for df in tables:
+                df.unpersist()
+
+
+def purchase_terms(data: FitRows, params: dict[str, float]) -> DataFrame:
+    """Parts of the log-likelihood ``t``, its slopes ``t0`` to ``t3`` by r, alpha,
+    a and b, and its curvatures ``t00`` to ``t33``, each to be weighted and summed.
 
     Written as SQL text: the plan is built anew for every candidate, and text is
     the quickest to build. What no row changes is computed beforehand.
@@ -66,11 +94,26 @@ def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
         log_gamma(z) for z in (params["r"], params["b"], params["a"] + params["b"])
     )
     log_alpha = math.log(params["alpha"])
-    return rows.selectExpr(
+    per_count = data.counts.selectExpr(
         "weight",
         *log_gamma_columns("r", f"{r} + x"),
         *log_gamma_columns("b", f"{b} + x"),
         *log_gamma_columns("ab", f"{a} + {b} + x"),
+        f"lg_r + lg_b - lg_ab + {_number(params['r'] * log_alpha - lg_r + lg_ab - lg_b)} AS t",
+        f"dg_r + {_number(log_alpha - dg_r)} AS t0",
+        f"{r} / {alpha} AS t1",
+        f"{_number(dg_ab)} - dg_ab AS t2",
+        f"dg_b - dg_ab + {_number(dg_ab - dg_b)} AS t3",
+        f"tg_r - {_number(tg_r)} AS t00",
+        f"1D / {alpha} AS t01",
+        f"-{r} / ({alpha} * {alpha}) AS t11",
+        f"{_number(tg_ab)} - tg_ab AS t22",
+        f"{_number(tg_ab)} - tg_ab AS t23",
+        f"tg_b - tg_ab + {_number(tg_ab - tg_b)} AS t33",
+    )
+    per_row = data.rows.selectExpr(
+        "weight AS customers",
+        "weight",
         f"ln({alpha} + age) AS log_age",
         f"ln({alpha} + seen) AS log_seen",
         f"1D / ({alpha} + age) AS by_age",
@@ -79,61 +122,83 @@ def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
         f"-({r} + x) * log_age AS alive",
         f"CASE WHEN x > 0 THEN ln({a}) + ln(by_past) - ({r} + x) * log_seen END AS gone",
         "greatest(alive, gone) AS top",
-        "top + ln(exp(alive - top) + coalesce(exp(gone - top), 0D)) AS mixed",
-        "coalesce(exp(gone - mixed), 0D) AS u",
+        "top + ln(exp(alive - top) + coalesce(exp(gone - top), 0D)) AS t",
+        "coalesce(exp(gone - t), 0D) AS u",
         "1D - u AS w",
+        "u * w AS uw",
         # Slopes of the gone branch minus those of the alive branch.
         "log_age - log_seen AS e0",
         f"({r} + x) * (by_age - by_seen) AS e1",
         f"1D / {a} AS e2",
         "-by_past AS e3",
-        "u * w AS uw",
-        f"lg_r + lg_b - lg_ab + mixed + {_number(params['r'] * log_alpha - lg_r + lg_ab - lg_b)} AS t",
-        f"dg_r - log_age + u * e0 + {_number(log_alpha - dg_r)} AS t0",
-        f"{r} / {alpha} - ({r} + x) * by_age + u * e1 AS t1",
-        f"{_number(dg_ab)} - dg_ab + u * e2 AS t2",
-        f"dg_b - dg_ab + u * e3 + {_number(dg_ab - dg_b)} AS t3",
-        f"tg_r - {_number(tg_r)} + uw * e0 * e0 AS t00",
-        f"1D / {alpha} - w * by_age - u * by_seen + uw * e0 * e1 AS t01",
+        "u * e0 - log_age AS t0",
+        f"u * e1 - ({r} + x) * by_age AS t1",
+        "u * e2 AS t2",
+        "u * e3 AS t3",
+        "uw * e0 * e0 AS t00",
+        "uw * e0 * e1 - w * by_age - u * by_seen AS t01",
         "uw * e0 * e2 AS t02",
         "uw * e0 * e3 AS t03",
-        f"-{r} / ({alpha} * {alpha}) + ({r} + x) * (w * by_age * by_age + u * by_seen * by_seen)"
-        " + uw * e1 * e1 AS t11",
+        f"uw * e1 * e1 + ({r} + x) * (w * by_age * by_age + u * by_seen * by_seen) AS t11",
         "uw * e1 * e2 AS t12",
         "uw * e1 * e3 AS t13",
-        f"{_number(tg_ab)} - tg_ab - u * e2 * e2 + uw * e2 * e2 AS t22",
-        f"{_number(tg_ab)} - tg_ab + uw * e2 * e3 AS t23",
-        f"tg_b - tg_ab + u * e3 * e3 + uw * e3 * e3 + {_number(tg_ab - tg_b)} AS t33",
+        "(uw - u) * e2 * e2 AS t22",
+        "uw * e2 * e3 AS t23",
+        "(uw + u) * e3 * e3 AS t33",
     )
+    return _summed(per_row, per_count, len(PURCHASE_PARAMETERS))
 
 
-def value_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
-    """Log-likelihood ``t`` of every repeat customer, its slopes ``t0`` to ``t2``
-    by p, q and v, and its curvatures ``t00`` to ``t22``."""
+def value_terms(data: FitRows, params: dict[str, float]) -> DataFrame:
+    """Parts of the log-likelihood ``t``, its slopes ``t0`` to ``t2`` by p, q and
+    v, and its curvatures ``t00`` to ``t22``, each to be weighted and summed."""
     p, q, v = (_number(params[n]) for n in VALUE_PARAMETERS)
     lg_q, dg_q, tg_q = log_gamma(params["q"])
     log_v = math.log(params["v"])
-    return rows.selectExpr(
+    per_count = data.counts.selectExpr(
         "weight",
         *log_gamma_columns("px", f"{p} * x"),
         *log_gamma_columns("pxq", f"{p} * x + {q}"),
-        f"{p} * x AS px",
-        "ln(mean) AS log_mean",
-        "ln(x) AS log_x",
-        f"x * mean + {v} AS total",
-        "ln(total) AS spread",
-        f"lg_pxq - lg_px + (px - 1D) * log_mean + px * log_x - (px + {q}) * spread"
-        f" + {_number(params['q'] * log_v - lg_q)} AS t",
-        "x * (dg_pxq - dg_px + log_mean + log_x - spread) AS t0",
-        f"dg_pxq - spread + {_number(log_v - dg_q)} AS t1",
-        f"{q} / {v} - (px + {q}) / total AS t2",
+        f"lg_pxq - lg_px + {p} * x * ln(x) + {_number(params['q'] * log_v - lg_q)} AS t",
+        "x * (dg_pxq - dg_px + ln(x)) AS t0",
+        f"dg_pxq + {_number(log_v - dg_q)} AS t1",
+        f"{q} / {v} AS t2",
         "x * x * (tg_pxq - tg_px) AS t00",
         "x * tg_pxq AS t01",
-        "-x / total AS t02",
         f"tg_pxq - {_number(tg_q)} AS t11",
-        f"1D / {v} - 1D / total AS t12",
-        f"-{q} / ({v} * {v}) + (px + {q}) / (total * total) AS t22",
+        f"1D / {v} AS t12",
+        f"-{q} / ({v} * {v}) AS t22",
     )
+    per_row = data.rows.selectExpr(
+        "weight AS customers",
+        "weight",
+        f"{p} * x AS px",
+        "ln(mean) AS log_mean",
+        f"1D / (x * mean + {v}) AS by_total",
+        "-ln(by_total) AS spread",
+        f"(px - 1D) * log_mean - (px + {q}) * spread AS t",
+        "x * (log_mean - spread) AS t0",
+        "-spread AS t1",
+        f"-(px + {q}) * by_total AS t2",
+        "-x * by_total AS t02",
+        "-by_total AS t12",
+        f"(px + {q}) * by_total * by_total AS t22",
+    )
+    return _summed(per_row, per_count, len(VALUE_PARAMETERS))
+
+
+def _term_names(size: int) -> list[str]:
+    """The likelihood, its slopes, and the upper half of its curvatures."""
+    pairs = [f"t{i}{j}" for i in range(size) for j in range(i, size)]
+    return ["t", *[f"t{i}" for i in range(size)], *pairs]
+
+
+def _summed(per_row: DataFrame, per_count: DataFrame, size: int) -> DataFrame:
+    """Weighted sums of both parts in one row, from one job."""
+    names = _term_names(size)
+    rows = per_row.select("customers", *[F.expr(f"weight * {n}").alias(n) for n in names if n in per_row.columns])
+    counts = per_count.select(*[F.expr(f"weight * {n}").alias(n) for n in names if n in per_count.columns])
+    return rows.unionByName(counts, allowMissingColumns=True).agg(*[F.sum(c).alias(c) for c in ["customers", *names]])
 
 
 @dataclass(frozen=True)
@@ -146,28 +211,24 @@ class Evaluation:
 
 
 def penalised_objective(
-    rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
+    data: FitRows, names: list[str], terms: Callable[[FitRows, dict[str, float]], DataFrame], penalizer: float
 ) -> Callable[[np.ndarray], Evaluation]:
-    """Objective with its derivatives by the log-parameters; ``rows`` carries a
-    ``weight``.
+    """Objective with its derivatives by the log-parameters.
 
     The objective is minus the mean log-likelihood plus the penalizer times the
-    sum of squared parameters. Each call is one aggregate over ``rows``.
+    sum of squared parameters. Each call is one aggregate over the rows.
     """
     size = len(names)
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    columns = ["t", *[f"t{i}" for i in range(size)], *[f"t{i}{j}" for i, j in pairs]]
-    sums = [F.sum("weight").alias("total")] + [F.expr(f"sum(weight * {c})").alias(c) for c in columns]
 
     def evaluate(log_params: np.ndarray) -> Evaluation:
         values = np.exp(log_params)
-        row = terms(rows, dict(zip(names, values.tolist()))).agg(*sums).first()
-        mean = {c: row[c] / row["total"] for c in columns}
+        row = terms(data, dict(zip(names, values.tolist()))).first()
+        mean = {c: row[c] / row["customers"] for c in _term_names(size)}
         slopes = np.array([-mean[f"t{i}"] for i in range(size)]) + 2.0 * penalizer * values
         bends = 2.0 * penalizer * np.eye(size)
-        for i, j in pairs:
-            bends[i, j] -= mean[f"t{i}{j}"]
-            bends[j, i] = bends[i, j]
+        for i in range(size):
+            for j in range(size):
+                bends[i, j] -= mean[f"t{min(i, j)}{max(i, j)}"]
         gradient = slopes * values
         hessian = bends * np.outer(values, values) + np.diag(gradient)
         return Evaluation(float(-mean["t"] + penalizer * np.sum(values**2)), gradient, hessian)
@@ -211,13 +272,10 @@ def minimise(
 
 
 def _fit(
-    rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
+    rows: DataFrame, names: list[str], terms: Callable[[FitRows, dict[str, float]], DataFrame], penalizer: float
 ) -> Fit:
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        point, value, used = minimise(penalised_objective(rows, names, terms, penalizer), np.full(len(names), 0.1))
-    finally:
-        rows.unpersist()
+    with FitRows.of(rows).kept() as data:
+        point, value, used = minimise(penalised_objective(data, names, terms, penalizer), np.full(len(names), 0.1))
     return Fit(dict(zip(names, np.exp(point).tolist())), value, used)
 
 
