@@ -316,9 +316,9 @@ def fit_purchase_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
 
 def repeat_values(rfm_table: DataFrame) -> DataFrame:
     """Repeat purchases and mean order value of the repeat customers."""
-    return clv_inputs(rfm_table).where(F.col("repeat_purchases") > 0).select(
-        F.col("repeat_purchases").cast("double").alias("x"), F.col("avg_monetary").alias("mean"), F.lit(1.0).alias("weight")
-    )
+    repeat = clv_inputs(rfm_table).where(F.col("repeat_purchases") > 0)
+    x = F.col("repeat_purchases").cast("double")
+    return repeat.select(x.alias("x"), F.col("avg_monetary").alias("mean"), F.lit(1.0).alias("weight"))
 
 
 def fit_value_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:

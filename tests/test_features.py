@@ -161,3 +161,45 @@ def test_segments_and_label_counts(small_orders, cfg):
     assert [tuple(r) for r in features.top_segments(table, 2).collect()] == [("151", 1), ("313", 1)]
     counts = {r["status"]: (r["customers"], r["share"]) for r in features.label_counts(table).collect()}
     assert counts == {"churned": (1, pytest.approx(1 / 3)), "retained": (2, pytest.approx(2 / 3))}
+
+
+def test_one_customer_with_a_third_of_the_orders(spark, cfg):
+    """Everything against pandas, with repeated order ids and times of day."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    size = 20_000
+    local = pd.DataFrame(
+        {
+            "customer_id": np.where(np.arange(size) % 3 == 0, 7, rng.integers(1, 900, size)),
+            "order_id": rng.integers(1, size, size),
+            "order_date": pd.Timestamp(SNAPSHOT) - pd.to_timedelta(rng.integers(-86_400 * 9, 86_400 * 700, size), "s"),
+            "revenue": rng.integers(100, 9_999, size) / 100.0,
+            "channel": "email",
+            "is_returned": rng.integers(0, 2, size).astype("int32"),
+        }
+    )
+    orders = spark.createDataFrame(local).withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+    found = features.customer_features(orders, cfg).toPandas().sort_values("customer_id").reset_index(drop=True)
+
+    past = local[local.order_date <= SNAPSHOT].sort_values("order_date")
+    by = past.groupby("customer_id")
+    base = pd.DataFrame(
+        {
+            "frequency": by.order_id.nunique(),
+            "monetary": by.revenue.sum(),
+            "recency": (pd.Timestamp(SNAPSHOT) - by.order_date.max()).dt.days,
+            "T": (pd.Timestamp(SNAPSHOT) - by.order_date.min()).dt.days,
+            "avg_order_value": by.revenue.mean(),
+            "std_order_value": by.revenue.std().fillna(0.0),
+            "return_rate": by.is_returned.mean(),
+            "inter_purchase_time_avg": by.order_date.apply(lambda d: brute_force_gap(list(d), 90)),
+        }
+    ).reset_index()
+    for name, column, turned in (("R_score", "recency", True), ("F_score", "frequency", False)):
+        bins = pd.qcut(base[column].rank(method="first"), 5, labels=False)
+        assert (found[name] == (5 - bins if turned else bins + 1)).all()
+    for column in base.columns:
+        assert np.allclose(found[column].astype(float), base[column].astype(float), rtol=1e-12, atol=1e-9), column
+    assert found.loc[found.customer_id == 7, "frequency"].item() > 4_000
