@@ -164,7 +164,8 @@ def customer_features(orders: DataFrame, cfg: RunConfig) -> DataFrame:
 
     Same rows as :func:`churn_features` over :func:`rfm`, from one aggregate where
     all orders are at midnight. With times of day the gaps are joined to it; both
-    sides arrive hashed by customer, so the join itself moves nothing.
+    sides arrive hashed by customer, so the join itself moves nothing. The scores
+    of the result are computed as it is read: store it before further operators.
     """
     past = past_orders(orders, cfg)
     aggregates = [*_purchase_totals(), *_value_stats()]

@@ -35,15 +35,15 @@ class Scaler:
 
 
 def scaler_stats(train: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
-    """Mean and population deviation of every column, from one aggregate."""
-    aggregates = []
-    for i, name in enumerate(columns):
-        aggregates += [F.avg(name).alias(f"m{i}"), F.stddev_pop(name).alias(f"d{i}")]
-    entries = [
-        F.struct(F.lit(n).alias("feature"), F.col(f"m{i}").alias("mean"), F.col(f"d{i}").alias("deviation"))
-        for i, n in enumerate(columns)
-    ]
-    return train.agg(*aggregates).select(F.inline(F.array(*entries)))
+    """Mean and population deviation of every column, one row per column.
+
+    The columns are stacked before they are aggregated: the groups are as few as
+    the columns and shrink where they are read, and the generated code stays
+    small enough to be compiled, which it would not with all columns side by side.
+    """
+    values = train.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    stacked = values.unpivot([], columns, "feature", "value")
+    return stacked.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"))
 
 
 def fit_scaler(train: DataFrame, columns: list[str] = FEATURES) -> Scaler:

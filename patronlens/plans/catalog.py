@@ -97,6 +97,10 @@ def star_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.customer_features(star_orders(spark, sf_dir), STAR)
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(star_features(spark, sf_dir), "churn_features")
+
+
 def fixed_score(table: DataFrame) -> DataFrame:
     """A churn score without fitted parts, with ties: it grows with recency."""
     score = F.col("recency") / (F.col("recency") + F.lit(60.0) + F.lit(10) * F.col("frequency"))
@@ -108,7 +112,7 @@ def fixed_clv(table: DataFrame) -> DataFrame:
 
 
 def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = star_features(spark, sf_dir)
+    table = stored_features(spark, sf_dir)
     return stage(score_table(fixed_score(splits.model_rows(table)), fixed_clv(table)), "scored_customers")
 
 
@@ -117,7 +121,7 @@ def exported_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splits.stratified_split(splits.model_rows(star_features(spark, sf_dir)), STAR)
+    return stage(splits.stratified_split(splits.model_rows(stored_features(spark, sf_dir)), STAR), "split_rows")
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +316,7 @@ def q_gg_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = splits.model_rows(star_features(spark, sf_dir))
+    rows = splits.model_rows(stored_features(spark, sf_dir))
     return plain(rows.select("customer_id", *FEATURES, "churn_label"))
 
 
@@ -321,7 +325,7 @@ def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = splits.model_rows(star_features(spark, sf_dir))
+    rows = splits.model_rows(stored_features(spark, sf_dir))
     return plain(splits.time_split(rows, STAR).select("customer_id", "recency", "is_time_test"))
 
 
