@@ -5,22 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import exact_dedup, line_dedup
+from patronlens.llm import bpe, exact_dedup, line_dedup, token_files
 from patronlens.llm.common import table
 
 
+def tokenizer() -> str:
+    """The vocabulary that the fixed queries name."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: where its ids start in the files, how many there are, and their check sum, read back from the files."""
+    return token_files.read_documents(token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer()))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, those on five sources or more that went, and the digest of what is left."""
     out = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and digest of its ids, and the digest of the text decoded from them."""
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the copy that stays, the size of its group, and the digest of its text."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op7_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op6_bpe_round_trip, op7_exact_dedup)}
 
 SQL = {
     "op2_line_dedup": """
