@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, exact_dedup, line_dedup, token_files
+from patronlens.llm import bpe, exact_dedup, line_dedup, secret_scan, token_files, url_filter
 from patronlens.llm.common import table
 
 
@@ -37,7 +37,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op6_bpe_round_trip, op7_exact_dedup)}
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: secrets by plain patterns, and literals of sensitive names."""
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: host, path, the rule that decides, and the verdict."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
 
 SQL = {
     "op2_line_dedup": """
