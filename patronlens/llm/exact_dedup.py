@@ -46,7 +46,10 @@ def heavy_candidates(digests: DataFrame, items: int = HEAVY_ITEMS) -> DataFrame:
     per_task = digests.groupBy((F.spark_partition_id() % MERGE_TASKS).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(digest, {items})").alias("summary")
     )
-    merged = per_task.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary), {items})").alias("top"))
+    # A key that is 0 for every part: without one, a task without rows would add a summary that cannot be merged.
+    merged = per_task.groupBy(F.floor(F.col("part") / MERGE_TASKS)).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary), {items})").alias("top")
+    )
     return merged.select(F.explode("top").alias("t")).select(F.col("t.item").alias("digest"))
 
 
