@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, exact_dedup, line_dedup, secret_scan, token_files, url_filter
+from patronlens.llm import bpe, exact_dedup, line_dedup, quality, secret_scan, token_files, url_filter
 from patronlens.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether it was held out of the fit, its score and the class."""
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number and digest of its ids, and the digest of the text decoded from them."""
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer())
@@ -47,7 +52,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
 
 SQL = {
     "op2_line_dedup": """
