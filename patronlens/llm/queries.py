@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, exact_dedup, line_dedup, quality, secret_scan, token_files, url_filter
+from patronlens.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, token_files, url_filter
 from patronlens.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its leaf of the tree, its tokens and how often it is chosen."""
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number and digest of its ids, and the digest of the text decoded from them."""
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer())
@@ -52,7 +57,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op4_mixing, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
 
 SQL = {
     "op2_line_dedup": """
@@ -68,6 +73,69 @@ SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.bare IS NULL), '')) AS text_sha256
         FROM keyed LEFT JOIN common c ON keyed.bare = c.bare
         GROUP BY doc_id""",
+    "op4_mixing": r"""
+        WITH rows AS (
+            SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   CASE WHEN source = 'src0' THEN 'crawl' WHEN regexp_matches(source, '^src[1-9]$') THEN 'forum'
+                        ELSE 'reference' END AS domain,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+            FROM documents),
+        leaf AS (
+            SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, 1::BIGINT AS w, (sum(n_tokens) * 4)::BIGINT AS room
+            FROM rows GROUP BY ALL),
+        lan AS (
+            SELECT domain, lang, sum(room)::BIGINT AS room,
+                   CASE lang WHEN 'en' THEN 55 WHEN 'de' THEN 18 WHEN 'fr' THEN 16 WHEN 'es' THEN 11 ELSE 1 END AS w
+            FROM leaf GROUP BY ALL),
+        dom AS (
+            SELECT domain, sum(room)::BIGINT AS room, (SELECT sum(tokens)::BIGINT FROM leaf) AS have,
+                   CASE domain WHEN 'crawl' THEN 33 WHEN 'forum' THEN 30 ELSE 37 END AS w
+            FROM lan GROUP BY ALL),
+        dom1 AS (
+            SELECT *, coalesce(sum(room) OVER o, 0) AS taken, sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS rest
+            FROM dom WINDOW o AS (ORDER BY room / w::DOUBLE, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        dom2 AS (SELECT *, room * rest <= (have - taken) * w AS is_full FROM dom1),
+        dom3 AS (
+            SELECT domain, CASE WHEN is_full THEN room ELSE
+                   ((have - sum(CASE WHEN is_full THEN room ELSE 0 END) OVER ()) * w)
+                   // sum(CASE WHEN is_full THEN 0 ELSE w END) OVER () END AS have FROM dom2),
+        lan1 AS (
+            SELECT *, coalesce(sum(room) OVER o, 0) AS taken,
+                   sum(w) OVER (PARTITION BY domain) - coalesce(sum(w) OVER o, 0) AS rest
+            FROM lan JOIN dom3 USING (domain)
+            WINDOW o AS (PARTITION BY domain ORDER BY room / w::DOUBLE, lang
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        lan2 AS (SELECT *, room * rest <= (have - taken) * w AS is_full FROM lan1),
+        lan3 AS (
+            SELECT domain, lang, CASE WHEN is_full THEN room ELSE
+                   ((have - sum(CASE WHEN is_full THEN room ELSE 0 END) OVER p) * w)
+                   // sum(CASE WHEN is_full THEN 0 ELSE w END) OVER p END AS have
+            FROM lan2 WINDOW p AS (PARTITION BY domain)),
+        leaf1 AS (
+            SELECT *, coalesce(sum(room) OVER o, 0) AS taken,
+                   sum(w) OVER (PARTITION BY domain, lang) - coalesce(sum(w) OVER o, 0) AS rest
+            FROM leaf JOIN lan3 USING (domain, lang)
+            WINDOW o AS (PARTITION BY domain, lang ORDER BY room / w::DOUBLE, source
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        leaf2 AS (SELECT *, room * rest <= (have - taken) * w AS is_full FROM leaf1),
+        leaf3 AS (
+            SELECT domain, lang, source, tokens, CASE WHEN is_full THEN room ELSE
+                   ((have - sum(CASE WHEN is_full THEN room ELSE 0 END) OVER p) * w)
+                   // sum(CASE WHEN is_full THEN 0 ELSE w END) OVER p END AS budget
+            FROM leaf2 WINDOW p AS (PARTITION BY domain, lang)),
+        leaf4 AS (
+            SELECT domain, lang, source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs,
+                   CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS prefix
+            FROM leaf3),
+        ranked AS (
+            SELECT *, sum(n_tokens) OVER (
+                       PARTITION BY domain, lang, source
+                       ORDER BY substr(md5('17:' || epochs::BIGINT || ':' || doc_id), 1, 15), doc_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+            FROM rows JOIN leaf4 USING (domain, lang, source))
+        SELECT doc_id, domain, lang, source, n_tokens,
+               (epochs + CASE WHEN prefix > 0 AND running <= prefix THEN 1 ELSE 0 END)::BIGINT AS copies
+        FROM ranked""",
     "op7_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
