@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, token_files, url_filter
+from patronlens.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, set_join, token_files, url_filter
 from patronlens.llm.common import table
 
 
@@ -57,7 +57,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op4_mixing, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
+def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its class of near copies, its number of links, and whether it stays."""
+    return set_join.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op4_mixing, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_set_join)}
 
 SQL = {
     "op2_line_dedup": """
