@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from patronlens.sources.staging import stage
 
+# Keys with more than one row in so many are joined by broadcast; there are no more than that of them.
+HOT_SHARE = 1000
+
 
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (2**31))).first())
@@ -44,6 +47,39 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """Join of ``left`` with a row per key. Keys of more than ``total / HOT_SHARE`` rows are broadcast, so their rows
+    stay where they are; there are at most ``HOT_SHARE`` such keys, as ``weight`` is the number of their rows in ``left``."""
+    hot = F.col(weight) * HOT_SHARE > F.lit(total)
+    few = right.where(hot)
+    names = few.select(F.col(key))
+    warm = left.join(F.broadcast(few), key)
+    cold = left.join(F.broadcast(names), key, "left_anti").join(right.where(~hot), key)
+    return warm.unionByName(cold)
+
+
+def spread(rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Per row (row, id, digest): row, id, class_id, n_links, kept.
+
+    ``classes``: digest, rep (a row), n (rows of the class), first (struct of no_id, id, row). ``links``: a and b (classes
+    of one component), links (rows of other classes that rows of a are linked with), any number of them per class.
+    """
+    counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+    roots = components(links).select(F.col("node").alias("rep"), "root")
+    joined = classes.select("digest", "rep", "n", "first").join(counts, "rep", "left").join(roots, "rep", "left")
+    joined = stage(joined.withColumn("root", F.coalesce("root", "rep")), "class-roots")
+    leads = stage(joined.groupBy("root").agg(F.min("first").alias("lead"), F.count(F.lit(1)).alias("m")), "leads")
+    led = stage(join_hot(joined, leads, "root", "m", joined.count()), "class-leads")
+    led = led.select("digest", "n", "lead", F.coalesce("links", F.lit(0)).alias("links"))
+    return join_hot(rows, led, "digest", "n", rows.count()).select(
+        "row",
+        "id",
+        F.col("lead.id").alias("class_id"),
+        (F.col("links") + F.col("n") - 1).alias("n_links"),
+        (F.col("row") == F.col("lead.row")).alias("kept"),
+    )
+
+
 def local_roots(size: int, a, b) -> list[int]:
     """Smallest index that each of ``size`` items reaches over the pairs (a, b), in one task."""
     root = list(range(size))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, set_join, token_files, url_filter
+from patronlens.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, set_join, token_files, url_filter, vector_graph
 from patronlens.llm.common import table
 
 
@@ -37,6 +37,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: its links at a cosine of 0.9 or more, its component, and whether it stays."""
+    return vector_graph.report(table(spark, sf_dir, "embeddings"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number and digest of its ids, and the digest of the text decoded from them."""
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer())
@@ -62,7 +67,7 @@ def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op4_mixing, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_set_join)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op4_mixing, op5_vector_graph, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_set_join)}
 
 SQL = {
     "op2_line_dedup": """

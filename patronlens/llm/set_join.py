@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from patronlens.llm.chunks import steps
 from patronlens.llm.common import fresh, quoted, same_columns, text_of
-from patronlens.llm.components import components, local_roots
+from patronlens.llm.components import join_hot, local_roots, spread
 from patronlens.sources.staging import stage
 
 SHINGLE = 5
@@ -49,8 +49,6 @@ BLOCK = 400
 SECOND_BRANCH = 0.25
 # Share of equal slots from which a pair is compared exactly: six standard errors below the threshold.
 SKETCH_LEAST = 0.5
-# Keys with more than one row in so many are joined by broadcast; there are no more than that of them.
-HOT_SHARE = 1000
 MEMO_WORDS = 300_000
 
 _rng = np.random.default_rng(97)
@@ -128,17 +126,6 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     return stage(found.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:
-    """Join of ``left`` with a row per key. Keys of more than ``total / HOT_SHARE`` rows are broadcast, so their rows
-    stay where they are; there are at most ``HOT_SHARE`` such keys, as ``weight`` is the number of their rows in ``left``."""
-    hot = F.col(weight) * HOT_SHARE > F.lit(total)
-    few = right.where(hot)
-    names = few.select(F.col(key))
-    warm = left.join(F.broadcast(few), key)
-    cold = left.join(F.broadcast(names), key, "left_anti").join(right.where(~hot), key)
-    return warm.unionByName(cold)
-
-
 def set_classes(signed: DataFrame) -> DataFrame:
     """Stored: one row per distinct set: rep (its first row), digest, n, first id, minhashes."""
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
@@ -388,21 +375,8 @@ def similar_groups(
     signed = signatures(docs, key, text)
     classes = set_classes(signed)
     links = class_links(docs, classes, signed, text, key, threshold, recall)
-    counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    roots = components(links).select(F.col("node").alias("rep"), "root")
-    joined = classes.select("digest", "rep", "n", "first").join(counts, "rep", "left").join(roots, "rep", "left")
-    joined = stage(joined.withColumn("root", F.coalesce("root", "rep")), "class-roots")
-    firsts = joined.groupBy("root").agg(F.min("first").alias("lead"))
-    # A component may hold many classes: they meet their lead by a join that splits hot components.
-    sizes = joined.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    leads = stage(firsts.join(sizes, "root"), "leads")
-    per_class = stage(join_hot(joined, leads, "root", "m", joined.count()), "class-leads")
     rows = signed.select("row", "id", "digest", "size")
-    per_class = per_class.select("digest", "n", "lead", F.coalesce("links", F.lit(0)).alias("links"))
-    full = join_hot(rows.where(F.col("size") > 0), per_class, "digest", "n", rows.count()).select(
-        "row", "id", F.col("lead.id").alias("class_id"), (F.col("links") + F.col("n") - 1).alias("n_links"),
-        (F.col("row") == F.col("lead.row")).alias("kept"),
-    )
+    full = spread(rows.where(F.col("size") > 0), classes, links)
     empty = rows.where(F.col("size") == 0).select(
         "row", "id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")
     )
