@@ -5,6 +5,8 @@ take (its documents times ``max_epochs``) goes to its siblings first, since a pa
 before anything else; only what no child can take is missing at the parent, and goes to the parent's siblings. The division is
 closed: children in order of capacity per weight are filled up one after the other until the rest can take its share.
 
+With ``min_epochs`` every leaf first gets that many whole epochs, and only what the budget holds beyond that is divided.
+
 Each leaf then reads whole epochs of its documents and a prefix of one more. An epoch's order is a hash of seed, epoch and
 id. The prefix is found without ordering a leaf: tokens are summed per slice of the hash, running sums of at most
 ``SLICES`` rows per leaf give the slice where the prefix ends, and only the rows of that slice are ordered.
@@ -13,7 +15,7 @@ Everything is column arithmetic on whole numbers. Shares are rounded down, so a
 times weight must stay below 2^63.
 
 Defined cases: null text has no tokens; null names of the tree are the empty name. A leaf or node of weight 0 gets
-nothing; neither does a leaf without tokens. Documents without tokens go along with whole epochs, and in a prefix with the
+nothing. A leaf without tokens gets ``min_epochs``. Documents without tokens go along with whole epochs, and in a prefix with the
 place their hash gives them. Repeated rows and equal or null ids are counted and chosen row by row. An empty table gives
 an empty result. Columns of any name are carried along.
 """
@@ -85,10 +87,12 @@ def divide(nodes: DataFrame, parents: list[str], name: str, have: str, room: str
     return nodes.withColumn(out, part.cast("long")).drop("d_taken", "d_left", "d_full", "d_gone", "d_open")
 
 
-def leaf_budgets(leaves: DataFrame, weights: tuple[dict[str, int], ...], percent: int, max_epochs: int) -> DataFrame:
+def leaf_budgets(
+    leaves: DataFrame, weights: tuple[dict[str, int], ...], percent: int, max_epochs: int, min_epochs: int = 0
+) -> DataFrame:
     """``domain, lang, source, tokens`` with ``budget`` per leaf."""
     w0, w1, w2 = (weight_of(F.col(c), w) for c, w in zip(("domain", "lang", "source"), weights, strict=True))
-    leaves = leaves.withColumns({"w2": w2, "c2": F.col("tokens") * max_epochs})
+    leaves = leaves.withColumns({"w2": w2, "c2": F.col("tokens") * (max_epochs - min_epochs)})
     leaves = leaves.withColumn("c2", F.when(F.col("w2") > 0, F.col("c2")).otherwise(0))
     langs = leaves.groupBy("domain", "lang").agg(F.sum("c2").alias("c1"), F.sum("tokens").alias("t1"))
     langs = langs.withColumn("w1", w1)
@@ -97,23 +101,24 @@ def leaf_budgets(leaves: DataFrame, weights: tuple[dict[str, int], ...], percent
     tops = tops.withColumn("c0", F.when(F.col("w0") > 0, F.col("c0")).otherwise(0))
     # One row per domain.
     tops = tops.withColumn("b", F.sum("t0").over(Window.partitionBy(F.lit(0))))
-    tops = divide(tops.withColumn("b", F.expr(f"b * {percent} div 100")), [], "domain", "b", "c0", "w0", "b0")
+    tops = divide(tops.withColumn("b", F.greatest(F.expr(f"b * {percent} div 100 - b * {min_epochs}"), F.lit(0))), [], "domain", "b", "c0", "w0", "b0")
     langs = divide(langs.join(tops.select("domain", "b0"), "domain"), ["domain"], "lang", "b0", "c1", "w1", "b1")
     leaves = leaves.join(langs.select("domain", "lang", "b1"), ["domain", "lang"])
     leaves = divide(leaves, ["domain", "lang"], "source", "b1", "c2", "w2", "budget")
-    return leaves.select("domain", "lang", "source", "tokens", "budget")
+    whole = F.col("budget") + F.col("tokens") * min_epochs
+    return leaves.select("domain", "lang", "source", "tokens", whole.alias("budget"))
 
 
 def plan(
-    rows: DataFrame, weights: tuple[dict[str, int], ...], percent: int, max_epochs: int, seed: int
+    rows: DataFrame, weights: tuple[dict[str, int], ...], percent: int, max_epochs: int, min_epochs: int, seed: int
 ) -> DataFrame:
     """Per leaf: whole epochs, tokens of the prefix, the slice where it ends and the tokens before that slice.
 
     ``rows``: key, domain, lang, source, tokens. Read twice, so it should be stored.
     """
     leaf = ["domain", "lang", "source"]
-    budgets = leaf_budgets(rows.groupBy(*leaf).agg(F.sum("tokens").alias("tokens")), weights, percent, max_epochs)
-    whole = F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0)
+    budgets = leaf_budgets(rows.groupBy(*leaf).agg(F.sum("tokens").alias("tokens")), weights, percent, max_epochs, min_epochs)
+    whole = F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(min_epochs)
     rest = F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0)
     budgets = stage(budgets.withColumns({"epochs": whole.cast("long"), "prefix": rest.cast("long")}), "leaf-budgets")
     # A stored table of a row per leaf: Spark broadcasts it if its known size allows that, and splits hot leaves if not.
@@ -132,7 +137,7 @@ def plan(
 def with_copies(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
     domain: Column | None = None, weights: tuple[dict[str, int], ...] = (DOMAINS, LANGUAGES, SOURCES),
-    percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
+    percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, min_epochs: int = 0, seed: int = SEED,
 ) -> tuple[DataFrame, dict[str, str]]:
     """All documents with the tree's names, tokens and how often each is chosen; and the names of these columns.
 
@@ -146,7 +151,7 @@ def with_copies(
     narrow = wide.select(
         F.col(quoted(key)).alias("key"), *[F.col(names[c]).alias(c) for c in ("domain", "lang", "source", "tokens")]
     )
-    leaves = plan(stage(narrow, "mix-rows"), weights, percent, max_epochs, seed)
+    leaves = plan(stage(narrow, "mix-rows"), weights, percent, max_epochs, min_epochs, seed)
     place, cut, start, epochs, prefix, running = fresh(wide, "m_place", "m_cut", "m_start", "m_epochs", "m_prefix", "m_run")
     leaves = leaves.select(
         *[F.col(c).alias(names[c]) for c in ("domain", "lang", "source")],
