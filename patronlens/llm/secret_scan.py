@@ -83,8 +83,11 @@ def literal_strength(value: str) -> float:
 
 
 def pairs(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, str]]]:
-    """(name, start, end) for each literal and (name, other name) for each reference."""
-    literals, references = [], []
+    """(name, start, end) for each literal and (name, other name) for each reference.
+
+    A bare word is a reference if something is assigned to that name in the text, else a literal.
+    """
+    literals, references, words = [], [], []
     for op in _OPERATOR.finditer(text):
         if op[0] not in ("=", ":", ":=", "=>"):
             continue
@@ -97,13 +100,16 @@ def pairs(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, str]]]
         while value := _VALUE.match(text, at):
             kind = value.lastgroup
             if kind == "name":
-                references.append((name, value["name"]))
+                words.append((name, value["name"], *value.span("name")))
             elif value.end(kind) > value.start(kind):
                 literals.append((name, value.start(kind), value.end(kind)))
             plus = _PLUS.match(text, value.end())
             if not plus:
                 break
             at = plus.end()
+    known = {name for name, _, _ in literals} | {name for name, *_ in words}
+    references += [(name, word) for name, word, _, _ in words if word in known]
+    literals += [(name, start, end) for name, word, start, end in words if word not in known]
     return literals, references
 
 
