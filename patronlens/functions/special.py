@@ -63,15 +63,15 @@ def log_gamma(z: float) -> tuple[float, float, float]:
     return math.lgamma(z), slope - sum(1.0 / s for s in steps), curvature + sum(1.0 / (s * s) for s in steps)
 
 
-def hyp2f1(a: Column, b: Column, c: Column, z: Column, max_terms: int = 4_000) -> Column:
-    """Gauss series of 2F1(a, b; c; z) for 0 <= z < 1.
+def hyp2f1(a: Column, b: Column, c: Column, z: Column) -> Column:
+    """Gauss series of 2F1(a, b; c; z) for 0 <= z < 1, with as many terms as double precision takes.
 
-    The number of terms follows from z, row by row: the n-th term shrinks like
-    z**n, so 40 / -ln(z) terms, and some for the growth of the other factors,
-    reach double precision.
+    The n-th term shrinks like z**n, so 40 / -ln(z) terms, and some for the growth of the other factors, are enough. For
+    a c of 16 or more, large beside a and b, 4 * c terms are enough as well, however near to one z is.
     """
     needed = F.ceil(F.lit(12.0) - F.lit(40.0) / F.ln(F.greatest(z, F.lit(1e-12))))
-    terms = F.least(F.lit(max_terms), needed.cast("int"))
+    by_size = F.ceil(F.lit(40.0) + F.lit(4.0) * (c + F.abs(a) + F.abs(b)))
+    terms = F.when(c >= F.lit(16.0), F.least(needed, by_size)).otherwise(needed).cast("int")
 
     def step(state: Column, n: Column) -> Column:
         term = state["term"]
@@ -81,3 +81,37 @@ def hyp2f1(a: Column, b: Column, c: Column, z: Column, max_terms: int = 4_000) -
     start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("total"))
     index = F.transform(F.sequence(F.lit(0), terms), lambda n: n.cast("double"))
     return F.aggregate(index, start, step, lambda state: state["total"])
+
+
+def signed_log_gamma(x: float) -> tuple[float, float]:
+    """Sign of Gamma(x) and ln of its size; a pole has an infinite size."""
+    if x <= 0 and x == math.floor(x):
+        return 1.0, math.inf
+    return (1.0 if x > 0 or math.floor(x) % 2 == 0 else -1.0), math.lgamma(x)
+
+
+def gamma_quotient(over: list[float], under: list[float]) -> float:
+    """Product of Gamma over ``over`` by product of Gamma over ``under``; zero at a pole below."""
+    sign, size = 1.0, 0.0
+    for values, way in ((over, 1.0), (under, -1.0)):
+        for x in values:
+            s, log = signed_log_gamma(x)
+            sign, size = sign * s, size + way * log
+    return sign * math.exp(size)
+
+
+def hyp2f1_near_one(a: float, b: float, c_less: float, n: Column, z: Column, rest: Column, most: int) -> Column:
+    """2F1(a, b; c_less + n; z) for z near one, by the connection formula in ``rest`` = 1 - z.
+
+    ``n`` is a whole number from 0 to ``most``, so the gamma factors are a short list. ``c_less - a - b`` must not be whole.
+    """
+    gap = c_less - a - b
+    first = [gamma_quotient([c_less + k, gap + k], [c_less + k - a, c_less + k - b]) for k in range(most + 1)]
+    second = [gamma_quotient([c_less + k, -gap - k], [a, b]) for k in range(most + 1)]
+    at = n.cast("int")
+    c = F.lit(c_less) + n
+    one = hyp2f1(F.lit(a), F.lit(b), F.lit(1.0 - gap) - n, rest)
+    two = hyp2f1(c - F.lit(a), c - F.lit(b), F.lit(1.0 + gap) + n, rest)
+    scale = F.pow(rest, F.lit(gap) + n)
+    pick_first, pick_second = (F.get(F.array(*[F.lit(v) for v in values]), at) for values in (first, second))
+    return pick_first * one + pick_second * scale * two

@@ -19,22 +19,26 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from patronlens.config import RunConfig
-from patronlens.functions.special import hyp2f1, log_gamma, log_gamma_columns
+from patronlens.functions.special import hyp2f1, hyp2f1_near_one, log_gamma, log_gamma_columns
 from patronlens.operators.ranking import RankSpec, rank_cuts
 from patronlens.schemas import CLV_COLUMNS
 from patronlens.sources.staging import stage
 
 PURCHASE_PARAMETERS = ["r", "alpha", "a", "b"]
 VALUE_PARAMETERS = ["p", "q", "v"]
+# Repeat purchases below which a history is short, and how far whole numbers are stepped off.
+SHORT = 24
+NUDGE = 3e-8
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Fitted parameters, the objective reached and the passes it took."""
+    """Fitted parameters, the objective reached, the passes it took and the slope left."""
 
     params: dict[str, float]
     objective: float
     evaluations: int
+    slope: float = 0.0
 
 
 def clv_inputs(rfm_table: DataFrame) -> DataFrame:
@@ -236,47 +240,60 @@ def penalised_objective(
     return evaluate
 
 
+class NotConverged(RuntimeError):
+    """A search that ended where the objective is not flat."""
+
+
+@dataclass(frozen=True)
+class Minimum:
+    """Where a search ended: the point, its value, the passes used, and the steepest slope left there."""
+
+    point: np.ndarray
+    value: float
+    evaluations: int
+    slope: float
+
+
 def minimise(
     evaluate: Callable[[np.ndarray], Evaluation],
     start: np.ndarray,
     tolerance: float = 1e-6,
     max_evaluations: int = 200,
-) -> tuple[np.ndarray, float, int]:
+) -> Minimum:
     """Newton descent with a halving line search.
 
     Directions of negative or no curvature are followed by their absolute
     curvature. The search ends at a flat point, or where a further step promises
-    less than a billionth of the objective.
+    less than a billionth of the objective; where it cannot get to either it
+    raises :class:`NotConverged`, so no unfinished point is taken for a fit.
     """
     point, used = start.astype(float), 1
     here = evaluate(point)
-    while np.max(np.abs(here.gradient)) > tolerance and used < max_evaluations:
+    while (slope := float(np.max(np.abs(here.gradient)))) > tolerance:
         bends, axes = np.linalg.eigh(here.hessian)
         direction = -axes @ ((axes.T @ here.gradient) / np.maximum(np.abs(bends), 1e-10))
         promised = -(direction @ here.gradient)
         if promised < 1e-9 * (1.0 + abs(here.value)):
             break
         step = min(1.0, 2.0 / np.max(np.abs(direction)))
-        while used < max_evaluations:
+        while True:
+            if used >= max_evaluations or step < 1e-8:
+                raise NotConverged(f"slope {slope:.3g} left after {used} passes at {point.tolist()}")
             there = evaluate(point + step * direction)
             used += 1
             if np.isfinite(there.value) and there.value <= here.value - 1e-4 * step * promised:
                 break
             step /= 2.0
-            if step < 1e-8:
-                return point, here.value, used
-        else:
-            break
         point, here = point + step * direction, there
-    return point, here.value, used
+    return Minimum(point, here.value, used, slope)
 
 
 def _fit(
     rows: DataFrame, names: list[str], terms: Callable[[FitRows, dict[str, float]], DataFrame], penalizer: float
 ) -> Fit:
     with FitRows.of(rows).kept() as data:
-        point, value, used = minimise(penalised_objective(data, names, terms, penalizer), np.full(len(names), 0.1))
-    return Fit(dict(zip(names, np.exp(point).tolist())), value, used)
+        found = minimise(penalised_objective(data, names, terms, penalizer), np.full(len(names), 0.1))
+    return Fit(dict(zip(names, np.exp(found.point).tolist())), found.value, found.evaluations, found.slope)
 
 
 def purchase_histories(rfm_table: DataFrame) -> DataFrame:
@@ -338,17 +355,25 @@ def purchases_while_active(params: dict[str, float], days: float, x: Column, age
     The published form's hypergeometric term is rewritten with Euler's
     transformation, whose series converges fast for long histories.
     """
+    # The formulas divide by a - 1, and near z = 1 by sines of r - a: whole numbers are stepped off.
     a_value, b_value = params["a"], params["b"]
-    if abs(a_value - 1.0) < 1e-9:
-        a_value = 1.0 + 1e-9
+    if abs(a_value - 1.0) < NUDGE:
+        a_value += 2 * NUDGE
+    if abs(a_value - params["r"] - round(a_value - params["r"])) < NUDGE:
+        a_value += 4 * NUDGE
     if abs(a_value + b_value - 1.0) < 1e-9:
         b_value += 2e-9
     r, alpha, a, b = _value(params["r"]), _value(params["alpha"]), _value(a_value), _value(b_value)
     t = _value(days)
     z = t / (alpha + age + t)
+    rest = (alpha + age) / (alpha + age + t)
     top = a + b + x - F.lit(1.0)
-    series = hyp2f1(a + b - F.lit(1.0) - r, a - F.lit(1.0), top, z)
-    return top / (a - F.lit(1.0)) * (F.lit(1.0) - F.pow(F.lit(1.0) - z, a - F.lit(1.0)) * series)
+    one, two = a_value + b_value - 1.0 - params["r"], a_value - 1.0
+    # Long histories need few terms at any z, short ones near z = 1 the connection formula.
+    near = (z > F.lit(0.9)) & (x < F.lit(float(SHORT)))
+    connected = hyp2f1_near_one(one, two, a_value + b_value - 1.0, x, z, rest, SHORT)
+    series = F.when(near, connected).otherwise(hyp2f1(_value(one), _value(two), top, z))
+    return top / (a - F.lit(1.0)) * (F.lit(1.0) - F.pow(rest, a - F.lit(1.0)) * series)
 
 
 def odds_gone(params: dict[str, float], x: Column, seen: Column, age: Column) -> Column:

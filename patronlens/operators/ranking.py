@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from patronlens.functions.columns import known
 from patronlens.sources.staging import stage
 
-# Up to this many rows, checked by a count, are ordered by one window.
-WINDOW_ROWS = 200_000
 # A sketch keeps about this many points. All sketches of a column meet in one
 # task, so it trades their size against the share of rows left in the brackets.
 SKETCH_ACCURACY = 2_000
@@ -76,17 +74,15 @@ def cuts_passed(spec: RankSpec, key: str, found: RankCuts) -> Column:
     return F.when(value.isNotNull(), passed)
 
 
-def rank_cuts(
-    df: DataFrame, key: str, specs: Sequence[RankSpec], window_rows: int = WINDOW_ROWS
-) -> dict[str, RankCuts]:
+def rank_cuts(df: DataFrame, key: str, specs: Sequence[RankSpec]) -> dict[str, RankCuts]:
     """Find the exact rows at the wanted ranks of every spec.
 
-    ``df`` is read up to four times and should be a stored table. First the rows
-    are counted. A large table is then narrowed: quantile sketches propose a
-    value bracket around each rank, and an exact count of the rows below and
-    inside confirms it. Only the bracket rows, value and key alone, are ordered.
-    A bracket the counts do not confirm falls back to all values, so the result
-    never rests on the sketch.
+    ``df`` is read four times and should be a stored table. The rows are counted;
+    quantile sketches propose a value bracket around each rank, and an exact count
+    of the rows below and inside confirms it. Only the bracket rows, value and key
+    alone, are ordered. A bracket the counts do not confirm falls back to all
+    values, so the result never rests on the sketch. Tables of every size take this
+    one way. Without ranked rows there are no cuts.
     """
     values = [spec.ranked_value() for spec in specs]
     counted = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values)]).first()
@@ -96,15 +92,7 @@ def rank_cuts(
         if any(r < 1 or r > n for r in ranks):
             raise ValueError(f"{spec.name}: ranks {ranks} outside 1..{n}")
 
-    if max(sizes, default=0) <= window_rows:
-        brackets = [
-            _Bracket(i, -math.inf, math.inf, 0, n, ranks)
-            for i, (n, ranks) in enumerate(zip(sizes, targets))
-            if ranks
-        ]
-    else:
-        brackets = _narrow(df, values, sizes, targets)
-    found = _rows_at(df, key, values, brackets, window_rows)
+    found = _rows_at(df, key, values, _narrow(df, values, sizes, targets))
     return {
         spec.name: RankCuts(n, tuple(found[(i, r)] for r in spec.ranks(n)))
         for i, (spec, n) in enumerate(zip(specs, sizes))
@@ -121,6 +109,8 @@ def _narrow(
         ends = [F.lit(min(1.0, max(0.0, r / n + side))) for r in ranks for side in (-margin, margin)]
         if ends:
             sketches[i] = F.percentile_approx(value, F.array(*ends), SKETCH_ACCURACY).alias(f"s{i}")
+    if not sketches:
+        return []
     sketched = df.agg(*sketches.values()).first()
 
     merged: list[_Bracket] = []
@@ -151,7 +141,7 @@ def _narrow(
 
 
 def _rows_at(
-    df: DataFrame, key: str, values: list[Column], brackets: list[_Bracket], window_rows: int
+    df: DataFrame, key: str, values: list[Column], brackets: list[_Bracket]
 ) -> dict[tuple[int, int], tuple[float, Any]]:
     """Order the bracket rows and return the (value, key) at each target rank."""
     if not brackets:
@@ -166,13 +156,6 @@ def _rows_at(
         .select("entry.tag", "entry.value", "key")
     )
     places = {(tag, r - b.below): (b.spec, r) for tag, b in enumerate(brackets) for r in b.targets}
-
-    if max(b.inside for b in brackets) <= window_rows:
-        order = Window.partitionBy("tag").orderBy("value", "key")
-        wanted = [(F.col("tag") == tag) & (F.col("place") == place) for tag, place in places]
-        rows = narrow.withColumn("place", F.row_number().over(order)).where(_any(wanted)).collect()
-        return {places[(row["tag"], row["place"])]: (row["value"], row["key"]) for row in rows}
-
     ordered = ordered_rows(narrow, ["tag", "value", "key"], "rank_cuts")
     starts = slice_starts(ordered).orderBy("slice").collect()
     before_tag, total = [], 0
@@ -188,13 +171,6 @@ def _rows_at(
     return {at[row["position"]]: (row["value"], row["key"]) for row in rows}
 
 
-def _any(conditions: list[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
-
-
 def ordered_rows(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     """Sort globally and store each row's ``position``.
 
@@ -269,4 +245,4 @@ def quantile_spec(name: str, value: Column, bins: int, among: Column | None = No
 
 def first_rows_spec(name: str, value: Column, count: Callable[[int], int], among: Column | None = None) -> RankSpec:
     """A spec whose passed cuts are 0 for the first ``count(n)`` rows, else 1."""
-    return RankSpec(name, value, lambda n: [count(n)], among)
+    return RankSpec(name, value, lambda n: [count(n)] if n else [], among)

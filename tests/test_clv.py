@@ -38,6 +38,53 @@ def test_hypergeometric_series(spark):
         assert row["pow"] == pytest.approx((1 - z_value) ** -0.3, rel=1e-11)
 
 
+def plain_purchases(r, alpha, a, b, days, x, age):
+    """The published form, its series summed term by term until nothing is added."""
+    z, term, total, n = days / (alpha + age + days), 1.0, 0.0, 0
+    top = a + b + x - 1
+    while abs(term) > 1e-18 * abs(total) or n < 50:
+        total += term
+        term *= (a + b - 1 - r + n) * (a - 1 + n) / ((top + n) * (n + 1)) * z
+        n += 1
+    return top / (a - 1) * (1 - ((alpha + age) / (alpha + age + days)) ** (a - 1) * total)
+
+
+@pytest.mark.parametrize("alpha", [4.4, 0.1, 0.01, 0.001])
+@pytest.mark.parametrize("a, r", [(0.793, 0.243), (1.6, 0.3), (1.243, 0.243), (2.5, 0.4)])
+def test_purchases_near_one_and_beyond(spark, alpha, a, r):
+    """New customers of a fast-buying population, where z is almost one."""
+    params = {"r": r, "alpha": alpha, "a": a, "b": 2.426}
+    rows = [(float(x), float(age)) for x in (0, 1, 3, 15, 23, 24, 30, 200) for age in (0, 2, 400)]
+    df = spark.createDataFrame(rows, "x double, age double")
+    out = df.select("x", "age", clv.purchases_while_active(params, 360.0, F.col("x"), F.col("age")).alias("n"))
+    for row in out.collect():
+        if alpha + row["age"] < 0.01 and row["x"] < 3:
+            continue  # too many terms for the plain sum
+        assert row["n"] == pytest.approx(plain_purchases(r, alpha, a, 2.426, 360.0, row["x"], row["age"]), rel=2e-6)
+
+
+def test_purchases_of_a_new_customer_known_values(spark):
+    """Values of the whole series, found with millions of terms."""
+    for alpha, expected in ((0.1, 17.4227), (0.01, 33.53), (0.001, 59.93)):
+        params = {"r": 0.243, "alpha": alpha, "a": 0.793, "b": 2.426}
+        df = spark.createDataFrame([(0.0, 0.0)], "x double, age double")
+        found = df.select(clv.purchases_while_active(params, 360.0, F.col("x"), F.col("age"))).first()[0]
+        assert found == pytest.approx(expected, rel=3e-4)
+
+
+def test_an_unfinished_search_raises():
+    import numpy as np
+
+    def bowl(p):
+        value = float(np.exp(p[0]) - 2 * p[0])
+        return clv.Evaluation(value, np.array([np.exp(p[0]) - 2]), np.array([[np.exp(p[0])]]))
+
+    found = clv.minimise(bowl, np.array([3.0]))
+    assert found.point[0] == pytest.approx(math.log(2), abs=1e-4) and found.slope < 1e-3
+    with pytest.raises(clv.NotConverged):
+        clv.minimise(bowl, np.array([9.0]), max_evaluations=3)
+
+
 def mixture_log_likelihood(x, seen, age, r, alpha, a, b):
     """The published likelihood, written with beta functions."""
 

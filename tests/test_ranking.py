@@ -40,12 +40,12 @@ def skewed(spark, rows=30_000):
     return frame.repartition(6).cache()
 
 
-@pytest.mark.parametrize("window_rows", [10**9, 20_000, 3])
-def test_cuts_on_all_paths(spark, window_rows):
-    df = skewed(spark)
+@pytest.mark.parametrize("rows", [30_000, 700, 7])
+def test_cuts_at_all_sizes(spark, rows):
+    df = skewed(spark, rows)
     specs = [quantile_spec(c, F.col(c), 5) for c in ("tied", "wide", "holes")]
     specs.append(RankSpec("ends", -F.col("wide"), lambda n: [1, n // 2, n], F.col("tied") == 3))
-    found = rank_cuts(df, "key", specs, window_rows=window_rows)
+    found = rank_cuts(df, "key", specs)
     local = df.toPandas()
     for spec, column in zip(specs, ("tied", "wide", "holes")):
         ordered = local.dropna(subset=[column]).sort_values([column, "key"])
@@ -76,7 +76,7 @@ def test_a_wrong_sketch_is_not_trusted(spark, monkeypatch):
     spec = quantile_spec("wide", F.col("wide"), 5)
     exact = rank_cuts(df, "key", [spec])
     monkeypatch.setattr(ranking.F, "percentile_approx", lambda v, p, a: F.transform(p, lambda _: F.lit(1.0)))
-    assert rank_cuts(df, "key", [spec], window_rows=10) == exact
+    assert rank_cuts(df, "key", [spec]) == exact
 
 
 def test_wanted_ranks_must_exist(spark):
@@ -91,7 +91,23 @@ def test_global_rank(spark):
     assert (ordered["rank"].to_numpy() == np.arange(1, 5_001)).all()
 
 
-def test_global_rank_has_no_single_partition_sort(spark, tmp_path):
-    df = skewed(spark, 5_000).select("key", "wide")
-    plan = df.orderBy("wide", "key").withColumn("p", F.monotonically_increasing_id())
-    assert "rangepartitioning" in plan._jdf.queryExecution().executedPlan().toString()
+def test_global_rank_sorts_by_ranges(spark, monkeypatch):
+    plans = []
+    kept = ranking.stage
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(ranking, "stage", watched)
+    ranked = ranking.global_rank(skewed(spark, 5_000).select("key", "wide"), ["wide", "key"])
+    assert ["rangepartitioning(wide" in p and "SinglePartition" not in p for p in plans] == [True]
+    # Of the stored rows only the list of slices is brought together.
+    final = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in final and "rangepartitioning" not in final
+
+
+def test_no_ranked_rows_have_no_cuts(spark):
+    empty = spark.range(0).withColumnRenamed("id", "key")
+    found = rank_cuts(empty, "key", [ranking.first_rows_spec("top", F.col("key"), lambda n: 1)])["top"]
+    assert found.rows == 0 and found.cuts == ()
