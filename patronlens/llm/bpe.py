@@ -20,22 +20,17 @@ import heapq
 import json
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronlens.llm.chunks import MEMO_CHARS, PieceMemo, id_lists, steps
+from patronlens.llm.chunks import TextEncoder, id_lists, refuse_unknown, steps
 from patronlens.llm.common import fresh
 
-# Fixed value: the word pattern of the vocabulary.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 2**30
-MEMO_WORDS = 300_000
 # Words of up to so many bytes are handled together as rows of one matrix, longer ones by themselves.
 ROW_BYTES = (8, 16, 32, 64)
 
@@ -53,7 +48,7 @@ class Vocabulary:
     def __init__(self, content: str):
         spec = json.loads(content)
         model = spec["model"]
-        self._refuse_unknown(spec)
+        refuse_unknown(spec)
         letters = byte_letters()
         self.size = 1 + max([*model["vocab"].values(), *(a["id"] for a in spec["added_tokens"])])
         self.bytes_of: list[bytes | None] = [None] * self.size
@@ -94,27 +89,7 @@ class Vocabulary:
         }
         self.longest = max(map(len, self.proposed))
         self._plant()
-        self.word = regex.compile(WORD_PATTERN)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.added_ids = {a: np.array([i], "<u4").tobytes() for a, i in self.added.items()}
-        self.words: dict[str, bytes] = {}
-        self.memo = PieceMemo(self.encode_pieces)
-
-    @staticmethod
-    def _refuse_unknown(spec: dict) -> None:
-        model, split = spec["model"], spec["pre_tokenizer"]
-        odd = [a for a in spec["added_tokens"] if a["single_word"] or a["lstrip"] or a["rstrip"] or a["normalized"]]
-        if (
-            spec["normalizer"]
-            or odd
-            or model["type"] != "BPE"
-            or model.get("ignore_merges")
-            or model.get("byte_fallback")
-            or split["type"] != "ByteLevel"
-            or split["add_prefix_space"]
-            or not split["use_regex"]
-        ):
-            raise ValueError("not a plain byte-level BPE vocabulary")
+        self.texts = TextEncoder(self.encode_words, self.added)
 
     def time_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair, ``NEVER`` if there is none."""
@@ -272,46 +247,23 @@ class Vocabulary:
             ids = np.array(self.merge(word), np.int64)
         return ids.astype("<u4").tobytes()
 
-    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """Packed ids of each word."""
-        raw = {w: w.encode("utf-8", "surrogatepass") for w in words}
-        out, least = {}, 0
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        out, least = [b""] * len(raw), 0
         for width in ROW_BYTES:
-            some = [w for w, r in raw.items() if least < len(r) <= width]
+            some = np.nonzero((sizes > least) & (sizes <= width))[0].tolist()
             if some:
-                out |= zip(some, self.encode_rows([raw[w] for w in some], width), strict=True)
+                for k, ids in zip(some, self.encode_rows([raw[k] for k in some], width), strict=True):
+                    out[k] = ids
             least = width
-        return out | {w: self.encode_long(r) for w, r in raw.items() if len(r) > least}
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Packed ids of each piece of text, added tokens included."""
-        specials = list(self.added)
-        split = [
-            self._parts(p) if any(map(p.__contains__, specials)) else self.word.findall(p) for p in pieces
-        ]
-        wanted = set(chain.from_iterable(split))
-        if len(self.words) + len(wanted) > MEMO_WORDS:
-            self.words.clear()
-        new = self.encode_words(list(wanted - self.words.keys() - self.added.keys()))
-        self.words |= new
-        look = (self.words | self.added_ids if any(a in wanted for a in self.added) else self.words).__getitem__
-        out = [b"".join(map(look, parts)) for parts in split]
-        if len(self.words) > MEMO_WORDS:
-            self.words.clear()
-        else:
-            for word in [w for w in new if len(w) > MEMO_CHARS]:
-                del self.words[word]
-        return out
-
-    def _parts(self, piece: str) -> list[str]:
-        """Words and added tokens of a piece. No word equals an added token: those are cut out first."""
-        out: list[str] = []
-        for part in self.special.split(piece):
-            out += [part] if part in self.added else self.word.findall(part)
+        for k in np.nonzero(sizes > least)[0].tolist():
+            out[k] = self.encode_long(raw[k])
         return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.memo.texts(texts)
+        return self.texts.texts(texts)
 
     def decode(self, flat: np.ndarray, counts: np.ndarray) -> list[str]:
         """Text of each row of ids; bytes that are no UTF-8 become replacement characters."""

@@ -7,58 +7,158 @@ often than texts do, which makes a bounded memo of them much cheaper than encodi
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 
-# Pieces that one Python worker remembers, the longest one worth remembering, and the text handled at a time.
-MEMO_PIECES = 500_000
-MEMO_CHARS = 48
-STEP_CHARS = 4_000_000
+# Pieces and words in one of a memo's two halves, the longest one worth remembering, and the text handled at a time.
+MEMO_PIECES = 600_000
+MEMO_WORDS = 400_000
+MEMO_CHARS = 32
+STEP_CHARS = 2_000_000
+
+# Fixed value: the word pattern of byte-level vocabularies.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 # Python's white space covers that of the tokenizer, so a blank that passes here is between visible characters.
 _BESIDE_SPACE = re.compile(r"\s | \s|\0")
 _BETWEEN_WORDS = re.compile(r"(?<=[^\s\0]) (?=[^\s\0])")
+# White space other than the blank and the line feed, found faster one by one than by a pattern.
+_RARE_ASCII = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\0")
+_RARE = ("\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
+
+
+def _plain(text: str) -> bool:
+    """Whether every blank is known to be between visible characters."""
+    if "  " in text or " \n" in text or "\n " in text or any(c in text for c in _RARE_ASCII):
+        return False
+    return text.isascii() or not any(c in text for c in _RARE)
 
 
 def pieces(text: str) -> list[str]:
     """``text`` cut before every blank between two visible characters."""
-    if not _BESIDE_SPACE.search(text):
+    if _plain(text) or not _BESIDE_SPACE.search(text):
         return text.replace(" ", "\0 ").split("\0")
     if "\0" in text:
         return [text]
     return _BETWEEN_WORDS.sub("\0 ", text).split("\0")
 
 
-class PieceMemo:
-    """Encodes texts with ``encode``, which maps new pieces to packed 32-bit ids."""
-
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode = encode
-        self.known: dict[str, bytes] = {}
+class Memo:
+    """Bounded memory of packed ids in two halves.
+
+    What is in use moves to the young half; when that is full it becomes the old one, and what was left there is forgotten.
+    So frequent entries stay.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int):
+        self.encode, self.entries = encode, entries
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        """Start a new young half if this one is full."""
+        if len(self.young) > self.entries:
+            self.old, self.young = self.young, {}
+
+    def learn(self, wanted: set[str]) -> None:
+        """Put everything wanted into the young half."""
+        new = wanted.difference(self.young)
+        for entry in new & self.old.keys():
+            self.young[entry] = self.old[entry]
+        new.difference_update(self.old)
+        order = list(new)
+        self.young.update(zip(order, self.encode(order), strict=True))
+        self.long = [e for e in order if len(e) > MEMO_CHARS]
+
+    def forget_long(self) -> None:
+        for entry in self.long:
+            del self.young[entry]
+
+
+class TextEncoder:
+    """Ids of texts from the packed ids of their words, given by ``encode_words``; pieces and words are remembered.
+
+    ``added`` are the strings that stand for one id wherever they occur.
+    """
+
+    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], added: dict[str, int]):
+        self.words = Memo(encode_words, MEMO_WORDS)
+        self.pieces = Memo(self._encode_pieces, MEMO_PIECES)
+        self.word = regex.compile(WORD_PATTERN)
+        self.added = {a: np.array([i], "<u4").tobytes() for a, i in added.items()}
+        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def _parts(self, piece: str, special: bool) -> list[str]:
+        """Words and added tokens of a piece. No word equals an added token: those are cut out first."""
+        if not special:
+            # A blank and Latin letters are one word, the most frequent kind of piece.
+            if piece[1:].isalpha() and piece[0] == " " and max(piece) < "\u0250":
+                return [piece]
+            return self.word.findall(piece)
+        out: list[str] = []
+        for part in self.special.split(piece):
+            out += [part] if part in self.added else self.word.findall(part)
+        return out
+
+    def _encode_pieces(self, new: list[str]) -> list[bytes]:
+        together = "\0".join(new)
+        special = any(a in together for a in self.added)
+        parts = [self._parts(p, special) for p in new]
+        wanted = set(chain.from_iterable(parts)).difference(self.added)
+        self.words.turn()
+        self.words.learn(wanted)
+        look = (self.words.young | self.added if special else self.words.young).__getitem__
+        out = [look(p[0]) if len(p) == 1 else b"".join(map(look, p)) for p in parts]
+        self.words.forget_long()
+        return out
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` one after the other, and the number of ids of each text."""
+        # Nothing here holds cycles, and millions of short lists would set the collector off again and again.
+        gc.disable()
+        try:
+            return self._texts(texts)
+        finally:
+            gc.enable()
+
+    def _texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.pieces.turn()
         cut = [pieces(t) for t in texts]
-        wanted = set(chain.from_iterable(cut))
-        new = list(wanted - self.known.keys())
-        if len(self.known) + len(new) > MEMO_PIECES:
-            self.known.clear()
-            new = list(wanted)
-        self.known |= zip(new, self.encode(new), strict=True)
-        joined = [b"".join(map(self.known.__getitem__, c)) for c in cut]
-        if len(self.known) > MEMO_PIECES:
-            self.known.clear()
-        else:
-            for piece in [p for p in new if len(p) > MEMO_CHARS]:
-                del self.known[piece]
+        found = [list(map(self.pieces.young.get, c)) for c in cut]
+        short = [k for k, ids in enumerate(found) if None in ids]
+        self.pieces.learn({p for k in short for p, ids in zip(cut[k], found[k]) if ids is None})
+        look = self.pieces.young
+        for k in short:
+            found[k] = [look[p] if ids is None else ids for p, ids in zip(cut[k], found[k])]
+        self.pieces.forget_long()
+        joined = list(map(b"".join, found))
         counts = np.fromiter((len(j) // 4 for j in joined), np.int64, len(joined))
         return np.frombuffer(b"".join(joined), "<u4"), counts
 
 
+def refuse_unknown(spec: dict) -> None:
+    """Raise unless a file of the tokenizers library is plain byte-level BPE, for which texts may be cut."""
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    flags = ("single_word", "lstrip", "rstrip", "normalized")
+    if (
+        spec["normalizer"]
+        or any(token[f] for token in spec["added_tokens"] for f in flags)
+        or model["type"] != "BPE"
+        or model.get("ignore_merges")
+        or model.get("byte_fallback")
+        or split.get("type") != "ByteLevel"
+        or split["add_prefix_space"]
+        or not split["use_regex"]
+    ):
+        raise ValueError("not a plain byte-level BPE vocabulary")
+
+
 def steps(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``STEP_CHARS`` characters, with the row they start at; null is empty text."""
     start, held, size = 0, [], 0

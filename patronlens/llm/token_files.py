@@ -21,9 +21,12 @@ rows with one id are ordered by their texts. Repeated rows are kept. An empty ta
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from patronlens.llm.chunks import PieceMemo, steps
+from patronlens.llm.chunks import TextEncoder, refuse_unknown, steps
 from patronlens.llm.common import quoted, text_of
 from patronlens.sources.staging import new_path, stage
 
@@ -116,23 +119,31 @@ class TokenFile:
         self.source.close()
 
 
-_TOKENIZERS: dict[int, tuple[PieceMemo, int]] = {}
+_TOKENIZERS: dict[int, tuple[TextEncoder, int]] = {}
 
 
-def _tokenizer(content: str) -> tuple[PieceMemo, int]:
-    """The library's tokenizer behind a memo of pieces, and its vocabulary's size; once in a Python worker."""
+def _tokenizer(content: str) -> tuple[TextEncoder, int]:
+    """The library's tokenizer behind a memo of words, and its vocabulary's size; once in a Python worker."""
     key = zlib.crc32(content.encode())
     if key not in _TOKENIZERS:
+        # A task has one core; the library's own threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        spec = json.loads(content)
+        refuse_unknown(spec)
         tokenizer = Tokenizer.from_str(content)
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
-        def encode(pieces: list[str]) -> list[bytes]:
-            got = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in got]
+        def encode(words: list[str]) -> list[bytes]:
+            out: list[bytes] = []
+            for at in range(0, len(words), 4096):
+                got = tokenizer.encode_batch_fast(words[at : at + 4096], add_special_tokens=False)
+                out += [array("I", e.ids).tobytes() for e in got]
+            return out
 
         _TOKENIZERS.clear()
-        _TOKENIZERS[key] = PieceMemo(encode), tokenizer.get_vocab_size(with_added_tokens=True)
+        added = {a["content"]: a["id"] for a in spec["added_tokens"]}
+        _TOKENIZERS[key] = TextEncoder(encode, added), tokenizer.get_vocab_size(with_added_tokens=True)
     return _TOKENIZERS[key]
 
 
