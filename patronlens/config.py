@@ -22,6 +22,8 @@ class RunConfig:
     seed: int = 42
     min_customers: int = 1_000
     penalizer: float = 0.01
+    # A property of the orders, not looked up in them: every order date is a midnight, so gaps add up to the span.
+    orders_at_midnight: bool = False
 
     @property
     def horizon_days(self) -> int:
@@ -35,13 +37,16 @@ class JdbcSource:
 
     ``partition_column`` should be evenly spread and numeric, date or timestamp;
     the order id is the default because one customer may own most of the rows.
+    Bounds that are not given are the column's least and greatest value, which
+    the database is asked for. Rows beyond given bounds are read, by the outer
+    parts. Where order ids are text, name another column.
     """
 
     url: str
     table: str = "orders"
     partition_column: str = "order_id"
-    lower_bound: str | int = 0
-    upper_bound: str | int = 1_000_000_000
+    lower_bound: str | int | None = None
+    upper_bound: str | int | None = None
     num_partitions: int = 64
     fetch_size: int = 10_000
     properties: tuple[tuple[str, str], ...] = ()

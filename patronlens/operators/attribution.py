@@ -87,26 +87,94 @@ def expected_margin(leaves: list[Leaf]) -> float:
     return sum(leaf.value * math.prod(step.share for step in leaf.steps) for leaf in leaves)
 
 
-def shapley_values(values: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
-    """Contributions of one batch, rows by features."""
-    result = np.zeros(values.shape)
-    for leaf in leaves:
-        count = len(leaf.steps)
-        passed = [
-            ((values[:, s.feature] > s.low) & (values[:, s.feature] <= s.high)).astype(float) for s in leaf.steps
-        ]
+# Up to so many steps on a path, all outcomes of its tests are worked out beforehand.
+TABLED_STEPS = 10
+# Rows times leaves handled at a time.
+CELLS = 2_000_000
+
+
+@dataclass(frozen=True)
+class LeafGroup:
+    """Leaves whose paths test equally many features, side by side: arrays of leaves by steps."""
+
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    value: np.ndarray
+
+    def credit(self, passed: np.ndarray) -> np.ndarray:
+        """Contribution of each step, given which tests are passed (arrays of any rows by leaves by steps)."""
+        count = self.feature.shape[1]
         order = [math.factorial(k) * math.factorial(count - 1 - k) / math.factorial(count) for k in range(count)]
-        for i, step in enumerate(leaf.steps):
+        out = np.zeros(passed.shape)
+        for i in range(count):
             # Coefficient k sums over the sets of k other features that are known.
-            known = [np.ones(len(values))]
-            for j, other in enumerate(leaf.steps):
+            known = [np.ones(passed.shape[:-1])]
+            for j in range(count):
                 if j != i:
-                    grown = [c * other.share for c in known] + [np.zeros(len(values))]
+                    grown = [c * self.share[:, j] for c in known] + [np.zeros(passed.shape[:-1])]
                     for k, c in enumerate(known):
-                        grown[k + 1] = grown[k + 1] + c * passed[j]
+                        grown[k + 1] = grown[k + 1] + c * passed[..., j]
                     known = grown
             total = sum(weight * c for weight, c in zip(order, known))
-            result[:, step.feature] += leaf.value * (passed[i] - step.share) * total
+            out[..., i] = self.value * (passed[..., i] - self.share[:, i]) * total
+        return out
+
+    def outcomes(self) -> np.ndarray:
+        """``credit`` for every outcome of the tests: outcomes by leaves by steps. Bit j tells whether test j is passed."""
+        count = self.feature.shape[1]
+        bits = (np.arange(2**count)[:, None] >> np.arange(count)) & 1
+        return self.credit(np.broadcast_to(bits[:, None, :].astype(float), (2**count, *self.feature.shape)))
+
+    def part(self, start: int, stop: int) -> LeafGroup:
+        return LeafGroup(*(getattr(self, f)[start:stop] for f in ("feature", "low", "high", "share", "value")))
+
+
+def leaf_groups(leaves: list[Leaf]) -> list[LeafGroup]:
+    """The leaves by the length of their paths; a tree of one leaf credits no feature."""
+    by_length: dict[int, list[Leaf]] = {}
+    for leaf in leaves:
+        by_length.setdefault(len(leaf.steps), []).append(leaf)
+    return [
+        LeafGroup(
+            *(np.array([[getattr(s, name) for s in leaf.steps] for leaf in same]) for name in ("feature", "low", "high", "share")),
+            np.array([leaf.value for leaf in same]),
+        )
+        for length, same in sorted(by_length.items())
+        if length
+    ]
+
+
+def shapley_values(values: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
+    """Contributions of one batch, rows by features.
+
+    Leaves with paths of equal length are handled together. For short paths a row's contributions depend only on which of
+    the tests it passes, so they are looked up; long paths are worked out row by row.
+    """
+    result = np.zeros(values.shape)
+    width = values.shape[1]
+    for group in leaf_groups(leaves):
+        size, count = group.feature.shape
+        step = max(1, CELLS // max(1, len(values)))
+        for start in range(0, size, step):
+            part = group.part(start, start + step)
+            several = range(len(part.value))
+            tests = [
+                (values[:, part.feature[:, j]] > part.low[:, j]) & (values[:, part.feature[:, j]] <= part.high[:, j])
+                for j in range(count)
+            ]
+            if count <= TABLED_STEPS:
+                outcome = sum(test.astype(np.int64) << j for j, test in enumerate(tests))
+                credit = part.outcomes()
+                credits = [credit[:, :, j][outcome, several] for j in range(count)]
+            else:
+                worked = part.credit(np.stack(tests, axis=-1).astype(float))
+                credits = [worked[..., j] for j in range(count)]
+            for j, column in enumerate(credits):
+                owner = np.zeros((len(part.value), width))
+                owner[several, part.feature[:, j]] = 1.0
+                result += column @ owner
     return result
 
 
@@ -138,9 +206,14 @@ def contributions(rows: DataFrame, model: PipelineModel, key: str = "customer_id
 
 def feature_attribution(rows: DataFrame, model: PipelineModel) -> DataFrame:
     """Mean absolute contribution per feature, beside Spark's own importance."""
+    return attribution_means(contributions(rows, model), model)
+
+
+def attribution_means(parts: DataFrame, model: PipelineModel) -> DataFrame:
+    """The same from given contributions."""
     features = model_features(model)
     importance = model.stages[-1].featureImportances
-    means = contributions(rows, model).agg(*[F.avg(F.abs(F.col(n))).alias(n) for n in features])
+    means = parts.agg(*[F.avg(F.abs(F.col(n))).alias(n) for n in features])
     entries = [
         F.struct(
             F.lit(n).alias("feature"),

@@ -64,12 +64,6 @@ def order_value_stats(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     return past_orders(orders, cfg).groupBy(KEY).agg(*_value_stats())
 
 
-def has_times_of_day(orders: DataFrame) -> bool:
-    """Whether any order is not at midnight; stops at the first one found."""
-    stamp = F.col("order_date")
-    return not orders.where(stamp != stamp.cast("date").cast("timestamp_ntz")).isEmpty()
-
-
 def _mean_gap(days: Column, orders: Column, cfg: RunConfig) -> Column:
     gaps = orders - F.lit(1)
     return F.when(gaps > 0, F.coalesce(days, F.lit(0)) / gaps).otherwise(F.lit(float(cfg.churn_window_days)))
@@ -108,9 +102,9 @@ def inter_purchase_time(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     Customers with a single order get the churn window.
     """
     past = past_orders(orders, cfg)
-    if has_times_of_day(past):
-        return _gap_by_day(past, cfg)
-    return past.groupBy(KEY).agg(_midnight_gap(cfg))
+    if cfg.orders_at_midnight:
+        return past.groupBy(KEY).agg(_midnight_gap(cfg))
+    return _gap_by_day(past, cfg)
 
 
 def with_scores(base: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -163,16 +157,16 @@ def customer_features(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     """The churn feature table straight from orders.
 
     Same rows as :func:`churn_features` over :func:`rfm`, from one aggregate where
-    all orders are at midnight. With times of day the gaps are joined to it; both
+    orders are declared to be at midnight. Else the gaps are joined to it; both
     sides arrive hashed by customer, so the join itself moves nothing. The scores
     of the result are computed as it is read: store it before further operators.
     """
     past = past_orders(orders, cfg)
     aggregates = [*_purchase_totals(), *_value_stats()]
-    if has_times_of_day(past):
-        totals = past.groupBy(KEY).agg(*aggregates).join(_gap_by_day(past, cfg), KEY, "left")
-    else:
+    if cfg.orders_at_midnight:
         totals = past.groupBy(KEY).agg(*aggregates, _midnight_gap(cfg))
+    else:
+        totals = past.groupBy(KEY).agg(*aggregates).join(_gap_by_day(past, cfg), KEY, "left")
     base = stage(_with_ages(totals, cfg), "customer_features")
     return _with_label(with_scores(base, cfg), cfg)
 

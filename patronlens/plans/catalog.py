@@ -23,9 +23,8 @@ from patronlens.schemas import CLV_COLUMNS, FEATURES
 from patronlens.sources import sinks
 from patronlens.sources.orders import conform, orders_until
 from patronlens.sources.staging import new_path, stage
-from patronlens.sources.synthetic import with_order_values
 
-STAR = RunConfig(snapshot="2001-01-01")
+STAR = RunConfig(snapshot="2001-01-01", orders_at_midnight=True)
 EVENTS = RunConfig(snapshot="2024-01-25", churn_window_days=2, min_customers=10)
 
 # Published parameter estimates (alpha turned from weeks to days).
@@ -135,20 +134,6 @@ def q_orders_until_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(orders_until(star_orders(spark, sf_dir), STAR))
 
 
-def q_gen_orders_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders generated for the ids of the orders table, per channel."""
-    ids = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("order_id"))
-    profile = with_order_values(ids, 8_000, RunConfig()).groupBy("channel").agg(
-        F.count("*").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.min("order_date").cast("date").alias("first_day"),
-        F.max("order_date").cast("date").alias("last_day"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("is_returned").alias("returned"),
-    )
-    return plain(profile, 2)
-
-
 def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settings and metrics of a run with fixed scores, appended and read back."""
     scored = scored_customers(spark, sf_dir)

@@ -186,23 +186,6 @@ def _validation(source: str, cfg) -> str:
     )
 
 
-def _generated() -> str:
-    def uniform(salt: str, part: int) -> str:
-        return f"(('0x' || substr(md5(o_orderkey::VARCHAR || '-42{salt}'), {1 + 8 * part}, 8))::BIGINT / 4294967296.0::DOUBLE)"
-
-    variance = "ln(1 + pow(30.0::DOUBLE / 45, 2))"
-    normal = f"sqrt(-2 * ln(1 - {uniform('b', 0)})) * cos(2 * pi() * {uniform('b', 1)})"
-    return f"""WITH gen AS (
-SELECT floor({uniform('a', 0)} * 8000) + 1 AS customer_id,
-       DATE '2021-12-31' + floor({uniform('a', 1)} * 1097)::INTEGER AS day,
-       {rnd(f'exp(ln(45.0::DOUBLE) - 0.5 * {variance} + sqrt({variance}) * {normal})', 2)} AS revenue,
-       (['email', 'organic', 'paid_search', 'social'])[floor({uniform('b', 2)} * 4)::INTEGER + 1] AS channel,
-       CASE WHEN {uniform('a', 2)} < 0.05::DOUBLE THEN 1 ELSE 0 END AS is_returned FROM orders)
-SELECT channel, count(*)::BIGINT AS orders, count(DISTINCT customer_id)::BIGINT AS customers,
-       min(day)::DATE::VARCHAR AS first_day, max(day)::DATE::VARCHAR AS last_day,
-       {rnd('sum(revenue)', 2)} AS revenue, sum(is_returned)::BIGINT AS returned FROM gen GROUP BY channel"""
-
-
 def _report() -> str:
     return f"""WITH {SCORED},
 cell AS (SELECT churn_label AS actual, CASE WHEN churn_prob > 0.5 THEN 1 ELSE 0 END AS predicted FROM scored),
@@ -249,7 +232,6 @@ def oracle_sql() -> dict[str, str]:
         "orders_until_snapshot": f"""WITH {STAR_SOURCE} SELECT customer_id, order_id, order_date::VARCHAR AS order_date,
             {rnd('revenue')} AS revenue, channel, is_returned::BIGINT AS is_returned
             FROM src WHERE order_date <= TIMESTAMP '{STAR.snapshot} 00:00:00'""",
-        "gen_orders_profile": _generated(),
         "run_metrics": f"""{scored},{BY_SCORE},{TOP}
             SELECT 'clv_model' AS stage, 'param' AS kind, 'horizon_months' AS name, 12.0::DOUBLE AS value
             UNION ALL SELECT 'clv_model', 'metric', 'mean_clv_12m', {rnd('avg(clv_12m)', 4)} FROM scored

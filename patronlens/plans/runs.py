@@ -9,7 +9,7 @@ stage comes before it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +17,17 @@ from pyspark.sql import functions as F
 
 from patronlens.config import ClassifierConfig, JdbcSource, RunConfig, SyntheticSource
 from patronlens.operators import clv, evaluation, features, quality
-from patronlens.operators.attribution import feature_attribution
+from patronlens.operators.attribution import attribution_means, contributions
 from patronlens.operators.classifier import churn_scores, fit_classifier, save_model
 from patronlens.operators.export import export_customers
 from patronlens.operators.splits import KEY, LABEL, model_rows, stratified_split, time_split
 from patronlens.schemas import FEATURES
 from patronlens.sources import sinks
 from patronlens.sources.orders import read_orders
-from patronlens.sources.staging import stage
+from patronlens.sources.staging import scope, stage
+
+# What the classifier learns from: the rest of the random split, or of the split by time.
+FIT_PARTS = ("random", "time")
 
 
 @dataclass(frozen=True)
@@ -38,6 +41,7 @@ class Run:
     budget: ClassifierConfig = ClassifierConfig()
     inputs: list[str] = field(default_factory=lambda: list(FEATURES))
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    fit_part: str = FIT_PARTS[0]
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -97,10 +101,14 @@ def fit_values(run: Run) -> DataFrame:
 
 
 def fit_churn(run: Run) -> DataFrame:
-    """Train, evaluate on both test parts, explain, store the model and scores."""
-    table = stage(model_rows(run.read("churn_features")), "model_rows")
-    rows = stage(time_split(stage(stratified_split(table, run.cfg), "split"), run.cfg), "both_splits")
-    model, weight = fit_classifier(rows.where(~F.col("is_test")), run.cfg, run.budget, run.inputs)
+    """Train, evaluate on both test parts, explain, store the model and scores.
+
+    With ``fit_part="time"`` no row of the time test part is learned from, so that part is an honest test.
+    """
+    # Both flags are comparisons with a few literals, so they are added as the rows are read.
+    rows = time_split(stratified_split(model_rows(run.read("churn_features")), run.cfg), run.cfg)
+    held_out = "is_time_test" if run.fit_part == "time" else "is_test"
+    model, weight = fit_classifier(rows.where(~F.col(held_out)), run.cfg, run.budget, run.inputs)
     save_model(model, run.path("churn_model"))
 
     scored = stage(churn_scores(rows, model), "churn_scores")
@@ -110,14 +118,17 @@ def fit_churn(run: Run) -> DataFrame:
     by_random, by_time = (evaluation.ranking_metrics(t, LABEL, "churn_prob").first() for t in tested.values())
     top = evaluation.precision_at_top(tested["is_test"], LABEL, "churn_prob", KEY, run.cfg.top_share).first()
     run.write(evaluation.classification_report(tested["is_test"], LABEL, "churn_prob"), "classification_report")
-    run.write(feature_attribution(rows.where("is_test"), model), "feature_attribution")
+    parts = run.write(contributions(rows.where("is_test"), model), "customer_contributions")
+    run.write(attribution_means(parts, model), "feature_attribution")
     settings = {
-        "n_estimators": run.budget.trees,
-        "max_depth": run.budget.depth,
+        "trees": run.budget.trees,
+        "trees_kept": model.stages[-1].getNumTrees,
+        "depth": run.budget.depth,
         "learning_rate": run.budget.learning_rate,
-        "subsample": run.budget.row_share,
-        "colsample": run.budget.feature_share,
-        "scale_pos_weight": round(weight, 4),
+        "row_share": run.budget.row_share,
+        "feature_share": run.budget.feature_share,
+        "class_weight": round(weight, 4),
+        "fitted_on_time_part": float(run.fit_part == "time"),
     }
     metrics = {
         "auroc_random_split": by_random["auroc"],
@@ -148,14 +159,23 @@ STAGES: dict[str, Callable[[Run], DataFrame | None]] = {
 }
 
 
+def perform(run: Run, names: Iterable[str]) -> DataFrame | None:
+    """The named stages in order; returns the last one's table.
+
+    Intermediate tables are removed after each stage, whether it ends well or not: only named tables stay.
+    """
+    result = None
+    for name in names:
+        with scope(run.spark):
+            result = STAGES[name](run)
+    return result
+
+
 def train(run: Run) -> DataFrame:
     """Fit both models again from the stored feature tables."""
-    fit_values(run)
-    return fit_churn(run)
+    return perform(run, ["values", "churn"])
 
 
 def run_all(run: Run) -> DataFrame:
     """All stages in order; returns the business table."""
-    for stage_function in STAGES.values():
-        result = stage_function(run)
-    return result
+    return perform(run, STAGES)

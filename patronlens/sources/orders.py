@@ -39,24 +39,45 @@ def parquet_orders(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.parquet(path))
 
 
-def jdbc_options(source: JdbcSource) -> dict[str, str]:
-    """Reader options of a split JDBC read."""
+def jdbc_bounds(spark: SparkSession, source: JdbcSource) -> tuple[str, str] | None:
+    """The bounds of the split: those given, else asked of the database; none if the table is empty."""
+    if source.lower_bound is not None and source.upper_bound is not None:
+        return str(source.lower_bound), str(source.upper_bound)
+    column = source.partition_column
+    question = f"SELECT min({column}) AS low, max({column}) AS high FROM {source.table}"
+    options = {"url": source.url, "query": question, "preferTimestampNTZ": "true"} | dict(source.properties)
+    answer = spark.read.format("jdbc").options(**options).load().first()
+    low, high = (given if given is not None else found for given, found in
+                 zip((source.lower_bound, source.upper_bound), (answer[0], answer[1])))
+    if low is None or high is None:
+        return None
+    if isinstance(answer[0], str):
+        raise ValueError(f"{column} is text and cannot split the read; name a number, date or timestamp column")
+    return str(low), str(high)
+
+
+def jdbc_options(source: JdbcSource, bounds: tuple[str, str] | None) -> dict[str, str]:
+    """Reader options of a JDBC read, split between the bounds if there are any."""
     options = {
         "url": source.url,
         "dbtable": source.table,
-        "partitionColumn": source.partition_column,
-        "lowerBound": str(source.lower_bound),
-        "upperBound": str(source.upper_bound),
-        "numPartitions": str(source.num_partitions),
         "fetchsize": str(source.fetch_size),
         "preferTimestampNTZ": "true",
     }
+    if bounds:
+        options |= {
+            "partitionColumn": source.partition_column,
+            "lowerBound": bounds[0],
+            "upperBound": bounds[1],
+            "numPartitions": str(source.num_partitions),
+        }
     return options | dict(source.properties)
 
 
 def jdbc_orders(spark: SparkSession, source: JdbcSource, cfg: RunConfig) -> DataFrame:
     """Orders from a database; projection and date filter run in the database."""
-    table = spark.read.format("jdbc").options(**jdbc_options(source)).load()
+    options = jdbc_options(source, jdbc_bounds(spark, source))
+    table = spark.read.format("jdbc").options(**options).load()
     wanted = table.select(*ORDERS.fieldNames())
     return conform(wanted.filter(on_or_before(wanted, "order_date", cfg.snapshot)))
 

@@ -49,7 +49,7 @@ def test_source_choice(spark, small_orders, cfg, tmp_path):
 
 
 def test_jdbc_options_split_the_read():
-    options = readers.jdbc_options(JdbcSource("jdbc:x", num_partitions=8, properties=(("user", "u"),)))
+    options = readers.jdbc_options(JdbcSource("jdbc:x", num_partitions=8, properties=(("user", "u"),)), ("0", "9"))
     assert options["url"] == "jdbc:x" and options["dbtable"] == "orders" and options["user"] == "u"
     assert (options["partitionColumn"], options["numPartitions"]) == ("order_id", "8")
 
@@ -92,14 +92,51 @@ def test_metrics_are_appended(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).groupBy("run_id").count().count() == 2
 
 
-def test_staging_uses_the_named_folder(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+@pytest.fixture
+def shared(tmp_path, monkeypatch):
+    """A folder of this test alone in place of the session's."""
+    monkeypatch.setattr(staging, "shared_folder", lambda spark: f"file://{tmp_path}/shared")
+    return tmp_path / "shared"
+
+
+def test_the_folder_is_the_one_that_is_named(spark):
+    from types import SimpleNamespace
+
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: "hdfs://cluster/scratch/"), sparkContext=None)
+    assert staging.shared_folder(named) == "hdfs://cluster/scratch"
+    context = SimpleNamespace(master="local-cluster[2,1,1024]", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
     assert staging.new_path(spark, "x").startswith(staging.shared_folder(spark))
-    if named:
-        assert staging.shared_folder(spark) == named.rstrip("/")
 
 
-def test_full_run_and_retraining(spark, cfg, tmp_path):
+def test_staged_tables_lie_in_one_folder_per_application(spark, shared):
+    stored = staging.stage(spark.range(3), "kept")
+    assert stored.count() == 3 and list(shared.glob("patronlens/*/kept-*/part-*"))
+    staging.remove(staging.application_folder(spark))
+    assert not list(shared.glob("patronlens/*"))
+
+
+def test_scoped_tables_go_when_the_block_ends_or_fails(spark, shared):
+    with staging.scope(spark) as outer:
+        staging.stage(spark.range(3), "a")
+        with pytest.raises(KeyError), staging.scope(spark):
+            staging.stage(spark.range(3), "b")
+            raise KeyError
+        assert [p.name[:1] for p in shared.glob("patronlens/*/run-*/*") if p.is_dir()] == ["a"]
+        assert staging.new_path(spark, "c").startswith(outer)
+    assert not list(shared.glob("patronlens/*/run-*"))
+
+
+def test_a_folder_that_is_not_shared_is_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "_TRIAL_PARTS", 17)  # as if the files of one executor were not seen
+    written = spark.range(0, 16, 1, 16).write
+    monkeypatch.setattr(spark, "range", lambda *a: type("Frame", (), {"write": written})())
+    with pytest.raises(RuntimeError, match="not shared"):
+        staging._try_out(spark, f"file://{tmp_path}/trial")
+
+
+def test_full_run_and_retraining(spark, cfg, tmp_path, shared):
     budget = ClassifierConfig(trees=4, depth=3)
     run = runs.Run(spark, str(tmp_path), SyntheticSource(3_000, 400), replace(cfg, min_customers=300), budget)
     exported = runs.run_all(run)
@@ -112,6 +149,11 @@ def test_full_run_and_retraining(spark, cfg, tmp_path):
     metrics = {r["name"]: r["value"] for r in run.read("run_metrics").where("kind = 'metric'").collect()}
     assert metrics["auroc_random_split"] > 0.8 and metrics["ks_statistic"] > 0.35
     assert math.isfinite(metrics["mean_clv_12m"])
+    settings = {r["name"]: r["value"] for r in run.read("run_metrics").where("kind = 'param'").collect()}
+    assert 1 <= settings["trees_kept"] <= settings["trees"] == 4
+    parts = run.read("customer_contributions")
+    assert parts.count() == run.read("classification_report").where("name = 'accuracy'").first()["support"]
+    assert not list(shared.glob("patronlens/*/run-*"))
     model = classifier.load_model(run.path("churn_model"))
     again = by_key(classifier.churn_scores(scored.drop("churn_prob"), model))
     first = by_key(scored)
@@ -149,7 +191,35 @@ def test_jdbc_read_selects_and_filters(small_orders, orders_of, cfg):
 
     late = orders_of([(1, 99, -3, 5.0, "email", 0)])
     reader = FakeReader(small_orders.unionByName(late).withColumn("extra", F.lit(1)))
-    source = JdbcSource("jdbc:somewhere")
+    source = JdbcSource("jdbc:somewhere", lower_bound=1, upper_bound=9)
     table = readers.read_orders(SimpleNamespace(read=reader), source, cfg)
     assert table.columns == ORDERS.fieldNames() and table.count() == 10
-    assert reader.options_seen == {"format": "jdbc", **readers.jdbc_options(source)}
+    assert reader.options_seen == {"format": "jdbc", **readers.jdbc_options(source, ("1", "9"))}
+
+
+def bounds_of(spark, source, low, high):
+    from types import SimpleNamespace
+
+    reader = FakeReader(spark.createDataFrame([(low, high)], source[1]))
+    return readers.jdbc_bounds(SimpleNamespace(read=reader), source[0]), reader.options_seen
+
+
+def test_jdbc_bounds_are_asked_of_the_database(spark):
+    source = JdbcSource("jdbc:somewhere", table="shop.orders", partition_column="id", properties=(("user", "reader"),))
+    found, options = bounds_of(spark, (source, "low long, high long"), 5, 2 * 10**9)
+    assert found == ("5", "2000000000") and options["user"] == "reader"
+    assert options["query"] == "SELECT min(id) AS low, max(id) AS high FROM shop.orders"
+    assert readers.jdbc_options(source, found)["upperBound"] == "2000000000"
+    assert bounds_of(spark, (replace(source, lower_bound=7), "low long, high long"), 5, 9)[0] == ("7", "9")
+    empty, _ = bounds_of(spark, (source, "low long, high long"), None, None)
+    assert empty is None and "partitionColumn" not in readers.jdbc_options(source, empty)
+    with pytest.raises(ValueError, match="text"):
+        bounds_of(spark, (source, "low string, high string"), "a", "b")
+
+
+def test_command_line_names_a_database():
+    from patronlens.__main__ import arguments, jdbc_source
+
+    given = "ingest --root r --jdbc jdbc:x --jdbc-table t --jdbc-column c --jdbc-upper 9 --jdbc-property user=a=b".split()
+    source = jdbc_source(arguments(given))
+    assert source == JdbcSource("jdbc:x", "t", "c", None, "9", properties=(("user", "a=b"),))
