@@ -1,15 +1,14 @@
-"""Gamma-family functions as column arithmetic.
+"""Gamma-family functions.
 
-Spark has neither ``lgamma`` nor ``digamma`` nor the Gauss hypergeometric
-function. All three are written with plain arithmetic so that likelihoods and
-predictions run inside generated code, with no Python worker and no lookup
-table that would grow with the data.
+Spark has neither ``lgamma`` nor ``digamma`` nor the Gauss hypergeometric function. The hypergeometric series is column
+arithmetic, for predictions; the gamma functions work on numpy arrays, for the sums that tasks make of likelihoods.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,48 +18,22 @@ SHIFT = 8
 HALF_LOG_TWO_PI = 0.5 * math.log(2.0 * math.pi)
 
 
-def _series(coefficients: list[float], x: str) -> str:
-    text = f"{coefficients[-1]!r}D"
-    for c in reversed(coefficients[:-1]):
-        text = f"({text} * {x} + {c!r}D)"
-    return text
+def log_gamma(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ln Gamma, its slope and its curvature for positive numbers.
 
-
-def log_gamma_columns(name: str, argument: str) -> list[str]:
-    """Select items ending in ``lg_<name>`` = ln Gamma, ``dg_<name>`` = its slope
-    and ``tg_<name>`` = its curvature.
-
-    The argument, as SQL text, must be positive. It is shifted past 8, where the
-    Stirling series is exact to double precision. The items before the last
-    three are shared parts that later items of the same select refer to, so each is
-    computed once per row.
+    The argument is shifted past 8, where the Stirling series is exact to double precision.
     """
-    gamma = [b / (2 * k * (2 * k - 1)) for k, b in enumerate(BERNOULLI, start=1)]
-    slope = [b / (2 * k) for k, b in enumerate(BERNOULLI, start=1)]
-    z, y, inverse, log = (f"{part}_{name}" for part in ("z", "y", "inverse", "log"))
-    steps = [f"({z} + {k}D)" for k in range(SHIFT)]
-    return [
-        f"{argument} AS {z}",
-        f"{z} + {SHIFT}D AS {y}",
-        f"1D / ({y} * {y}) AS {inverse}",
-        f"ln({y}) AS {log}",
-        f"({y} - 0.5D) * {log} - {y} + {HALF_LOG_TWO_PI!r}D + {_series(gamma, inverse)} / {y}"
-        f" - ln({' * '.join(steps)}) AS lg_{name}",
-        f"{log} - 0.5D / {y} - {_series(slope, inverse)} * {inverse}"
-        f" - ({' + '.join(f'1D / {step}' for step in steps)}) AS dg_{name}",
-        f"1D / {y} + 0.5D * {inverse} + {_series(BERNOULLI, inverse)} * {inverse} / {y}"
-        f" + {' + '.join(f'1D / ({step} * {step})' for step in steps)} AS tg_{name}",
-    ]
-
-
-def log_gamma(z: float) -> tuple[float, float, float]:
-    """ln Gamma, slope and curvature of one number, for terms that no row changes."""
     y = z + SHIFT
-    powers = [(b, k, y ** (-2 * k)) for k, b in enumerate(BERNOULLI, start=1)]
-    slope = math.log(y) - 0.5 / y - sum(b / (2 * k) * p for b, k, p in powers)
-    curvature = 1.0 / y + 0.5 / (y * y) + sum(b * p for b, _, p in powers) / y
-    steps = [z + k for k in range(SHIFT)]
-    return math.lgamma(z), slope - sum(1.0 / s for s in steps), curvature + sum(1.0 / (s * s) for s in steps)
+    steps = z[:, None] + np.arange(SHIFT)
+    powers = [(b, k, y ** (-2.0 * k)) for k, b in enumerate(BERNOULLI, start=1)]
+    value = (y - 0.5) * np.log(y) - y + HALF_LOG_TWO_PI + y * sum(b / (2 * k * (2 * k - 1)) * p for b, k, p in powers)
+    slope = np.log(y) - 0.5 / y - sum(b / (2 * k) * p for b, k, p in powers)
+    curvature = 1 / y + 0.5 / (y * y) + sum(b * p for b, _, p in powers) / y
+    return (
+        value - np.log(steps).sum(axis=1),
+        slope - (1 / steps).sum(axis=1),
+        curvature + (1 / (steps * steps)).sum(axis=1),
+    )
 
 
 def hyp2f1(a: Column, b: Column, c: Column, z: Column) -> Column:

@@ -10,16 +10,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from patronlens.config import RunConfig
-from patronlens.functions.special import hyp2f1, hyp2f1_near_one, log_gamma, log_gamma_columns
+from patronlens.functions.special import hyp2f1, hyp2f1_near_one, log_gamma
 from patronlens.operators.ranking import RankSpec, rank_cuts
 from patronlens.schemas import CLV_COLUMNS
 from patronlens.sources.staging import stage
@@ -55,140 +54,82 @@ def _value(x: float) -> Column:
     return F.lit(float(x))
 
 
-def _number(x: float) -> str:
-    return f"({float(x)!r}D)"
+def purchase_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
+    """Weighted sums of the log-likelihood ``t``, its slopes ``t0`` to ``t3`` by r,
+    alpha, a and b, and its curvatures ``t00`` to ``t33``, over ``x, seen, age, weight``.
 
-
-@dataclass(frozen=True)
-class FitRows:
-    """What a likelihood is summed over: the rows, and their weights per number
-    of repeat purchases ``x``.
-
-    All gamma functions depend on ``x`` alone, so they are evaluated once per
-    distinct number and the pass over the rows stays short and cheap.
+    Gamma functions depend on ``x`` alone and are evaluated once per distinct one in a batch.
     """
+    r, alpha, a, b = (params[n] for n in PURCHASE_PARAMETERS)
+    log_alpha = math.log(alpha)
+
+    def terms(x: np.ndarray, seen: np.ndarray, age: np.ndarray) -> dict[str, np.ndarray]:
+        counts, which = np.unique(x, return_inverse=True)
+        gammas = [log_gamma(z + counts) for z in (r, b, a + b)]
+        (lg_r, dg_r, tg_r), (lg_b, dg_b, tg_b), (lg_ab, dg_ab, tg_ab) = [
+            [(there - here)[which] for there, here in zip(gamma, log_gamma(np.array([z])))]
+            for gamma, z in zip(gammas, (r, b, a + b))
+        ]
+        log_age, log_seen = np.log(alpha + age), np.log(alpha + seen)
+        by_age, by_seen = 1 / (alpha + age), 1 / (alpha + seen)
+        by_past = 1 / (b + np.maximum(x, 1) - 1)
+        alive = -(r + x) * log_age
+        gone = np.where(x > 0, math.log(a) + np.log(by_past) - (r + x) * log_seen, -np.inf)
+        top = np.maximum(alive, gone)
+        t = top + np.log(np.exp(alive - top) + np.exp(gone - top))
+        u = np.exp(gone - t)
+        w = 1 - u
+        uw = u * w
+        # Slopes of the gone branch minus those of the alive branch.
+        e0, e1, e2, e3 = log_age - log_seen, (r + x) * (by_age - by_seen), 1 / a, -by_past
+        return {
+            "t": t + lg_r + lg_b - lg_ab + r * log_alpha,
+            "t0": u * e0 - log_age + dg_r + log_alpha,
+            "t1": u * e1 - (r + x) * by_age + r / alpha,
+            "t2": u * e2 - dg_ab,
+            "t3": u * e3 + dg_b - dg_ab,
+            "t00": uw * e0 * e0 + tg_r,
+            "t01": uw * e0 * e1 - w * by_age - u * by_seen + 1 / alpha,
+            "t02": uw * e0 * e2,
+            "t03": uw * e0 * e3,
+            "t11": uw * e1 * e1 + (r + x) * (w * by_age**2 + u * by_seen**2) - r / alpha**2,
+            "t12": uw * e1 * e2,
+            "t13": uw * e1 * e3,
+            "t22": (uw - u) * e2 * e2 - tg_ab,
+            "t23": uw * e2 * e3 - tg_ab,
+            "t33": (uw + u) * e3 * e3 + tg_b - tg_ab,
+        }
 
-    rows: DataFrame
-    counts: DataFrame
-
-    @classmethod
-    def of(cls, rows: DataFrame) -> FitRows:
-        return cls(rows, rows.groupBy("x").agg(F.sum("weight").alias("weight")))
-
-    @contextmanager
-    def kept(self) -> Iterator[FitRows]:
-        """The same rows, kept in memory or on disk while a fit passes over them."""
-        tables = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (self.rows, self.counts)]
-        try:
-            yield FitRows(*tables)
-        finally:
-            for df in tables:
-                df.unpersist()
-
-
-def purchase_terms(data: FitRows, params: dict[str, float]) -> DataFrame:
-    """Parts of the log-likelihood ``t``, its slopes ``t0`` to ``t3`` by r, alpha,
-    a and b, and its curvatures ``t00`` to ``t33``, each to be weighted and summed.
+    return summed_terms(rows, ["x", "seen", "age"], terms, len(PURCHASE_PARAMETERS))
+
+
+def value_terms(rows: DataFrame, params: dict[str, float]) -> DataFrame:
+    """Weighted sums of the log-likelihood ``t``, its slopes ``t0`` to ``t2`` by p, q and
+    v, and its curvatures ``t00`` to ``t22``, over ``x, mean, weight``."""
+    p, q, v = (params[n] for n in VALUE_PARAMETERS)
+
+    def terms(x: np.ndarray, mean: np.ndarray) -> dict[str, np.ndarray]:
+        counts, which = np.unique(x, return_inverse=True)
+        lg_px, dg_px, tg_px = (g[which] for g in log_gamma(p * counts))
+        lg_pxq, dg_pxq, tg_pxq = (g[which] for g in log_gamma(p * counts + q))
+        lg_q, dg_q, tg_q = log_gamma(np.array([q]))
+        px, log_x, log_mean = p * x, np.log(x), np.log(mean)
+        by_total = 1 / (x * mean + v)
+        spread = -np.log(by_total)
+        return {
+            "t": (px - 1) * log_mean - (px + q) * spread + lg_pxq - lg_px + px * log_x + q * math.log(v) - lg_q,
+            "t0": x * (log_mean - spread + dg_pxq - dg_px + log_x),
+            "t1": -spread + dg_pxq + math.log(v) - dg_q,
+            "t2": -(px + q) * by_total + q / v,
+            "t00": x * x * (tg_pxq - tg_px),
+            "t01": x * tg_pxq,
+            "t02": -x * by_total,
+            "t11": tg_pxq - tg_q,
+            "t12": -by_total + 1 / v,
+            "t22": (px + q) * by_total**2 - q / v**2,
+        }
 
-    Written as SQL text: the plan is built anew for every candidate, and text is
-    the quickest to build. What no row changes is computed beforehand.
-    """
-    r, alpha, a, b = (_number(params[n]) for n in PURCHASE_PARAMETERS)
-    (lg_r, dg_r, tg_r), (lg_b, dg_b, tg_b), (lg_ab, dg_ab, tg_ab) = (
-        log_gamma(z) for z in (params["r"], params["b"], params["a"] + params["b"])
-    )
-    log_alpha = math.log(params["alpha"])
-    per_count = data.counts.selectExpr(
-        "weight",
-        *log_gamma_columns("r", f"{r} + x"),
-        *log_gamma_columns("b", f"{b} + x"),
-        *log_gamma_columns("ab", f"{a} + {b} + x"),
-        f"lg_r + lg_b - lg_ab + {_number(params['r'] * log_alpha - lg_r + lg_ab - lg_b)} AS t",
-        f"dg_r + {_number(log_alpha - dg_r)} AS t0",
-        f"{r} / {alpha} AS t1",
-        f"{_number(dg_ab)} - dg_ab AS t2",
-        f"dg_b - dg_ab + {_number(dg_ab - dg_b)} AS t3",
-        f"tg_r - {_number(tg_r)} AS t00",
-        f"1D / {alpha} AS t01",
-        f"-{r} / ({alpha} * {alpha}) AS t11",
-        f"{_number(tg_ab)} - tg_ab AS t22",
-        f"{_number(tg_ab)} - tg_ab AS t23",
-        f"tg_b - tg_ab + {_number(tg_ab - tg_b)} AS t33",
-    )
-    per_row = data.rows.selectExpr(
-        "weight AS customers",
-        "weight",
-        f"ln({alpha} + age) AS log_age",
-        f"ln({alpha} + seen) AS log_seen",
-        f"1D / ({alpha} + age) AS by_age",
-        f"1D / ({alpha} + seen) AS by_seen",
-        f"1D / ({b} + greatest(x, 1D) - 1D) AS by_past",
-        f"-({r} + x) * log_age AS alive",
-        f"CASE WHEN x > 0 THEN ln({a}) + ln(by_past) - ({r} + x) * log_seen END AS gone",
-        "greatest(alive, gone) AS top",
-        "top + ln(exp(alive - top) + coalesce(exp(gone - top), 0D)) AS t",
-        "coalesce(exp(gone - t), 0D) AS u",
-        "1D - u AS w",
-        "u * w AS uw",
-        # Slopes of the gone branch minus those of the alive branch.
-        "log_age - log_seen AS e0",
-        f"({r} + x) * (by_age - by_seen) AS e1",
-        f"1D / {a} AS e2",
-        "-by_past AS e3",
-        "u * e0 - log_age AS t0",
-        f"u * e1 - ({r} + x) * by_age AS t1",
-        "u * e2 AS t2",
-        "u * e3 AS t3",
-        "uw * e0 * e0 AS t00",
-        "uw * e0 * e1 - w * by_age - u * by_seen AS t01",
-        "uw * e0 * e2 AS t02",
-        "uw * e0 * e3 AS t03",
-        f"uw * e1 * e1 + ({r} + x) * (w * by_age * by_age + u * by_seen * by_seen) AS t11",
-        "uw * e1 * e2 AS t12",
-        "uw * e1 * e3 AS t13",
-        "(uw - u) * e2 * e2 AS t22",
-        "uw * e2 * e3 AS t23",
-        "(uw + u) * e3 * e3 AS t33",
-    )
-    return _summed(per_row, per_count, len(PURCHASE_PARAMETERS))
-
-
-def value_terms(data: FitRows, params: dict[str, float]) -> DataFrame:
-    """Parts of the log-likelihood ``t``, its slopes ``t0`` to ``t2`` by p, q and
-    v, and its curvatures ``t00`` to ``t22``, each to be weighted and summed."""
-    p, q, v = (_number(params[n]) for n in VALUE_PARAMETERS)
-    lg_q, dg_q, tg_q = log_gamma(params["q"])
-    log_v = math.log(params["v"])
-    per_count = data.counts.selectExpr(
-        "weight",
-        *log_gamma_columns("px", f"{p} * x"),
-        *log_gamma_columns("pxq", f"{p} * x + {q}"),
-        f"lg_pxq - lg_px + {p} * x * ln(x) + {_number(params['q'] * log_v - lg_q)} AS t",
-        "x * (dg_pxq - dg_px + ln(x)) AS t0",
-        f"dg_pxq + {_number(log_v - dg_q)} AS t1",
-        f"{q} / {v} AS t2",
-        "x * x * (tg_pxq - tg_px) AS t00",
-        "x * tg_pxq AS t01",
-        f"tg_pxq - {_number(tg_q)} AS t11",
-        f"1D / {v} AS t12",
-        f"-{q} / ({v} * {v}) AS t22",
-    )
-    per_row = data.rows.selectExpr(
-        "weight AS customers",
-        "weight",
-        f"{p} * x AS px",
-        "ln(mean) AS log_mean",
-        f"1D / (x * mean + {v}) AS by_total",
-        "-ln(by_total) AS spread",
-        f"(px - 1D) * log_mean - (px + {q}) * spread AS t",
-        "x * (log_mean - spread) AS t0",
-        "-spread AS t1",
-        f"-(px + {q}) * by_total AS t2",
-        "-x * by_total AS t02",
-        "-by_total AS t12",
-        f"(px + {q}) * by_total * by_total AS t22",
-    )
-    return _summed(per_row, per_count, len(VALUE_PARAMETERS))
+    return summed_terms(rows, ["x", "mean"], terms, len(VALUE_PARAMETERS))
 
 
 def _term_names(size: int) -> list[str]:
@@ -197,12 +138,27 @@ def _term_names(size: int) -> list[str]:
     return ["t", *[f"t{i}" for i in range(size)], *pairs]
 
 
-def _summed(per_row: DataFrame, per_count: DataFrame, size: int) -> DataFrame:
-    """Weighted sums of both parts in one row, from one job."""
-    names = _term_names(size)
-    rows = per_row.select("customers", *[F.expr(f"weight * {n}").alias(n) for n in names if n in per_row.columns])
-    counts = per_count.select(*[F.expr(f"weight * {n}").alias(n) for n in names if n in per_count.columns])
-    return rows.unionByName(counts, allowMissingColumns=True).agg(*[F.sum(c).alias(c) for c in ["customers", *names]])
+def summed_terms(
+    rows: DataFrame, columns: list[str], terms: Callable[..., dict[str, np.ndarray]], size: int
+) -> DataFrame:
+    """One row: the weight of all rows as ``customers``, and the weighted sum of every term.
+
+    Tasks sum their own rows in numpy, so one candidate differs from the next in a few numbers only: no expression is
+    analysed or compiled for it.
+    """
+    names = ["customers", *_term_names(size)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(names))
+        for batch in batches:
+            weight, *values = (batch.column(k).to_numpy() for k in range(batch.num_columns))
+            if len(weight):
+                found = terms(*values)
+                total += [weight.sum(), *(weight @ found[n] for n in names[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], names)
+
+    parts = rows.select("weight", *columns).mapInArrow(run, ", ".join(f"{n} double" for n in names))
+    return parts.agg(*[F.sum(n).alias(n) for n in names])
 
 
 @dataclass(frozen=True)
@@ -215,7 +171,7 @@ class Evaluation:
 
 
 def penalised_objective(
-    data: FitRows, names: list[str], terms: Callable[[FitRows, dict[str, float]], DataFrame], penalizer: float
+    rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
 ) -> Callable[[np.ndarray], Evaluation]:
     """Objective with its derivatives by the log-parameters.
 
@@ -226,7 +182,7 @@ def penalised_objective(
 
     def evaluate(log_params: np.ndarray) -> Evaluation:
         values = np.exp(log_params)
-        row = terms(data, dict(zip(names, values.tolist()))).first()
+        row = terms(rows, dict(zip(names, values.tolist()))).first()
         mean = {c: row[c] / row["customers"] for c in _term_names(size)}
         slopes = np.array([-mean[f"t{i}"] for i in range(size)]) + 2.0 * penalizer * values
         bends = 2.0 * penalizer * np.eye(size)
@@ -289,10 +245,9 @@ def minimise(
 
 
 def _fit(
-    rows: DataFrame, names: list[str], terms: Callable[[FitRows, dict[str, float]], DataFrame], penalizer: float
+    rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
 ) -> Fit:
-    with FitRows.of(rows).kept() as data:
-        found = minimise(penalised_objective(data, names, terms, penalizer), np.full(len(names), 0.1))
+    found = minimise(penalised_objective(rows, names, terms, penalizer), np.full(len(names), 0.1))
     return Fit(dict(zip(names, np.exp(found.point).tolist())), found.value, found.evaluations, found.slope)
 
 

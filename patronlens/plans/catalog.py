@@ -277,13 +277,13 @@ def q_clv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bgnbd_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-likelihood at the fixed parameters, summed over the customers."""
     rows = stage(clv.purchase_histories(features.rfm(star_orders(spark, sf_dir), STAR)), "purchase_histories")
-    sums = clv.purchase_terms(clv.FitRows.of(rows), PURCHASE_PARAMS)
+    sums = clv.purchase_terms(rows, PURCHASE_PARAMS)
     return plain(sums.select(F.col("t").alias("log_likelihood"), F.col("customers").alias("rows")), 4)
 
 
 def q_gg_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(clv.repeat_values(features.rfm(star_orders(spark, sf_dir), STAR)), "repeat_values")
-    sums = clv.value_terms(clv.FitRows.of(rows), VALUE_PARAMS)
+    sums = clv.value_terms(rows, VALUE_PARAMS)
     return plain(sums.select(F.col("t").alias("log_likelihood"), F.col("customers").alias("rows")), 4)
 
 
