@@ -28,6 +28,11 @@ STAR = RunConfig(snapshot="2001-01-01", orders_at_midnight=True)
 EVENTS = RunConfig(snapshot="2024-01-25", churn_window_days=2, min_customers=10)
 
 # Published parameter estimates (alpha turned from weeks to days).
+LONG_HORIZON = 36_000.0
+LONG_PARAMS = {
+    "few_leave": {"r": 0.243, "alpha": 0.1, "a": 0.793, "b": 2.426},
+    "many_leave": {"r": 0.243, "alpha": 0.1, "a": 1.7, "b": 2.426},
+}
 PURCHASE_PARAMS = {"r": 0.243, "alpha": 30.898, "a": 0.793, "b": 2.426}
 VALUE_PARAMS = {"p": 6.25, "q": 3.74, "v": 15.44}
 
@@ -287,6 +292,35 @@ def q_gg_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(sums.select(F.col("t").alias("log_likelihood"), F.col("customers").alias("rows")), 4)
 
 
+def q_bgnbd_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean slopes of the log-likelihood at the fixed parameters."""
+    rows = stage(clv.purchase_histories(features.rfm(star_orders(spark, sf_dir), STAR)), "purchase_histories")
+    sums = clv.purchase_terms(rows, PURCHASE_PARAMS)
+    slopes = [(F.col(f"t{i}") / F.col("customers")).alias(f"by_{n}") for i, n in enumerate(clv.PURCHASE_PARAMETERS)]
+    return plain(sums.select(*slopes), 5)
+
+
+def q_gg_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stage(clv.repeat_values(features.rfm(star_orders(spark, sf_dir), STAR)), "repeat_values")
+    sums = clv.value_terms(rows, VALUE_PARAMS)
+    slopes = [(F.col(f"t{i}") / F.col("customers")).alias(f"by_{n}") for i, n in enumerate(clv.VALUE_PARAMETERS)]
+    return plain(sums.select(*slopes), 5)
+
+
+def q_bgnbd_purchases_long_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases while active of every history over a century, where the series has its argument near one."""
+    pairs = clv.clv_inputs(features.rfm(star_orders(spark, sf_dir), STAR)).select("repeat_purchases", "T").distinct()
+    x, age = F.col("repeat_purchases").cast("double"), F.col("T").cast("double")
+    return plain(
+        pairs.select(
+            "repeat_purchases",
+            "T",
+            *[clv.purchases_while_active(p, LONG_HORIZON, x, age).alias(n) for n, p in LONG_PARAMS.items()],
+        ),
+        3,
+    )
+
+
 def q_bgnbd_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit = clv.fit_purchase_model(features.rfm(star_orders(spark, sf_dir), STAR), STAR)
     return sinks.parameter_table(spark, "purchases", fit.params)

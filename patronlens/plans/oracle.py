@@ -6,7 +6,7 @@ by row, and gamma terms use the engine's own ``lgamma``.
 
 from __future__ import annotations
 
-from patronlens.plans.catalog import EVENTS, PURCHASE_PARAMS, STAR, VALUE_PARAMS
+from patronlens.plans.catalog import EVENTS, LONG_HORIZON, LONG_PARAMS, PURCHASE_PARAMS, STAR, VALUE_PARAMS
 from patronlens.schemas import FEATURES
 
 
@@ -221,6 +221,50 @@ SELECT {rnd(f'''sum(lgamma({p} * x + {q}) - lgamma({p} * x) - lgamma({q}) + {q}
        {rnd('count(*)', 4)} AS rows FROM hist WHERE x > 0"""
 
 
+def _shifted(params: dict[str, float], name: str, by: float) -> dict[str, str]:
+    return {k: f"{v + (by if k == name else 0.0)!r}::DOUBLE" for k, v in params.items()}
+
+
+def _slopes(params: dict[str, float], row_term, source: str) -> str:
+    """Central differences of a row's log-likelihood, averaged."""
+    step = 1e-5
+    columns = []
+    for name in params:
+        up, down = (row_term(_shifted(params, name, d)) for d in (step, -step))
+        columns.append(f"{rnd(f'avg(({up} - {down}) / {2 * step!r}::DOUBLE)', 5)} AS by_{name}")
+    return f"WITH {SCORED} SELECT {', '.join(columns)} FROM {source}"
+
+
+def _purchase_row(p: dict[str, str]) -> str:
+    r, alpha, a, b = (p[k] for k in ("r", "alpha", "a", "b"))
+    return f"""(lgamma({r} + x) - lgamma({r}) + {r} * ln({alpha}) + lgamma({a} + {b}) + lgamma({b} + x) - lgamma({b})
+        - lgamma({a} + {b} + x) + ln(pow({alpha} + age, -({r} + x))
+        + CASE WHEN x > 0 THEN {a} / ({b} + x - 1) * pow({alpha} + tx, -({r} + x)) ELSE 0 END))"""
+
+
+def _value_row(params: dict[str, str]) -> str:
+    p, q, v = (params[k] for k in ("p", "q", "v"))
+    return f"""(lgamma({p} * x + {q}) - lgamma({p} * x) - lgamma({q}) + {q} * ln({v}) + ({p} * x - 1) * ln(m)
+        + {p} * x * ln(x) - ({p} * x + {q}) * ln(x * m + {v}))"""
+
+
+def _long_horizon() -> str:
+    """The series of every distinct history, term by term."""
+    t = f"{LONG_HORIZON!r}::DOUBLE"
+    columns, sums = [], []
+    for name, params in LONG_PARAMS.items():
+        r, alpha, a, b = (f"{params[k]!r}::DOUBLE" for k in ("r", "alpha", "a", "b"))
+        first, second, third = f"({a} + {b} - 1 - {r})", f"({a} - 1)", f"({a} + {b} + x - 1)"
+        z = f"({t} / ({alpha} + age + {t}))"
+        sums.append(f"""1 + {second} * sum(exp(lgamma({first} + k) - lgamma({first}) + lgamma({second} + k) - lgamma({second} + 1)
+            - lgamma({third} + k) + lgamma({third}) - lgamma(k + 1) + k * ln({z}))) AS h_{name}""")
+        columns.append(rnd(f"{third} / {second} * (1 - pow(1 - {z}, {second}) * h_{name})", 3) + f" AS {name}")
+    return f"""WITH {SCORED},
+pairs AS (SELECT DISTINCT x, age FROM hist),
+summed AS (SELECT x, age, {', '.join(sums)} FROM pairs, range(1, 6000) AS terms(k) GROUP BY x, age)
+SELECT x::BIGINT AS repeat_purchases, age::BIGINT AS T, {', '.join(columns)} FROM summed"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name; fitted models have none."""
     star, events = f"WITH {STAR_FEATURES}", f"WITH {EVENT_FEATURES}"
@@ -278,6 +322,9 @@ def oracle_sql() -> dict[str, str]:
             {rnd('median(clv_12m)', 4)} AS median_clv_12m FROM scored""",
         "bgnbd_likelihood": _bgnbd_likelihood(),
         "gg_likelihood": _gg_likelihood(),
+        "bgnbd_gradient": _slopes(PURCHASE_PARAMS, _purchase_row, "hist"),
+        "gg_gradient": _slopes(VALUE_PARAMS, _value_row, "hist WHERE x > 0"),
+        "bgnbd_purchases_long_horizon": _long_horizon(),
         "model_rows": f"""{star} SELECT customer_id, recency::BIGINT AS recency, frequency::BIGINT AS frequency,
             {rnd('monetary')} AS monetary, R_score::BIGINT AS R_score, F_score::BIGINT AS F_score,
             M_score::BIGINT AS M_score, days_since_first_order::BIGINT AS days_since_first_order,
