@@ -7,7 +7,7 @@ from compare import compare, driver, duck
 from pyspark.sql import functions as F
 
 from patronlens.operators import features
-from patronlens.plans import catalog
+from patronlens.plans import catalog, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
 FITTED = {"bgnbd_params", "gg_params", "churn_scores", "feature_attribution"}
@@ -19,11 +19,12 @@ def con():
 
 
 def test_only_fitted_models_lack_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == FITTED
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(catalog.queries()) - set(oracle.oracle_sql()) == FITTED
+    assert set(oracle.oracle_sql()) <= set(catalog.queries())
+    assert set(catalog.queries()) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - FITTED))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - FITTED))
 def test_query_equals_its_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name) == ""
 
