@@ -15,7 +15,7 @@
 
 Groups are bounded: a task holds one block and one chunk of queries. Links are counted and reduced to spanning links in
 the task, never listed for all pairs. The sample, and with it the number of shards, is bounded (``SAMPLE`` rows,
-``MAX_SHARDS``); beyond that, shards have more blocks.
+``SAMPLE_BYTES``, ``MAX_SHARDS``); beyond that, shards have more blocks.
 
 Defined cases: vectors of different lengths are never linked, each length is searched by itself. The class id of a row is the
 smallest id it reaches by links, nulls last. Repeated rows are copies of each other, one stays. Rows that take no part have
@@ -39,6 +39,7 @@ from patronlens.sources.staging import stage
 
 COSINE = 0.9
 SAMPLE = 20_000
+SAMPLE_BYTES = 32_000_000
 SHARD = 2_000
 MAX_SHARDS = 1_000
 OVERLAP = 2
@@ -351,7 +352,8 @@ def true_links(classes: DataFrame, audited: list, dims: int, cosine: float) -> D
 
 def links_of_length(classes: DataFrame, dims: int, cosine: float, probes: int) -> tuple[DataFrame, float]:
     """Links among vectors of one length, and the audited recall."""
-    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("rep", "unit").collect()
+    most = min(SAMPLE, max(1, SAMPLE_BYTES // (8 * dims)))
+    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(most).select("rep", "unit").collect()
     total = classes.count()
     points = np.frombuffer(b"".join(r.unit for r in sample), "<f8").reshape(-1, dims)
     count = max(1, min(MAX_SHARDS, len(points) // 4, math.ceil(total / SHARD)))
