@@ -50,6 +50,9 @@ SECOND_BRANCH = 0.25
 # Share of equal slots from which a pair is compared exactly: six standard errors below the threshold.
 SKETCH_LEAST = 0.5
 MEMO_WORDS = 300_000
+# Up to so many classes with a possible partner (24 bytes each) are broadcast to the scan of the texts; beyond that, texts
+# are shuffled to them.
+WANTED_ROWS = 500_000
 
 _rng = np.random.default_rng(97)
 _FACTORS = (_rng.integers(1, 2**63, SLOTS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -210,8 +213,7 @@ def grouped(df: DataFrame) -> DataFrame:
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of whole groups, several small ones at a time; a group may span batches. Column ``start`` of the
-    metadata is not needed: rows of a group have equal (path, one, two)."""
+    """Tables of whole groups, several small ones at a time; a group may span batches."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -352,7 +354,8 @@ def class_links(docs: DataFrame, classes: DataFrame, signed: DataFrame, text: st
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, key: str) -> DataFrame:
-    """rep, shingles (packed) of the wanted documents. Stored ``wanted`` is broadcast only if its size allows it."""
+    """rep, shingles (packed) of the wanted documents. Stored ``wanted`` is broadcast only if its counted size allows it."""
+    wanted = F.broadcast(wanted) if wanted.count() <= WANTED_ROWS else wanted
     rows = docs.select(
         F.col(quoted(key)).alias("id2"), F.xxhash64(text_of(docs, text)).alias("mark2"), text_of(docs, text).alias("text")
     )
