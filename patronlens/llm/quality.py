@@ -110,11 +110,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 5) -> tupl
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     output = np.zeros((2, DIMENSIONS), np.float32)
     offset = np.zeros(2, np.float32)
-    ready = [(b, (c / c.sum()).astype(np.float32), y) for b, c, y in rows if len(b)]
+    ready = [r for r in rows if len(r[0])]
     done, steps_ = 0, max(1, EPOCHS * len(ready))
     for _ in range(EPOCHS):
         for k in rng.permutation(len(ready)):
-            buckets, weights, label = ready[k]
+            buckets, counts, label = ready[k]
+            weights = (counts / counts.sum()).astype(np.float32)
             rate = np.float32(RATE * (1 - done / steps_))
             done += 1
             own = vectors[buckets]
@@ -217,15 +218,26 @@ def fit(
         "total", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     within = within.where((F.col("total") <= sample_features) & (F.col("rank") <= sample_rows))
-    table = within.orderBy("rank").select("label", "buckets", "counts").toArrow()
-    rows = [
-        (np.frombuffer(b, "<u4").astype(np.int64), np.frombuffer(c, "<u4").astype(np.int64), y)
-        for y, b, c in zip(*(table.column(n).to_pylist() for n in ("label", "buckets", "counts")), strict=True)
-    ]
-    seen = {y for _, _, y in rows}
-    if len(seen) < 2:
-        return np.zeros(BUCKETS), -50.0 if seen == {0} else 50.0
-    return train(rows)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:  # the counts stay where Arrow put them
+            for label, buckets, counts in zip(*batch.columns, strict=True):
+                read = (np.frombuffer(v.as_buffer(), "<u4") for v in (buckets, counts))
+                rows.append((*read, label.as_py()))
+        seen = {y for _, _, y in rows}
+        if len(seen) == 2:
+            shares, offset = train(rows)
+        else:
+            shares, offset = np.zeros(BUCKETS), -50.0 if seen == {0} else 50.0
+        yield pa.RecordBatch.from_arrays([pa.array([shares.astype("<f8").tobytes()]), pa.array([offset])], ["shares", "offset"])
+
+    # One task holds the sample, whose size is bounded; only the numbers it learned come to the driver.
+    ordered = within.coalesce(1).sortWithinPartitions("rank").select("label", "buckets", "counts")
+    learned = ordered.mapInArrow(learn, "shares binary, offset double").first()
+    if learned is None:
+        return np.zeros(BUCKETS), 50.0
+    return np.frombuffer(learned["shares"], "<f8"), learned["offset"]
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", out: str = "score") -> DataFrame:
