@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from patronlens.llm.chunks import TextEncoder, id_lists, refuse_unknown, steps
 from patronlens.llm.common import fresh
+from patronlens.llm.memos import take_over
 
 NEVER = 2**30
 # Words of up to so many bytes are handled together as rows of one matrix, longer ones by themselves.
@@ -280,6 +281,7 @@ _READ: dict[int, Vocabulary] = {}
 
 def vocabulary(content: str) -> Vocabulary:
     """Tables of a vocabulary, built once in a Python worker."""
+    take_over("bpe", _READ.clear)
     key = zlib.crc32(content.encode())
     if key not in _READ:
         _READ.clear()

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from patronlens.llm.chunks import steps
 from patronlens.llm.common import fresh, quoted, same_columns, text_of
 from patronlens.llm.components import join_hot, local_roots, spread
+from patronlens.llm.memos import take_over
 from patronlens.sources.staging import stage
 
 SHINGLE = 5
@@ -68,6 +69,7 @@ class Shingles:
 
     def sets(self, texts: list[str]) -> list[np.ndarray]:
         """Sorted distinct 64-bit shingles of each text."""
+        take_over("shingles", self.known.clear)
         split = [t.lower().split() for t in texts]
         wanted: set[str] = set().union(*split)
         if len(self.known) + len(wanted) > MEMO_WORDS:

@@ -39,6 +39,7 @@ from tokenizers import Tokenizer
 
 from patronlens.llm.chunks import TextEncoder, refuse_unknown, steps
 from patronlens.llm.common import quoted, text_of
+from patronlens.llm.memos import take_over
 from patronlens.sources.staging import new_path, stage
 
 MAGIC = b"PLTOKBIT"
@@ -124,6 +125,7 @@ _TOKENIZERS: dict[int, tuple[TextEncoder, int]] = {}
 
 def _tokenizer(content: str) -> tuple[TextEncoder, int]:
     """The library's tokenizer behind a memo of words, and its vocabulary's size; once in a Python worker."""
+    take_over("token files", _TOKENIZERS.clear)
     key = zlib.crc32(content.encode())
     if key not in _TOKENIZERS:
         # A task has one core; the library's own threads would only wait for each other.
