@@ -17,8 +17,8 @@ import pyarrow as pa
 import regex
 
 # Pieces and words in one of a memo's two halves, the longest one worth remembering, and the text handled at a time.
-MEMO_PIECES = 600_000
-MEMO_WORDS = 400_000
+MEMO_PIECES = 450_000
+MEMO_WORDS = 350_000
 MEMO_CHARS = 32
 STEP_CHARS = 2_000_000
 
@@ -98,7 +98,7 @@ class TextEncoder:
         """Words and added tokens of a piece. No word equals an added token: those are cut out first."""
         if not special:
             # A blank and Latin letters are one word, the most frequent kind of piece.
-            if piece[1:].isalpha() and piece[0] == " " and max(piece) < "\u0250":
+            if piece[1:].isalpha() and piece[0] == " " and (piece.isascii() or max(piece) < "\u0250"):
                 return [piece]
             return self.word.findall(piece)
         out: list[str] = []
@@ -131,11 +131,16 @@ class TextEncoder:
         self.pieces.turn()
         cut = [pieces(t) for t in texts]
         found = [list(map(self.pieces.young.get, c)) for c in cut]
-        short = [k for k, ids in enumerate(found) if None in ids]
-        self.pieces.learn({p for k in short for p, ids in zip(cut[k], found[k]) if ids is None})
+        holes: list[tuple[int, int]] = []
+        for k, ids in enumerate(found):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                holes.append((k, at))
+        self.pieces.learn({cut[k][at] for k, at in holes})
         look = self.pieces.young
-        for k in short:
-            found[k] = [look[p] if ids is None else ids for p, ids in zip(cut[k], found[k])]
+        for k, at in holes:
+            found[k][at] = look[cut[k][at]]
         self.pieces.forget_long()
         joined = list(map(b"".join, found))
         counts = np.fromiter((len(j) // 4 for j in joined), np.int64, len(joined))
