@@ -9,13 +9,13 @@
    shards are united.
 4. Every class searches the blocks of its ``probes`` nearest centroids: greedily from the block's medoids with a beam,
    then on from every vector in range until no new one is found. Pairs are verified in double precision. A pair that meets
-   in several shards is counted in the first one that the searching class probes.
+   in several shards counts once if any of them found it: each sends what it found as bits, which are united.
 5. A sample of classes is compared with all others by brute force. If less than ``TARGET`` of their links were found, the
    search is repeated with twice the probes and beam; with all shards probed it ends.
 
 Groups are bounded: a task holds one block and one chunk of queries. Links are counted and reduced to spanning links in
-the task, never listed for all pairs. The sample, and with it the number of shards, is bounded (``SAMPLE`` rows,
-``SAMPLE_BYTES``, ``MAX_SHARDS``); beyond that, shards have more blocks.
+the task, never listed for all pairs; those to be united take a bit for each pair. The sample, and with it the number of
+shards, is bounded (``SAMPLE`` rows, ``SAMPLE_BYTES``, ``MAX_SHARDS``); beyond that, shards have more blocks.
 
 Defined cases: vectors of different lengths are never linked, each length is searched by itself. The class id of a row is the
 smallest id it reaches by links, nulls last. Repeated rows are copies of each other, one stays. Rows that take no part have
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm.common import quoted
-from patronlens.llm.components import local_roots, spread
+from patronlens.llm.components import spread
 from patronlens.sources.staging import stage
 
 COSINE = 0.9
@@ -241,7 +241,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
-        columns = [batch.column(k).to_numpy() for k in keys]
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
         change = np.zeros(max(0, batch.num_rows - 1), bool)
         for c in columns:
             change |= c[1:] != c[:-1]
@@ -280,34 +280,85 @@ def build_graph(members: DataFrame, dims: int) -> DataFrame:
     return stage(lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")), "graph")
 
 
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
+# What a block found of the pairs that meet in other blocks too: a row of bits per asking class, a bit per member.
+FOUND = pa.schema(
+    [("cell", pa.string()), ("asks", pa.list_(pa.int64())), ("weights", pa.list_(pa.int64())), ("bits", pa.binary())]
+)
+
+
 def search_blocks(assigned: DataFrame, members: DataFrame, graph: DataFrame, shards: DataFrame, dims: int, cosine: float, beam: int) -> DataFrame:
-    """Stored: a, b (of one component), links: per searching class and block."""
+    """Stored: a, b (of one component), links: of each searching class, in any number of rows."""
     nodes = members.join(graph, "rep").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    nodes = nodes.select("shard", "block", "chunk", F.lit(0).alias("kind"), "rep", "n", "unit", F.col("members").alias("shards"), "neighbours")
+    nodes = nodes.withColumns({"kind": F.lit(0), "shards": F.col("members"), "hash": F.xxhash64("rep")})
     asks = assigned.select("rep", "n", "unit", "probes", F.explode("probes").alias("shard")).join(F.broadcast(shards), "shard")
-    asks = asks.withColumn("chunk", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("chunks")).cast("int"))
+    asks = asks.withColumn("hash", F.xxhash64("rep", F.lit(1)))
+    asks = asks.withColumn("chunk", F.pmod("hash", F.col("chunks")).cast("int"))
     asks = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    none = F.lit(None).cast("array<long>")
-    asks = asks.select("shard", "block", "chunk", F.lit(1).alias("kind"), "rep", "n", "unit", F.col("probes").alias("shards"), none.alias("neighbours"))
+    asks = asks.withColumns({"kind": F.lit(1), "shards": F.col("probes"), "neighbours": F.lit(None).cast("array<long>")})
+    columns = ["shard", "block", "chunk", "kind", "rep", "n", "unit", "shards", "neighbours", "hash"]
+    parts = {r.shard: (r.blocks, r.chunks) for r in shards.collect()}  # at most MAX_SHARDS rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["shard", "block", "chunk"]):
-            rows = _block_links(table, dims, cosine, beam)
-            columns = list(zip(*rows)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "links"])
+            links, found = _block_links(table, dims, cosine, beam, parts)
+            for some in (links, found):
+                size = len(some[0])
+                each = {name: pa.array(c, t) for (name, t), c in zip(_typed(LINKS if some is links else FOUND), some)}
+                yield pa.RecordBatch.from_arrays(
+                    [each[name] if name in each else pa.nulls(size, t) for name, t in _typed([*LINKS, *FOUND])],
+                    [*LINKS.names, *FOUND.names],
+                )
 
     keys = ["shard", "block", "chunk"]
-    rows = nodes.unionByName(asks).repartition(*keys).sortWithinPartitions(*keys, "kind", "rep")
-    return stage(rows.mapInArrow(run, "a long, b long, links long"), "vector-links")
+    rows = nodes.select(columns).unionByName(asks.select(columns)).repartition(*keys).sortWithinPartitions(*keys, "kind", "rep")
+    schema = "a long, b long, links long, cell string, asks array<long>, weights array<long>, bits binary"
+    rows = stage(rows.mapInArrow(run, schema), "block-links")
+    once = rows.where(F.col("cell").isNull()).select("a", "b", "links")
+    return stage(once.unionByName(united(rows.where(F.col("cell").isNotNull()).select(FOUND.names))), "vector-links")
+
+
+def _typed(fields) -> list[tuple[str, pa.DataType]]:
+    return [(f.name, f.type) for f in fields]
 
 
-def _block_links(table: pa.Table, dims: int, cosine: float, beam: int) -> list[tuple[int, int, int]]:
+def united(found: DataFrame) -> DataFrame:
+    """a, b (the same), links: of pairs that several blocks may have found, each counted once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["cell"]):
+            weights = table.column("weights")[0].values.to_numpy()
+            asks = [a.values.to_numpy() for a in table.column("asks")]
+            names = np.unique(np.concatenate(asks))
+            seen = np.zeros((len(names), len(weights)), bool)
+            for own, bits in zip(asks, table.column("bits")):
+                rows = np.frombuffer(bits.as_buffer(), np.uint8).reshape(len(own), -1)
+                seen[np.searchsorted(names, own)] |= np.unpackbits(rows, axis=1, count=len(weights)).view(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (names, names, seen @ weights)], schema=LINKS)
+
+    return found.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long, links long")
+
+
+def roots_of(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index that each of ``size`` items reaches over the pairs (a, b)."""
+    root = np.arange(size)
+    while len(a):
+        x, y = root[a], root[b]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return root
+
+
+def _block_links(table: pa.Table, dims: int, cosine: float, beam: int, parts: dict[int, tuple[int, int]]) -> tuple[list, list]:
+    """Columns of ``LINKS``, with pairs that meet here only, and of ``FOUND``, with those that meet in other shards too."""
     kind = table.column("kind").to_numpy()
     split = int((kind == 0).sum())
     if split == 0 or split == len(kind):
-        return []
+        return [[]] * 3, [[]] * 4
     rep, n, unit = table.column("rep").to_numpy(), table.column("n").to_numpy(), matrix(table.column("unit"), dims)
-    shard = int(table.column("shard")[0].as_py())
     lists = table.column("neighbours").slice(0, split).to_pylist()
     width = max(1, max(map(len, lists)))
     graph = np.full((split, width), -1, np.int64)
@@ -319,16 +370,53 @@ def _block_links(table: pa.Table, dims: int, cosine: float, beam: int) -> list[t
     asks, nodes = search(unit[:split], graph, unit[split:], cosine, beam)
     other = rep[split + asks] != rep[nodes]
     asks, nodes = asks[other], nodes[other]
-    shards = table.column("shards").to_pylist()
-    inside = [set(s) for s in shards[:split]]
-    first = [next(s for s in shards[split + a] if s in inside[m]) == shard for a, m in zip(asks.tolist(), nodes.tolist())]
-    asks, nodes = asks[first], nodes[first]
     own = np.unique(rep, return_inverse=True)
     a, b = own[1][split + asks], own[1][nodes]
-    roots = local_roots(len(own[0]), a.tolist(), b.tolist())
-    links = np.bincount(a, n[nodes], len(own[0]))
+    roots = roots_of(len(own[0]), a, b)
     touched = np.union1d(a, b)
-    return [(int(own[0][k]), int(own[0][roots[k]]), int(links[k])) for k in touched.tolist()]
+    # Shards that both meet in.
+    held = np.array(table.column("shards").slice(0, split).to_pylist())
+    names, place = np.unique(held, return_inverse=True)
+    place = place.reshape(held.shape)
+    probed = np.array(table.column("shards").slice(split).to_pylist())
+    column = np.minimum(np.searchsorted(names, probed), len(names) - 1)
+    row, k = np.nonzero(names[column] == probed)
+    asked = np.zeros((len(probed), len(names)), bool)
+    asked[row, column[row, k]] = True
+    meet = sum(asked[asks, place[nodes, j]].astype(np.int64) for j in range(held.shape[1]))
+    once = meet == 1
+    links = np.bincount(a[once], n[nodes[once]], len(own[0])).astype(np.int64)
+    hashes = table.column("hash").to_numpy()
+    found = _bits(asks[~once], nodes[~once], rep, n[:split], held, hashes[:split], hashes[split:], parts)
+    return [own[0][touched], own[0][roots[touched]], links[touched]], found
+
+
+def _bits(asks, nodes, rep, n, held, node_hash, ask_hash, parts) -> list:
+    """Columns of ``FOUND``. A cell is the members that lie in the same block of each of their shards, and a chunk of
+    classes that ask, so every block that holds some of a cell holds all of it, in the same order."""
+    out: list[list] = [[], [], [], []]
+    if not len(asks):
+        return out
+    shards = np.sort(held, axis=1)
+    blocks = np.array([[parts[s][0] for s in row] for row in shards.tolist()])
+    cells, cell = np.unique(np.hstack([shards, node_hash[:, None] % blocks]), axis=0, return_inverse=True)
+    cell = cell.reshape(-1)
+    chunks = np.array([parts[s][1] for s in cells[:, 0].tolist()])
+    chunk = ask_hash[asks] % chunks[cell[nodes]]
+    order = np.lexsort((chunk, cell[nodes]))
+    asks, nodes, chunk = asks[order], nodes[order], chunk[order]
+    at = cell[nodes]
+    edges = np.nonzero(np.diff(at, prepend=-1) | np.diff(chunk, prepend=-1))[0].tolist()
+    for start, stop in zip(edges, [*edges[1:], len(at)]):
+        inside = np.nonzero(cell == at[start])[0]
+        own, row = np.unique(asks[start:stop], return_inverse=True)
+        bits = np.zeros((len(own), len(inside)), bool)
+        bits[row, np.searchsorted(inside, nodes[start:stop])] = True
+        out[0].append(",".join(map(str, [*cells[at[start]].tolist(), int(chunk[start])])))
+        out[1].append(rep[len(n) + own])
+        out[2].append(n[inside])
+        out[3].append(np.packbits(bits, axis=1).tobytes())
+    return out
 
 
 def true_links(classes: DataFrame, audited: list, dims: int, cosine: float) -> DataFrame:

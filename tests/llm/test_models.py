@@ -246,6 +246,26 @@ def test_graph_reaches_every_member():
     assert len(seen) >= 0.98 * len(units) and (graph >= 0).sum(axis=1).max() <= vector_graph.DEGREE
 
 
+def test_link_that_only_the_second_shared_shard_finds(spark):
+    # The asking class 99 probes shards 0 and 1. Vector 50 lies in both; only in shard 1 does a link (from 0) lead to it.
+    def near(k):
+        return np.eye(24)[0] + 0.1 * np.eye(24)[k]
+
+    units = {0: near(20), 1: near(21), 50: near(22), 99: near(23)} | {k: np.eye(24)[k] for k in range(2, 16)}
+    units = {k: (v / np.linalg.norm(v)).astype("<f8").tobytes() for k, v in units.items()}
+    n = {0: 1, 1: 5, 50: 7}
+    held = {0: [1, 2], 1: [0, 1], 50: [1, 0], 99: [3, 2]} | {k: [0, 1] for k in range(2, 16)}
+    rows = [(k, n.get(k, 1), units[k], held[k], [0, 1] if k == 99 else [3, 2]) for k in units]
+    assigned = spark.createDataFrame(rows, "rep long, n long, unit binary, members array<int>, probes array<int>")
+    shards = spark.createDataFrame([(s, 1, 1) for s in range(4)], "shard int, blocks int, chunks int")
+    graph = spark.createDataFrame([(k, [50] if k == 0 else []) for k in units], "rep long, neighbours array<long>")
+    members = vector_graph.member_rows(assigned, shards)
+    found = vector_graph.search_blocks(assigned, members, graph, shards, 24, 0.9, 24).collect()
+    # Class 1 is found in both shards and counted once.
+    assert sum(r.links for r in found if r.a == 99) == 1 + 5 + 7
+    assert {r.a for r in found if r.b == 0} >= {50, 99}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     odd = [(0, None), (1, []), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, 2.0]), (7, [1.0, 2.0]),
