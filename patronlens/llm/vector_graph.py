@@ -10,8 +10,10 @@
 4. Every class searches the blocks of its ``probes`` nearest centroids: greedily from the block's medoids with a beam,
    then on from every vector in range until no new one is found. Pairs are verified in double precision. A pair that meets
    in several shards counts once if any of them found it: each sends what it found as bits, which are united.
-5. A sample of classes is compared with all others by brute force. If less than ``TARGET`` of their links were found, the
-   search is repeated with twice the probes and beam; with all shards probed it ends.
+5. Sampled classes are compared with all others by brute force, ``AUDIT`` of them and more until ``AUDIT_LINKED`` have links,
+   or the sample ends. A class's recall is the share of its linked classes that were found. Recall is the mean over classes
+   with links, or that over those outside the largest component, if it is less. If it is below ``TARGET``, the search is
+   repeated with twice the probes and beam, with all shards probed up to ``MOST_BEAM``, at last by products of whole blocks.
 
 Groups are bounded: a task holds one block and one chunk of queries. Links are counted and reduced to spanning links in
 the task, never listed for all pairs; those to be united take a bit for each pair. The sample, and with it the number of
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm.common import quoted
-from patronlens.llm.components import spread
+from patronlens.llm.components import components, spread
 from patronlens.sources.staging import stage
 
 COSINE = 0.9
@@ -50,11 +52,13 @@ DEGREE = 24
 NEAREST = 64
 ALPHA = 1.2
 BEAM = 24
+MOST_BEAM = 192
 WIDE = 4
 STARTS = 8
 # From vectors this near the search goes on, beyond the range itself.
 EXPAND = 0.85
 AUDIT = 512
+AUDIT_LINKED = 200
 TARGET = 0.97
 
 
@@ -236,6 +240,12 @@ def _search_some(vectors, graph, own, seeds, cosine, beam) -> tuple[np.ndarray,
     return r[near], n[near]
 
 
+def products(vectors: np.ndarray, queries: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (query, member) of ``cosine`` or more."""
+    found = [np.nonzero(queries[low : low + 256] @ vectors.T >= cosine) for low in range(0, len(queries), 256)]
+    return np.concatenate([q + 256 * k for k, (q, _) in enumerate(found)]), np.concatenate([m for _, m in found])
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """One table per group of rows with equal keys; rows come sorted by them."""
     held: list[pa.RecordBatch] = []
@@ -280,16 +290,26 @@ def build_graph(members: DataFrame, dims: int) -> DataFrame:
     return stage(lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")), "graph")
 
 
-LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
+LINKS = pa.schema([(name, pa.int64()) for name in ("a", "b", "links", "partners")])
 # What a block found of the pairs that meet in other blocks too: a row of bits per asking class, a bit per member.
 FOUND = pa.schema(
     [("cell", pa.string()), ("asks", pa.list_(pa.int64())), ("weights", pa.list_(pa.int64())), ("bits", pa.binary())]
 )
 
 
-def search_blocks(assigned: DataFrame, members: DataFrame, graph: DataFrame, shards: DataFrame, dims: int, cosine: float, beam: int) -> DataFrame:
-    """Stored: a, b (of one component), links: of each searching class, in any number of rows."""
-    nodes = members.join(graph, "rep").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+def search_blocks(
+    assigned: DataFrame, members: DataFrame, graph: DataFrame, shards: DataFrame, dims: int, cosine: float, beam: int | None
+) -> DataFrame:
+    """Stored: a, b (of one component), links (rows), partners (classes): of each searching class, in any number of rows.
+
+    Without a beam, whole blocks are compared, every member in its nearest shard; all shards must be probed.
+    """
+    if beam is None:
+        nodes = members.where(F.col("members")[0] == F.col("shard")).withColumn("members", F.slice("members", 1, 1))
+        nodes = nodes.withColumn("neighbours", F.lit(None).cast("array<long>"))
+    else:
+        nodes = members.join(graph, "rep")
+    nodes = nodes.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     nodes = nodes.withColumns({"kind": F.lit(0), "shards": F.col("members"), "hash": F.xxhash64("rep")})
     asks = assigned.select("rep", "n", "unit", "probes", F.explode("probes").alias("shard")).join(F.broadcast(shards), "shard")
     asks = asks.withColumn("hash", F.xxhash64("rep", F.lit(1)))
@@ -312,9 +332,9 @@ def search_blocks(assigned: DataFrame, members: DataFrame, graph: DataFrame, sha
 
     keys = ["shard", "block", "chunk"]
     rows = nodes.select(columns).unionByName(asks.select(columns)).repartition(*keys).sortWithinPartitions(*keys, "kind", "rep")
-    schema = "a long, b long, links long, cell string, asks array<long>, weights array<long>, bits binary"
+    schema = "a long, b long, links long, partners long, cell string, asks array<long>, weights array<long>, bits binary"
     rows = stage(rows.mapInArrow(run, schema), "block-links")
-    once = rows.where(F.col("cell").isNull()).select("a", "b", "links")
+    once = rows.where(F.col("cell").isNull()).select(LINKS.names)
     return stage(once.unionByName(united(rows.where(F.col("cell").isNotNull()).select(FOUND.names))), "vector-links")
 
 
@@ -323,7 +343,7 @@ def _typed(fields) -> list[tuple[str, pa.DataType]]:
 
 
 def united(found: DataFrame) -> DataFrame:
-    """a, b (the same), links: of pairs that several blocks may have found, each counted once."""
+    """a, b (the same), links, partners: of pairs that several blocks may have found, each counted once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["cell"]):
@@ -334,9 +354,10 @@ def united(found: DataFrame) -> DataFrame:
             for own, bits in zip(asks, table.column("bits")):
                 rows = np.frombuffer(bits.as_buffer(), np.uint8).reshape(len(own), -1)
                 seen[np.searchsorted(names, own)] |= np.unpackbits(rows, axis=1, count=len(weights)).view(bool)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (names, names, seen @ weights)], schema=LINKS)
+            columns = (names, names, seen @ weights, seen.sum(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=LINKS)
 
-    return found.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long, links long")
+    return found.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long, links long, partners long")
 
 
 def roots_of(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -352,22 +373,25 @@ def roots_of(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _block_links(table: pa.Table, dims: int, cosine: float, beam: int, parts: dict[int, tuple[int, int]]) -> tuple[list, list]:
+def _block_links(table: pa.Table, dims: int, cosine: float, beam: int | None, parts: dict[int, tuple[int, int]]) -> tuple[list, list]:
     """Columns of ``LINKS``, with pairs that meet here only, and of ``FOUND``, with those that meet in other shards too."""
     kind = table.column("kind").to_numpy()
     split = int((kind == 0).sum())
     if split == 0 or split == len(kind):
-        return [[]] * 3, [[]] * 4
+        return [[]] * 4, [[]] * 4
     rep, n, unit = table.column("rep").to_numpy(), table.column("n").to_numpy(), matrix(table.column("unit"), dims)
-    lists = table.column("neighbours").slice(0, split).to_pylist()
-    width = max(1, max(map(len, lists)))
-    graph = np.full((split, width), -1, np.int64)
-    for k, neighbours in enumerate(lists):
-        ids = np.array(neighbours, np.int64)
-        place = np.minimum(np.searchsorted(rep[:split], ids), split - 1)
-        place = place[rep[place] == ids]  # those of other shards are reached there
-        graph[k, : len(place)] = place
-    asks, nodes = search(unit[:split], graph, unit[split:], cosine, beam)
+    if beam is None:
+        asks, nodes = products(unit[:split], unit[split:], cosine)
+    else:
+        lists = table.column("neighbours").slice(0, split).to_pylist()
+        width = max(1, max(map(len, lists)))
+        graph = np.full((split, width), -1, np.int64)
+        for k, neighbours in enumerate(lists):
+            ids = np.array(neighbours, np.int64)
+            place = np.minimum(np.searchsorted(rep[:split], ids), split - 1)
+            place = place[rep[place] == ids]  # those of other shards are reached there
+            graph[k, : len(place)] = place
+        asks, nodes = search(unit[:split], graph, unit[split:], cosine, beam)
     other = rep[split + asks] != rep[nodes]
     asks, nodes = asks[other], nodes[other]
     own = np.unique(rep, return_inverse=True)
@@ -388,7 +412,8 @@ def _block_links(table: pa.Table, dims: int, cosine: float, beam: int, parts: di
     links = np.bincount(a[once], n[nodes[once]], len(own[0])).astype(np.int64)
     hashes = table.column("hash").to_numpy()
     found = _bits(asks[~once], nodes[~once], rep, n[:split], held, hashes[:split], hashes[split:], parts)
-    return [own[0][touched], own[0][roots[touched]], links[touched]], found
+    partners = np.bincount(a[once], minlength=len(own[0]))
+    return [own[0][touched], own[0][roots[touched]], links[touched], partners[touched]], found
 
 
 def _bits(asks, nodes, rep, n, held, node_hash, ask_hash, parts) -> list:
@@ -420,34 +445,47 @@ def _bits(asks, nodes, rep, n, held, node_hash, ask_hash, parts) -> list:
 
 
 def true_links(classes: DataFrame, audited: list, dims: int, cosine: float) -> DataFrame:
-    """Links of the audited classes (``AUDIT`` at most) with all others, by brute force: rep, links."""
+    """By brute force, the number of other classes that the audited ones (part of the sample) are linked with: rep, truth."""
     shared = classes.sparkSession.sparkContext.broadcast(
         (np.array([r.rep for r in audited]), np.frombuffer(b"".join(r.unit for r in audited), "<f8").reshape(-1, dims))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reps, units = shared.value
-        total = np.zeros(len(reps))
+        total = np.zeros(len(reps), np.int64)
         for batch in batches:
-            close = matrix(batch.column(2), dims) @ units.T >= cosine
-            close &= batch.column(0).to_numpy()[:, None] != reps[None, :]
-            total += batch.column(1).to_numpy() @ close
-        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(total.astype(np.int64))], ["rep", "links"])
-
-    each = classes.select("rep", "n", "unit").mapInArrow(run, "rep long, links long")
-    return each.groupBy("rep").agg(F.sum("links").alias("truth"))
+            rep, unit = batch.column(0).to_numpy(), matrix(batch.column(1), dims)
+            for low in range(0, len(reps), AUDIT):
+                some = slice(low, low + AUDIT)
+                total[some] += ((unit @ units[some].T >= cosine) & (rep[:, None] != reps[None, some])).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(total)], ["rep", "links"])
+
+    each = classes.select("rep", "unit").mapInArrow(run, "rep long, links long")
+    return stage(each.groupBy("rep").agg(F.sum("links").alias("truth")), "audit")
+
+
+def audited_recall(truth: DataFrame, links: DataFrame) -> tuple[int, float | None, int, float | None]:
+    """Audited classes with links and their mean recall, and the same for those outside the largest component."""
+    found = links.groupBy(F.col("a").alias("rep")).agg(F.sum("partners").alias("found"), F.min("b").alias("root"))
+    largest = found.groupBy("root").agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("m"), "root").first()
+    seen = truth.where(F.col("truth") > 0).join(found, "rep", "left")
+    recall = F.least(F.coalesce("found", F.lit(0)) / F.col("truth"), F.lit(1.0))
+    outside = F.coalesce(F.col("root") != F.lit(largest.root if largest else None).cast("long"), F.lit(True))
+    return tuple(
+        seen.agg(F.count(F.lit(1)), F.avg(recall), F.count(F.when(outside, 1)), F.avg(F.when(outside, recall))).first()
+    )
 
 
-def links_of_length(classes: DataFrame, dims: int, cosine: float, probes: int) -> tuple[DataFrame, float]:
-    """Links among vectors of one length, and the audited recall."""
+def links_of_length(classes: DataFrame, dims: int, cosine: float, probes: int) -> tuple[DataFrame, float | None]:
+    """Links among vectors of one length, b being the root of a's component, and the audited recall."""
     most = min(SAMPLE, max(1, SAMPLE_BYTES // (8 * dims)))
     sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(most).select("rep", "unit").collect()
     total = classes.count()
     points = np.frombuffer(b"".join(r.unit for r in sample), "<f8").reshape(-1, dims)
     count = max(1, min(MAX_SHARDS, len(points) // 4, math.ceil(total / SHARD)))
     centers = centroids(points, count)
-    audited = sample[:AUDIT]
-    truth = stage(true_links(classes, audited, dims, cosine), "audit")
+    done = min(AUDIT, len(sample))
+    truth = true_links(classes, sample[:done], dims, cosine)
     graph, beam = None, BEAM
     while True:
         assigned = stage(assign(classes, centers, probes), "assigned")
@@ -460,16 +498,29 @@ def links_of_length(classes: DataFrame, dims: int, cosine: float, probes: int) -
         members = member_rows(assigned, shards)
         graph = build_graph(members, dims) if graph is None else graph
         links = search_blocks(assigned, members, graph, shards, dims, cosine, beam)
-        found = truth.join(links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("found")), "rep", "left")
-        there, got = found.agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("found", F.lit(0))))).first()
-        recall = got / there if there else 1.0
-        if recall >= TARGET or probes >= count:
+        counts = links.groupBy("a").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners"))
+        roots = components(links).select(F.col("node").alias("a"), "root")
+        links = counts.join(roots, "a", "left").select("a", F.coalesce("root", "a").alias("b"), "links", "partners")
+        links = stage(links, "rooted-links")
+        while True:
+            linked, all_, apart, outside = audited_recall(truth, links)
+            if apart >= AUDIT_LINKED or done == len(sample):
+                break
+            more = sample[done : 2 * done]
+            truth, done = truth.unionByName(true_links(classes, more, dims, cosine)), done + len(more)
+        # Null if no class of the sample has links; with all classes in the sample there are none then.
+        recall = min((r for r in (all_, outside) if r is not None), default=1.0 if done == total else None)
+        if recall is None or recall >= TARGET or beam is None:
             return links, recall
-        probes, beam = min(2 * probes, count), 2 * beam
+        if probes < count:
+            probes, beam = min(2 * probes, count), 2 * beam
+        else:
+            beam = 2 * beam if 2 * beam <= MOST_BEAM else None
 
 
 def report(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE, probes: int = PROBES) -> DataFrame:
-    """Per vector: key, n_links, component_id, kept, audited_recall (of its length's search; null if it took no part)."""
+    """Per vector: key, n_links, component_id, kept, audited_recall (of its length's search; null if it took
+    no part, or no sampled vector has links)."""
     rows = packed(vectors, key, embedding)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     classes = rows.where(F.col("dims") > 0).groupBy("dims", "digest").agg(
@@ -486,6 +537,6 @@ def report(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding"
         links, recall = links_of_length(own, dims, cosine, probes)
         part = spread(rows.where(F.col("dims") == dims).select("row", "id", "digest"), own, links)
         out = out.unionByName(
-            part.select("id", "n_links", F.col("class_id").alias("component_id"), "kept", F.lit(recall).alias("audited_recall"))
+            part.select("id", "n_links", F.col("class_id").alias("component_id"), "kept", F.lit(recall).cast("double").alias("audited_recall"))
         )
     return out.withColumnRenamed("id", key)

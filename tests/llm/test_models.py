@@ -266,6 +266,30 @@ def test_link_that_only_the_second_shared_shard_finds(spark):
     assert {r.a for r in found if r.b == 0} >= {50, 99}
 
 
+def test_recall_of_small_groups_beside_a_large_one(spark, monkeypatch):
+    # A beam of one finds the large group, which has nearly all links, and misses pairs.
+    monkeypatch.setattr(vector_graph, "BEAM", 1)
+    rng = np.random.default_rng(5)
+    center, pairs = rng.normal(size=24), rng.normal(size=(200, 24))
+    rows = [(k, (center + 0.1 * rng.normal(size=24)).tolist()) for k in range(400)]
+    rows += [(1000 + 2 * k + j, (p + 0.1 * rng.normal(size=24)).tolist()) for k, p in enumerate(pairs) for j in (0, 1)]
+    links, _ = plain_links(rows)
+    got = {r.vec_id: r for r in vector_graph.report(vectors(spark, rows)).collect()}
+    small = [i for i in got if i >= 1000 and links[i]]
+    assert len(small) >= 380
+    assert sum(min(got[i].n_links, links[i]) / links[i] for i in small) >= 0.97 * len(small)
+    assert all(r.n_links <= links[i] and r.audited_recall >= 0.97 for i, r in got.items())
+
+
+def test_products_of_whole_blocks_find_all(spark, monkeypatch):
+    for name, value in (("SHARD", 150), ("BLOCK", 60), ("QUERIES", 50), ("MOST_BEAM", 0), ("TARGET", 1.1)):
+        monkeypatch.setattr(vector_graph, name, value)
+    rows = clustered(300)
+    links, root = plain_links(rows)
+    got = {r.vec_id: r for r in vector_graph.report(vectors(spark, rows)).collect()}
+    assert all((r.n_links, r.component_id, r.audited_recall) == (links[i], root[i], 1.0) for i, r in got.items())
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     odd = [(0, None), (1, []), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, 2.0]), (7, [1.0, 2.0]),
