@@ -1,9 +1,10 @@
 """URL decisions: fixed rules first, gradient-boosted trees on lexical features for the rest.
 
-URLs that a rule decides are the labelled ones. From a bounded sample of them (``SAMPLE_ROWS`` rows with the lowest hash,
-so the same rows on any layout) the block rates of host and path suffixes are counted and Spark's own gradient-boosted
-trees are fitted. Features are columns: lengths, depth, digit ratio, entropy of the characters, numbers of parameters,
-and the counted rates. Neither the number of rules nor that of counted suffixes grows with the table.
+URLs that a rule decides are the labelled ones. Block rates of host and path suffixes are counted over all of them; a
+bounded sample (``SAMPLE_ROWS`` rows with the lowest hash, so the same rows on any layout) is used to fit Spark's own
+gradient-boosted trees and for nothing else. Features are columns: lengths, depth, digit ratio, entropy of the characters,
+numbers of parameters, and the counted rates. Tables of rates are broadcast up to ``RATE_ROWS`` suffixes, counted before;
+of larger ones only suffixes with many rows are, and the rest is shuffled.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no rule, and is judged by the trees like any
 other. With labels of one kind only, every url without a rule gets that kind, with none of them ``allow``. Repeated rows
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm.common import quoted
+from patronlens.llm.components import join_hot
 from patronlens.sources.staging import stage
 
 # Verdict, host, path.
@@ -33,6 +35,7 @@ RULES = (
 )
 SAMPLE_ROWS = 20_000
 TREES, DEPTH = 20, 4
+RATE_ROWS = 100_000
 # Weight of the overall rate in the rate of a suffix.
 PRIOR_ROWS = 10.0
 LETTERS = string.ascii_lowercase + string.digits + "./-_?=&%:#"
@@ -96,16 +99,18 @@ def lexical(urls: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 class UrlModel:
-    """Counted suffix rates and fitted trees."""
+    """Counted suffix rates and fitted trees. ``rates`` has a row per suffix of the ``total`` urls, with its number of them."""
 
-    def __init__(self, rates: dict[str, DataFrame], base: float, trees, features: list[str]):
-        self.rates, self.base, self.trees, self.features = rates, base, trees, features
+    def __init__(self, rates: dict[str, DataFrame], total: int, base: float, trees, features: list[str]):
+        self.rates, self.total, self.base, self.trees, self.features = rates, total, base, trees, features
+        self.small = {suffix: table.count() <= RATE_ROWS for suffix, table in rates.items()}
 
     def with_rates(self, urls: DataFrame) -> DataFrame:
         for suffix, table in self.rates.items():
-            # At most a row per sampled url.
-            urls = urls.join(F.broadcast(table), suffix, "left")
-            urls = urls.withColumn(f"f_{suffix}", F.coalesce(F.col(f"f_{suffix}"), F.lit(self.base)))
+            if self.small[suffix]:
+                urls = urls.join(F.broadcast(table.drop("m")), suffix)
+            else:  # stored, as it reads the urls twice
+                urls = stage(join_hot(urls, table, suffix, "m", self.total).drop("m"), "url-rated")
         return urls
 
     def block_probability(self, urls: DataFrame) -> DataFrame:
@@ -116,21 +121,34 @@ class UrlModel:
         return self.trees.transform(ready).withColumn("p_block", vector_to_array("probability")[1])
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
-    """Rates and trees from ``url, host, path, verdict`` of labelled urls; ``sample_rows`` of them at most."""
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
-    rows, suffixes = lexical(sample.withColumn("label", (F.col("verdict") == "block").cast("double")))
-    rows = stage(rows, "url-sample")
-    total, blocked = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+def suffix_counts(urls: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Stored: kind, suffix, m (urls), total (labelled ones), blocked."""
+    rows, suffixes = lexical(urls)
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("kind"), F.col(s).alias("suffix")) for s in suffixes]))
+    rows = rows.select(each.alias("each"), "verdict").select("each.*", "verdict")
+    counts = rows.groupBy("kind", "suffix").agg(
+        F.count(F.lit(1)).alias("m"), F.count("verdict").alias("total"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked")
+    )
+    return stage(counts, "url-suffixes"), suffixes
+
+
+def fit(urls: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
+    """Rates and trees from ``url, host, path, verdict`` (null if no rule decides). Trees see ``sample_rows`` at most."""
+    counts, suffixes = suffix_counts(urls)
+    every, total, blocked = counts.where(F.col("kind") == suffixes[0]).agg(F.sum("m"), F.sum("total"), F.sum("blocked")).first()
     base = blocked / total if total else 0.0
-    if not 0 < blocked < total:
-        return UrlModel({}, base, None, [])
-    rates = {}
-    for suffix in suffixes:
-        rate = (F.sum("label") + base * PRIOR_ROWS) / (F.count(F.lit(1)) + PRIOR_ROWS)
-        rates[suffix] = stage(rows.groupBy(suffix).agg(rate.alias(f"f_{suffix}")), "url-rates")
-    model = UrlModel(rates, base, None, [])
-    ready = model.with_rates(rows)
+    if not total or not 0 < blocked < total:
+        return UrlModel({}, 0, base, None, [])
+    rate = (F.col("blocked") + base * PRIOR_ROWS) / (F.col("total") + PRIOR_ROWS)
+    rates = {
+        suffix: counts.where(F.col("kind") == suffix).select(F.col("suffix").alias(suffix), "m", rate.alias(f"f_{suffix}"))
+        for suffix in suffixes
+    }
+    model = UrlModel(rates, every, base, None, [])
+    labelled = urls.where(F.col("verdict").isNotNull())
+    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
+    rows, _ = lexical(sample.withColumn("label", (F.col("verdict") == "block").cast("double")))
+    ready = model.with_rates(stage(rows, "url-sample"))
     model.features = [c for c in ready.columns if c.startswith("f_")]
     ready = VectorAssembler(inputCols=model.features, outputCol="f_all").transform(ready)
     trees = GBTClassifier(featuresCol="f_all", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=11)
@@ -147,8 +165,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES,
     urls = urls.withColumns({"host": host, "path": path})
     rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
     urls = urls.withColumns({"rule": rule, "verdict": verdict})
-    labelled = urls.where(F.col("verdict").isNotNull()).select("url", "host", "path", "verdict")
-    model = fit(labelled, sample_rows)
+    model = fit(urls.select("url", "host", "path", "verdict"), sample_rows)
     scored = model.block_probability(lexical(urls)[0])
     decided = F.when(F.col("p_block") >= 0.5, "block").otherwise("allow")
     return scored.select(

@@ -137,6 +137,17 @@ def test_trees_learn_what_rules_say(spark):
     assert {r.page_id: r.p_block for r in got} == {r.page_id: r.p_block for r in again}
 
 
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_rates_cover_urls_outside_the_sample(spark, monkeypatch, broadcast_rows):
+    # Only the site tells the verdict, and the sample has few sites.
+    monkeypatch.setattr(url_filter, "RATE_ROWS", broadcast_rows, raising=False)
+    rules = tuple((("allow", "block")[k % 2], f"s{k:02}.com", "/a/") for k in range(60))
+    urls = [f"http://s{k:02}.com/{folder}/{j}" for k in range(60) for folder in "ab" for j in range(10, 30)]
+    got = url_filter.judge(pages(spark, urls), rules=rules, sample_rows=30).where("rule IS NULL").collect()
+    assert len(got) == 1200
+    assert sum(r.verdict == ("allow", "block")[int(r.host[1:3]) % 2] for r in got) >= 1140
+
+
 def test_urls_without_labels_and_odd_rows(spark):
     odd = spark.createDataFrame([(None, None), (1, "x"), (1, "x"), (2, "http://a.net/")], "page_id long, url string")
     odd = odd.withColumn("host", F.lit("clash")).withColumn("label", F.lit(1))
