@@ -1,8 +1,9 @@
 """URL decisions: fixed rules first, gradient-boosted trees on lexical features for the rest.
 
 URLs that a rule decides are the labelled ones. Block rates of host and path suffixes are counted over all of them; a
-bounded sample (``SAMPLE_ROWS`` rows with the lowest hash, so the same rows on any layout) is used to fit Spark's own
-gradient-boosted trees and for nothing else. Features are columns: lengths, depth, digit ratio, entropy of the characters,
+bounded sample is used to fit Spark's own gradient-boosted trees and for nothing else. It holds ``SAMPLE_ROWS`` distinct
+URLs at most, those of each label with the lowest hash, so the same ones on any layout; a label gets half of the sample, or
+what the other one leaves, and its URLs are weighted so that both have their shares of all distinct URLs. Features are columns: lengths, depth, digit ratio, entropy of the characters,
 numbers of parameters, and the counted rates. Tables of rates are broadcast up to ``RATE_ROWS`` suffixes, counted before;
 of larger ones only suffixes with many rows are, and the rest is shuffled.
 
@@ -132,8 +133,23 @@ def suffix_counts(urls: DataFrame) -> tuple[DataFrame, list[str]]:
     return stage(counts, "url-suffixes"), suffixes
 
 
+def tree_sample(urls: DataFrame, sample_rows: int) -> DataFrame:
+    """url, host, path, label, weight of distinct labelled urls of both labels, which the table has."""
+    labelled = stage(urls.where(F.col("verdict").isNotNull()).select("url", "verdict").distinct(), "url-labels")
+    sizes = {r.verdict: r["count"] for r in labelled.groupBy("verdict").count().collect()}
+    chosen = None
+    for verdict, size in sorted(sizes.items()):
+        room = max(1, sample_rows // 2, sample_rows - (sum(sizes.values()) - size))
+        weight = size / min(size, room) * min(1.0, sample_rows / sum(sizes.values()))
+        part = labelled.where(F.col("verdict") == verdict).orderBy(F.xxhash64("url"), "url").limit(room)
+        part = part.select("url", F.lit(float(verdict == "block")).alias("label"), F.lit(weight).alias("weight"))
+        chosen = part if chosen is None else chosen.unionByName(part)
+    host, path = host_and_path(F.col("url"))
+    return chosen.withColumns({"host": host, "path": path})
+
+
 def fit(urls: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
-    """Rates and trees from ``url, host, path, verdict`` (null if no rule decides). Trees see ``sample_rows`` at most."""
+    """Rates and trees from ``url, host, path, verdict`` (null if no rule decides). Trees see ``sample_rows`` urls at most."""
     counts, suffixes = suffix_counts(urls)
     every, total, blocked = counts.where(F.col("kind") == suffixes[0]).agg(F.sum("m"), F.sum("total"), F.sum("blocked")).first()
     base = blocked / total if total else 0.0
@@ -145,16 +161,13 @@ def fit(urls: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
         for suffix in suffixes
     }
     model = UrlModel(rates, every, base, None, [])
-    labelled = urls.where(F.col("verdict").isNotNull())
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
-    rows, _ = lexical(sample.withColumn("label", (F.col("verdict") == "block").cast("double")))
-    ready = model.with_rates(stage(rows, "url-sample"))
+    ready = model.with_rates(stage(lexical(tree_sample(urls, sample_rows))[0], "url-sample"))
     model.features = [c for c in ready.columns if c.startswith("f_")]
     ready = VectorAssembler(inputCols=model.features, outputCol="f_all").transform(ready)
-    trees = GBTClassifier(featuresCol="f_all", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=11)
+    trees = GBTClassifier(featuresCol="f_all", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=11)
     # Rows in one order, so that the same sample gives the same trees.
-    ready = ready.select("f_all", "label", "url").repartitionByRange(4, "url").sortWithinPartitions("url")
-    model.trees = trees.fit(ready.select("f_all", "label"))
+    ready = ready.select("f_all", "label", "weight", "url").repartitionByRange(4, "url").sortWithinPartitions("url")
+    model.trees = trees.fit(ready.select("f_all", "label", "weight"))
     return model
 
 

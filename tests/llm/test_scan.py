@@ -148,6 +148,22 @@ def test_rates_cover_urls_outside_the_sample(spark, monkeypatch, broadcast_rows)
     assert sum(r.verdict == ("allow", "block")[int(r.host[1:3]) % 2] for r in got) >= 1140
 
 
+def test_copies_of_one_url_do_not_fill_the_sample(spark):
+    urls = [f"http://s{k % 7}.com/{('fr', 'de')[k % 2]}/{k}" for k in range(400)]
+    hot = pages(spark, urls).orderBy(F.xxhash64("url")).first().url
+    urls += [f"http://s{k % 7}.net/{('fr', 'de')[k % 2]}/{k}" for k in range(100)] + [hot] * 250
+    got = url_filter.judge(pages(spark, urls), sample_rows=200).where("host LIKE '%net'").collect()
+    assert sum(r.verdict == ("block" if r.path.startswith("/de/") else "allow") for r in got) >= 95
+
+
+def test_a_rare_label_is_in_the_sample(spark):
+    urls = [(f"http://s{k % 7}.com/{'de' if k < 6 else 'fr'}/{k}", "block" if k < 6 else "allow") for k in range(900)]
+    rows = spark.createDataFrame(urls, "url string, verdict string")
+    sample = url_filter.tree_sample(rows, 60).collect()
+    assert len(sample) == 60 and sum(r.label for r in sample) == 6
+    assert abs(sum(r.weight * r.label for r in sample) / sum(r.weight for r in sample) - 6 / 900) < 1e-9
+
+
 def test_urls_without_labels_and_odd_rows(spark):
     odd = spark.createDataFrame([(None, None), (1, "x"), (1, "x"), (2, "http://a.net/")], "page_id long, url string")
     odd = odd.withColumn("host", F.lit("clash")).withColumn("label", F.lit(1))
