@@ -52,7 +52,7 @@ _OPERATOR = re.compile(r":=|=>|==+|!=|<=|>=|=|::|:(?!//)")
 _NAME_BEFORE = re.compile(r"""([A-Za-z_$][\w$.-]*)["'`]?\]?[ \t]*(?::[ \t]*[A-Za-z_][\w.<>\[\]]*[ \t]*)?$""", re.ASCII)
 _VALUE = re.compile(
     r'''[ \t]*(?:\(\s*)?(?:[rbfu]{0,2}(?:"""(?P<a>(?:[^\\]|\\.)*?)"""|"(?P<b>(?:[^"\\\n]|\\.)*)"|'(?P<c>(?:[^'\\\n]|\\.)*)'|'''
-    r"""`(?P<d>[^`\n]*)`)|(?P<name>[A-Za-z_$][\w$.-]*)(?=[ \t]*(?:[;,)}\]\n]|\+|\#|$))|(?P<bare>[^\s"'`;,#(){}\[\]]+))""",
+    r"""`(?P<d>[^`\n]*)`)|(?P<name>[A-Za-z_$][\w$.-]*)(?=[ \t]*(?:[;,)}\]\r\n]|\+|\#|//|--|$))|(?P<bare>[^\s"'`;,#(){}\[\]]+))""",
     re.ASCII | re.DOTALL,
 )
 _PLUS = re.compile(r"[ \t]*\+")

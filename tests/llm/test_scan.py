@@ -92,6 +92,14 @@ def test_secrets_of_odd_rows(spark):
     assert secret_scan.report(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r", " // note\n", " -- note\n", "// note\n"])
+def test_names_are_followed_up_to_any_line_end(end):
+    text = f'k = "Zx9-Qw8.Er7_Ty6"{end}db_password = k{end}'
+    literals, references = secret_scan.pairs(text)
+    assert ("db_password", "k") in references
+    assert {text[a:b] for _, a, b in literals} == {"Zx9-Qw8.Er7_Ty6"}
+
+
 def plain_judgement(url):
     host = path = ""
     if url and "://" in url:
