@@ -149,7 +149,16 @@ def survival(depth: int, similarity: float = THRESHOLD) -> float:
 
 
 def runs_needed(depth: int, recall: float = RECALL) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(max(1, depth))))
+    """Runs until a pair at the threshold is missed with a probability of ``1 - recall`` at most. All runs draw from the
+    same minhashes, so they are independent only given how many of these agree."""
+    chances = []
+    for k in range(SLOTS + 1):
+        share = math.comb(SLOTS, k) * THRESHOLD**k * (1 - THRESHOLD) ** (SLOTS - k)
+        chances.append((share, 1 - survival(max(1, depth), k / SLOTS)))
+    runs = 1
+    while sum(share * missed**runs for share, missed in chances) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def _first_paths(classes: DataFrame, runs: range) -> DataFrame:

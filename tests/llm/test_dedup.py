@@ -7,6 +7,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from helpers import documents, odd_documents, rows_of, with_clashes
 from pyspark.sql import functions as F
@@ -172,6 +173,14 @@ def test_runs_follow_from_the_depth():
     assert (1 - set_join.survival(4)) ** set_join.runs_needed(4) <= 1 - set_join.RECALL
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+def test_runs_cover_pairs_with_few_equal_minhashes(depth):
+    agree = np.random.default_rng(1).binomial(set_join.SLOTS, set_join.THRESHOLD, 400_000) / set_join.SLOTS
+    missed = [(1 - set_join.survival(depth, a)) ** set_join.runs_needed(depth) for a in np.unique(agree)]
+    shares = np.unique(agree, return_counts=True)[1] / len(agree)
+    assert shares @ missed <= 1.1 * (1 - set_join.RECALL)
+
+
 def test_set_join_of_odd_rows(spark):
     odd = with_clashes(odd_documents(spark))
     out = set_join.report(odd)
