@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, set_join, token_files, url_filter, vector_graph
+from patronlens.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    merkle,
+    mixing,
+    quality,
+    secret_scan,
+    set_join,
+    token_files,
+    url_filter,
+    vector_graph,
+    whitening,
+)
 from patronlens.llm.common import table
 
 
@@ -67,7 +81,29 @@ def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_line_dedup, op3_quality, op4_mixing, op5_vector_graph, op6_bpe_round_trip, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_set_join)}
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether it was held out, its language, and how sure that is."""
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its leaf, the roots above it, its proof, and the root that follows when some rows are changed."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    return merkle.report(table(spark, sf_dir, "documents"), tampered)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector and component: the whitened entry, with the share of variance and the error of the fit."""
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_files, op2_line_dedup, op3_quality, op4_mixing, op5_vector_graph, op6_bpe_round_trip, op7_exact_dedup,
+        op8_secret_scan, op9_url_filter, op10_set_join, op11_language_id, op12_merkle_manifest, op13_whitening,
+    )
+}
 
 SQL = {
     "op2_line_dedup": """
@@ -154,4 +190,62 @@ SQL = {
                count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256
         FROM d""",
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, lang, CASE WHEN lang IS NULL THEN 'n' ELSE 's' || lang END AS tree,
+                   'x' || coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') AS a,
+                   coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS b,
+                   coalesce(strlen(text) || ':' || text, '-') AS c, n_chars,
+                   coalesce(list_reduce(
+                       [4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::UBIGINT),
+                       lambda k, s: list_reduce(
+                           [xor(k, s)] || list_transform(range(8), lambda i: i::UBIGINT),
+                           lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::UBIGINT) ELSE y >> 1 END)), 1)
+                       AS crc
+            FROM documents),
+        leaves AS (
+            SELECT *, sha256(substr(a, 2) || b || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || c) AS leaf,
+                   CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0
+                        THEN sha256(substr(a, 2) || b || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || c)
+                        END AS changed
+            FROM d),
+        placed AS (
+            SELECT doc_id, tree, leaf, coalesce(changed, leaf) AS claimed,
+                   row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM leaves),
+        nodes AS (
+            SELECT tree, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM placed
+            UNION ALL
+            SELECT tree, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+            FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2),
+        subroots AS (
+            SELECT tree, digest, level AS height, row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes WHERE n = 1),
+        tops AS (
+            SELECT 0 AS level, pos, digest, count(*) OVER () AS n FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+            FROM tops WHERE n > 1 GROUP BY level, pos // 2),
+        steps AS (
+            SELECT p.tree, p.pos, n.level, n.digest, n.pos < (p.pos >> n.level) AS is_before
+            FROM placed p JOIN nodes n ON n.tree = p.tree AND n.pos = xor(p.pos >> n.level, 1)
+            UNION ALL
+            SELECT p.tree, p.pos, s.height + t.level, t.digest, t.pos < (s.pos >> t.level)
+            FROM placed p JOIN subroots s USING (tree) JOIN tops t ON t.pos = xor(s.pos >> t.level, 1)),
+        heights AS (
+            SELECT tree, height + (SELECT max(level) FROM tops) AS height FROM subroots),
+        fold AS (
+            SELECT tree, pos, 0 AS level, claimed AS digest FROM placed
+            UNION ALL
+            SELECT f.tree, f.pos, f.level + 1,
+                   sha256(CASE WHEN s.is_before THEN s.digest || f.digest ELSE f.digest || coalesce(s.digest, '') END)
+            FROM fold f JOIN heights h USING (tree)
+            LEFT JOIN steps s ON s.tree = f.tree AND s.pos = f.pos AND s.level = f.level
+            WHERE f.level < h.height),
+        proofs AS (SELECT tree, pos, sha256(string_agg(digest, '' ORDER BY level)) AS proof_sha256 FROM steps GROUP BY tree, pos)
+        SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256,
+               f.digest AS folded_root, f.digest = r.digest AS verified
+        FROM placed p JOIN subroots s USING (tree) JOIN heights h USING (tree)
+        JOIN fold f ON f.tree = p.tree AND f.pos = p.pos AND f.level = h.height
+        LEFT JOIN proofs q ON q.tree = p.tree AND q.pos = p.pos
+        CROSS JOIN (SELECT digest FROM tops WHERE n = 1) r""",
 }
