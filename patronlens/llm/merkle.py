@@ -67,16 +67,16 @@ def label(n: int, level: int, index: int) -> tuple[int, int]:
     return min((index + 1) << level, n), level
 
 
-def height_of(n: int) -> int:
+def height_of(n: int, bits: int) -> int:
     """Levels above the bottom of a subtree of a tree of ``n`` leaves."""
-    return min(BLOCK_BITS, (n - 1).bit_length())
+    return min(bits, (n - 1).bit_length())
 
 
 class Upward:
     """Sweep of one subtree in the order of labels; leaves are given one after the other."""
 
-    def __init__(self, n: int):
-        self.n, self.top = n, height_of(n)
+    def __init__(self, n: int, bits: int = BLOCK_BITS):
+        self.n, self.top = n, height_of(n, bits)
         self.queue: list[tuple[tuple[int, int], int, int, bytes]] = []  # receiver's label, sender's level and index, digest
         self.steps: list[tuple[int, int, int, bytes]] = []  # end, level, step and sibling of nodes whose parents were swept
         self.root = b""
@@ -148,12 +148,12 @@ def folded(digest: bytes, proof: Proof) -> bytes:
 class Downward:
     """Sweep of one subtree against the order of labels; gives the proof of each leaf when it is reached."""
 
-    def __init__(self, n: int, block: int, proof: Proof):
+    def __init__(self, n: int, block: int, proof: Proof, bits: int = BLOCK_BITS):
         self.n = n
         self.queue: list[tuple[int, int, Proof]] = []  # receiver's label and the proof of its parent
         self.last = proof  # of the leaf reached last
-        if height_of(n):
-            self._send(height_of(n), block << (BLOCK_BITS - height_of(n)), proof)
+        if top := height_of(n, bits):
+            self._send(top, block << (bits - top), proof)
 
     def _send(self, level: int, index: int, proof: Proof) -> None:
         for child in (2 * index, 2 * index + 1):
@@ -170,7 +170,7 @@ class Downward:
 _UP = "tree string, block long, n long, end long, level int, kind int, step int, sibling binary, root binary"
 
 
-def _round_up(base: DataFrame) -> DataFrame:
+def _round_up(base: DataFrame, bits: int) -> DataFrame:
     """Stored: for every subtree its root, and step and sibling of each node below the root.
 
     ``base``: tree, pos, n, digest.
@@ -199,32 +199,32 @@ def _round_up(base: DataFrame) -> DataFrame:
                 if (tree, block) != at:
                     if sweep:
                         yield done()
-                    at, sweep = (tree, block), Upward(n)
+                    at, sweep = (tree, block), Upward(n, bits)
                 sweep.leaf(pos, digest.hex().encode())
         if sweep:
             yield done()
 
-    rows = base.select("tree", F.shiftright("pos", BLOCK_BITS).alias("block"), "pos", "n", "digest")
+    rows = base.select("tree", F.shiftright("pos", bits).alias("block"), "pos", "n", "digest")
     rows = rows.repartition("tree", "block").sortWithinPartitions("tree", "block", "pos")
     return stage(rows.mapInArrow(run, _UP), "merkle-up")
 
 
-def build(base: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def build(base: DataFrame, bits: int = BLOCK_BITS) -> tuple[list[DataFrame], DataFrame]:
     """The rounds of the upward sweep, and (tree, digest) of each tree's root. ``base``: tree, pos, n, digest."""
     most = base.agg(F.max("n")).first()[0]
     rounds: list[DataFrame] = []
     while most:
-        rounds.append(_round_up(base))
+        rounds.append(_round_up(base, bits))
         roots = rounds[-1].where(F.col("kind") == ROOT)
-        size = F.shiftright(F.col("n") + (2**BLOCK_BITS - 1), BLOCK_BITS)
+        size = F.shiftright(F.col("n") + (2**bits - 1), bits)
         base = roots.select("tree", F.col("block").alias("pos"), size.alias("n"), F.col("root").alias("digest"))
-        if most <= 2**BLOCK_BITS:
+        if most <= 2**bits:
             break
-        most = -(-most >> BLOCK_BITS)
+        most = -(-most >> bits)
     return rounds, base.select("tree", "digest")
 
 
-def _round_down(up: DataFrame, starts: DataFrame, leaves: DataFrame | None) -> DataFrame:
+def _round_down(up: DataFrame, starts: DataFrame, leaves: DataFrame | None, bits: int) -> DataFrame:
     """One round of the downward sweep.
 
     ``starts``: tree, block, proof, top. Without ``leaves`` the result is the same for the blocks of the round below; with
@@ -234,7 +234,7 @@ def _round_down(up: DataFrame, starts: DataFrame, leaves: DataFrame | None) -> D
     order = ["tree", "block", "kind", *spare]
     inside = [up.drop("root"), starts.withColumns({"kind": F.lit(START), "end": F.lit(_TOP), "level": F.lit(_TOP_LEVEL)})]
     if leaves is not None:
-        block = F.shiftright("pos", BLOCK_BITS).alias("block")
+        block = F.shiftright("pos", bits).alias("block")
         told = leaves.select("tree", block, F.lit(LEAF).alias("kind"), (F.col("pos") + 1).alias("end"), F.lit(0).alias("level"), "key", "leaf", "claimed")
         kind = leaves.schema["key"].dataType.simpleString()
         spare |= {"key": kind, "leaf": "binary", "claimed": "binary"}
@@ -256,7 +256,7 @@ def _round_down(up: DataFrame, starts: DataFrame, leaves: DataFrame | None) -> D
                 if kind == ROOT:
                     n = size
                 elif kind == START:
-                    top, sweep = above, Downward(n, block, unpacked(proof))
+                    top, sweep = above, Downward(n, block, unpacked(proof), bits)
                     if n == 1 and not has_leaves:
                         out.append((tree, 0, packed(sweep.last), top))
                 elif kind == NODE:
@@ -285,16 +285,17 @@ def _round_down(up: DataFrame, starts: DataFrame, leaves: DataFrame | None) -> D
     return rows.repartition("tree", "block").sortWithinPartitions(*sorts).mapInArrow(run, result)
 
 
-def deliver(rounds: list[DataFrame], starts: DataFrame, leaves: DataFrame) -> DataFrame:
+def deliver(rounds: list[DataFrame], starts: DataFrame, leaves: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     """Proofs of all leaves, by the rounds of the upward sweep in reverse."""
     for up in reversed(rounds[1:]):
-        starts = stage(_round_down(up, starts, None), "merkle-down")
-    return _round_down(rounds[0], starts, leaves)
+        starts = stage(_round_down(up, starts, None, bits), "merkle-down")
+    return _round_down(rounds[0], starts, leaves, bits)
 
 
 def manifest(
-    docs: DataFrame, key: str = "doc_id", group: str = "lang", fields: tuple[str, ...] = FIELDS, claimed: dict[str, Column] | None = None
-) -> tuple[DataFrame, str | None]:
+    docs: DataFrame, key: str = "doc_id", group: str = "lang", fields: tuple[str, ...] = FIELDS,
+    claimed: dict[str, Column] | None = None, bits: int = BLOCK_BITS,
+) -> tuple[DataFrame, str | None]:
     """One row per document and the root of the dataset, None for an empty table.
 
     The rows: key, leaf, subroot (of the group's tree), proof (packed), proof_sha256 (digest of the proof's siblings in
@@ -311,27 +312,27 @@ def manifest(
         (F.unhex(other) if claimed else F.lit(None).cast("binary")).alias("claimed"),
     )
     leaves = numbered(rows.withColumn("claimed", F.when(F.col("claimed") != F.col("leaf"), F.col("claimed"))), ["key", "leaf"], "tree")
-    rounds, roots = build(leaves.select("tree", "pos", "n", F.col("leaf").alias("digest")))
+    rounds, roots = build(leaves.select("tree", "pos", "n", F.col("leaf").alias("digest")), bits)
     if not rounds:
         empty = docs.sparkSession.createDataFrame([], f"key {rows.schema['key'].dataType.simpleString()}, leaf string, subroot string, proof binary, proof_sha256 string, folded_root string")
         return empty, None
     tops = numbered(roots, ["tree"]).withColumns({"key": F.col("tree"), "tree": F.lit("")})
-    top_rounds, top_root = build(tops.select("tree", "pos", "n", "digest"))
+    top_rounds, top_root = build(tops.select("tree", "pos", "n", "digest"), bits)
     root = bytes(top_root.first()["digest"])
     nothing = F.unhex(F.lit(""))
     start = top_root.select("tree", F.lit(0).cast("long").alias("block"), nothing.alias("proof"), F.col("digest").alias("top"))
     tops = tops.select("tree", "pos", "key", F.col("digest").alias("leaf"), F.lit(None).cast("binary").alias("claimed"))
-    told = deliver(top_rounds, start, tops)
+    told = deliver(top_rounds, start, tops, bits)
     starts = told.select(F.col("key").alias("tree"), F.lit(0).cast("long").alias("block"), "proof", F.unhex("leaf").alias("top"))
-    found = deliver(rounds, stage(starts, "merkle-starts"), leaves.select("tree", "pos", "key", "leaf", "claimed"))
+    found = deliver(rounds, stage(starts, "merkle-starts"), leaves.select("tree", "pos", "key", "leaf", "claimed"), bits)
     return found.withColumnRenamed("top", "subroot"), root.hex()
 
 
-def report(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
+def report(docs: DataFrame, tampered: Column | None = None, bits: int = BLOCK_BITS) -> DataFrame:
     """Per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified. Where ``tampered`` holds, one is added
     to ``n_chars`` before the leaf is folded."""
     claimed = None if tampered is None else {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
-    rows, root = manifest(docs, claimed=claimed)
+    rows, root = manifest(docs, claimed=claimed, bits=bits)
     return rows.select(
         F.col("key").alias("doc_id"), "leaf", "subroot", F.lit(root).cast("string").alias("root"), "proof_sha256", "folded_root",
         (F.col("folded_root") == F.lit(root)).alias("verified"),

@@ -23,7 +23,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.QUERIES) | {"pipeline"} <= set(driver.queries())
+    assert numbers == list(range(1, 14)) and set(queries.QUERIES) | {"pipeline"} <= set(driver.queries())
 
 
 def test_every_stage_keeps_what_it_should(spark):
