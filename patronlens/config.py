@@ -71,6 +71,7 @@ class ClassifierConfig:
     row_share: float = 0.8
     feature_share: float = 0.8
     validation_share: float = 0.1
-    validation_tol: float = 1e-4
+    # Rounds without a higher area under the curve of the validation slice after which boosting ends.
+    patience: int = 30
     checkpoint_interval: int = 10
     max_memory_mb: int = 256

@@ -20,26 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronlens.operators.classifier import SUFFIX
-from patronlens.sources.staging import new_path
-
-
-@dataclass(frozen=True)
-class PathStep:
-    """All tests of one feature on a path: low < value <= high, and the share of
-    training rows that pass them, given the other tests."""
-
-    feature: int
-    low: float
-    high: float
-    share: float
-
-
-@dataclass(frozen=True)
-class Leaf:
-    """A leaf's weighted value and the features on its path."""
-
-    value: float
-    steps: tuple[PathStep, ...]
+from patronlens.operators.ensemble import Ensemble, Leaf, from_model, leaves_of
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -47,39 +28,14 @@ def model_features(model: PipelineModel) -> list[str]:
     return [name.removesuffix(SUFFIX) for name in model.stages[1].getInputCols()]
 
 
+def model_ensemble(spark: SparkSession, model: PipelineModel) -> Ensemble:
+    """The trees of a fitted pipeline."""
+    return from_model(spark, model.stages[-1], model_features(model))
+
+
 def ensemble_leaves(spark: SparkSession, model: PipelineModel) -> list[Leaf]:
-    """Leaves of all trees, read from the node table Spark stores with a model."""
-    ensemble = model.stages[-1]
-    path = new_path(spark, "trees")
-    ensemble.write().overwrite().save(path)
-    nodes: dict[int, dict] = {}
-    for row in spark.read.parquet(f"{path}/data").collect():
-        nodes.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
-    leaves = []
-    for tree, weight in enumerate(ensemble.treeWeights):
-        leaves += _tree_leaves(nodes[tree], weight)
-    return leaves
-
-
-def _tree_leaves(nodes: dict, weight: float) -> list[Leaf]:
-    found = []
-    pending = [(nodes[0], {})]
-    while pending:
-        node, steps = pending.pop()
-        if node["leftChild"] < 0:
-            found.append(Leaf(weight * node["prediction"], tuple(steps.values())))
-            continue
-        feature = node["split"]["featureIndex"]
-        cut = node["split"]["leftCategoriesOrThreshold"][0]
-        seen = steps.get(feature, PathStep(feature, -math.inf, math.inf, 1.0))
-        for child_id, low, high in (
-            (node["leftChild"], seen.low, min(seen.high, cut)),
-            (node["rightChild"], max(seen.low, cut), seen.high),
-        ):
-            child = nodes[child_id]
-            share = seen.share * child["impurityStats"][0] / node["impurityStats"][0]
-            pending.append((child, {**steps, feature: PathStep(feature, low, high, share)}))
-    return found
+    """Leaves of all trees of a fitted pipeline."""
+    return leaves_of(model_ensemble(spark, model))
 
 
 def expected_margin(leaves: list[Leaf]) -> float:
@@ -87,8 +43,11 @@ def expected_margin(leaves: list[Leaf]) -> float:
     return sum(leaf.value * math.prod(step.share for step in leaf.steps) for leaf in leaves)
 
 
-# Up to so many steps on a path, all outcomes of its tests are worked out beforehand.
+# Up to so many steps on a path, all outcomes of its tests are worked out beforehand, within so many bytes.
 TABLED_STEPS = 10
+TABLED_BYTES = 64_000_000
+# Leaves handled at a time.
+LEAVES = 512
 # Rows times leaves handled at a time.
 CELLS = 2_000_000
 
@@ -146,62 +105,85 @@ def leaf_groups(leaves: list[Leaf]) -> list[LeafGroup]:
     ]
 
 
-def shapley_values(values: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
-    """Contributions of one batch, rows by features.
+class Attributor:
+    """Contributions of many batches. What depends on the leaves alone is worked out once: their groups, and all outcomes
+    of short paths while these take up to ``TABLED_BYTES``."""
+
+    def __init__(self, leaves: list[Leaf]):
+        self.parts: list[tuple[LeafGroup, np.ndarray | None]] = []
+        left = TABLED_BYTES
+        for group in leaf_groups(leaves):
+            size, count = group.feature.shape
+            for start in range(0, size, LEAVES):
+                part = group.part(start, start + LEAVES)
+                need = 8 * 2**count * part.feature.size
+                tabled = count <= TABLED_STEPS and need <= left
+                left -= need if tabled else 0
+                self.parts.append((part, part.outcomes() if tabled else None))
+
+    def values(self, values: np.ndarray) -> np.ndarray:
+        """Contributions of one batch, rows by features."""
+        result = np.zeros(values.shape)
+        rows = max(1, CELLS // LEAVES)
+        for start in range(0, len(values), rows):
+            some = values[start : start + rows]
+            for part, credit in self.parts:
+                result[start : start + rows] += self._credits(some, part, credit)
+        return result
+
+    @staticmethod
+    def _credits(values: np.ndarray, part: LeafGroup, credit: np.ndarray | None) -> np.ndarray:
+        """Rows by features. For tabled paths a row's contributions are looked up by the tests it passes."""
+        several, count = range(len(part.value)), part.feature.shape[1]
+        tests = [
+            (values[:, part.feature[:, j]] > part.low[:, j]) & (values[:, part.feature[:, j]] <= part.high[:, j])
+            for j in range(count)
+        ]
+        if credit is not None:
+            outcome = sum(test.astype(np.int64) << j for j, test in enumerate(tests))
+            found = credit[outcome, several]
+        else:
+            found = part.credit(np.stack(tests, axis=-1).astype(float))
+        result = np.zeros(values.shape)
+        for j in range(count):
+            owner = np.zeros((len(part.value), values.shape[1]))
+            owner[several, part.feature[:, j]] = 1.0
+            result += found[..., j] @ owner
+        return result
 
-    Leaves with paths of equal length are handled together. For short paths a row's contributions depend only on which of
-    the tests it passes, so they are looked up; long paths are worked out row by row.
-    """
-    result = np.zeros(values.shape)
-    width = values.shape[1]
-    for group in leaf_groups(leaves):
-        size, count = group.feature.shape
-        step = max(1, CELLS // max(1, len(values)))
-        for start in range(0, size, step):
-            part = group.part(start, start + step)
-            several = range(len(part.value))
-            tests = [
-                (values[:, part.feature[:, j]] > part.low[:, j]) & (values[:, part.feature[:, j]] <= part.high[:, j])
-                for j in range(count)
-            ]
-            if count <= TABLED_STEPS:
-                outcome = sum(test.astype(np.int64) << j for j, test in enumerate(tests))
-                credit = part.outcomes()
-                credits = [credit[:, :, j][outcome, several] for j in range(count)]
-            else:
-                worked = part.credit(np.stack(tests, axis=-1).astype(float))
-                credits = [worked[..., j] for j in range(count)]
-            for j, column in enumerate(credits):
-                owner = np.zeros((len(part.value), width))
-                owner[several, part.feature[:, j]] = 1.0
-                result += column @ owner
-    return result
 
+def shapley_values(values: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
+    """Contributions of one batch, rows by features."""
+    return Attributor(leaves).values(values)
 
-def contributions(rows: DataFrame, model: PipelineModel, key: str = "customer_id") -> DataFrame:
+
+def ensemble_contributions(rows: DataFrame, ensemble: Ensemble, columns: list[str], key: str = "customer_id") -> DataFrame:
     """Per row: the key, one contribution per feature, and the expected margin.
 
-    Contributions and expected margin add up to the model's margin.
+    Contributions and expected margin add up to the ensemble's margin. ``columns`` hold its features in order.
     """
-    spark = rows.sparkSession
-    features = model_features(model)
-    leaves = ensemble_leaves(spark, model)
+    spark, features = rows.sparkSession, list(ensemble.features)
+    leaves = leaves_of(ensemble)
     base = expected_margin(leaves)
     shipped = spark.sparkContext.broadcast(leaves)
-    scaled = model.stages[0].transform(rows).select(key, *[f"{n}{SUFFIX}" for n in features])
 
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        attributor = Attributor(shipped.value)
         for batch in batches:
-            values = batch.iloc[:, 1:].to_numpy(dtype=float)
-            out = pd.DataFrame(shapley_values(values, shipped.value), columns=features)
+            out = pd.DataFrame(attributor.values(batch.iloc[:, 1:].to_numpy(dtype=float)), columns=features)
             out.insert(0, key, batch[key].to_numpy())
             out["expected_margin"] = base
             yield out
 
-    kind = rows.schema[key].dataType
-    fields = [T.StructField(key, kind)]
+    fields = [T.StructField(key, rows.schema[key].dataType)]
     fields += [T.StructField(n, T.DoubleType()) for n in [*features, "expected_margin"]]
-    return scaled.mapInPandas(attribute, T.StructType(fields))
+    return rows.select(key, *columns).mapInPandas(attribute, T.StructType(fields))
+
+
+def contributions(rows: DataFrame, model: PipelineModel, key: str = "customer_id") -> DataFrame:
+    """The same for a fitted pipeline, on rows with unscaled features."""
+    ensemble = model_ensemble(rows.sparkSession, model)
+    return ensemble_contributions(model.stages[0].transform(rows), ensemble, [f"{n}{SUFFIX}" for n in ensemble.features], key)
 
 
 def feature_attribution(rows: DataFrame, model: PipelineModel) -> DataFrame:

@@ -69,6 +69,28 @@ def ks_statistic(scored: DataFrame, label: str, score: str) -> DataFrame:
     return ranking_metrics(scored, label, score).select("ks")
 
 
+def grouped_auroc(counts: DataFrame, group: str) -> DataFrame:
+    """``group`` and exact ``auroc`` from rows of group, score, positives and negatives, a row per group and score.
+
+    One global sort serves all groups: rows below are counted from the start of the table, and what lies before a group
+    is taken off its sum afterwards. Sums are whole numbers. Null without both classes.
+    """
+    whole = "decimal(38,0)"
+    ordered = ordered_rows(counts, [group, "score"], "group_scores").withColumn("slice", slice_of(F.col("position")))
+    starts = F.broadcast(slice_starts(ordered, "negatives").select("slice", "negatives_before"))
+    earlier = Window.partitionBy("slice").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    within = ordered.withColumn("within", F.coalesce(F.sum("negatives").over(earlier), F.lit(0))).join(starts, "slice")
+    below = (F.col("negatives_before") + F.col("within")).cast(whole)
+    twice = F.col("positives").cast("decimal(18,0)") * (below * F.lit(2) + F.col("negatives")).cast("decimal(20,0)")
+    found = within.groupBy(group).agg(
+        F.sum(twice.cast(whole)).alias("pairs"), F.min(below).alias("start"),
+        F.sum("positives").cast("double").alias("p"), F.sum("negatives").cast("double").alias("n"),
+        F.sum("positives").cast("decimal(18,0)").alias("rows"),
+    )
+    own = (F.col("pairs") - (F.col("rows") * F.col("start").cast("decimal(20,0)") * F.lit(2)).cast(whole)).cast("double")
+    return found.select(group, F.try_divide(own, F.lit(2.0) * F.col("p") * F.col("n")).alias("auroc"))
+
+
 def precision_at_top(scored: DataFrame, label: str, score: str, key: str, share: float = 0.1) -> DataFrame:
     """Share of churned rows among the highest scores, ties going to lower keys.
 

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronlens.config import ClassifierConfig, RunConfig
+from patronlens.config import RunConfig
 from patronlens.functions.columns import percent_text, round_half_even
-from patronlens.operators import clv, evaluation, export, features, quality, ranking, scaling, splits
-from patronlens.operators.attribution import feature_attribution
+from patronlens.operators import clv, ensemble, evaluation, export, features, quality, ranking, scaling, splits
+from patronlens.operators.attribution import ensemble_contributions, feature_attribution
 from patronlens.operators.classifier import churn_scores, fit_classifier
 from patronlens.plans.runs import score_table
 from patronlens.schemas import CLV_COLUMNS, FEATURES
@@ -36,7 +36,32 @@ LONG_PARAMS = {
 PURCHASE_PARAMS = {"r": 0.243, "alpha": 30.898, "a": 0.793, "b": 2.426}
 VALUE_PARAMS = {"p": 6.25, "q": 3.74, "v": 15.44}
 
-SMALL_BUDGET = ClassifierConfig(trees=10)
+# Three given trees: tree, node, feature, cut, left, right, value, rows that reached the node. Values are multiples of
+# a power of two, so their sums are exact in any order.
+TREE_FEATURES = ["recency", "frequency", "monetary", "avg_order_value"]
+TREE_WEIGHTS = [1.0, 0.5, 0.25]
+TREE_NODES = [
+    (0, 0, "recency", 90.0, 1, 2, 0.0, 1024.0),
+    (0, 1, "frequency", 8.0, 3, 4, 0.0, 640.0),
+    (0, 2, "recency", 400.0, 5, 6, 0.0, 384.0),
+    (0, 3, None, 0.0, -1, -1, -0.25, 256.0),
+    (0, 4, None, 0.0, -1, -1, -0.875, 384.0),
+    (0, 5, "monetary", 1_000_000.0, 7, 8, 0.0, 256.0),
+    (0, 6, None, 0.0, -1, -1, 0.9375, 128.0),
+    (0, 7, None, 0.0, -1, -1, 0.625, 64.0),
+    (0, 8, None, 0.0, -1, -1, 0.125, 192.0),
+    (1, 0, "monetary", 1_500_000.0, 1, 2, 0.0, 1024.0),
+    (1, 1, "avg_order_value", 150_000.0, 3, 4, 0.0, 512.0),
+    (1, 2, None, 0.0, -1, -1, -0.5, 512.0),
+    (1, 3, None, 0.0, -1, -1, 0.25, 128.0),
+    (1, 4, None, 0.0, -1, -1, -0.125, 384.0),
+    (2, 0, "frequency", 12.0, 1, 2, 0.0, 1024.0),
+    (2, 1, "recency", 60.0, 3, 4, 0.0, 768.0),
+    (2, 2, None, 0.0, -1, -1, -0.75, 256.0),
+    (2, 3, None, 0.0, -1, -1, 0.0625, 256.0),
+    (2, 4, None, 0.0, -1, -1, 0.375, 512.0),
+]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -387,16 +412,38 @@ def q_classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = split_rows(spark, sf_dir)
-    model, _ = fit_classifier(rows.where(~F.col("is_test")), STAR, SMALL_BUDGET)
+    model, _ = fit_classifier(rows.where(~F.col("is_test")), STAR)
     return churn_scores(rows, model).select("customer_id", "churn_label", "is_test", "churn_prob")
 
 
 def q_feature_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = split_rows(spark, sf_dir)
-    model, _ = fit_classifier(rows.where(~F.col("is_test")), STAR, SMALL_BUDGET)
+    model, _ = fit_classifier(rows.where(~F.col("is_test")), STAR)
     return feature_attribution(rows.where("is_test"), model)
 
 
+def fixed_trees() -> ensemble.Ensemble:
+    return ensemble.from_rows(TREE_FEATURES, TREE_WEIGHTS, TREE_NODES)
+
+
+def q_fixed_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Margins of given trees after every round, and the probability of churn."""
+    found = ensemble.margins(star_features(spark, sf_dir), fixed_trees(), TREE_FEATURES, "customer_id")
+    each = [F.col("margins")[k] for k in range(len(TREE_WEIGHTS))]
+    named = [m.alias(f"margin_{k + 1}") for k, m in enumerate(each)]
+    return plain(found.select("customer_id", *named, ensemble.probability(each[-1]).alias("churn_prob")))
+
+
+def q_fixed_tree_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contribution of every feature to the margin of given trees."""
+    return plain(ensemble_contributions(star_features(spark, sf_dir), fixed_trees(), TREE_FEATURES))
+
+
+def q_auroc_by_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area under the curve of given trees, cut off after every round."""
+    return plain(ensemble.auroc_by_round(star_features(spark, sf_dir), fixed_trees(), TREE_FEATURES, "churn_label"))
+
+
 # Scores and export
 
 

@@ -6,7 +6,17 @@ by row, and gamma terms use the engine's own ``lgamma``.
 
 from __future__ import annotations
 
-from patronlens.plans.catalog import EVENTS, LONG_HORIZON, LONG_PARAMS, PURCHASE_PARAMS, STAR, VALUE_PARAMS
+from patronlens.plans.catalog import (
+    EVENTS,
+    LONG_HORIZON,
+    LONG_PARAMS,
+    PURCHASE_PARAMS,
+    STAR,
+    TREE_FEATURES,
+    TREE_NODES,
+    TREE_WEIGHTS,
+    VALUE_PARAMS,
+)
 from patronlens.schemas import FEATURES
 
 
@@ -15,6 +25,9 @@ def rnd(expression: str, digits: int = 6) -> str:
     return f"(round_even(({expression})::DOUBLE * {scale}.0::DOUBLE, 0) / {scale}.0::DOUBLE + 0.0::DOUBLE)"
 
 
+# The value of the feature that a row of tests names.
+TREE_VALUE = "CASE feature " + " ".join(f"WHEN '{n}' THEN {n}::DOUBLE" for n in TREE_FEATURES) + " END"
+
 STAR_SOURCE = """
 src AS (SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_orderdate AS order_date, o_totalprice AS revenue,
                o_orderpriority AS channel, coalesce(r.is_returned, 0) AS is_returned
@@ -265,6 +278,75 @@ summed AS (SELECT x, age, {', '.join(sums)} FROM pairs, range(1, 6000) AS terms(
 SELECT x::BIGINT AS repeat_purchases, age::BIGINT AS T, {', '.join(columns)} FROM summed"""
 
 
+def _tree_ctes() -> str:
+    """Given trees as a table of nodes, and each customer's way down every tree."""
+    rows = ", ".join(
+        f"({t}, {n}, {'NULL' if f is None else repr(f)}, {cut!r}::DOUBLE, {lo}, {hi}, {v * TREE_WEIGHTS[t]!r}::DOUBLE, {cover!r}::DOUBLE)"
+        for t, n, f, cut, lo, hi, v, cover in TREE_NODES
+    )
+    return f"""{STAR_FEATURES},
+nodes(tree, node, feature, cut, lo, hi, value, cover) AS (VALUES {rows}),
+walk AS (SELECT customer_id, tree, 0 AS node FROM feat, (SELECT DISTINCT tree FROM nodes)
+         UNION ALL
+         SELECT w.customer_id, w.tree, CASE WHEN {TREE_VALUE} <= cut THEN lo ELSE hi END
+         FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node AND n.feature IS NOT NULL
+         JOIN feat f ON f.customer_id = w.customer_id),
+margins AS (SELECT w.customer_id, r.tree + 1 AS round, sum(n.value) AS margin
+            FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node AND n.feature IS NULL
+            JOIN (SELECT DISTINCT tree FROM nodes) r ON r.tree >= w.tree
+            GROUP BY w.customer_id, r.tree)"""
+
+
+def _tree_scores() -> str:
+    rounds = [f"max(margin) FILTER (WHERE round = {k + 1})" for k in range(len(TREE_WEIGHTS))]
+    each = ", ".join(f"{rnd(r)} AS margin_{k + 1}" for k, r in enumerate(rounds))
+    return f"""WITH RECURSIVE {_tree_ctes()}
+SELECT customer_id, {each}, {rnd(f"1 / (1 + exp(-2 * {rounds[-1]}))")} AS churn_prob FROM margins GROUP BY customer_id"""
+
+
+def _tree_areas() -> str:
+    """Every pair of a churned and a retained customer, by counts of equal margins."""
+    return f"""WITH RECURSIVE {_tree_ctes()},
+counts AS (SELECT round, margin, sum(churn_label) AS p, sum(1 - churn_label) AS q
+           FROM margins JOIN feat USING (customer_id) GROUP BY round, margin),
+cum AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY round ORDER BY margin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS below FROM counts)
+SELECT round::BIGINT AS round, {rnd('sum(p::DOUBLE * (below + q / 2.0)) / (sum(p)::DOUBLE * sum(q))')} AS auroc FROM cum GROUP BY round"""
+
+
+def _tree_contributions() -> str:
+    """Shapley values from the value of every set of known features of every path."""
+    sums = {n: f"coalesce(sum(part) FILTER (WHERE feature = '{n}'), 0)" for n in TREE_FEATURES}
+    columns = ", ".join(f"{rnd(total)} AS {n}" for n, total in sums.items())
+    return f"""WITH RECURSIVE {_tree_ctes()},
+tests AS (SELECT tree, node AS leaf, node, []::STRUCT(feature VARCHAR, low DOUBLE, high DOUBLE, share DOUBLE)[] AS steps
+          FROM nodes WHERE feature IS NULL
+          UNION ALL
+          SELECT t.tree, t.leaf, n.node, list_append(t.steps, {{'feature': n.feature,
+                 'low': CASE WHEN n.hi = t.node THEN n.cut ELSE '-infinity'::DOUBLE END,
+                 'high': CASE WHEN n.lo = t.node THEN n.cut ELSE 'infinity'::DOUBLE END, 'share': c.cover / n.cover}})
+          FROM tests t JOIN nodes n ON n.tree = t.tree AND n.feature IS NOT NULL AND t.node IN (n.lo, n.hi)
+          JOIN nodes c ON c.tree = t.tree AND c.node = t.node),
+single AS (SELECT tree, leaf, unnest(steps) AS s FROM tests WHERE node = 0),
+steps AS (SELECT tree, leaf, s.feature AS feature, max(s.low) AS low, min(s.high) AS high, product(s.share) AS share
+          FROM single GROUP BY tree, leaf, s.feature),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY tree, leaf ORDER BY feature) - 1 AS bit,
+                    count(*) OVER (PARTITION BY tree, leaf) AS size FROM steps),
+passed AS (SELECT customer_id, n.*, CASE WHEN {TREE_VALUE} > low AND {TREE_VALUE} <= high THEN 1 ELSE 0 END::DOUBLE AS pass
+           FROM feat, numbered n),
+worth AS (SELECT customer_id, tree, leaf, any_value(size) AS size, mask,
+                 product(CASE WHEN (mask >> bit) & 1 = 1 THEN pass ELSE share END) AS worth
+          FROM passed, range(0, 16) AS masks(mask) WHERE mask < (1 << size) GROUP BY customer_id, tree, leaf, mask),
+parts AS (SELECT w.customer_id, s.feature, n.value * w.worth * CASE WHEN (mask >> s.bit) & 1 = 1
+                 THEN gamma(bit_count(mask)::DOUBLE) * gamma((w.size - bit_count(mask) + 1)::DOUBLE)
+                 ELSE -gamma((bit_count(mask) + 1)::DOUBLE) * gamma((w.size - bit_count(mask))::DOUBLE) END
+                 / gamma((w.size + 1)::DOUBLE) AS part
+          FROM worth w JOIN numbered s USING (tree, leaf) JOIN nodes n ON n.tree = w.tree AND n.node = w.leaf),
+grand AS (SELECT sum(value * share) AS expected FROM (SELECT tree, leaf, product(share) AS share FROM steps GROUP BY tree, leaf) p
+         JOIN nodes n ON n.tree = p.tree AND n.node = p.leaf)
+SELECT customer_id, {columns}, {rnd('max(expected)')} AS expected_margin FROM parts, grand GROUP BY customer_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name; fitted models have none."""
     star, events = f"WITH {STAR_FEATURES}", f"WITH {EVENT_FEATURES}"
@@ -346,6 +428,9 @@ def oracle_sql() -> dict[str, str]:
         "precision_top_decile": f"""{scored},{TOP} SELECT top_rows::BIGINT AS top_rows, {rnd('precision')} AS precision
             FROM topm""",
         "classification_report": _report(),
+        "fixed_tree_scores": _tree_scores(),
+        "fixed_tree_contributions": _tree_contributions(),
+        "auroc_by_round": _tree_areas(),
         "scored_customers": f"{scored} SELECT {CHURN_SELECT}, {rnd('churn_prob')} AS churn_prob, {clv_select} FROM scored",
         "export_customers": f"{scored},{EXPORT} SELECT * FROM exported",
         "risk_band_counts": f"""{scored},{EXPORT} SELECT "Churn Risk Band" AS risk_band, count(*)::BIGINT AS customers
