@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +28,31 @@ VALUE_PARAMETERS = ["p", "q", "v"]
 # Repeat purchases below which a history is short, and how far whole numbers are stepped off.
 SHORT = 24
 NUDGE = 3e-8
+# Curvature by a parameter's logarithm below which the data do not determine it.
+LEAST_CURVATURE = 1e-4
+# Slope above which an ended search is no fit, and the share of an objective that is lost to rounding.
+STEEPEST = 1e-6
+ROUNDING = 1e-14
+# The logarithm at which a parameter is as good as zero.
+LEAST_LOG = -60.0
+# Rows for which a task of a pass is worth its start.
+ROWS_A_TASK = 50_000
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Fitted parameters, the objective reached, the passes it took and the slope left."""
+    """Fitted parameters, the objective reached, the passes it took, the slope left and what ended the search.
+
+    ``errors`` are standard errors from the inverse of the objective's curvature at the end, None for parameters that the
+    data do not determine: those along whose logarithm the objective is all but flat. These are held fixed for the others.
+    """
 
     params: dict[str, float]
     objective: float
     evaluations: int
     slope: float = 0.0
+    ended: str = "flat"
+    errors: dict[str, float | None] = field(default_factory=dict)
 
 
 def clv_inputs(rfm_table: DataFrame) -> DataFrame:
@@ -163,11 +178,16 @@ def summed_terms(
 
 @dataclass(frozen=True)
 class Evaluation:
-    """Objective, gradient and Hessian at one point."""
+    """Objective, gradient and Hessian at one point, and the customers it is a mean over."""
 
     value: float
     gradient: np.ndarray
     hessian: np.ndarray
+    customers: float = 1.0
+
+    @property
+    def slope(self) -> float:
+        return float(np.max(np.abs(self.gradient)))
 
 
 def penalised_objective(
@@ -191,7 +211,7 @@ def penalised_objective(
                 bends[i, j] -= mean[f"t{min(i, j)}{max(i, j)}"]
         gradient = slopes * values
         hessian = bends * np.outer(values, values) + np.diag(gradient)
-        return Evaluation(float(-mean["t"] + penalizer * np.sum(values**2)), gradient, hessian)
+        return Evaluation(float(-mean["t"] + penalizer * np.sum(values**2)), gradient, hessian, row["customers"])
 
     return evaluate
 
@@ -202,53 +222,76 @@ class NotConverged(RuntimeError):
 
 @dataclass(frozen=True)
 class Minimum:
-    """Where a search ended: the point, its value, the passes used, and the steepest slope left there."""
+    """Where a search ended: the point, the last evaluation, the passes used, and whether the objective is ``flat`` there
+    or rounding hides any further ``gain``."""
 
     point: np.ndarray
-    value: float
+    at: Evaluation
     evaluations: int
-    slope: float
+    ended: str
 
 
 def minimise(
     evaluate: Callable[[np.ndarray], Evaluation],
     start: np.ndarray,
-    tolerance: float = 1e-6,
+    tolerance: float = 1e-9,
     max_evaluations: int = 200,
 ) -> Minimum:
     """Newton descent with a halving line search.
 
     Directions of negative or no curvature are followed by their absolute
-    curvature. The search ends at a flat point, or where a further step promises
-    less than a billionth of the objective; where it cannot get to either it
-    raises :class:`NotConverged`, so no unfinished point is taken for a fit.
+    curvature. The search ends at a flat point. Where gains are lost in rounding,
+    steps must lower the slope instead; if none does, the search ends there if
+    the slope is at most ``STEEPEST``. Else it raises :class:`NotConverged`, so no
+    unfinished point is taken for a fit.
     """
     point, used = start.astype(float), 1
     here = evaluate(point)
-    while (slope := float(np.max(np.abs(here.gradient)))) > tolerance:
+    while here.slope > tolerance:
         bends, axes = np.linalg.eigh(here.hessian)
         direction = -axes @ ((axes.T @ here.gradient) / np.maximum(np.abs(bends), 1e-10))
         promised = -(direction @ here.gradient)
-        if promised < 1e-9 * (1.0 + abs(here.value)):
-            break
+        noise = ROUNDING * (1.0 + abs(here.value))
         step = min(1.0, 2.0 / np.max(np.abs(direction)))
         while True:
             if used >= max_evaluations or step < 1e-8:
-                raise NotConverged(f"slope {slope:.3g} left after {used} passes at {point.tolist()}")
-            there = evaluate(point + step * direction)
+                if here.slope <= STEEPEST:
+                    return Minimum(point, here, used, "gain")
+                raise NotConverged(f"slope {here.slope:.3g} left after {used} passes at {point.tolist()}")
+            goal = np.maximum(point + step * direction, LEAST_LOG)
+            there = evaluate(goal)
             used += 1
-            if np.isfinite(there.value) and there.value <= here.value - 1e-4 * step * promised:
+            gained = here.value - there.value
+            if np.isfinite(there.value) and gained >= 1e-4 * step * promised - noise and (gained > noise or there.slope < here.slope):
                 break
             step /= 2.0
-        point, here = point + step * direction, there
-    return Minimum(point, here.value, used, slope)
+        point, here = goal, there
+    return Minimum(point, here, used, "flat")
+
+
+def standard_errors(at: Evaluation, params: np.ndarray) -> list[float | None]:
+    """Of the parameters, from curvatures by their logarithms; None where the objective is all but flat."""
+    known = np.diag(at.hessian) >= LEAST_CURVATURE
+    out: list[float | None] = [None] * len(params)
+    if known.any():
+        spread = np.diag(np.linalg.inv(at.hessian[np.ix_(known, known)])) / at.customers
+        for k, variance in zip(np.nonzero(known)[0], spread):
+            out[k] = float(params[k] * math.sqrt(variance)) if variance > 0 else None
+    return out
 
 
 def _fit(
     rows: DataFrame, names: list[str], terms: Callable[[DataFrame, dict[str, float]], DataFrame], penalizer: float
 ) -> Fit:
     found = minimise(penalised_objective(rows, names, terms, penalizer), np.full(len(names), 0.1))
-    return Fit(dict(zip(names, np.exp(found.point).tolist())), found.value, found.evaluations, found.slope)
+    params = np.exp(found.point)
+    errors = dict(zip(names, standard_errors(found.at, params)))
+    return Fit(dict(zip(names, params.tolist())), found.at.value, found.evaluations, found.at.slope, found.ended, errors)
+
+
+def _in_large_tasks(rows: DataFrame, count: int) -> DataFrame:
+    """Stored rows in no more tasks than they are worth: a search passes over them many times."""
+    return rows.coalesce(max(1, -(-count // ROWS_A_TASK)))
 
 
 def purchase_histories(rfm_table: DataFrame) -> DataFrame:
@@ -275,6 +318,7 @@ def fit_purchase_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
     check = histories.agg(
         F.max("age").alias("oldest"),
         F.count_if((seen > age) | ((F.col("x") == 0) & (seen != 0))).alias("invalid"),
+        F.count("*").alias("rows"),
     ).first()
     if check["oldest"] is None:
         raise ValueError("no customers to fit")
@@ -282,8 +326,9 @@ def fit_purchase_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
         raise ValueError(f"{check['invalid']} histories contradict themselves, e.g. a later purchase with no repeat")
     scale = 10.0 / check["oldest"] if check["oldest"] > 0 else 1.0
     scaled = histories.select("x", (seen * _value(scale)).alias("seen"), (age * _value(scale)).alias("age"), "weight")
-    fit = _fit(scaled, PURCHASE_PARAMETERS, purchase_terms, cfg.penalizer)
-    return replace(fit, params=fit.params | {"alpha": fit.params["alpha"] / scale})
+    fit = _fit(_in_large_tasks(scaled, check["rows"]), PURCHASE_PARAMETERS, purchase_terms, cfg.penalizer)
+    alpha, error = fit.params["alpha"] / scale, fit.errors["alpha"]
+    return replace(fit, params=fit.params | {"alpha": alpha}, errors=fit.errors | {"alpha": None if error is None else error / scale})
 
 
 def repeat_values(rfm_table: DataFrame) -> DataFrame:
@@ -301,7 +346,7 @@ def fit_value_model(rfm_table: DataFrame, cfg: RunConfig) -> Fit:
         raise ValueError("no repeat customers to fit")
     if check["invalid"]:
         raise ValueError(f"{check['invalid']} repeat customers have a mean order value of zero or less")
-    return _fit(rows, VALUE_PARAMETERS, value_terms, cfg.penalizer)
+    return _fit(_in_large_tasks(rows, check["rows"]), VALUE_PARAMETERS, value_terms, cfg.penalizer)
 
 
 def purchases_while_active(params: dict[str, float], days: float, x: Column, age: Column) -> Column:

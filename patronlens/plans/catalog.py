@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -346,14 +346,25 @@ def q_bgnbd_purchases_long_horizon(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def significant(value: Column) -> Column:
+    """Four significant digits, three behind the point at most."""
+    scale = F.pow(F.lit(10.0), F.lit(3) - F.floor(F.log10(F.greatest(value, F.lit(1.0)))))
+    return F.when(value.isNotNull(), F.bround(value * scale) / scale)
+
+
+def _parameters(spark: SparkSession, model: str, fit: clv.Fit) -> DataFrame:
+    table = sinks.parameter_table(spark, model, fit.params, fit.errors)
+    return table.select("model", "name", *[significant(F.col(c)).alias(c) for c in ("value", "standard_error")])
+
+
 def q_bgnbd_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = clv.fit_purchase_model(features.rfm(star_orders(spark, sf_dir), STAR), STAR)
-    return sinks.parameter_table(spark, "purchases", fit.params)
+    """Fitted parameters of the purchase model with their standard errors."""
+    return _parameters(spark, "purchases", clv.fit_purchase_model(features.rfm(star_orders(spark, sf_dir), STAR), STAR))
 
 
 def q_gg_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = clv.fit_value_model(features.rfm(star_orders(spark, sf_dir), STAR), STAR)
-    return sinks.parameter_table(spark, "values", fit.params)
+    """Fitted parameters of the value model with their standard errors."""
+    return _parameters(spark, "values", clv.fit_value_model(features.rfm(star_orders(spark, sf_dir), STAR), STAR))
 
 
 # Splits and scaling

@@ -17,6 +17,7 @@ from patronlens.plans.catalog import (
     TREE_WEIGHTS,
     VALUE_PARAMS,
 )
+from patronlens.plans.oracle_fits import newton_ctes
 from patronlens.schemas import FEATURES
 
 
@@ -347,8 +348,37 @@ grand AS (SELECT sum(value * share) AS expected FROM (SELECT tree, leaf, product
 SELECT customer_id, {columns}, {rnd('max(expected)')} AS expected_margin FROM parts, grand GROUP BY customer_id"""
 
 
+def significant(expression: str) -> str:
+    """Four significant digits, three behind the point at most."""
+    scale = f"pow(10, 3 - floor(log10(greatest({expression}, 1))))"
+    return f"CASE WHEN {expression} IS NOT NULL THEN round_even({expression} * {scale}, 0) / {scale} END"
+
+
+def _fitted_params(model: str, names: list[str], row, rows: str, units: dict[str, str]) -> str:
+    """Parameters and their standard errors, null for those that the data do not determine."""
+    p = {n: f"p{i}" for i, n in enumerate(names)}
+    each = []
+    for i, n in enumerate(names):
+        value = f"(exp(t{i}) * {units.get(n, '1')})"
+        error = f"sqrt(e{i} / (SELECT sum(w) FROM data))"
+        shown = significant(f"({value} * {error})")
+        each.append(f"SELECT '{model}' AS model, '{n}' AS name, {significant(value)} AS value, {shown} AS standard_error FROM fitted")
+    body = newton_ctes(len(names), row(p), "data", STAR.penalizer)
+    return f"WITH RECURSIVE {SCORED}, data AS ({rows}), {body} " + " UNION ALL ".join(each)
+
+
+def _purchase_params() -> str:
+    unit = "((SELECT max(age) FROM hist) / 10)"
+    rows = f"SELECT x, tx / {unit} AS tx, age / {unit} AS age, count(*)::DOUBLE AS w FROM hist GROUP BY ALL"
+    return _fitted_params("purchases", list(PURCHASE_PARAMS), _purchase_row, rows, {"alpha": unit})
+
+
+def _value_params() -> str:
+    return _fitted_params("values", list(VALUE_PARAMS), _value_row, "SELECT x, m, 1::DOUBLE AS w FROM hist WHERE x > 0", {})
+
+
 def oracle_sql() -> dict[str, str]:
-    """SQL by query name; fitted models have none."""
+    """SQL by query name; fitted trees have none."""
     star, events = f"WITH {STAR_FEATURES}", f"WITH {EVENT_FEATURES}"
     scored = f"WITH {SCORED}"
     order_columns = ["customer_id", "order_id", "order_date", "revenue", "channel", "is_returned"]
@@ -406,6 +436,8 @@ def oracle_sql() -> dict[str, str]:
         "gg_likelihood": _gg_likelihood(),
         "bgnbd_gradient": _slopes(PURCHASE_PARAMS, _purchase_row, "hist"),
         "gg_gradient": _slopes(VALUE_PARAMS, _value_row, "hist WHERE x > 0"),
+        "bgnbd_params": _purchase_params(),
+        "gg_params": _value_params(),
         "bgnbd_purchases_long_horizon": _long_horizon(),
         "model_rows": f"""{star} SELECT customer_id, recency::BIGINT AS recency, frequency::BIGINT AS frequency,
             {rnd('monetary')} AS monetary, R_score::BIGINT AS R_score, F_score::BIGINT AS F_score,

@@ -87,8 +87,8 @@ def fit_values(run: Run) -> DataFrame:
     rfm_table = run.read("rfm")
     purchase = clv.fit_purchase_model(rfm_table, run.cfg)
     value = clv.fit_value_model(rfm_table, run.cfg)
-    parameters = sinks.parameter_table(run.spark, "purchases", purchase.params).unionByName(
-        sinks.parameter_table(run.spark, "values", value.params)
+    parameters = sinks.parameter_table(run.spark, "purchases", purchase.params, purchase.errors).unionByName(
+        sinks.parameter_table(run.spark, "values", value.params, value.errors)
     )
     sinks.write_parquet(parameters.coalesce(1), run.path("clv_parameters"))
     scored = run.write(clv.score_clv(rfm_table, purchase.params, value.params, run.cfg), "clv_scores")

@@ -14,6 +14,7 @@ PARAMETERS = T.StructType(
         T.StructField("model", T.StringType(), False),
         T.StructField("name", T.StringType(), False),
         T.StructField("value", T.DoubleType(), False),
+        T.StructField("standard_error", T.DoubleType()),
     ]
 )
 
@@ -28,9 +29,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def parameter_table(spark: SparkSession, model: str, values: dict[str, float]) -> DataFrame:
-    """Fitted parameters as rows."""
-    return spark.createDataFrame([(model, name, float(v)) for name, v in values.items()], PARAMETERS)
+def parameter_table(
+    spark: SparkSession, model: str, values: dict[str, float], errors: dict[str, float | None] | None = None
+) -> DataFrame:
+    """Fitted parameters as rows, with their standard errors where these are known."""
+    errors = errors or {}
+    return spark.createDataFrame([(model, name, float(v), errors.get(name)) for name, v in values.items()], PARAMETERS)
 
 
 def read_parameters(spark: SparkSession, path: str, model: str) -> dict[str, float]:
