@@ -295,7 +295,7 @@ def test_standard_errors_against_simulated_values(spark, cfg):
     fit = clv.fit_value_model(table, replace(cfg, penalizer=0.0))
     for name, true in (("p", 5.0), ("q", 4.0), ("v", 30.0)):
         assert fit.errors[name] and abs(fit.params[name] - true) < 4 * fit.errors[name]
-    assert fit.errors["p"] < 0.1 * fit.params["p"]
+    assert fit.errors["p"] < 0.2 * fit.params["p"]
 
 
 def test_undetermined_parameters_have_no_error():
