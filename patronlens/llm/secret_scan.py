@@ -1,14 +1,16 @@
 """Secrets in texts: three plain patterns, and literals that flow into names of secrets.
 
-The plain patterns are applied as they stand. Beside them, a text is read as source code or configuration: every
-``name = value``, ``name: value``, ``name := value`` and ``name => value`` becomes a pair of a name and a literal or
-another name. Names follow each other (``k = "..."``, later ``password = k``), in whatever order they stand, so the first
-literal counts as a value of ``password`` too. A literal is scored by the most sensitive name it reaches and by how much
-it looks like a secret; those above ``THRESHOLD`` are reported as kind ``literal`` with the span of their content.
+The plain patterns are applied as they stand. Beside them, a text is read as source code or configuration
+(:mod:`patronlens.llm.lexing`): assignments become pairs of a name and a literal or another name. Names follow each other
+(``k = "..."``, later ``password = k``), in whatever order they stand and each in its scope, so the first literal counts as a
+value of ``password`` too. Literals that are put together are judged as one text. A literal is scored by the most
+sensitive name it reaches and by how much it looks like a secret; those above ``THRESHOLD`` are reported as kind
+``literal`` with the span of their content.
 
 Defined cases: null text counts as empty and has no spans. Positions are code points, the end exclusive. Spans are
-ordered by start, then by kind in the order of ``KINDS``. Names of more than ``NAME_CHARS`` characters are no names. A
-literal may span lines only in triple quotes. Other columns, null or repeated ids and repeated rows pass unchanged.
+ordered by start, then by kind in the order of ``KINDS``. Comments and the insides of strings hold no pairs. A literal may span
+lines in triple quotes and back-ticks only. The time is proportional to the text, whatever it holds. Other columns, null or
+repeated ids and repeated rows pass unchanged.
 """
 
 from __future__ import annotations
@@ -17,13 +19,15 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronlens.llm.common import fresh
+from patronlens.llm.common import fresh, quoted
+from patronlens.llm.lexing import Assignment, Reader
 
 KINDS = ("assign", "access", "hex", "literal")
 BASE = KINDS[:3]
@@ -46,16 +50,10 @@ SENSITIVE = {
 PAIRS = {("api", "key"), ("access", "key"), ("private", "key"), ("secret", "key"), ("signing", "key"), ("client", "secret")}
 HARMLESS = {"example", "changeme", "placeholder", "dummy", "none", "null", "true", "false", "undefined", "xxxx", "todo"}
 THRESHOLD = 0.45
-NAME_CHARS = 200
-
-_OPERATOR = re.compile(r":=|=>|==+|!=|<=|>=|=|::|:(?!//)")
-_NAME_BEFORE = re.compile(r"""([A-Za-z_$][\w$.-]*)["'`]?\]?[ \t]*(?::[ \t]*[A-Za-z_][\w.<>\[\]]*[ \t]*)?$""", re.ASCII)
-_VALUE = re.compile(
-    r'''[ \t]*(?:\(\s*)?(?:[rbfu]{0,2}(?:"""(?P<a>(?:[^\\]|\\.)*?)"""|"(?P<b>(?:[^"\\\n]|\\.)*)"|'(?P<c>(?:[^'\\\n]|\\.)*)'|'''
-    r"""`(?P<d>[^`\n]*)`)|(?P<name>[A-Za-z_$][\w$.-]*)(?=[ \t]*(?:[;,)}\]\r\n]|\+|\#|//|--|$))|(?P<bare>[^\s"'`;,#(){}\[\]]+))""",
-    re.ASCII | re.DOTALL,
-)
-_PLUS = re.compile(r"[ \t]*\+")
+# Names that stand for names, and so on, up to this depth when literals are put together.
+MOST_NESTED = 200
+# Characters up to which those of a text put together are counted exactly; beyond, their shares stay the same.
+MOST_COUNTED = 1_000_000
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -64,88 +62,167 @@ def name_weight(name: str) -> float:
     words = [w.lower() for w in _CAMEL.findall(name)]
     if any(p in PAIRS for p in zip(words, words[1:])):
         return 1.0
-    return max((SENSITIVE.get(w, 0.0) for w in words), default=0.0)
+    return max((SENSITIVE.get(w, SENSITIVE.get(w.removesuffix("s"), 0.0)) for w in words), default=0.0)
 
 
-def literal_strength(value: str) -> float:
-    """How much a literal looks like a secret, from 0 to 1: long, varied, without blanks, no placeholder."""
-    if len(value) < 8 or any(c.isspace() for c in value) or "${" in value or "{{" in value or value.startswith("<"):
-        return 0.0
+@dataclass
+class Look:
+    """What counts in a literal, or in several put together: size, letters, kinds of letters, and whether it is harmless."""
+
+    size: int
+    counts: Counter[str]
+    harmless: bool
+
+    def strength(self) -> float:
+        """How much it looks like a secret, from 0 to 1: long, varied, without blanks, no placeholder."""
+        if self.harmless or self.size < 8 or len({c.lower() for c in self.counts}) <= 3:
+            return 0.0
+        entropy = -sum(c / self.size * math.log2(c / self.size) for c in self.counts.values())
+        kinds = sum(any(map(f, self.counts)) for f in (str.islower, str.isupper, str.isdigit))
+        kinds += not all(map(str.isalnum, self.counts))
+        return min(1.0, entropy / 3.5) * min(1.0, self.size / 16) * (0.5 + 0.5 * min(1.0, kinds - 1))
+
+
+def look(value: str) -> Look:
     low = value.lower()
-    if low in HARMLESS or "example" in low or "changeme" in low or len(set(low)) <= 3:
-        return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit)) + any(
-        not c.isalnum() for c in value
-    )
-    return min(1.0, entropy / 3.5) * min(1.0, n / 16) * (0.5 + 0.5 * min(1.0, (kinds - 1) / 1.0))
+    harmless = "${" in value or "{{" in value or value.startswith("<") or low in HARMLESS or "example" in low or "changeme" in low
+    counts = Counter(value)
+    return Look(len(value), counts, harmless or any(map(str.isspace, counts)))
+
+
+def literal_strength(value: str) -> float:
+    """How much a literal looks like a secret, from 0 to 1."""
+    return look(value).strength()
+
+
+class Flow:
+    """Which literals and names flow into which names of a text. A name is known with the scope it belongs to."""
+
+    def __init__(self, text: str):
+        self.text, self.reader = text, Reader(text)
+        self.assigned: dict[tuple[int, str], list[Assignment]] = {}
+        self.anywhere: dict[str, tuple[int, str]] = {}
+        for one in self.reader.found:
+            self.assigned.setdefault((one.scope, one.name), []).append(one)
+            self.anywhere.setdefault(one.name, (one.scope, one.name))
+        self.literals: list[tuple[tuple[int, str], int, int]] = []
+        self.references: list[tuple[tuple[int, str], tuple[int, str]]] = []
+        for one in self.reader.found:
+            own = (one.scope, one.name)
+            for part in one.parts:
+                known = self._known(one.scope, part.name) if part.name else None
+                if known:
+                    if known != own:
+                        self.references.append((own, known))
+                elif part.end > part.start:
+                    self.literals.append((own, part.start, part.end))
+
+    def _known(self, scope: int, name: str) -> tuple[int, str] | None:
+        """The assigned name that ``name`` stands for in a scope."""
+        head, _, last = name.rpartition(".")
+        at = scope
+        while at >= 0:
+            if (at, name) in self.assigned:
+                return at, name
+            at = self.reader.outer[at]
+        if not head:
+            return None
+        owner = self.reader.classes.get(head.rpartition(".")[2])
+        if owner is not None and (owner, last) in self.assigned:
+            return owner, last
+        if name in self.anywhere:  # an attribute that another method sets
+            return self.anywhere[name]
+        return self._known(scope, last)
+
+    def joined_look(self, one: Assignment, path: frozenset[int] = frozenset()) -> Look:
+        """Of all that is put together in an assignment; a name stands for what was assigned to it last."""
+        total = Look(0, Counter(), False)
+        for part in one.parts:
+            known = self._known(one.scope, part.name) if part.name else None
+            if known:
+                source = self.assigned[known][-1]
+                if id(source) in self._looks:
+                    more = self._looks[id(source)]
+                elif id(source) in path or len(path) > MOST_NESTED:
+                    continue
+                else:
+                    more = self._looks[id(source)] = self.joined_look(source, path | {id(source)})
+            elif part.end > part.start:
+                more = look(self.text[part.start : part.end])
+            else:
+                continue
+            counts = total.counts + more.counts
+            if total.size + more.size > MOST_COUNTED:  # names may double what they stand for again and again
+                counts = Counter({c: (n + 1) // 2 for c, n in counts.items()})
+            total = Look(counts.total(), counts, total.harmless or more.harmless)
+        return total
+
+    def spans(self) -> set[tuple[int, int]]:
+        """Literals that are values of sensitive names."""
+        weight = reached_weight(self.references, {own for own, _, _ in self.literals} | {k for r in self.references for k in r})
+        found = set()
+        for own, start, end in self.literals:
+            if weight[own] and weight[own] * literal_strength(self.text[start:end]) >= THRESHOLD:
+                found.add((start, end))
+        self._looks: dict[int, Look] = {}
+        todo = []
+        for one in self.reader.found:
+            own = (one.scope, one.name)
+            if one.joined and weight.get(own) and weight[own] * self.joined_look(one).strength() >= THRESHOLD:
+                todo.append(one)
+        seen: set[int] = set()
+        while todo:  # everything that is put together there
+            one = todo.pop()
+            if id(one) in seen:
+                continue
+            seen.add(id(one))
+            for part in one.parts:
+                known = self._known(one.scope, part.name) if part.name else None
+                if known:
+                    todo.append(self.assigned[known][-1])
+                elif part.end > part.start:
+                    found.add((part.start, part.end))
+        return found
+
+
+def _shown(key: tuple[int, str]) -> str:
+    return key[1] if key[0] == 0 else f"{key[1]}@{key[0]}"
 
 
 def pairs(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, str]]]:
-    """(name, start, end) for each literal and (name, other name) for each reference.
+    """(name, start, end) for each literal and (name, other name) for each reference; names of inner scopes carry its number.
 
-    A bare word is a reference if something is assigned to that name in the text, else a literal.
+    A bare word is a reference if something is assigned to that name where it stands, else a literal.
     """
-    literals, references, words = [], [], []
-    for op in _OPERATOR.finditer(text):
-        if op[0] not in ("=", ":", ":=", "=>"):
-            continue
-        line = text.rfind("\n", max(0, op.start() - NAME_CHARS - 8), op.start()) + 1
-        before = text[max(line, op.start() - NAME_CHARS - 8) : op.start()]
-        found = _NAME_BEFORE.search(before)
-        if not found:
-            continue
-        name, at = found[1], op.end()
-        while value := _VALUE.match(text, at):
-            kind = value.lastgroup
-            if kind == "name":
-                words.append((name, value["name"], *value.span("name")))
-            elif value.end(kind) > value.start(kind):
-                literals.append((name, value.start(kind), value.end(kind)))
-            plus = _PLUS.match(text, value.end())
-            if not plus:
-                break
-            at = plus.end()
-    known = {name for name, _, _ in literals} | {name for name, *_ in words}
-    references += [(name, word) for name, word, _, _ in words if word in known]
-    literals += [(name, start, end) for name, word, start, end in words if word not in known]
-    return literals, references
-
-
-def reached_weight(references: list[tuple[str, str]], names: set[str]) -> dict[str, float]:
+    flow = Flow(text)
+    return [(_shown(k), a, b) for k, a, b in flow.literals], [(_shown(a), _shown(b)) for a, b in flow.references]
+
+
+def reached_weight(references: list[tuple], names: set) -> dict:
     """Weight of the most sensitive name that each name's value reaches."""
-    weight = {n: name_weight(n) for n in names}
-    into: dict[str, list[str]] = {}
+    weight = {k: name_weight(k[1]) for k in names}
+    into: dict = {}
     for target, source in references:
         into.setdefault(target, []).append(source)
     # Names in falling order of weight: each one is settled when it is first met.
-    done: set[str] = set()
-    for start in sorted(weight, key=lambda n: (-weight[n], n)):
+    done: set = set()
+    for start in sorted(weight, key=lambda k: (-weight[k], k)):
         todo = [start]
         while todo:
-            name = todo.pop()
-            if name in done:
+            key = todo.pop()
+            if key in done:
                 continue
-            done.add(name)
-            weight[name] = max(weight.get(name, 0.0), weight[start])
-            todo += into.get(name, ())
+            done.add(key)
+            weight[key] = max(weight.get(key, 0.0), weight[start])
+            todo += into.get(key, ())
     return weight
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of literals that are values of sensitive names."""
-    if "=" not in text and ":" not in text:
-        return []
-    literals, references = pairs(text)
-    if not literals:
+    if "=" not in text and ":" not in text and "#define" not in text:
         return []
-    weight = reached_weight(references, {n for n, _, _ in literals} | {n for r in references for n in r})
-    found = set()
-    for name, start, end in literals:
-        if weight[name] and weight[name] * literal_strength(text[start:end]) >= THRESHOLD:
-            found.add(("literal", start, end))
-    return sorted(found, key=lambda s: s[1:])
+    return [("literal", a, b) for a, b in sorted(Flow(text).spans())]
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -192,14 +269,15 @@ def _joined(found: Column) -> Column:
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: counts of the plain kinds, the digest of their spans, and all spans."""
-    found = scan(docs.select(key, text).withColumnRenamed(text, "text"), "text", "found").drop("text")
+    narrow = docs.select(F.col(quoted(key)).alias("id"), F.col(quoted(text)).alias("text"))
+    found = scan(narrow, "text", "found").drop("text")
     base = F.filter("found", lambda s: s["kind"].isin(*BASE))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
-        key,
+        F.col("id").alias(key),
         *[count(k) for k in BASE],
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("found")).alias("spans"),

@@ -179,3 +179,100 @@ def test_urls_without_labels_and_odd_rows(spark):
     assert len(got) == 4 and {r.verdict for r in got} == {"allow"}
     assert {r.verdict for r in url_filter.judge(pages(spark, ["http://a.com/de/1", "http://a.net/"])).collect()} == {"block"}
     assert url_filter.judge(odd.limit(0)).count() == 0
+
+
+ZX = "Zx9-Qw8.Er7_Ty6"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'a = "Zx9-Qw8"; b = ".Er7_Ty6"; password = a + b',
+        'password = decode("Zx9-Qw8.Er7_Ty6")',
+        'password = os.environ.get(name, "Zx9-Qw8.Er7_Ty6")',
+        'password = (\n    "Zx9-Qw8"\n    ".Er7_Ty6"\n)',
+        '#define DB_PASSWORD "Zx9-Qw8.Er7_Ty6"\n',
+        'user, password = "bob", "Zx9-Qw8.Er7_Ty6"',
+        'class A:\n    k = "Zx9-Qw8.Er7_Ty6"\n\npassword = A.k\n',
+        'class A:\n    def one(self):\n        self.k = "Zx9-Qw8.Er7_Ty6"\n    def two(self):\n        password = self.k\n',
+        'k = "Zx9-Qw8.Er7_Ty6"\npassword = f"{k}"\n',
+        "db:\n  password: |\n    Zx9-Qw8.Er7_Ty6\n  user: bob\n",
+        '<db user="bob" password="Zx9-Qw8.Er7_Ty6"/>',
+        'let password: string = "Zx9-Qw8.Er7_Ty6";',
+        'a = password = "Zx9-Qw8.Er7_Ty6"',
+        'connect(user="bob", password="Zx9-Qw8.Er7_Ty6", port=5)',
+        "url?user=bob&password=Zx9-Qw8.Er7_Ty6&x=1",
+        'passwords = ["Zx9-Qw8.Er7_Ty6"]',
+        "'private_key' => 'Zx9-Qw8.Er7_Ty6',",
+        'PASSWORD="Zx9-Qw8.Er7_Ty6" # old',
+        'password = "Zx9-Qw8.Er7_Ty6" // old\r\nx = 1',
+        'def f():\n    k = "Zx9-Qw8.Er7_Ty6"\n    password = k\n\nk = "colour"\n',
+    ],
+)
+def test_syntax_that_holds_a_secret(text):
+    assert "".join(literals(text)) == ZX
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '# password = "Zx9-Qw8.Er7_Ty6"',
+        'x = 1 // password = "Zx9-Qw8.Er7_Ty6"',
+        '/* password = "Zx9-Qw8.Er7_Ty6" */ y = 2',
+        '-- password = "Zx9-Qw8.Er7_Ty6"',
+        "note = \"password = 'Zx9-Qw8.Er7_Ty6'\"",
+        "password = os.environ.get('PRODUCTION_DB_SETTING')",
+        "password = os.environ.get(name)",
+        'def f():\n    k = "Zx9-Qw8.Er7_Ty6"\n\ndef g():\n    k = "x"\n    password = k\n',
+        'password == "Zx9-Qw8.Er7_Ty6"',
+        'user, colour = "bob", "Zx9-Qw8.Er7_Ty6"',
+        "password = a + b\na = b\nb = a\n",
+        'password, user = "bob", "Zx9-Qw8.Er7_Ty6"',
+        'link: https://host/Zx9-Qw8.Er7_Ty6',
+    ],
+)
+def test_syntax_that_holds_none(text):
+    assert literals(text) == []
+
+
+def test_long_names_are_names():
+    assert literals("x" * 5_000 + '_password = "Zx9-Qw8.Er7_Ty6"') == [ZX]
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["key=a.", "a:", "a=", "a=b+", '"', "\\\"", "'\"", "`", '"""', "/*", "//", "# ", "f(", "[", "(a", "a-", "a.a", "password: |", "a, ",
+     "a: |\n ", "def f:\n ", "class A:\n", "k = k + k\n", "x\" \"", "=", ":=", "--\t", "é", "password=abc&", "{", "}", "https://a/", "a" * 50 + "\n"],
+)
+@pytest.mark.parametrize("head", ["", "password = ", 'password = f("', "x: "])
+def test_time_is_proportional_to_any_text(unit, head):
+    import time
+
+    def seconds(size):
+        text = head + unit * (size // len(unit))
+        start = time.process_time()
+        secret_scan.spans(text)
+        return time.process_time() - start
+
+    # Some machines are slow; none makes eight times the text take twenty times as long.
+    took = seconds(120_000)
+    assert took < 0.25 or took < 20 * seconds(15_000)
+
+
+def test_names_put_together_again_and_again():
+    text = 'k0 = "Zx9-Qw8.Er7_Ty6"\n' + "".join(f"k{i + 1} = k{i} + k{i}\n" for i in range(3000)) + "password = k3000\n"
+    assert secret_scan.literal_spans(text) == [("literal", 6, 6 + len(ZX))]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["password", "k", "=", ":", "+", '"', "'", "(", ")", "[", "]", "{", "}", ",", "\n", "  ", "#", "//", "/*", "*/", "def f", "|", '"""', "\\", ZX, "f'"]), max_size=40))
+def test_any_syntax_ends_with_spans_inside_the_text(parts):
+    text = "".join(parts)
+    for kind, a, b in secret_scan.spans(text):
+        assert 0 <= a < b <= len(text) and (kind != "literal" or secret_scan.literal_strength(text[a:b]) >= 0)
+
+
+def test_report_bears_names_with_dots(spark):
+    docs = documents(spark, [(1, 'password = "Zx9-Qw8.Er7_Ty6"')]).withColumnsRenamed({"doc_id": "a.b", "text": "c.d"})
+    (row,) = secret_scan.report(docs, "a.b", "c.d").collect()
+    assert row["a.b"] == 1 and row["n_literal"] == 1
