@@ -16,11 +16,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-# Pieces and words in one of a memo's two halves, the longest one worth remembering, and the text handled at a time.
-MEMO_PIECES = 450_000
-MEMO_WORDS = 350_000
+# Bytes of one of a memo's two halves, those of an entry beside its characters and ids (objects and their place in a
+# table), the longest entry worth remembering, and the text handled at a time.
+MEMO_BYTES = 36_000_000
+ENTRY_BYTES = 150
 MEMO_CHARS = 32
-STEP_CHARS = 2_000_000
+STEP_CHARS = 1_000_000
 
 # Fixed value: the word pattern of byte-level vocabularies.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -53,32 +54,32 @@ class Memo:
     """Bounded memory of packed ids in two halves.
 
     What is in use moves to the young half; when that is full it becomes the old one, and what was left there is forgotten.
-    So frequent entries stay.
+    So frequent entries stay. A half holds ``room`` bytes and what one run of texts adds.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int):
-        self.encode, self.entries = encode, entries
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], room: int):
+        self.encode, self.room, self.size = encode, room, 0
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def turn(self) -> None:
         """Start a new young half if this one is full."""
-        if len(self.young) > self.entries:
-            self.old, self.young = self.young, {}
+        if self.size > self.room:
+            self.old, self.young, self.size = self.young, {}, 0
 
     def learn(self, wanted: set[str]) -> None:
         """Put everything wanted into the young half."""
         new = wanted.difference(self.young)
         for entry in new & self.old.keys():
-            self.young[entry] = self.old[entry]
-        new.difference_update(self.old)
-        order = list(new)
+            self.young[entry] = self.old.pop(entry)
+        order = list(new.difference(self.young))
         self.young.update(zip(order, self.encode(order), strict=True))
+        self.size += sum(map(len, new)) + sum(map(len, map(self.young.__getitem__, new))) + ENTRY_BYTES * len(new)
         self.long = [e for e in order if len(e) > MEMO_CHARS]
 
     def forget_long(self) -> None:
         for entry in self.long:
-            del self.young[entry]
+            self.size -= len(entry) + len(self.young.pop(entry)) + ENTRY_BYTES
 
 
 class TextEncoder:
@@ -87,9 +88,9 @@ class TextEncoder:
     ``added`` are the strings that stand for one id wherever they occur.
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], added: dict[str, int]):
-        self.words = Memo(encode_words, MEMO_WORDS)
-        self.pieces = Memo(self._encode_pieces, MEMO_PIECES)
+    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], added: dict[str, int], room: int = MEMO_BYTES):
+        self.words = Memo(encode_words, room)
+        self.pieces = Memo(self._encode_pieces, room)
         self.word = regex.compile(WORD_PATTERN)
         self.added = {a: np.array([i], "<u4").tobytes() for a, i in added.items()}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")

@@ -47,6 +47,8 @@ HEADER = struct.Struct("<8s6q")
 BLOCK_IDS = 65_536
 FILE_IDS = 8_000_000
 END_ID = 2
+# Bytes of one half of what a worker remembers of pieces, and of words.
+MEMO_BYTES = 72_000_000
 
 
 def width_of(vocabulary: int) -> int:
@@ -145,7 +147,7 @@ def _tokenizer(content: str) -> tuple[TextEncoder, int]:
 
         _TOKENIZERS.clear()
         added = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        _TOKENIZERS[key] = TextEncoder(encode, added), tokenizer.get_vocab_size(with_added_tokens=True)
+        _TOKENIZERS[key] = TextEncoder(encode, added, MEMO_BYTES), tokenizer.get_vocab_size(with_added_tokens=True)
     return _TOKENIZERS[key]
 
 

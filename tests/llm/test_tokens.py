@@ -76,8 +76,8 @@ def test_rows_and_single_words_merge_alike(vocab):
 
 
 def test_memo_forgets_but_stays_right(vocab, monkeypatch):
-    monkeypatch.setattr(vocab.texts.pieces, "entries", 5)
-    monkeypatch.setattr(vocab.texts.words, "entries", 5)
+    monkeypatch.setattr(vocab.texts.pieces, "room", 500)
+    monkeypatch.setattr(vocab.texts.words, "room", 500)
     for n in range(6):
         same_as_library(vocab, [f"word{n} and some other word {k}" for k in range(4)] + ["w" * 60])
 
