@@ -48,6 +48,8 @@ LEAF = 200
 MAX_DEPTH = 4
 BLOCK = 400
 SECOND_BRANCH = 0.25
+# Share of a path's classes from which a path that it split into is not split again.
+SHRINKS = 0.8
 # Share of equal slots from which a pair is compared exactly: six standard errors below the threshold.
 SKETCH_LEAST = 0.5
 MEMO_WORDS = 300_000
@@ -172,15 +174,15 @@ def _first_paths(classes: DataFrame, runs: range) -> DataFrame:
 
 
 def _next_paths(large: DataFrame, classes: DataFrame) -> DataFrame:
-    """One more split of the classes on large paths: rep, path."""
+    """One more split of the classes on large paths: rep, path, and the classes there were before the split."""
     slot = F.pmod(F.xxhash64("path", F.lit("slot")), F.lit(SLOTS)).cast("int")
     other = F.pmod(F.xxhash64("path", F.lit("other")), F.lit(SLOTS - 1)).cast("int")
     other = F.pmod(slot + 1 + other, F.lit(SLOTS))
     second = F.pmod(F.xxhash64("path", F.lit("second")), F.lit(1000)) < int(1000 * SECOND_BRANCH)
-    rows = large.select("rep", "path").join(classes.select("rep", "minhash"), "rep")
+    rows = large.select("rep", "path", F.col("m").alias("was")).join(classes.select("rep", "minhash"), "rep")
     one = F.xxhash64("path", slot, F.get("minhash", slot))
     two = F.xxhash64("path", other, F.get("minhash", other))
-    return rows.select("rep", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))).alias("path"))
+    return rows.select("rep", "was", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))).alias("path"))
 
 
 def _counted(paths: DataFrame, name: str) -> DataFrame:
@@ -198,11 +200,15 @@ def leaf_paths(classes: DataFrame, recall: float = RECALL) -> DataFrame:
         level, depth = _counted(_first_paths(classes, range(done, needed)), "split"), 1
         done = needed
         while True:
-            large = level.where(F.col("m") > LEAF)
+            # What a split hardly makes smaller is a group of like sets: more splits would lose links and spare no work.
+            splits = F.col("m") > LEAF
+            if depth > 1:
+                splits &= F.col("m") < SHRINKS * F.col("was")
+            large, ended = level.where(splits), level.select("rep", "path", "m")
             if depth == MAX_DEPTH or not large.take(1):
-                leaves = level if leaves is None else leaves.unionByName(level)
+                leaves = ended if leaves is None else leaves.unionByName(ended)
                 break
-            small = level.where(F.col("m") <= LEAF)
+            small = level.where(~splits).select("rep", "path", "m")
             leaves = small if leaves is None else leaves.unionByName(small)
             level, depth = _counted(_next_paths(large, classes), "split"), depth + 1
         deepest = max(deepest, depth)
