@@ -39,7 +39,10 @@ class JdbcSource:
     the order id is the default because one customer may own most of the rows.
     Bounds that are not given are the column's least and greatest value, which
     the database is asked for. Rows beyond given bounds are read, by the outer
-    parts. Where order ids are text, name another column.
+    parts. Where the column is text, or few of its values own most rows, let
+    ``split`` be ``hash`` (parts by a hash that the database computes) or
+    ``counts`` (bounds with equally many rows between them, asked of the
+    database by one sorted query).
     """
 
     url: str
@@ -49,6 +52,7 @@ class JdbcSource:
     upper_bound: str | int | None = None
     num_partitions: int = 64
     fetch_size: int = 10_000
+    split: str = "range"
     properties: tuple[tuple[str, str], ...] = ()
 
 

@@ -37,7 +37,7 @@ def _value_stats() -> list[Column]:
     ]
 
 
-def _with_ages(totals: DataFrame, cfg: RunConfig) -> DataFrame:
+def with_ages(totals: DataFrame, cfg: RunConfig) -> DataFrame:
     """Days since the last and the first order, and money per order."""
     now = snapshot_ts(cfg.snapshot)
     return totals.withColumns(
@@ -56,7 +56,7 @@ def customer_base(orders: DataFrame, cfg: RunConfig) -> DataFrame:
     (customer, order) and only then brings small partial results together by
     customer; a customer owning a third of all orders stays spread out.
     """
-    return _with_ages(past_orders(orders, cfg).groupBy(KEY).agg(*_purchase_totals()), cfg)
+    return with_ages(past_orders(orders, cfg).groupBy(KEY).agg(*_purchase_totals()), cfg)
 
 
 def order_value_stats(orders: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -167,7 +167,7 @@ def customer_features(orders: DataFrame, cfg: RunConfig) -> DataFrame:
         totals = past.groupBy(KEY).agg(*aggregates, _midnight_gap(cfg))
     else:
         totals = past.groupBy(KEY).agg(*aggregates).join(_gap_by_day(past, cfg), KEY, "left")
-    base = stage(_with_ages(totals, cfg), "customer_features")
+    base = stage(with_ages(totals, cfg), "customer_features")
     return _with_label(with_scores(base, cfg), cfg)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from patronlens.config import RunConfig
 from patronlens.functions.columns import percent_text, round_half_even
-from patronlens.operators import clv, ensemble, evaluation, export, features, quality, ranking, scaling, splits
+from patronlens.operators import clv, ensemble, evaluation, export, features, quality, ranking, scaling, splits, state
 from patronlens.operators.attribution import ensemble_contributions, feature_attribution
 from patronlens.operators.classifier import churn_scores, fit_classifier
 from patronlens.plans.runs import score_table
@@ -245,6 +245,17 @@ def q_leakage_invariance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(features.rfm(orders.unionByName(later), STAR))
 
 
+def q_features_from_daily_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the whole history from the merged states of three parts of it, which cut through customers and days."""
+    orders = star_orders(spark, sf_dir)
+    early = F.col("order_date") < F.lit("1997-01-01").cast("timestamp_ntz")
+    odd = F.pmod(F.col("order_id"), F.lit(2)) == 1
+    parts = [state.part_state(orders.where(w), STAR) for w in (early, ~early & odd, ~early & ~odd)]
+    first = state.merge(*parts[:2])
+    stored = state.HistoryState(stage(first.customers, "state"), stage(first.pairs, "state_pairs"))
+    return plain(state.state_features(state.merge(stored, parts[2]), STAR))
+
+
 # Quality
 
 
@@ -256,6 +267,12 @@ def q_validation_report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(quality.validation_report(event_orders(spark, sf_dir), EVENTS))
 
 
+def q_validation_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report, counted while the orders are stored."""
+    orders, told = quality.watched(star_orders(spark, sf_dir), STAR)
+    return plain(quality.observed_report(told, stage(orders, "observed_orders"), STAR))
+
+
 def q_future_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(quality.future_rows(star_orders(spark, sf_dir), STAR))
 

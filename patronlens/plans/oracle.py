@@ -415,6 +415,11 @@ def oracle_sql() -> dict[str, str]:
                    format('{{:.1f}}%', round_even(customers / total * 100.0 * 10, 0) / 10) AS share_text FROM s""",
         "leakage_invariance": f"{star} SELECT {RFM_SELECT} FROM rfm",
         "validation_report": _validation(STAR_SOURCE, STAR),
+        "validation_report_observed": _validation(STAR_SOURCE, STAR),
+        "features_from_daily_state": f"""{star} SELECT customer_id::BIGINT AS customer_id, frequency::BIGINT AS frequency,
+            {rnd('monetary')} AS monetary, recency::BIGINT AS recency, age::BIGINT AS "T", {rnd('avg_monetary')} AS avg_monetary,
+            {rnd('avg_order_value')} AS avg_order_value, {rnd('std_order_value')} AS std_order_value,
+            {rnd('return_rate')} AS return_rate FROM feat""",
         "validation_report_events": _validation(EVENT_SOURCE, EVENTS),
         "future_rows": f"""WITH {STAR_SOURCE} SELECT count(*)::BIGINT AS future_rows FROM src
             WHERE order_date > TIMESTAMP '{STAR.snapshot} 00:00:00'""",

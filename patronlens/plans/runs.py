@@ -22,7 +22,7 @@ from patronlens.operators.classifier import churn_scores, fit_classifier, save_m
 from patronlens.operators.export import export_customers
 from patronlens.operators.splits import KEY, LABEL, model_rows, stratified_split, time_split
 from patronlens.schemas import FEATURES
-from patronlens.sources import sinks
+from patronlens.sources import sinks, versions
 from patronlens.sources.orders import read_orders
 from patronlens.sources.staging import scope, stage
 
@@ -47,13 +47,26 @@ class Run:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The latest committed version of a table."""
+        if versions.current(self.spark, self.path(name)) is None:
+            return self.spark.read.parquet(self.path(name))
+        return versions.read(self.spark, self.path(name))
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Store a table and return it as read back."""
-        sinks.write_parquet(df, self.path(name))
+        """Store a table as its next version, committed when it is complete, and return it as read back."""
+        versions.publish(df, self.path(name), self.run_id)
         return self.read(name)
 
+    def finished(self, stage_name: str) -> bool:
+        """Whether this run (by its id) has ended a stage."""
+        told = versions.current(self.spark, self.path(f"_stages/{self.run_id}/{stage_name}"))
+        return told is not None
+
+    def finish(self, stage_name: str) -> None:
+        """Note that a stage has ended; the last thing it does."""
+        note = self.spark.createDataFrame([(stage_name,)], "stage string").coalesce(1)
+        versions.publish(note, self.path(f"_stages/{self.run_id}/{stage_name}"), self.run_id)
+
     def log(self, stage_name: str, kind: str, values: dict[str, float | None]) -> None:
         """Append settings or metrics to the run table."""
         rows = [(stage_name, kind, name, value) for name, value in values.items()]
@@ -66,13 +79,20 @@ def score_table(features_table: DataFrame, clv_table: DataFrame) -> DataFrame:
 
 
 def ingest(run: Run) -> DataFrame:
-    """Land the orders."""
-    return run.write(read_orders(run.spark, run.source, run.cfg), "orders")
+    """Land the orders; the checks are counted in the same pass and stored with them."""
+    orders, told = quality.watched(read_orders(run.spark, run.source, run.cfg), run.cfg)
+    stored = run.write(orders, "orders")
+    run.write(quality.observed_report(told, stored, run.cfg).coalesce(1), "validation_report")
+    return stored
 
 
 def validate(run: Run) -> None:
-    """Check the orders; raises if a check fails."""
-    quality.run_validation(run.read("orders"), run.cfg)
+    """Raise if a check of the landed orders failed. Orders that another program has put there are read and checked."""
+    orders, report = (versions.current(run.spark, run.path(n)) for n in ("orders", "validation_report"))
+    if orders and report and orders.run_id == report.run_id:
+        quality.enforce(run.read("validation_report"))
+    else:
+        quality.run_validation(run.read("orders"), run.cfg)
 
 
 def build_features(run: Run) -> DataFrame:
@@ -90,7 +110,7 @@ def fit_values(run: Run) -> DataFrame:
     parameters = sinks.parameter_table(run.spark, "purchases", purchase.params, purchase.errors).unionByName(
         sinks.parameter_table(run.spark, "values", value.params, value.errors)
     )
-    sinks.write_parquet(parameters.coalesce(1), run.path("clv_parameters"))
+    run.write(parameters.coalesce(1), "clv_parameters")
     scored = run.write(clv.score_clv(rfm_table, purchase.params, value.params, run.cfg), "clv_scores")
     settings = {"penalizer_coef": run.cfg.penalizer, "horizon_months": run.cfg.horizon_months}
     fitted = {f"purchases_{n}": v for n, v in purchase.params.items()}
@@ -159,15 +179,19 @@ STAGES: dict[str, Callable[[Run], DataFrame | None]] = {
 }
 
 
-def perform(run: Run, names: Iterable[str]) -> DataFrame | None:
+def perform(run: Run, names: Iterable[str], resume: bool = False) -> DataFrame | None:
     """The named stages in order; returns the last one's table.
 
-    Intermediate tables are removed after each stage, whether it ends well or not: only named tables stay.
+    Intermediate tables are removed after each stage, whether it ends well or not: only named tables stay. With
+    ``resume``, stages that a run with this id has ended are left out; nothing is returned if that is all of them.
     """
     result = None
     for name in names:
+        if resume and run.finished(name):
+            continue
         with scope(run.spark):
             result = STAGES[name](run)
+        run.finish(name)
     return result
 
 
@@ -176,6 +200,7 @@ def train(run: Run) -> DataFrame:
     return perform(run, ["values", "churn"])
 
 
-def run_all(run: Run) -> DataFrame:
-    """All stages in order; returns the business table."""
-    return perform(run, STAGES)
+def run_all(run: Run, resume: bool = False) -> DataFrame:
+    """All stages in order, or those that are left of a run that failed; returns the business table."""
+    perform(run, STAGES, resume)
+    return run.read("customers")

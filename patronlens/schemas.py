@@ -18,6 +18,7 @@ ORDERS = T.StructType(
 ORDER_COLUMNS = ORDERS.fieldNames()
 KEY_COLUMNS = ["customer_id", "order_id", "order_date", "revenue"]
 
+# Names of the feature tables' columns, in their order.
 RFM_COLUMNS = [
     "customer_id",
     "frequency",
@@ -41,6 +42,7 @@ CHURN_COLUMNS = RFM_COLUMNS + [
     "churn_label",
 ]
 
+# Names of the value columns.
 CLV_COLUMNS = ["predicted_purchases", "expected_avg_revenue", "clv_12m"]
 
 # The classifier's inputs, in the order of the feature vector.

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from patronlens.config import JdbcSource, RunConfig, SyntheticSource
 from patronlens.functions.columns import on_or_before
 from patronlens.schemas import ORDERS
+from patronlens.sources.splits import bound_predicates, bounds_question, hash_predicates
 from patronlens.sources.synthetic import synthetic_orders
 
 
@@ -52,7 +53,7 @@ def jdbc_bounds(spark: SparkSession, source: JdbcSource) -> tuple[str, str] | No
     if low is None or high is None:
         return None
     if isinstance(answer[0], str):
-        raise ValueError(f"{column} is text and cannot split the read; name a number, date or timestamp column")
+        raise ValueError(f"{column} is text and cannot split the read by range; set split to hash or counts")
     return str(low), str(high)
 
 
@@ -74,10 +75,26 @@ def jdbc_options(source: JdbcSource, bounds: tuple[str, str] | None) -> dict[str
     return options | dict(source.properties)
 
 
+def jdbc_predicates(spark: SparkSession, source: JdbcSource) -> list[str]:
+    """Conditions of the parts of a read that is split by hash or by counts."""
+    column = source.partition_column
+    if source.split == "hash":
+        return hash_predicates(source.url, column, source.num_partitions)
+    if source.split != "counts":
+        raise ValueError(f"a read is split by range, hash or counts, not by {source.split!r}")
+    question = bounds_question(source.table, column, source.num_partitions)
+    options = {"url": source.url, "query": question, "preferTimestampNTZ": "true"} | dict(source.properties)
+    # One value per part.
+    return bound_predicates(column, [r[0] for r in spark.read.format("jdbc").options(**options).load().collect()])
+
+
 def jdbc_orders(spark: SparkSession, source: JdbcSource, cfg: RunConfig) -> DataFrame:
     """Orders from a database; projection and date filter run in the database."""
-    options = jdbc_options(source, jdbc_bounds(spark, source))
-    table = spark.read.format("jdbc").options(**options).load()
+    if source.split == "range":
+        table = spark.read.format("jdbc").options(**jdbc_options(source, jdbc_bounds(spark, source))).load()
+    else:
+        settings = {"fetchsize": str(source.fetch_size), "preferTimestampNTZ": "true"} | dict(source.properties)
+        table = spark.read.jdbc(source.url, source.table, predicates=jdbc_predicates(spark, source), properties=settings)
     wanted = table.select(*ORDERS.fieldNames())
     return conform(wanted.filter(on_or_before(wanted, "order_date", cfg.snapshot)))
 

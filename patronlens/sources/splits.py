@@ -43,7 +43,9 @@ def hash_predicates(url: str, column: str, parts: int) -> list[str]:
     if parts < 2:
         return ["1 = 1"]
     hashed = HASHES[kind].format(c=column, n=parts)
-    return [f"{hashed} = {k}" + (f" OR {column} IS NULL" if k == 0 else "") for k in range(parts)]
+    # Some databases have a hash for null as well.
+    first = f"{column} IS NULL OR {hashed} = 0"
+    return [first, *[f"{column} IS NOT NULL AND {hashed} = {k}" for k in range(1, parts)]]
 
 
 def bounds_question(table: str, column: str, parts: int) -> str:
