@@ -10,7 +10,7 @@ from patronlens.operators import features
 from patronlens.plans import catalog, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
-FITTED = {"bgnbd_params", "gg_params", "churn_scores", "feature_attribution"}
+FITTED = {"churn_scores", "feature_attribution"}
 
 
 @pytest.fixture(scope="module")
