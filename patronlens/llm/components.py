@@ -2,7 +2,9 @@
 
 Each round hangs every node on the smallest node it knows of, first its larger neighbours, then its smaller ones, until
 nothing changes; the number of rounds grows with the logarithm of the longest chain. Every round is two aggregates and two
-joins, and its links are written to the shared folder, so lineage stays short and no link passes the driver.
+joins, and its links are written to the shared folder, so lineage stays short and no link passes the driver. The smallest
+neighbours are stored before they are joined: Spark then broadcasts them if their size allows it, and otherwise splits the
+links of a node with very many of them.
 """
 
 from __future__ import annotations
@@ -16,18 +18,19 @@ from patronlens.sources.staging import stage
 HOT_SHARE = 1000
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (2**31))).first())
+def _same(before: DataFrame, after: DataFrame) -> bool:
+    """Whether two tables of distinct links hold the same ones."""
+    return before.count() == after.count() and not after.join(before, ["u", "v"], "left_anti").take(1)
 
 
 def _star(links: DataFrame, everything: bool) -> DataFrame:
     """Hang the neighbours of each node on its smallest one: larger neighbours only, or all if links point down."""
     if everything:
-        least = links.groupBy("u").agg(F.min("v").alias("least"))
+        least = stage(links.groupBy("u").agg(F.min("v").alias("least")), "least")
         moved = links.join(least, "u").where(F.col("v") != F.col("least")).select(F.col("v").alias("u"), F.col("least").alias("v"))
         return moved.unionByName(least.select("u", F.col("least").alias("v"))).distinct()
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("u", "least"))
+    least = stage(both.groupBy("u").agg(F.least("u", F.min("v")).alias("least")), "least")
     larger = both.where(F.col("v") > F.col("u")).join(least, "u")
     return larger.select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
 
@@ -39,11 +42,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     ends = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).isNull().alias("x"), F.col(b).isNull().alias("y"))
     links = stage(ends.where(~F.col("x") & ~F.col("y") & (F.col("u") != F.col("v"))).select("u", "v").distinct(), "links")
-    state = _state(links)
     while True:
-        after = stage(_star(_star(links, False), True), "links")
-        links, before, state = after, state, _state(after)
-        if state == before:
+        before, links = links, stage(_star(stage(_star(links, False), "links"), True), "links")
+        if _same(before, links):
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

@@ -92,12 +92,14 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", items
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", items: int = HEAVY_ITEMS) -> DataFrame:
     """The document of each group that stays, all columns unchanged.
 
-    Texts are shuffled once, and of a heavy group only its winner is.
+    Texts are shuffled once, and of a heavy group only its winner is. Rows that repeat the winner's id as well are reduced
+    where they are read, one row a task.
     """
     winners = heavy_winners(stored_digests(docs, key, text), items)
-    digest, keep, rank = fresh(docs, "llm_digest", "llm_keep", "llm_rank")
+    digest, keep, best = fresh(docs, "llm_digest", "llm_keep", "llm_best")
     won = winners.select(F.col("digest").alias(digest), F.struct(F.col("keep.id").alias("id")).alias(keep))
     marked = docs.withColumn(digest, text_digest(docs, text)).join(F.broadcast(won), digest, "left")
     left = marked.where(F.col(keep).isNull() | F.col(quoted(key)).eqNullSafe(F.col(f"{keep}.id")))
-    order = Window.partitionBy(digest).orderBy(F.col(quoted(key)).asc_nulls_last())
-    return same_columns(left.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1), docs.columns)
+    own = F.struct(*[F.col(quoted(c)) for c in docs.columns])
+    order = F.struct(F.col(quoted(key)).isNull(), F.col(quoted(key)))
+    return left.groupBy(digest).agg(F.min_by(own, order).alias(best)).select(f"{best}.*")

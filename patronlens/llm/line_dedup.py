@@ -74,7 +74,8 @@ def drop_boilerplate(
         F.col(quoted(key)).alias("id"), F.col(mark).alias("mark"), F.explode(F.split(text_of(docs, text), "\n")).alias("raw")
     ).select("id", "mark", line_key(F.col("raw")).alias("line"))
     hits = pairs.join(found, "line", "left_semi").groupBy("id", "mark").agg(F.collect_set("line").alias("gone"))
-    hits = hits.select(F.col("id").alias(f"{mark}_id"), F.col("mark").alias(f"{mark}_mark"), F.col("gone").alias(gone))
+    # Stored, so that Spark knows their size: few hits are broadcast and texts stay where they are.
+    hits = stage(hits.select(F.col("id").alias(f"{mark}_id"), F.col("mark").alias(f"{mark}_mark"), F.col("gone").alias(gone)), "line-hits")
     joined = marked.join(
         hits,
         F.col(quoted(key)).eqNullSafe(F.col(f"{mark}_id")) & (F.col(mark) == F.col(f"{mark}_mark")),

@@ -9,7 +9,9 @@ With ``min_epochs`` every leaf first gets that many whole epochs, and only what
 
 Each leaf then reads whole epochs of its documents and a prefix of one more. An epoch's order is a hash of seed, epoch and
 id. The prefix is found without ordering a leaf: tokens are summed per slice of the hash, running sums of at most
-``SLICES`` rows per leaf give the slice where the prefix ends, and only the rows of that slice are ordered.
+``SLICES`` rows per leaf give the slice where the prefix ends. Rows of that slice with the same id, tokens and text are
+counted as one, and one range sort of these, all leaves together, gives the row where the prefix ends: an id, or its lack, that
+fills a slice is spread by the hash of the text. Texts are compared with that row where they are read.
 
 Everything is column arithmetic on whole numbers. Shares are rounded down, so a node may lose a token per child. Budget
 times weight must stay below 2^63.
@@ -112,9 +114,10 @@ def leaf_budgets(
 def plan(
     rows: DataFrame, weights: tuple[dict[str, int], ...], percent: int, max_epochs: int, min_epochs: int, seed: int
 ) -> DataFrame:
-    """Per leaf: whole epochs, tokens of the prefix, the slice where it ends and the tokens before that slice.
+    """Per leaf: whole epochs, and the row where the prefix ends: ``cut`` (its place, key, tokens, mark), null without a
+    prefix, and ``more``, how many of the rows equal to it are still chosen.
 
-    ``rows``: key, domain, lang, source, tokens. Read twice, so it should be stored.
+    ``rows``: key, domain, lang, source, tokens, mark (hash of the text). Read three times, so it should be stored.
     """
     leaf = ["domain", "lang", "source"]
     budgets = leaf_budgets(rows.groupBy(*leaf).agg(F.sum("tokens").alias("tokens")), weights, percent, max_epochs, min_epochs)
@@ -122,16 +125,35 @@ def plan(
     rest = F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0)
     budgets = stage(budgets.withColumns({"epochs": whole.cast("long"), "prefix": rest.cast("long")}), "leaf-budgets")
     # A stored table of a row per leaf: Spark broadcasts it if its known size allows that, and splits hot leaves if not.
-    placed = rows.join(budgets.where(F.col("prefix") > 0), leaf)
-    place = epoch_hash(seed, F.col("epochs"), F.col("key"))
-    sliced = placed.groupBy(*leaf, "prefix", F.shiftright(place, _HASH_BITS - 12).alias("slice")).agg(
-        F.sum(rows["tokens"]).alias("size")
-    )
+    placed = rows.join(budgets.where(F.col("prefix") > 0).drop("tokens", "budget"), leaf)
+    placed = placed.withColumn("place", epoch_hash(seed, F.col("epochs"), F.col("key")))
+    placed = placed.withColumn("slice", F.shiftright("place", _HASH_BITS - 12))
+    sliced = placed.groupBy(*leaf, "prefix", "slice").agg(F.sum("tokens").alias("size"))
     before = Window.partitionBy(*leaf).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sliced = sliced.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
     cut = sliced.where((F.col("start") <= F.col("prefix")) & (F.col("start") + F.col("size") > F.col("prefix")))
-    cut = cut.groupBy(*leaf).agg(F.min("slice").alias("cut"), F.min("start").alias("start"))
-    return stage(budgets.join(cut, leaf, "left"), "leaf-plan").select(*leaf, "budget", "epochs", "prefix", "cut", "start")
+    cut = stage(cut.groupBy(*leaf).agg(F.min("slice").alias("slice"), F.min("start").alias("start")), "leaf-slices")
+    ends = prefix_ends(placed.join(cut, [*leaf, "slice"]), leaf)
+    return stage(budgets.join(ends, leaf, "left"), "leaf-plan").select(*leaf, "budget", "epochs", "cut", "more")
+
+
+def prefix_ends(rows: DataFrame, leaf: list[str]) -> DataFrame:
+    """Per leaf: ``cut`` and ``more``, from the rows of the slice where its prefix ends and the tokens before it (start)."""
+    order = ["place", "key", "tokens", "mark"]
+    like = rows.groupBy(*leaf, "prefix", "start", *order).agg(F.count(F.lit(1)).alias("n"))
+    like = like.withColumn("size", F.col("tokens") * F.col("n"))
+    # One range sort; places are stored, so that both passes below agree on them.
+    like = stage(like.orderBy(*leaf, *order).withColumn("spot", F.monotonically_increasing_id()), "prefix-rows")
+    like = like.withColumn("part", F.shiftright("spot", 33))
+    # One row per leaf and partition that it lies in.
+    whole = like.groupBy(*leaf, "part").agg(F.sum("size").alias("size"))
+    before = Window.partitionBy(*leaf).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = whole.select(*leaf, "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("ahead"))
+    within = Window.partitionBy("part", *leaf).orderBy("spot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    like = like.withColumn("own", F.sum("size").over(within)).join(ahead, [*leaf, "part"])
+    like = like.withColumn("done", F.col("start") + F.col("ahead") + F.col("own") - F.col("size"))
+    over = like.where((F.col("done") <= F.col("prefix")) & (F.col("done") + F.col("size") > F.col("prefix")))
+    return over.select(*leaf, F.struct(*order).alias("cut"), F.expr("(prefix - done) div tokens").alias("more"))
 
 
 def with_copies(
@@ -141,37 +163,54 @@ def with_copies(
 ) -> tuple[DataFrame, dict[str, str]]:
     """All documents with the tree's names, tokens and how often each is chosen; and the names of these columns.
 
-    Texts are not shuffled, but for the rows of one slice per leaf.
+    Texts are not shuffled, but for rows that are all equal to the one where a leaf's prefix ends, if it takes some of them.
     """
     names = dict(zip(("domain", "lang", "source", "tokens", "copies"), fresh(docs, "m_domain", "m_lang", "m_source", "m_tokens", "m_copies"), strict=True))
     domain = default_domain(F.col(quoted(source))) if domain is None else domain
     levels = {"domain": domain, "lang": F.col(quoted(lang)), "source": F.col(quoted(source))}
     added = {names[k]: F.coalesce(v.cast("string"), F.lit("")) for k, v in levels.items()}
     wide = docs.withColumns(added | {names["tokens"]: words(text_of(docs, text))})
+    mark = F.xxhash64(text_of(docs, text))
     narrow = wide.select(
-        F.col(quoted(key)).alias("key"), *[F.col(names[c]).alias(c) for c in ("domain", "lang", "source", "tokens")]
+        F.col(quoted(key)).alias("key"),
+        *[F.col(names[c]).alias(c) for c in ("domain", "lang", "source", "tokens")],
+        mark.alias("mark"),
     )
     leaves = plan(stage(narrow, "mix-rows"), weights, percent, max_epochs, min_epochs, seed)
-    place, cut, start, epochs, prefix, running = fresh(wide, "m_place", "m_cut", "m_start", "m_epochs", "m_prefix", "m_run")
-    leaves = leaves.select(
-        *[F.col(c).alias(names[c]) for c in ("domain", "lang", "source")],
-        F.col("cut").alias(cut), F.col("start").alias(start), F.col("epochs").alias(epochs), F.col("prefix").alias(prefix),
-    )
-    wide = wide.join(leaves, [names[c] for c in ("domain", "lang", "source")], "left")
-    wide = wide.withColumn(place, epoch_hash(seed, F.col(epochs), F.col(quoted(key))))
-    slice_ = F.shiftright(place, _HASH_BITS - 12)
-    at_cut = F.coalesce(slice_ == F.col(cut), F.lit(False))
-    # Without a slice that goes over the prefix there is no prefix.
-    earlier = F.coalesce((slice_ < F.col(cut)) & (F.col(prefix) > 0), F.lit(False))
-    plain = wide.where(~at_cut).withColumn(names["copies"], F.col(epochs) + earlier.cast("long"))
-    order = Window.partitionBy(*[names[c] for c in ("domain", "lang", "source")]).orderBy(
-        place, F.col(quoted(key)), names["tokens"], F.xxhash64(text_of(docs, text))
+    some = leaves.where(F.col("more") > 0).take(1)
+    leaf = [names[c] for c in ("domain", "lang", "source")]
+    own, cut, more, epochs = fresh(wide, "m_own", "m_cut", "m_more", "m_epochs")
+    leaves = leaves.select("domain", "lang", "source", "cut", "more", "epochs").toDF(*leaf, cut, more, epochs)
+    wide = wide.join(leaves, leaf, "left")
+    place = epoch_hash(seed, F.col(epochs), F.col(quoted(key)))
+    wide = wide.withColumn(
+        own, F.struct(place.alias("place"), F.col(quoted(key)).alias("key"), F.col(names["tokens"]).alias("tokens"), mark.alias("mark"))
     )
-    order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ended = wide.where(at_cut).withColumn(running, F.col(start) + F.sum(names["tokens"]).over(order))
-    ended = ended.withColumn(names["copies"], F.col(epochs) + (F.col(running) <= F.col(prefix)).cast("long"))
+    # Structs compare field by field, null first, as they were sorted. Without a row that goes over the prefix there is none.
+    earlier = F.coalesce(F.col(own) < F.col(cut), F.lit(False))
     columns = [*docs.columns, *names.values()]
-    return same_columns(plain, columns).unionByName(same_columns(ended, columns)), names
+    plain = wide.withColumn(names["copies"], F.col(epochs) + earlier.cast("long"))
+    if not some:
+        return same_columns(plain, columns), names
+    at_cut = F.coalesce((F.col(own) == F.col(cut)) & (F.col(more) > 0), F.lit(False))
+    equal = same_columns(wide.where(at_cut), [*docs.columns, *leaf, names["tokens"], more, epochs])
+    ended = first_of_equal(equal, leaf, more, epochs, names["copies"])
+    return same_columns(plain.where(~at_cut), columns).unionByName(same_columns(ended, columns)), names
+
+
+def first_of_equal(equal: DataFrame, leaf: list[str], more: str, epochs: str, copies: str) -> DataFrame:
+    """Rows that are equal within each leaf, with ``copies``: ``more`` rows of a leaf get one above ``epochs``."""
+    spot, part, number, size, ahead = fresh(equal, "m_spot", "m_part", "m_number", "m_size", "m_ahead")
+    # Where a row lies in the files numbers it, so only its leaf's rows of one partition meet in a task.
+    rows = stage(equal.withColumn(spot, F.monotonically_increasing_id()), "equal-rows")
+    rows = rows.withColumn(part, F.shiftright(spot, 33))
+    whole = rows.groupBy(*leaf, part).agg(F.count(F.lit(1)).alias(size))
+    before = Window.partitionBy(*leaf).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.select(*leaf, part, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(ahead))
+    rows = rows.withColumn(number, F.row_number().over(Window.partitionBy(part, *leaf).orderBy(spot)))
+    rows = rows.join(whole, [*leaf, part])
+    taken = F.col(ahead) + F.col(number) <= F.col(more)
+    return rows.withColumn(copies, F.col(epochs) + taken.cast("long"))
 
 
 def report(docs: DataFrame, key: str = "doc_id", **parameters) -> DataFrame:

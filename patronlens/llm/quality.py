@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronlens.llm.chunks import steps
-from patronlens.llm.common import fresh, quoted, same_columns
+from patronlens.llm.common import fresh, quoted, same_columns, text_of
 from patronlens.llm.memos import take_over
 from patronlens.sources.staging import stage
 
@@ -190,12 +190,17 @@ def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
     sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES,
 ) -> tuple[np.ndarray, float]:
-    """Shares and offset, from labelled rows that are not held out."""
+    """Shares and offset, from labelled rows that are not held out.
+
+    An id counts once: with the smaller label if it has both, and with one of its texts.
+    """
     chosen = labels.select(F.col(quoted(key)).alias("id"), F.col(quoted(label)).cast("int").alias("label"))
     chosen = chosen.where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
+    chosen = chosen.groupBy("id").agg(F.min("label").alias("label"))
     # At most sample_rows rows, so they may be broadcast.
     chosen = F.broadcast(chosen.orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows))
-    texts = docs.select(F.col(quoted(key)).alias("id"), F.col(quoted(text)).alias("text")).join(chosen, "id")
+    texts = docs.select(F.col(quoted(key)).alias("id"), text_of(docs, text).alias("text")).join(chosen, "id")
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -182,6 +182,48 @@ SQL = {
         SELECT doc_id, domain, lang, source, n_tokens,
                (epochs + CASE WHEN prefix > 0 AND running <= prefix THEN 1 ELSE 0 END)::BIGINT AS copies
         FROM ranked""",
+    "op5_vector_graph": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CASE WHEN len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                                 AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+                                THEN embedding::DOUBLE[] END AS x
+            FROM embeddings),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.x IS NOT NULL AND b.x IS NOT NULL
+            WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        reach AS (
+            SELECT vec_id AS node, vec_id AS found FROM v
+            UNION
+            SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.found),
+        roots AS (SELECT node, min(found) AS root FROM reach GROUP BY node)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, root AS component_id, vec_id = root AS kept,
+               -- The search is to find every link between different vectors; without any there is nothing to audit.
+               (SELECT CASE WHEN count(*) > 0 THEN 1.0::DOUBLE END
+                FROM links JOIN v a ON a.vec_id = links.a JOIN v b ON b.vec_id = links.b WHERE a.x <> b.x) AS audited_recall
+        FROM v JOIN roots ON node = vec_id LEFT JOIN counts ON a = vec_id""",
+    "op10_set_join": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda w: w <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, hash(array_to_string(w[k:k + 4], ' ')) AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM split WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE c.n >= 0.8 * (x.n + y.n - c.n)),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        reach AS (
+            SELECT doc_id AS node, doc_id AS found FROM documents
+            UNION
+            SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.found),
+        roots AS (SELECT node, min(found) AS root FROM reach GROUP BY node)
+        SELECT doc_id, root AS class_id, coalesce(n, 0)::BIGINT AS n_links, doc_id = root AS kept
+        FROM documents JOIN roots ON node = doc_id LEFT JOIN counts ON a = doc_id""",
     "op7_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm.chunks import steps
@@ -53,6 +53,8 @@ SHRINKS = 0.8
 # Share of equal slots from which a pair is compared exactly: six standard errors below the threshold.
 SKETCH_LEAST = 0.5
 MEMO_WORDS = 300_000
+# Texts without words: nothing but what parts words.
+_WORDLESS = r"^[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*\z"
 # Up to so many classes with a possible partner (24 bytes each) are broadcast to the scan of the texts; beyond that, texts
 # are shuffled to them.
 WANTED_ROWS = 500_000
@@ -410,14 +412,20 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", **parameter
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
-    """One document of each class, columns unchanged."""
+    """One document of each class, columns unchanged.
+
+    Rows that repeat id and text are reduced to one where they are read; texts without words all stay and are dealt out
+    one by one. So neither a hot id nor the empty text sends its rows to one task.
+    """
     signed, out = similar_groups(docs, key, text, **parameters)
-    k_id, k_mark, mark, rank = fresh(docs, "llm_id", "llm_kept_mark", "llm_mark", "llm_rank")
-    # Kept rows by id and text; rows that repeat both are told apart below.
-    kept = out.where("kept").join(signed.select("row", "mark"), "row").groupBy(F.col("id").alias(k_id), F.col("mark").alias(k_mark)).agg(F.count(F.lit(1)).alias(rank))
-    marked = docs.withColumn(mark, F.xxhash64(text_of(docs, text)))
-    found = marked.join(stage(kept, "kept"), F.col(quoted(key)).eqNullSafe(F.col(k_id)) & (F.col(mark) == F.col(k_mark)))
-    order = Window.partitionBy(k_id, k_mark).orderBy(F.lit(0))
-    (number,) = fresh(found, "llm_number")
-    found = found.withColumn(number, F.row_number().over(order)).where(F.col(number) <= F.col(rank))
-    return same_columns(found, docs.columns)
+    pair, found = fresh(docs, "llm_pair", "llm_found")
+    own = signed.where(F.col("size") > 0).select("row", "mark")
+    # Equal texts are of one class, so a pair of id and text is kept once at most. Structs are equal where both hold null.
+    same = F.struct("id", "mark", F.lit(-1).cast("long").alias("spot"))
+    kept = stage(out.where("kept").join(own, "row").select(same.alias(pair), F.lit(True).alias(found)), "kept")
+    wordless = text_of(docs, text).rlike(_WORDLESS)
+    spot = F.when(wordless, F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+    mark = F.xxhash64(text_of(docs, text))
+    marked = docs.withColumn(pair, F.struct(F.col(quoted(key)).alias("id"), mark.alias("mark"), spot.alias("spot")))
+    left = marked.dropDuplicates([pair]).join(kept, pair, "left")
+    return same_columns(left.where(F.col(found) | (F.col(f"{pair}.spot") >= 0)), docs.columns)

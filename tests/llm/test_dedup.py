@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -74,6 +74,36 @@ def test_exact_dedup_of_odd_rows(spark):
     assert exact_dedup.exact_groups(odd.limit(0)).count() == 0
 
 
+def test_copies_with_one_id_are_reduced_where_they_are_read(spark):
+    rows = [(7, "hot text")] * 2000 + [(None, "hot  text")] * 1000 + [(None, "no id")] * 1500 + [(k, f"t{k}") for k in range(100, 400)]
+    df = with_clashes(documents(spark, rows)).repartition(9)
+    left = exact_dedup.drop_copies(df)
+    plan = plan_of(left)
+    assert "partial_min_by" in plan and "Window" not in plan and "Python" not in plan
+    assert left.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert got == sorted([(7, "hot text"), (None, "no id"), *((k, f"t{k}") for k in range(100, 400))], key=str)
+
+
+def test_one_document_stays_of_a_hot_id_and_all_without_words(spark):
+    long = "one two three four five six seven eight"
+    rows = [(7, long)] * 1500 + [(None, long + " nine")] * 700 + [(None, None)] * 900 + [(7, " ")] * 60 + [(8, "else")]
+    df = documents(spark, rows).repartition(9)
+    left = set_join.keep_one(df)
+    assert "partial_first" in plan_of(left)
+    got = Counter((r.doc_id, r.text) for r in left.collect())
+    assert got == {(7, long): 1, (None, None): 900, (7, " "): 60, (8, "else"): 1}
+
+
+def test_texts_without_words_are_those_that_python_splits_into_none(spark):
+    marks = [c for c in range(0x11000) if not 0xD800 <= c < 0xE000] + [0x1F600, 0xE0020]
+    df = spark.createDataFrame([(c, chr(c)) for c in marks], "code long, text string")
+    got = {r.code for r in df.where(F.col("text").rlike(set_join._WORDLESS)).collect()}
+    assert got == {c for c in marks if not chr(c).split()}
+    odd = spark.createDataFrame([("",), ("\n",), (" \t\n",), ("\na",), ("a\n",)], "text string")
+    assert odd.where(F.col("text").rlike(set_join._WORDLESS)).count() == 3
+
+
 def plain_lines(rows, min_sites):
     sites = defaultdict(set)
     for _, text, site in rows:

@@ -144,10 +144,10 @@ def plain_mix(rows, weights, percent, max_epochs, min_epochs, seed):
         epochs, prefix = divmod(budget, size[leaf]) if size[leaf] else (min_epochs, 0)
 
         def place(doc_id, epochs=epochs):
-            return hashlib.md5(f"{seed}:{epochs}:{doc_id}".encode()).hexdigest()[:15]
+            return hashlib.md5(f"{seed}:{epochs}:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:15]
 
         running = 0
-        for doc_id, tokens in sorted(docs, key=lambda d: (place(d[0]), d[0])):
+        for doc_id, tokens in sorted(docs, key=lambda d: (place(d[0]), -1 if d[0] is None else d[0], d[1])):
             running += tokens
             out.append((doc_id, *leaf, tokens, epochs + (prefix > 0 and running <= prefix)))
     return sorted(out, key=str)
@@ -175,6 +175,52 @@ def test_mixture_equals_plain_python(spark, percent, max_epochs, min_epochs):
     assert chosen.columns == df.columns and chosen.count() == sum(r[-1] for r in want)
 
 
+@pytest.mark.parametrize("percent, max_epochs, min_epochs", [(30, 1, 0), (55, 1, 0), (125, 4, 1), (160, 4, 0)])
+def test_mixture_when_one_id_and_no_id_hold_most_rows(spark, monkeypatch, percent, max_epochs, min_epochs):
+    rnd = random.Random(percent)
+    rows = [(None, " ".join(["w"] * rnd.randint(0, 30)) + f" n{k}", "en", "src1") for k in range(600)]
+    rows += [(5, "the same words", "en", "src1")] * 500 + [(5, "the same words", "en", "src2")] * 50
+    rows += [(k, " ".join(["w"] * rnd.randint(0, 9)), "en", rnd.choice(["src1", "src2"])) for k in range(10, 200)]
+    df = documents(spark, rows).repartition(5)
+    parameters = {"weights": ({}, {}, {"src2": 2}), "percent": percent, "max_epochs": max_epochs, "min_epochs": min_epochs, "seed": 4}
+    plain = [(k, "forum", la, s, len(t.split())) for k, t, la, s in rows]
+    stored, stage = {}, mixing.stage
+    monkeypatch.setattr(mixing, "stage", lambda part, name: stored.setdefault(name, stage(part, name)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rows_of(mixing.report(df, **parameters)) == plain_mix(plain, *parameters.values())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # Rows of no id share a place, yet no task sorts more than its part of them.
+    sorted_rows = stored["prefix-rows"].groupBy(F.input_file_name()).count().collect()
+    most = max((r["count"] for r in sorted_rows), default=0)
+    assert most <= 600 // 3
+
+
+def test_equal_rows_are_taken_as_far_as_the_prefix_goes(spark):
+    df = documents(spark, [(5, "the same words", "en", "src1")] * 100).repartition(7)
+    got = [r.copies for r in mixing.report(df, percent=50, max_epochs=1).collect()]
+    assert sorted(got) == [0] * 50 + [1] * 50
+    assert mixing.mix(with_clashes(df), percent=130).count() == 130
+
+
+def test_quality_learns_once_from_an_id(spark, monkeypatch):
+    rows = [(3, f"copy {k} of this text") for k in range(900)] + [(k, f"text {k} is good or bad") for k in range(10, 400)]
+    labels = [(k, k % 2) for k in range(10, 400)] + [(3, 1)] * 500 + [(3, 0)]
+    stored, stage = {}, quality.stage
+    monkeypatch.setattr(quality, "stage", lambda part, name: stored.setdefault(name, stage(part, name)))
+    docs, table = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    quality.fit(docs, table, sample_rows=300)
+    sample = stored["quality-sample"].collect()
+    ids = [r.id for r in sample]
+    assert len(ids) == len(set(ids)) and 0 < len(ids) <= 300
+    everything = {}
+    monkeypatch.setattr(quality, "stage", lambda part, name: everything.setdefault(name, stage(part, name)))
+    quality.fit(docs, table)
+    found = [r.label for r in everything["quality-sample"].collect() if r.id == 3]
+    assert found == ([] if zlib.crc32(b"3") % 3 == 1 else [0])
+
+
 def test_mixture_of_odd_rows(spark):
     odd = with_clashes(odd_documents(spark))
     out = mixing.mix(odd, percent=100, min_epochs=1)
