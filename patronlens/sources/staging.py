@@ -106,3 +106,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`stage` returned, once nothing that is still to run reads them."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            remove(folder)

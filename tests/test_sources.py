@@ -117,6 +117,14 @@ def test_staged_tables_lie_in_one_folder_per_application(spark, shared):
     assert not list(shared.glob("patronlens/*"))
 
 
+def test_spent_tables_are_deleted_and_the_others_stay(spark, shared):
+    spent, empty, kept = (staging.stage(spark.range(n), "table") for n in (5, 0, 3))
+    result = staging.stage(spent.unionByName(kept), "result")
+    staging.discard(spent, empty)
+    assert result.count() == 8 and kept.count() == 3
+    assert len(list(shared.glob("patronlens/*/table-*"))) == 1
+
+
 def test_scoped_tables_go_when_the_block_ends_or_fails(spark, shared):
     with staging.scope(spark) as outer:
         staging.stage(spark.range(3), "a")
