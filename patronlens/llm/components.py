@@ -2,7 +2,8 @@
 
 Each round hangs every node on the smallest node it knows of, first its larger neighbours, then its smaller ones, until
 nothing changes; the number of rounds grows with the logarithm of the longest chain. Every round is two aggregates and two
-joins, and its links are written to the shared folder, so lineage stays short and no link passes the driver. The smallest
+joins, and its links are written to the shared folder, so lineage stays short and no link passes the driver; tables of the
+round before are deleted then. The smallest
 neighbours are stored before they are joined: Spark then broadcasts them if their size allows it, and otherwise splits the
 links of a node with very many of them.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.sources.staging import stage
+from patronlens.sources.staging import discard, stage
 
 # Keys with more than one row in so many are joined by broadcast; there are no more than that of them.
 HOT_SHARE = 1000
@@ -24,15 +25,20 @@ def _same(before: DataFrame, after: DataFrame) -> bool:
 
 
 def _star(links: DataFrame, everything: bool) -> DataFrame:
-    """Hang the neighbours of each node on its smallest one: larger neighbours only, or all if links point down."""
+    """Stored links that hang the neighbours of each node on its smallest one: larger neighbours only, or all if links
+    point down."""
     if everything:
         least = stage(links.groupBy("u").agg(F.min("v").alias("least")), "least")
         moved = links.join(least, "u").where(F.col("v") != F.col("least")).select(F.col("v").alias("u"), F.col("least").alias("v"))
-        return moved.unionByName(least.select("u", F.col("least").alias("v"))).distinct()
+        hung = stage(moved.unionByName(least.select("u", F.col("least").alias("v"))).distinct(), "links")
+        discard(least)
+        return hung
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = stage(both.groupBy("u").agg(F.least("u", F.min("v")).alias("least")), "least")
     larger = both.where(F.col("v") > F.col("u")).join(least, "u")
-    return larger.select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
+    hung = stage(larger.select(F.col("v").alias("u"), F.col("least").alias("v")).distinct(), "links")
+    discard(least)
+    return hung
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -43,8 +49,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     ends = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).isNull().alias("x"), F.col(b).isNull().alias("y"))
     links = stage(ends.where(~F.col("x") & ~F.col("y") & (F.col("u") != F.col("v"))).select("u", "v").distinct(), "links")
     while True:
-        before, links = links, stage(_star(stage(_star(links, False), "links"), True), "links")
-        if _same(before, links):
+        before, half = links, _star(links, False)
+        links = _star(half, True)
+        done = _same(before, links)
+        discard(before, half)
+        if done:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

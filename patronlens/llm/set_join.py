@@ -38,7 +38,7 @@ from patronlens.llm.chunks import steps
 from patronlens.llm.common import fresh, quoted, same_columns, text_of
 from patronlens.llm.components import join_hot, local_roots, spread
 from patronlens.llm.memos import take_over
-from patronlens.sources.staging import stage
+from patronlens.sources.staging import discard, stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -192,7 +192,9 @@ def _counted(paths: DataFrame, name: str) -> DataFrame:
     paths = stage(paths, f"{name}-paths")
     total = paths.count()
     sizes = stage(paths.groupBy("path").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1), f"{name}-sizes")
-    return stage(join_hot(paths, sizes, "path", "m", total), name)
+    counted = stage(join_hot(paths, sizes, "path", "m", total), name)
+    discard(paths, sizes)
+    return counted
 
 
 def leaf_paths(classes: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -364,12 +366,15 @@ def class_links(docs: DataFrame, classes: DataFrame, signed: DataFrame, text: st
     wanted = found.select("rep").distinct().join(signed.select(F.col("row").alias("rep"), "id", "mark"), "rep")
     wanted = stage(wanted, "wanted")
     sets = stage(shingle_sets(docs, wanted, text, key), "shingle-sets")
+    discard(known, wanted)
     ready = grouped(found.join(sets, "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _counts(batches, threshold)
 
-    return stage(ready.mapInArrow(run, "a long, b long, links long"), "class-links")
+    links = stage(ready.mapInArrow(run, "a long, b long, links long"), "class-links")
+    discard(found, sets)
+    return links
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, key: str) -> DataFrame:
