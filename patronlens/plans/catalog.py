@@ -141,7 +141,8 @@ def fixed_clv(table: DataFrame) -> DataFrame:
 
 
 def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = stored_features(spark, sf_dir)
+    # Both sides of the join come from this table, which lies by customer.
+    table = stage(star_features(spark, sf_dir), "churn_features", "customer_id")
     return stage(score_table(fixed_score(splits.model_rows(table)), fixed_clv(table)), "scored_customers")
 
 

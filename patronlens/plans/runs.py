@@ -52,9 +52,12 @@ class Run:
             return self.spark.read.parquet(self.path(name))
         return versions.read(self.spark, self.path(name))
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Store a table as its next version, committed when it is complete, and return it as read back."""
-        versions.publish(df, self.path(name), self.run_id)
+    def write(self, df: DataFrame, name: str, key: str = "") -> DataFrame:
+        """Store a table as its next version, committed when it is complete, and return it as read back.
+
+        Tables of customers are stored by ``key``, so later stages join them without a shuffle.
+        """
+        versions.publish(df, self.path(name), self.run_id, key=key)
         return self.read(name)
 
     def finished(self, stage_name: str) -> bool:
@@ -97,8 +100,8 @@ def validate(run: Run) -> None:
 
 def build_features(run: Run) -> DataFrame:
     """The churn feature table and, as its first columns, the RFM table."""
-    table = run.write(features.customer_features(run.read("orders"), run.cfg), "churn_features")
-    run.write(table.select(*features.RFM_COLUMNS), "rfm")
+    table = run.write(features.customer_features(run.read("orders"), run.cfg), "churn_features", KEY)
+    run.write(table.select(*features.RFM_COLUMNS), "rfm", KEY)
     return table
 
 
@@ -111,7 +114,7 @@ def fit_values(run: Run) -> DataFrame:
         sinks.parameter_table(run.spark, "values", value.params, value.errors)
     )
     run.write(parameters.coalesce(1), "clv_parameters")
-    scored = run.write(clv.score_clv(rfm_table, purchase.params, value.params, run.cfg), "clv_scores")
+    scored = run.write(clv.score_clv(rfm_table, purchase.params, value.params, run.cfg), "clv_scores", KEY)
     settings = {"penalizer_coef": run.cfg.penalizer, "horizon_months": run.cfg.horizon_months}
     fitted = {f"purchases_{n}": v for n, v in purchase.params.items()}
     fitted |= {f"values_{n}": v for n, v in value.params.items()}
@@ -131,7 +134,7 @@ def fit_churn(run: Run) -> DataFrame:
     model, weight = fit_classifier(rows.where(~F.col(held_out)), run.cfg, run.budget, run.inputs)
     save_model(model, run.path("churn_model"))
 
-    scored = stage(churn_scores(rows, model), "churn_scores")
+    scored = stage(churn_scores(rows, model), "churn_scores", KEY)
     tested = {
         flag: stage(scored.where(flag).select(KEY, LABEL, "churn_prob"), flag) for flag in ("is_test", "is_time_test")
     }
@@ -159,7 +162,7 @@ def fit_churn(run: Run) -> DataFrame:
     run.log("churn_model", "param", settings)
     run.log("churn_model", "metric", metrics)
     scores = scored.drop("is_test", "is_time_test")
-    return run.write(score_table(scores, run.read("clv_scores")), "scored_customers")
+    return run.write(score_table(scores, run.read("clv_scores")), "scored_customers", KEY)
 
 
 def export(run: Run) -> DataFrame:

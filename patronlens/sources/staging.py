@@ -21,6 +21,8 @@ from contextlib import contextmanager, suppress
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+from patronlens.sources.buckets import default_buckets, read_bucketed, write_bucketed
+
 # Folders of the open scopes, and of applications whose shared folder has been tried.
 _OPEN: list[str] = []
 _TRIED: set[str] = set()
@@ -101,11 +103,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
-    path = new_path(df.sparkSession, name)
+def stage(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    With ``key``, which should differ from row to row, the table lies in buckets of it: joins and aggregates on the key
+    then move nothing.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    if key is not None:
+        buckets = default_buckets(spark)
+        write_bucketed(df, path, key, buckets)
+        return read_bucketed(spark, path, key, buckets, df.schema)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(*tables: DataFrame) -> None:

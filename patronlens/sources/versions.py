@@ -19,6 +19,7 @@ from dataclasses import asdict, dataclass
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+from patronlens.sources.buckets import default_buckets, read_bucketed, write_bucketed
 from patronlens.sources.staging import remove
 
 VERSIONS, MANIFEST = "_versions", "_manifest"
@@ -31,12 +32,14 @@ class Conflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Commit:
-    """One committed version: its number, folder, run, and the versions it was made from."""
+    """One committed version: its number, folder, run, the versions it was made from, and how its rows lie, if by a key."""
 
     number: int
     folder: str
     run_id: str = ""
     inputs: tuple[str, ...] = ()
+    key: str = ""
+    buckets: int = 0
 
 
 def _path(name: str):
@@ -96,15 +99,29 @@ def read(spark: SparkSession, table: str, number: int | None = None) -> DataFram
     found = current(spark, table) if number is None else next((c for c in commits(spark, table) if c.number == number), None)
     if found is None:
         raise FileNotFoundError(f"{table} has no committed version" + (f" {number}" if number is not None else ""))
-    return spark.read.parquet(f"{table}/{VERSIONS}/{found.folder}")
+    folder = f"{table}/{VERSIONS}/{found.folder}"
+    if found.buckets:
+        return read_bucketed(spark, folder, found.key, found.buckets)
+    return spark.read.parquet(folder)
 
 
-def publish(df: DataFrame, table: str, run_id: str = "", inputs: tuple[str, ...] = (), keep: int = KEPT) -> Commit:
-    """Write ``df`` as the next version of ``table`` and commit it; ``df`` may read the table itself."""
+def publish(
+    df: DataFrame, table: str, run_id: str = "", inputs: tuple[str, ...] = (), keep: int = KEPT, key: str = "", buckets: int = 0
+) -> Commit:
+    """Write ``df`` as the next version of ``table`` and commit it; ``df`` may read the table itself.
+
+    With ``key``, which should differ from row to row, the version lies in buckets of it (as many as the session has
+    shuffle partitions unless told), and readers join it on the key without moving it.
+    """
     spark = df.sparkSession
     before = current(spark, table)
-    commit = Commit(before.number + 1 if before else 1, uuid.uuid4().hex, run_id, tuple(inputs))
-    df.write.parquet(f"{table}/{VERSIONS}/{commit.folder}")
+    number, buckets = before.number + 1 if before else 1, (buckets or default_buckets(spark)) if key else 0
+    commit = Commit(number, uuid.uuid4().hex, run_id, tuple(inputs), key, buckets)
+    folder = f"{table}/{VERSIONS}/{commit.folder}"
+    if key:
+        write_bucketed(df, folder, key, buckets)
+    else:
+        df.write.parquet(folder)
     _system(spark, table).mkdirs(_path(f"{table}/{MANIFEST}"))
     _write_once(spark, f"{table}/{MANIFEST}/{commit.number:012d}.json", json.dumps(asdict(commit)))
     forget(spark, table, keep, commit)
