@@ -9,12 +9,15 @@ Equal sets form one class, which takes part once. The join splits the classes ag
   mean number of branches, 1.25, is one over the threshold, so similar pairs stay together on some path while others part.
 * A path with one class ends, one with up to ``LEAF`` is compared by brute force, a larger one is split again.
 * What is still large after ``MAX_DEPTH`` splits is a group of near copies, which no token parts. It is cut into blocks
-  of ``BLOCK``, and all pairs of blocks are compared, each in a task of its own: links are counted, not listed.
+  of ``BLOCK``, and pairs of blocks are compared, each in a task of its own: links are counted, not listed.
+* Such a group comes back in every run. The largest of a class's large paths is its home, where it meets all others of the
+  same home; on other large paths their blocks are not compared again. So a group costs its square once, not once a run.
 * Runs repeat until a pair at the threshold is found with probability ``RECALL`` even on the deepest path of this table;
   the probability follows from the branching, so it does not depend on the data.
 
 Comparing has two steps. Sketches of the minhashes find the members of a path that may have a partner; only these are
-then joined with their exact sets. A pair that meets on several paths is handled on the smallest one that both have.
+then joined with their exact sets. A pair that meets on several paths is handled at its home, if both have the same one,
+and else on the smallest path that both have.
 
 Defined cases: words are parted by white space and compared in lower case. A text of fewer than five words is one shingle
 of all its words; a text without words (null, empty) is linked with nothing. Repeated rows are documents of their own and
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronlens.llm.chunks import steps
@@ -219,13 +222,41 @@ def leaf_paths(classes: DataFrame, recall: float = RECALL) -> DataFrame:
     return leaves
 
 
-def in_blocks(leaves: DataFrame) -> DataFrame:
-    """Groups to compare: path, one, two (blocks), block, rep. A path of up to ``LEAF`` classes is one block."""
-    blocks = F.when(F.col("m") <= LEAF, F.lit(1)).otherwise(F.ceil(F.col("m") / BLOCK)).cast("int")
-    rows = leaves.withColumn("blocks", blocks)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep", "path"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.select("path", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "rep")
+def class_paths(leaves: DataFrame) -> DataFrame:
+    """Stored, per class: rep, paths, home (the largest of its paths of more than ``LEAF`` classes, null without one)."""
+    home = F.max(F.when(F.col("m") > LEAF, F.struct("m", "path")))["path"]
+    # A class is on a bounded number of paths: runs times branches.
+    return stage(leaves.groupBy("rep").agg(F.collect_set("path").alias("paths"), home.alias("home")), "class-paths")
+
+
+def in_blocks(leaves: DataFrame, known: DataFrame) -> DataFrame:
+    """Groups to compare: path, one, two (blocks), block, rep. A path of up to ``LEAF`` classes is one block.
+
+    On a larger one, ``BLOCK`` classes or more of another home are a side of their own, whose blocks meet all blocks but
+    each other. All other classes are the path's own side, whose blocks meet all.
+    """
+    zero = F.lit(0)
+    small = leaves.where(F.col("m") <= LEAF).select("path", zero.alias("one"), zero.alias("two"), zero.alias("block"), "rep")
+    large = leaves.where(F.col("m") > LEAF).join(known.select("rep", "home"), "rep")
+    homes = large.groupBy("path", "home").agg(F.count(F.lit(1)).alias("n"))
+    own = (F.col("home") == F.col("path")) | (F.col("n") < BLOCK)
+    homes = homes.withColumn("side", F.when(own, F.col("path")).otherwise(F.col("home")))
+    # A path has a side for each ``BLOCK`` of its classes at most.
+    sides = homes.groupBy("path", "side").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    before = Window.partitionBy("path").orderBy("side").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("blocks").over(Window.partitionBy("path")).cast("int")
+    sides = sides.select("path", "side", "blocks", F.coalesce(F.sum("blocks").over(before), zero).cast("int").alias("start"), total.alias("total"))
+    sides = stage(homes.select("path", "home", "side").join(sides, ["path", "side"]), "sides")
+    rows = large.join(sides, ["path", "home"])
+    rows = rows.withColumn("block", F.col("start") + F.pmod(F.xxhash64("rep", "path"), F.col("blocks")).cast("int"))
+    meets = F.filter(
+        F.sequence(zero, F.col("total") - 1),
+        lambda b: (F.col("side") == F.col("path")) | (b < F.col("start")) | (b >= F.col("start") + F.col("blocks")),
+    )
+    rows = rows.withColumn("other", F.explode(meets))
+    return small.unionByName(
+        rows.select("path", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "rep")
+    )
 
 
 def grouped(df: DataFrame) -> DataFrame:
@@ -263,20 +294,28 @@ def _starts(table: pa.Table) -> list[int]:
     return [0, *(np.nonzero(change)[0] + 1).tolist(), table.num_rows]
 
 
-def _candidates(sketch: np.ndarray, block: np.ndarray, one: int, two: int, shared: list) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a group (rows a < b) whose sketches allow a link and whose smallest common path is this group's."""
+def _candidates(
+    sketch: np.ndarray, block: np.ndarray, one: int, two: int, path: int, paths: list[set[int]], homes: list[int | None]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group (rows a < b) whose sketches allow a link and that are handled on this group's path."""
     if one == two:
         a, b = np.triu_indices(len(sketch), 1)
     else:
         left, right = np.nonzero(block == one)[0], np.nonzero(block == two)[0]
         a, b = np.repeat(left, len(right)), np.tile(right, len(left))
+    # Classes without a home have numbers of their own.
+    named = {h: k for k, h in enumerate({h for h in homes if h is not None})}
+    home = np.array([len(homes) + k if h is None else named[h] for k, h in enumerate(homes)], np.int64)
+    here = named.get(path, -1)
+    open_ = (home[a] != home[b]) | (home[a] == here)
+    a, b = a[open_], b[open_]
     least = math.ceil(SKETCH_LEAST * SLOTS)
     near = np.concatenate(
         [np.zeros(0, bool), *((sketch[a[k : k + 8192]] == sketch[b[k : k + 8192]]).sum(axis=1) >= least for k in range(0, len(a), 8192))]
     )
     a, b = a[near], b[near]
-    path, paths = shared
-    first = np.fromiter((min(paths[i] & paths[j]) == path for i, j in zip(a.tolist(), b.tolist())), bool, len(a))
+    first = (home[i] == home[j] or min(paths[i] & paths[j]) == path for i, j in zip(a.tolist(), b.tolist()))
+    first = np.fromiter(first, bool, len(a))
     return a[first], b[first]
 
 
@@ -285,12 +324,12 @@ def _unpacked(table: pa.Table) -> Iterator[tuple[int, int, tuple]]:
     starts = _starts(table)
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, SLOTS)
     path, one, two, block = (table.column(c).to_numpy() for c in ("path", "one", "two", "block"))
-    paths = table.column("paths").to_pylist()
+    paths, homes = table.column("paths").to_pylist(), table.column("home").to_pylist()
     for start, stop in zip(starts, starts[1:]):
         if stop - start > 1:
             sets = [set(p) for p in paths[start:stop]]
-            here = sketch[start:stop], block[start:stop], int(one[start]), int(two[start]), [int(path[start]), sets]
-            yield start, stop, here
+            blocks = block[start:stop], int(one[start]), int(two[start])
+            yield start, stop, (sketch[start:stop], *blocks, int(path[start]), sets, homes[start:stop])
 
 
 def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,13 +393,12 @@ def _counts(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
 def class_links(docs: DataFrame, classes: DataFrame, signed: DataFrame, text: str, key: str, threshold: float, recall: float) -> DataFrame:
     """Stored: a (a class), b (the root of a in one group), links (documents of other classes that a has links with there)."""
     leaves = leaf_paths(classes, recall)
-    # A class is on a bounded number of paths: runs times branches.
-    known = stage(leaves.groupBy("rep").agg(F.collect_set("path").alias("paths")), "class-paths")
+    known = class_paths(leaves)
     low = F.transform("minhash", lambda m: F.substring(F.lpad(F.hex(m), 8, "0"), -4, 4))
     sketch = F.unhex(F.array_join(low, ""))
     narrow = classes.select("rep", "n", sketch.alias("sketch")).join(known, "rep")
-    rows = in_blocks(leaves).join(narrow, "rep")
-    rows = rows.select("path", "one", "two", "block", "rep", "n", "sketch", "paths")
+    rows = in_blocks(leaves, known).join(narrow, "rep")
+    rows = rows.select("path", "one", "two", "block", "rep", "n", "sketch", "paths", "home")
     schema = rows.schema
     found = stage(grouped(rows).mapInArrow(_promising, schema), "promising")
     wanted = found.select("rep").distinct().join(signed.select(F.col("row").alias("rep"), "id", "mark"), "rep")

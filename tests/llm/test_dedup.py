@@ -197,6 +197,30 @@ def test_similar_groups_equal_brute_force(spark, monkeypatch, leaf, block, depth
     assert {k for k, r in got.items() if r.kept} == set(root.values())
 
 
+def test_a_group_that_comes_back_is_compared_once(spark, monkeypatch):
+    monkeypatch.setattr(set_join, "LEAF", 6)
+    monkeypatch.setattr(set_join, "BLOCK", 8)
+    rnd = random.Random(5)
+    members = {1: range(80), **{path: rnd.sample(range(84), 60) for path in range(2, 22)}, 30: [1, 2, 90], 31: range(85, 93)}
+    rows = [(rep, path, len(reps)) for path, reps in members.items() for rep in reps]
+    leaves = spark.createDataFrame(rows, "rep long, path long, m long")
+    known = {r.rep: r for r in set_join.class_paths(leaves).collect()}
+    assert all(known[rep].home == 1 for rep in range(80)) and known[85].home == 31
+    groups = defaultdict(list)
+    for r in set_join.in_blocks(leaves, set_join.class_paths(leaves)).collect():
+        groups[r.path, r.one, r.two].append((r.rep, r.block))
+    met = defaultdict(int)
+    for (path, one, two), found in groups.items():
+        reps, blocks = zip(*found)
+        alike = np.zeros((len(reps), set_join.SLOTS), np.uint16)
+        paths, homes = [set(known[r].paths) for r in reps], [known[r].home for r in reps]
+        for a, b in zip(*set_join._candidates(alike, np.array(blocks), one, two, path, paths, homes)):
+            met[frozenset((reps[a], reps[b]))] += 1
+    assert met == {frozenset((a, b)): 1 for reps in members.values() for a in reps for b in reps if a != b}
+    # 80 classes in ten blocks, once; twenty more times each of them meets a few others at most.
+    assert sum(map(len, groups.values())) < 80 * 10 + 20 * (60 + 4 * 8) + 100
+
+
 def test_runs_follow_from_the_depth():
     assert abs(set_join.survival(1) - 0.84) < 1e-12
     assert set_join.runs_needed(1) < set_join.runs_needed(4)
