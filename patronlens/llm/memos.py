@@ -10,6 +10,8 @@ import ctypes
 import gc
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _HOLDER: list[tuple[str, Callable[[], None]]] = []
 
 
@@ -24,8 +26,9 @@ def take_over(name: str, forget: Callable[[], None]) -> None:
 
 
 def give_back() -> None:
-    """Return freed memory to the system, where its C library can."""
+    """Return freed memory to the system, where its C library can, and that of Arrow's batches."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from patronlens.llm.chunks import steps
 from patronlens.llm.common import fresh, quoted, same_columns, text_of
 from patronlens.llm.components import join_hot, local_roots, spread
-from patronlens.llm.memos import take_over
+from patronlens.llm.memos import give_back, take_over
 from patronlens.sources.staging import discard, stage
 
 SHINGLE = 5
@@ -69,7 +69,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Shingles:
-    """Shingle sets of texts; each distinct word is hashed once."""
+    """Shingle sets of texts; each distinct word of a task is hashed once."""
 
     def __init__(self):
         self.known: dict[str, int] = {}
@@ -97,6 +97,11 @@ class Shingles:
             self.known.clear()
         return out
 
+    def forget(self) -> None:
+        """At the end of a task: while its worker is idle, the executor needs the memory for the next steps."""
+        self.known.clear()
+        give_back()
+
 
 def minhashes(shingles: np.ndarray) -> np.ndarray:
     """``SLOTS`` minhashes of 32 bits."""
@@ -132,6 +137,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "digest", "size", "minhash"])
+        _SHINGLES.forget()
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(run, f"id {kind}, mark long, digest binary, size long, minhash array<int>")
@@ -428,6 +434,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, key: str) -> Dat
             for row, texts in steps(batch.column(1)):
                 sets = pa.array([s.tobytes() for s in _SHINGLES.sets(texts)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.slice(row, len(texts)).column(0), sets], ["rep", "shingles"])
+        _SHINGLES.forget()
 
     # Repeated rows give the same set more than once.
     return rows.mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"])

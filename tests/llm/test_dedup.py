@@ -221,6 +221,14 @@ def test_a_group_that_comes_back_is_compared_once(spark, monkeypatch):
     assert sum(map(len, groups.values())) < 80 * 10 + 20 * (60 + 4 * 8) + 100
 
 
+def test_idle_workers_remember_no_words():
+    shingles = set_join.Shingles()
+    shingles.sets(["a b c", "d e f g h i"])
+    assert shingles.known
+    shingles.forget()
+    assert not shingles.known
+
+
 def test_runs_follow_from_the_depth():
     assert abs(set_join.survival(1) - 0.84) < 1e-12
     assert set_join.runs_needed(1) < set_join.runs_needed(4)
