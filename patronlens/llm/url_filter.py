@@ -35,6 +35,7 @@ RULES = (
     ("block", "com", "/de/"),
 )
 SAMPLE_ROWS = 20_000
+SAMPLE_PARTS = 4
 TREES, DEPTH = 20, 4
 RATE_ROWS = 100_000
 # Weight of the overall rate in the rate of a suffix.
@@ -165,8 +166,10 @@ def fit(urls: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
     model.features = [c for c in ready.columns if c.startswith("f_")]
     ready = VectorAssembler(inputCols=model.features, outputCol="f_all").transform(ready)
     trees = GBTClassifier(featuresCol="f_all", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=11)
-    # Rows in one order, so that the same sample gives the same trees.
-    ready = ready.select("f_all", "label", "weight", "url").repartitionByRange(4, "url").sortWithinPartitions("url")
+    # Every level of every tree is a job or two with a task per partition: the bounded sample lies in a few of them, whatever
+    # the number that a session deals rows into. Rows in one order, so that the same sample gives the same trees.
+    ready = ready.select("f_all", "label", "weight", "url").repartitionByRange(SAMPLE_PARTS, "url")
+    ready = ready.coalesce(SAMPLE_PARTS).sortWithinPartitions("url")
     model.trees = trees.fit(ready.select("f_all", "label", "weight"))
     return model
 
