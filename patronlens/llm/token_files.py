@@ -22,11 +22,11 @@ rows with one id are ordered by their texts. Repeated rows are kept. An empty ta
 from __future__ import annotations
 
 import json
-import os
 import struct
 import uuid
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from patronlens.llm.chunks import TextEncoder, refuse_unknown, steps
+from patronlens.llm.bpe import byte_letters
+from patronlens.llm.chunks import ColumnEncoder, refuse_unknown
 from patronlens.llm.common import quoted, text_of
 from patronlens.llm.memos import take_over
 from patronlens.sources.staging import new_path, stage
@@ -47,8 +48,8 @@ HEADER = struct.Struct("<8s6q")
 BLOCK_IDS = 65_536
 FILE_IDS = 8_000_000
 END_ID = 2
-# Bytes of one half of what a worker remembers of pieces, and of words.
-MEMO_BYTES = 72_000_000
+# Bytes of one half of what a worker remembers of pieces and words.
+MEMO_BYTES = 108_000_000
 
 
 def width_of(vocabulary: int) -> int:
@@ -122,32 +123,27 @@ class TokenFile:
         self.source.close()
 
 
-_TOKENIZERS: dict[int, tuple[TextEncoder, int]] = {}
+_TOKENIZERS: dict[int, tuple[ColumnEncoder, int]] = {}
 
 
-def _tokenizer(content: str) -> tuple[TextEncoder, int]:
+def _tokenizer(content: str) -> tuple[ColumnEncoder, int]:
     """The library's tokenizer behind a memo of words, and its vocabulary's size; once in a Python worker."""
     take_over("token files", _TOKENIZERS.clear)
     key = zlib.crc32(content.encode())
     if key not in _TOKENIZERS:
-        # A task has one core; the library's own threads would only wait for each other.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         spec = json.loads(content)
         refuse_unknown(spec)
         tokenizer = Tokenizer.from_str(content)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        merge = tokenizer.model.tokenize
+        letters = "".join(sorted(byte_letters(), key=byte_letters().get))
 
-        def encode(words: list[str]) -> list[bytes]:
-            out: list[bytes] = []
-            for at in range(0, len(words), 4096):
-                got = tokenizer.encode_batch_fast(words[at : at + 4096], add_special_tokens=False)
-                out += [array("I", e.ids).tobytes() for e in got]
-            return out
+        def encode(word: str) -> bytes:
+            # Words are cut already; what the library does before its model is to write bytes as letters.
+            return array("I", [t.id for t in merge(charmap_decode(word.encode(), "strict", letters)[0])]).tobytes()
 
         _TOKENIZERS.clear()
         added = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        _TOKENIZERS[key] = TextEncoder(encode, added, MEMO_BYTES), tokenizer.get_vocab_size(with_added_tokens=True)
+        _TOKENIZERS[key] = ColumnEncoder(encode, added, MEMO_BYTES), tokenizer.get_vocab_size(with_added_tokens=True)
     return _TOKENIZERS[key]
 
 
@@ -183,17 +179,16 @@ def write_token_files(
 
         for batch in batches:
             names = batch.column(0)
-            for row, texts in steps(batch.column(1)):
-                flat, sizes = memo.texts(texts)
+            for row, flat, sizes in memo.column(batch.column(1)):
                 ends = np.cumsum(sizes)
                 flat = np.insert(flat, ends, end_id)  # after the last id of each document
                 sizes = sizes + 1
                 ends = ends + np.arange(1, len(ends) + 1)
                 start = 0
-                while start < len(texts):
+                while start < len(sizes):
                     begin = int(ends[start - 1]) if start else 0
                     # As many documents as reach the size of a file.
-                    stop = min(len(texts), int(np.searchsorted(ends, begin + FILE_IDS - held)) + 1)
+                    stop = min(len(sizes), int(np.searchsorted(ends, begin + FILE_IDS - held)) + 1)
                     keys += names.slice(row + start, stop - start).to_pylist()
                     ids.append(flat[begin : int(ends[stop - 1])])
                     counts.append(sizes[start:stop])

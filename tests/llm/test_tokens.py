@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import LONG, ODD_TEXTS, documents, odd_documents, with_clashes
 from hypothesis import given, settings
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from patronlens.llm import bpe, token_files
+from patronlens.llm import bpe, chunks, token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -156,3 +157,78 @@ def test_token_files_of_odd_rows(spark):
     assert all(want[r.doc_id] == r.n_tokens for r in out if r.doc_id not in (None, 4))
     empty = token_files.write_token_files(odd.limit(0), PATH)
     assert empty.count() == 0 and token_files.read_documents(empty).count() == 0
+
+
+@pytest.fixture
+def column():
+    """A new encoder of columns, with the library's model behind it."""
+    token_files._TOKENIZERS.clear()
+    with open(PATH, encoding="utf-8") as file:
+        yield token_files._tokenizer(file.read())[0]
+    token_files._TOKENIZERS.clear()
+
+
+def column_as_library(column, texts, array=None):
+    runs = list(column.column(pa.array(texts, pa.string()) if array is None else array))
+    assert [row for row, _, _ in runs] == np.cumsum([0, *(len(sizes) for _, _, sizes in runs)])[:-1].tolist()
+    got = [ids.tolist() for _, flat, sizes in runs for ids in np.split(flat, np.cumsum(sizes))[:-1]]
+    assert got == [e.ids for e in LIBRARY.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_column_sees_a_piece_once_a_run(column, monkeypatch):
+    asked, merged = [], []
+    ids, merge = column._ids, column.encode_word
+    monkeypatch.setattr(column, "_ids", lambda distinct: asked.append(len(distinct)) or ids(distinct))
+    monkeypatch.setattr(column, "encode_word", lambda word: merged.append(word) or merge(word))
+    rnd = random.Random(7)
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(["first", *rnd.choices(words, k=500)]) for _ in range(200)]
+    column_as_library(column, texts)
+    assert asked == [41]
+    assert len(merged) == len(set(merged)) <= 1 + 2 * 40  # "first", " w" and numbers
+    column_as_library(column, texts)
+    assert asked == [41, 41] and len(merged) <= 1 + 2 * 40
+
+
+def test_column_of_odd_texts(column):
+    column_as_library(column, ODD_TEXTS)
+    column_as_library(column, [*ODD_TEXTS, "<|endoftext|>", " <|endoftext|> a <|endoftext|>"], None)
+    array = pa.array(["left out", *ODD_TEXTS, "left out"], pa.large_string())
+    column_as_library(column, ODD_TEXTS[2:], array.slice(3, len(ODD_TEXTS) - 2))
+    for texts in ([], [None], ["", None, ""], ["a"], [" "], ["a ", " b", " ", "c"], ["a", "", " b"]):
+        column_as_library(column, texts)
+
+
+def test_column_with_every_letter(column):
+    letters = [chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    column_as_library(column, [f"a{c}b {c} {c}{c}  x{c} {c}y" for c in letters])
+
+
+def test_column_in_many_runs_that_forgets(column, monkeypatch):
+    monkeypatch.setattr(chunks, "STEP_BYTES", 60)
+    monkeypatch.setattr(column, "room", 400)
+    texts = [f"word{n % 7} and some other word {k}, 漢字 é{n}" * (k % 4) for n in range(20) for k in range(5)]
+    column_as_library(column, texts + ["w" * 90, "-" * 90 + " x"] * 2)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="a b é\u00a0\u3000\u2009\u2028\u1680\u0085漢“😀\t\n\0.,1'<|endoftext|>", max_size=40), max_size=6))
+def test_column_of_any_white_space(texts):
+    with open(PATH, encoding="utf-8") as file:
+        column_as_library(token_files._tokenizer(file.read())[0], texts)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40)), max_size=6))
+def test_column_of_any_text(texts):
+    with open(PATH, encoding="utf-8") as file:
+        column_as_library(token_files._tokenizer(file.read())[0], texts)
+
+
+def test_cuts_are_those_of_pieces():
+    texts = ["one two  three", "é ü 漢 字\u3000 x", "a\u00a0 b « c » d", "", " e", "f\n g “h i”", "“ ”"]
+    data = [t.encode() for t in texts]
+    starts = np.cumsum([0, *map(len, data)])
+    cuts = chunks.cut_column(np.frombuffer(b"".join(data), np.uint8), starts)
+    want = [piece for t in texts for piece in chunks.pieces(t) if piece]
+    assert [b"".join(data)[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:])] == want
